@@ -156,6 +156,12 @@ SCHEMA_ROWS = [
      "count(CASE WHEN p_size % 5 = 0 THEN NULL ELSE 1 END)"),
 ]
 
+LATEST_PER_USER = """
+SELECT user_id, event_id, ts, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST,
+                               event_id DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1"""
+
 SQL: dict[str, str] = {
     "scan_all": "SELECT * FROM nation",
 
@@ -206,11 +212,9 @@ SELECT 'all', TIMESTAMP '2100-01-01 00:00:00',
        count(*) FILTER (WHERE ts > TIMESTAMP '2100-01-01 00:00:00') > 0
 FROM events""",
 
-    "latest_per_key": """
-SELECT user_id, event_id, ts, event_type FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST,
-                               event_id DESC NULLS LAST) AS rn
-  FROM events) WHERE rn = 1""",
+    "latest_per_key": LATEST_PER_USER,
+
+    "stream_upsert": LATEST_PER_USER,
 
     "latest_nulls_last": """
 WITH e AS (
@@ -317,6 +321,28 @@ FROM mfact f JOIN dim d ON f.media_id = d.media_id""",
         f"SELECT '{c}' AS \"column\", '{t}' AS data_type, {expr} AS non_null FROM part"
         for c, t, expr in SCHEMA_ROWS),
 
+    "sample_report": f"WITH {FACT} SELECT * FROM fact ORDER BY event_key LIMIT 5",
+
+    "landing_roundtrip": f"""WITH {EV}
+SELECT event_key, received_at, visitor_key, media_id, percent_viewed, browser,
+       strftime(ts, '%Y-%m-%d') AS landed_date
+FROM ev""",
+
+    "parquet_roundtrip": f"""WITH {FACT}
+SELECT event_key, media_id, visitor_id,
+       CASE WHEN browser = 'BUILDING' THEN percent_viewed + 1.0 ELSE percent_viewed END
+         AS percent_viewed,
+       (SELECT max(ts) FROM events) AS watermark
+FROM fact""",
+
+    "stream_bronze": f"""WITH {EV}
+SELECT event_key, received_at, visitor_key, media_id, browser FROM ev""",
+
+    "medallion_end_to_end": f"""WITH {FACT}, {LATEST_MEDIA}
+SELECT d.channel, count(DISTINCT f.visitor_id) AS number_of_visitors
+FROM fact f LEFT JOIN dim d ON f.media_id = d.media_id
+GROUP BY d.channel""",
+
     "ingest_stamp": f"""
 SELECT event_id, {STAMP} AS ingestion_time, 'events.parquet' AS source_file FROM events""",
 }

@@ -19,10 +19,15 @@ from tidemark.operators.flatten import (MEDIA_ASSET_KEY, flatten_events, flatten
                                         flatten_visitor_detail, flatten_visitors)
 from tidemark.operators.stamp import stamp
 from tidemark.operators.upsert import upsert
-from tidemark.plans import adapters
-from tidemark.session import configure
+from tidemark.plans import adapters, jobs
+from tidemark.session import configure, fresh_dir
+from tidemark.sinks import land_json, write_json_sample
 from tidemark.sources import catalog
+from tidemark.sources.files import read_json
+from tidemark.sources.snapshots import SnapshotTable
+from tidemark.sources.state import WatermarkStore
 from tidemark.sources.testdata import Tables
+from tidemark.streaming.incremental import upsert_stream
 
 # Fixed query parameters (marks, lists, stamp time).
 EVENTS_MARK = "2024-01-15T00:00:00Z"
@@ -292,6 +297,82 @@ def q_ingest_stamp(spark, sf_dir):
                                                            "source_file")
 
 
+# --- writers and readers (files, snapshots, state, streams) -------------------
+
+def q_sample_report(spark, sf_dir):
+    """5 rows in key order written as JSON, read back with the schema."""
+    fact = fact_events(_t(spark, sf_dir))
+    path = fresh_dir(spark, "sample")
+    write_json_sample(fact, path, ["event_key"], 5)
+    return read_json(spark, path, fact.schema, multi_line=False)
+
+
+def q_landing_roundtrip(spark, sf_dir):
+    """Accepted raw events landed as partitioned JSON, read back with an
+    explicit schema (K5, S1, S2)."""
+    lake = jobs.Lake(spark, fresh_dir(spark, "landing"))
+    jobs.land(lake, jobs.EVENTS, adapters.raw_events(_t(spark, sf_dir)))
+    back = flatten_events(lake.read_raw(jobs.EVENTS), keep=[jobs.LANDING_PARTITION])
+    return back.select("event_key", "received_at", "visitor_key", "media_id", "percent_viewed",
+                       "browser", jobs.LANDING_PARTITION)
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    """Create a keyed table, upsert a batch into a new snapshot, save and
+    read back the high-water mark (K1, K2, K3, S4, S5, K6, S7)."""
+    t = _t(spark, sf_dir)
+    root = fresh_dir(spark, "roundtrip")
+    table = SnapshotTable(spark, f"{root}/fact")
+    marks = WatermarkStore(spark, f"{root}/state")
+    fact = fact_events(t)
+    table.write(fact)
+    changed = fact.filter(F.col("browser") == "BUILDING") \
+        .withColumn("percent_viewed", F.col("percent_viewed") + F.lit(1.0))
+    table.upsert(changed, ["event_key"])
+    newest = table.read().agg(F.max(parse_iso("event_timestamp"))).first()[0]
+    marks.save("fact_visitor_engagement", newest)
+    mark = marks.get("fact_visitor_engagement", incremental.DEFAULT_LAYER_MARK)
+    return table.read().select("event_key", "media_id", "visitor_id", "percent_viewed",
+                               mark_literal(mark).alias("watermark"))
+
+
+def q_stream_upsert(spark, sf_dir):
+    """The events file as a stream (availableNow), latest row per visitor
+    upserted into a snapshot table (T1, T2)."""
+    t = _t(spark, sf_dir)
+    stream = (spark.readStream.schema(t.events.schema)
+              .option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir)
+              .select("user_id", "event_id", "ts", "event_type"))
+    table = SnapshotTable(spark, fresh_dir(spark, "stream_table"))
+    upsert_stream(stream, table, ["user_id"], dedup.newest_first("ts", "event_id"),
+                  checkpoint=fresh_dir(spark, "stream_ckpt"), newer_than="ts")
+    return table.read()
+
+
+def q_stream_bronze(spark, sf_dir):
+    """Raw events landed as JSON, loaded into bronze by the file stream."""
+    lake = jobs.Lake(spark, fresh_dir(spark, "stream_lake"))
+    jobs.land(lake, jobs.EVENTS, adapters.raw_events(_t(spark, sf_dir)))
+    jobs.raw_to_bronze_stream(lake, jobs.EVENTS)
+    bronze = lake.table("bronze", "events").read()
+    return bronze.select("event_key", "received_at", "visitor_key", "media_id",
+                         F.col("user_agent_details.browser").alias("browser"))
+
+
+def q_medallion_end_to_end(spark, sf_dir):
+    """All layers in one run: land raw JSON, bronze, silver, gold, refined,
+    curated, KPIs; returns the channel KPI table (D0-D13)."""
+    t = _t(spark, sf_dir)
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    jobs.land(lake, jobs.EVENTS, adapters.raw_events(t))
+    jobs.land(lake, jobs.MEDIA_METADATA, adapters.raw_media_versions(t))
+    jobs.land_visitors(lake, adapters.visitor_list(t), adapters.raw_visitor_detail(t))
+    land_json(adapters.media_summary(t), lake.raw("media_summary"))
+    jobs.run_all(lake, now=STAMP_TIME)
+    return lake.table("curated", "visitors_in_each_channel").read()
+
+
 QUERIES: dict[str, Query] = {
     "scan_all": q_scan_all,
     "project_rename": q_project_rename,
@@ -325,4 +406,10 @@ QUERIES: dict[str, Query] = {
     "numeric_measure": q_numeric_measure,
     "schema_report": q_schema_report,
     "ingest_stamp": q_ingest_stamp,
+    "sample_report": q_sample_report,
+    "landing_roundtrip": q_landing_roundtrip,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "stream_upsert": q_stream_upsert,
+    "stream_bronze": q_stream_bronze,
+    "medallion_end_to_end": q_medallion_end_to_end,
 }
