@@ -5,9 +5,14 @@ only: a NULL key never matches, so NULL-key target rows stay and NULL-key
 batch rows are appended. The batch must hold one row per key (dedup it with
 :func:`tidemark.operators.dedup.latest_per_key` first, as every layer job does).
 
-When the batch keys are proven small they are broadcast, so the (large)
-target is only scanned and filtered, never shuffled. Otherwise Spark plans a
-sort-merge anti join.
+Plan at scale:
+
+* the batch is computed once and checkpointed to the shared checkpoint
+  folder (it is read twice: keys for the anti join, rows for the union);
+* when the batch keys are proven small they are broadcast, so the large
+  target is only scanned and filtered, never shuffled; otherwise a
+  sort-merge anti join (AQE splits a skewed target partition, e.g. many
+  NULL keys).
 """
 
 from __future__ import annotations
@@ -18,12 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import fits_in_broadcast
+from tidemark.session import work_dir
 
 
-def _maybe_broadcast(df: DataFrame, broadcast: bool | None) -> DataFrame:
-    if broadcast is None:
-        broadcast = fits_in_broadcast(df)
-    return F.broadcast(df) if broadcast else df
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder (survives lost
+    executors, cuts the lineage)."""
+    work_dir(df.sparkSession)   # ensures a checkpoint folder is set
+    return df.checkpoint(eager=True)
 
 
 def _align(batch: DataFrame, target: DataFrame) -> DataFrame:
@@ -33,8 +40,13 @@ def _align(batch: DataFrame, target: DataFrame) -> DataFrame:
     return batch.select(*cols)
 
 
+def _bc(df: DataFrame, on: bool) -> DataFrame:
+    return F.broadcast(df) if on else df
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-           newer_than: str | None = None, broadcast: bool | None = None) -> DataFrame:
+           newer_than: str | None = None, broadcast: bool | None = None,
+           checkpoint: bool = True) -> DataFrame:
     """Merged table: ``target`` with ``batch`` applied by ``keys``.
 
     ``newer_than``: name of an order column. When given, a batch row replaces
@@ -43,28 +55,32 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     rows are always inserted.
 
     ``broadcast``: True/False forces the join strategy; None (default) decides
-    from a size check of the batch keys.
+    from a size check of the batch keys. ``checkpoint=False`` skips
+    materializing the batch (when the caller already did).
     """
     keys = list(keys)
     batch = _align(batch, target)
+    if checkpoint:
+        batch = materialize(batch)
+    if broadcast is None:
+        broadcast = fits_in_broadcast(batch.select(*keys, *([newer_than] if newer_than else [])))
     if newer_than is not None:
         batch = _newer_rows(target, batch, keys, newer_than, broadcast)
-    batch_keys = _maybe_broadcast(batch.select(*keys), broadcast)
-    kept = target.join(batch_keys, on=keys, how="left_anti")
+        if checkpoint:
+            batch = materialize(batch)
+    kept = target.join(_bc(batch.select(*keys), broadcast), on=keys, how="left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
 def _newer_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: str,
-                broadcast: bool | None) -> DataFrame:
+                broadcast: bool) -> DataFrame:
     """Batch rows that win against the target under ``newer_than``."""
     t_order = "__target_order"
-    b = batch.alias("b")
-    t = target.select(*keys, F.col(order).alias(t_order)).alias("t")
-    cond = [F.col(f"b.{k}") == F.col(f"t.{k}") for k in keys]
-    wins: Column = F.col(t_order).isNull() | F.coalesce(F.col(f"b.{order}") > F.col(t_order),
+    b = batch.select(*keys, F.col(order).alias("__batch_order"))
+    t = target.select(*keys, F.col(order).alias(t_order))
+    wins: Column = F.col(t_order).isNull() | F.coalesce(F.col("__batch_order") > F.col(t_order),
                                                        F.lit(False))
-    # Matched batch keys that lose; the target is streamed, the batch is the
-    # small (broadcast) side.
-    losers = (_maybe_broadcast(b, broadcast).join(t, on=cond, how="inner")
-              .filter(~wins).select(*[F.col(f"b.{k}").alias(k) for k in keys]))
-    return batch.join(losers, on=keys, how="left_anti")
+    # Matched batch keys that lose: the target is streamed past the (small,
+    # broadcast) batch keys; only the losing keys come back.
+    losers = _bc(b, broadcast).join(t, on=keys, how="inner").filter(~wins).select(*keys)
+    return batch.join(_bc(losers, broadcast), on=keys, how="left_anti")

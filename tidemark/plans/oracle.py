@@ -18,7 +18,12 @@ EV = f"""ev AS (
          n.n_name AS country,
          CAST(n.n_regionkey AS VARCHAR) AS region,
          n.n_name || '-' || CAST(e.user_id % 5 AS VARCHAR) AS city,
+         CAST(c.c_nationkey AS DOUBLE) AS lat,
+         CAST(n.n_regionkey AS DOUBLE) AS lon,
+         c.c_mktsegment AS org,
+         lower(c.c_name) || '@example.com' AS email,
          'm' || json_extract_string(e.props, '$.k') AS media_id,
+         'Media ' || json_extract_string(e.props, '$.k') AS media_name,
          e.value AS percent_viewed,
          'https://embed.example/m' || json_extract_string(e.props, '$.k') AS embed_url,
          c.c_mktsegment AS browser,
@@ -343,6 +348,41 @@ SELECT d.channel, count(DISTINCT f.visitor_id) AS number_of_visitors
 FROM fact f LEFT JOIN dim d ON f.media_id = d.media_id
 GROUP BY d.channel""",
 
+    "bronze_events": f"""WITH {EV}
+SELECT event_key, received_at, media_id, browser, {STAMP} AS ingestion_time,
+       ts AS record_time
+FROM ev""",
+
+    "silver_media": f"""WITH {LATEST_MEDIA},
+{ASSETS},
+flat AS (
+  SELECT l.media_id, l.title AS media_name, l.updated_at, a.asset_type, a.asset_width,
+         a.asset_height, a.asset_file_size,
+         concat_ws('_', l.media_id, a.asset_type, a.asset_width, a.asset_height) AS media_asset_key
+  FROM latest l LEFT JOIN assets a ON l.p_partkey = a.p_partkey)
+SELECT media_asset_key, media_id, media_name, updated_at, asset_type, asset_width, asset_height,
+       asset_file_size
+FROM (SELECT *, row_number() OVER (PARTITION BY media_asset_key
+                                   ORDER BY asset_file_size ASC NULLS LAST) AS rn FROM flat)
+WHERE rn = 1""",
+
+    "silver_visitors": f"""WITH {VISITOR}
+SELECT visitor_key, created_at, last_active_at, last_event_key, load_count, play_count,
+       visitor_name, visitor_email, org_title AS visitor_title, org_name AS organization_name,
+       browser, browser_version, platform, mobile AS is_mobile, {STAMP} AS ingestion_time
+FROM visitor""",
+
+    "silver_events": f"""WITH {EV}
+SELECT event_key, received_at, visitor_key, ip, country, region, city, lat, lon, org, email,
+       media_id, media_name, percent_viewed, event_type AS conversion_type, embed_url,
+       browser, platform, is_mobile, {STAMP} AS ingestion_time
+FROM ev""",
+
+    "refined_media_summary": f"""WITH {MEDIA_FACT}
+SELECT media_id, load_count, play_count, play_rate, total_hours_watched AS hours_watched,
+       average_engagement AS engagement, unique_visitors AS visitors
+FROM mfact""",
+
     "ingest_stamp": f"""
 SELECT event_id, {STAMP} AS ingestion_time, 'events.parquet' AS source_file FROM events""",
 }

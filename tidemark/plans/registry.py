@@ -373,6 +373,54 @@ def q_medallion_end_to_end(spark, sf_dir):
     return lake.table("curated", "visitors_in_each_channel").read()
 
 
+# --- per-layer row functions of the jobs (D1-D4, D7) -------------------------
+
+def q_bronze_events(spark, sf_dir):
+    """Raw event files holding an older copy of every click (stale browser)
+    -> bronze rows: stamped, latest version per event key (D1)."""
+    t = _t(spark, sf_dir)
+    lake = jobs.Lake(spark, fresh_dir(spark, "bronze_lake"))
+    raw = adapters.raw_events(t).withColumn(jobs.LANDING_PARTITION,
+                                            F.substring("received_at", 1, 10))
+    stale = (raw.filter(F.col("conversion_type") == "click")
+             .withColumn("received_at", iso_utc_string(parse_iso("received_at")
+                                                       - F.expr("INTERVAL 1 DAY")))
+             .withColumn("user_agent_details",
+                         F.col("user_agent_details").withField("browser", F.lit("STALE"))))
+    land_json(raw, lake.raw("events"), partition_by=[jobs.LANDING_PARTITION])
+    land_json(stale, lake.raw("events"), partition_by=[jobs.LANDING_PARTITION])
+    bronze = jobs.bronze_batch(lake.read_raw(jobs.EVENTS), jobs.EVENTS, STAMP_TIME)
+    return bronze.select("event_key", "received_at", "media_id",
+                         F.col("user_agent_details.browser").alias("browser"),
+                         "ingestion_time", jobs.RECORD_TIME)
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    return df.withColumn("ingestion_time", mark_literal(STAMP_TIME))
+
+
+def q_silver_media(spark, sf_dir):
+    rows = jobs.silver_media_rows(_stamped(adapters.raw_media_versions(_t(spark, sf_dir))))
+    return rows.select(MEDIA_ASSET_KEY, "media_id", "media_name", "updated_at", "asset_type",
+                       "asset_width", "asset_height", "asset_file_size")
+
+
+def q_silver_visitors(spark, sf_dir):
+    return jobs.silver_visitor_rows(_stamped(adapters.raw_visitor_detail(_t(spark, sf_dir))))
+
+
+def q_silver_events(spark, sf_dir):
+    return jobs.silver_event_rows(_stamped(adapters.raw_events(_t(spark, sf_dir))))
+
+
+def q_refined_media_summary(spark, sf_dir):
+    """Media summary landed as JSON, refined by the pass-through job."""
+    lake = jobs.Lake(spark, fresh_dir(spark, "refine_lake"))
+    land_json(adapters.media_summary(_t(spark, sf_dir)), lake.raw("media_summary"))
+    jobs.refine(lake)
+    return lake.table("refined", "media_summary").read()
+
+
 QUERIES: dict[str, Query] = {
     "scan_all": q_scan_all,
     "project_rename": q_project_rename,
@@ -412,4 +460,9 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": q_stream_upsert,
     "stream_bronze": q_stream_bronze,
     "medallion_end_to_end": q_medallion_end_to_end,
+    "bronze_events": q_bronze_events,
+    "silver_media": q_silver_media,
+    "silver_visitors": q_silver_visitors,
+    "silver_events": q_silver_events,
+    "refined_media_summary": q_refined_media_summary,
 }
