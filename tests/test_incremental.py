@@ -53,3 +53,12 @@ def test_watermark_store_roundtrip_and_refuses_null(spark):
     assert store.save("x", dt.datetime(2024, 1, 2))
     assert store.get("x", "1900-01-01") == dt.datetime(2024, 1, 2)
     assert store.all().count() == 2
+
+
+def test_lateness_overlap_rereads_recent_window(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2023, 12, 31, 23)), (2, dt.datetime(2023, 12, 30))],
+                               "id int, ts timestamp_ntz")
+    strict = incremental.newer_than_mark(df, "ts", MARK)
+    late = incremental.newer_than_mark(df, "ts", MARK, lateness=dt.timedelta(hours=2))
+    assert strict.count() == 0
+    assert [r[0] for r in late.collect()] == [1]

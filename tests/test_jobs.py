@@ -107,3 +107,15 @@ def test_full_lake_to_kpis(spark):
     assert rows(dv, "visitor_key", "visitor_title", "organization_name") == [("v1", "T", "O")]
     assert sorted(jobs.register_dashboard(lake)) == sorted(jobs.DASHBOARD_TABLES)
     assert spark.sql("SELECT count(*) FROM fact_visitor_engagement").first()[0] == 3
+
+
+def test_schema_test_reports_and_samples(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    _land(lake, "events", "a", "2024-01-01", [_event(f"e{i}", "2024-01-01T00:00:00Z")
+                                             for i in range(8)])
+    reports = jobs.schema_test(lake)
+    assert list(reports) == ["events"]
+    rep = {r["column"]: r["non_null"] for r in reports["events"].collect()}
+    assert rep["event_key"] == 8 and rep["ip"] == 0 and rep["user_agent_details.browser"] == 8
+    sample = spark.read.json(f"{lake.root}/test-output/events")
+    assert sample.count() == 5

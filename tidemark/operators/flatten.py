@@ -36,7 +36,7 @@ def explode_outer_struct(df: DataFrame, array_col: str, spec: Spec, alias: str =
 
 # Silver media columns (name in bronze -> name in silver).
 MEDIA_SPEC = [
-    ("id", "wistia_media_id"), ("hashed_id", "media_id"), ("name", "media_name"),
+    ("id", "provider_media_id"), ("hashed_id", "media_id"), ("name", "media_name"),
     ("duration", "duration"), ("created", "created_at"), ("updated", "updated_at"),
     ("status", "status"),
     ("folder.id", "folder_id"), ("folder.hashed_id", "folder_hashed_id"),

@@ -293,3 +293,33 @@ def raw_to_bronze_stream(lake: Lake, entity: Entity, checkpoint: str | None = No
                          dedup.newest_first(RECORD_TIME, "ingestion_time", "source_file"),
                          checkpoint or f"{lake.root}/_streams/bronze_{entity.name}",
                          prepare=prepare, newer_than=RECORD_TIME)
+
+
+# --- D14: schema test of the raw folders --------------------------------------
+
+# The raw folders the schema test covers, with their schemas.
+SCHEMA_TEST_FOLDERS = {
+    "visitor_list": schemas.VISITOR_LIST,
+    "media_summary": schemas.MEDIA_SUMMARY,
+    "visitor_detail": schemas.VISITOR_DETAIL,
+    "media_metadata": schemas.MEDIA_METADATA,
+    "events": schemas.EVENT,
+}
+
+
+def schema_test(lake: Lake, sample_rows: int = 5) -> dict[str, DataFrame]:
+    """For each raw folder present: a schema report (with non-NULL counts
+    over the whole folder) and a ``sample_rows`` JSON sample in key order
+    under ``test-output/<name>``. Returns the reports."""
+    from tidemark.operators.report import schema_report
+    from tidemark.sinks import write_json_sample
+
+    out = {}
+    for name, schema in SCHEMA_TEST_FOLDERS.items():
+        if not path_exists(lake.spark, lake.raw(name)):
+            continue
+        df = read_json(lake.spark, lake.raw(name), schema, multi_line=lake.raw_multi_line)
+        write_json_sample(df, f"{lake.root}/test-output/{name}", [schema.fieldNames()[0]],
+                          sample_rows)
+        out[name] = schema_report(df)
+    return out
