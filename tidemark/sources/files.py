@@ -55,3 +55,9 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` (retention of old snapshots)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.upsert import upsert as merge_frames
-from tidemark.sources.files import list_children, path_exists
+from tidemark.sources.files import delete_path, list_children, path_exists
 
 _SNAP = re.compile(r"^snapshot-(\d{8})$")
 
@@ -61,6 +61,19 @@ class SnapshotTable:
         df.write.mode("errorifexists").parquet(self.snapshot_path(v))
         return v
 
+    def expire(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` committed snapshots (and any
+        uncommitted folder older than them). Run it between jobs: a reader
+        still scanning an old snapshot would lose its files."""
+        committed = self.committed()
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        gone = [v for v in self._versions() if v < oldest_kept]
+        for v in gone:
+            delete_path(self.spark, self.snapshot_path(v))
+        return gone
+
     def upsert(self, batch: DataFrame, keys: Sequence[str], newer_than: str | None = None,
                broadcast: bool | None = None) -> int:
         """Create the table from ``batch``, or write ``latest MERGE batch``."""
