@@ -44,7 +44,8 @@ def gold_dim_visitor(silver_visitors: DataFrame) -> DataFrame:
 def curated_dim_media(raw_media: DataFrame) -> DataFrame:
     """curated ``dim_media`` from raw media snapshots: latest by ``updated``."""
     ranked = latest_per_key(raw_media.withColumn("_upd", _order_time("updated")),
-                            ["hashed_id"], newest_first("_upd") + oldest_first("name"))
+                            ["hashed_id"], newest_first("_upd")
+                            + oldest_first("name", "created", "thumbnail.url"))
     return ranked.select(F.col("hashed_id").alias("media_id"), F.col("name").alias("title"),
                          F.col("thumbnail.url").alias("url"),
                          channel_of("name").alias("channel"),
@@ -63,7 +64,8 @@ def curated_dim_visitor(events: DataFrame) -> DataFrame:
 def fact_media_engagement(media_summary: DataFrame) -> DataFrame:
     """curated ``fact_media_engagement``: one row per media."""
     ranked = latest_per_key(media_summary, ["media_id"],
-                            newest_first("play_count", "load_count"))
+                            newest_first("play_count", "load_count", "hours_watched",
+                                         "visitors", "engagement", "play_rate"))
     return ranked.select("media_id", "load_count", "play_count", "play_rate",
                          F.col("hours_watched").alias("total_hours_watched"),
                          F.col("engagement").alias("average_engagement"),

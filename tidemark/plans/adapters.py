@@ -35,12 +35,13 @@ def event_media_number(events: DataFrame) -> Column:
 
 def raw_events(t: Tables) -> DataFrame:
     """One raw event per ``events`` row (visitor geo/browser joined in)."""
-    cust = sized_broadcast(t.customer.select("c_custkey", "c_name", "c_nationkey",
-                                             "c_mktsegment"))
-    nat = sized_broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
+    # Dimension first (customer + nation, both small relative to events), then
+    # one size-checked broadcast join on the large events side.
+    cust = (t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+            .join(t.nation.select("n_nationkey", "n_name", "n_regionkey"),
+                  F.col("c_nationkey") == F.col("n_nationkey"), "left"))
     e = (t.events.withColumn("_k", event_media_number(t.events))
-         .join(cust, F.col("user_id") == F.col("c_custkey"), "left")
-         .join(nat, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+         .join(sized_broadcast(cust), F.col("user_id") == F.col("c_custkey"), "left"))
     mid = media_key(F.col("_k"))
     return e.select(
         F.col("event_id").cast("string").alias("event_key"),
@@ -149,7 +150,7 @@ def visitor_activity(t: Tables) -> DataFrame:
     per map task in the shuffle."""
     return t.events.groupBy("user_id").agg(
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
-        F.max_by("event_id", "ts").alias("last_event_id"),
+        F.max_by("event_id", F.struct("ts", "event_id")).alias("last_event_id"),
         F.count(F.lit(1)).alias("load_count"),
         F.count(F.when(F.col("event_type") == "view", F.lit(1))).alias("play_count"))
 
