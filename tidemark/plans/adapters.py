@@ -30,18 +30,32 @@ def media_key(k: Column) -> Column:
 
 
 def event_media_number(events: DataFrame) -> Column:
-    return F.from_json(F.col("props"), "k BIGINT").getField("k")
-
-
-def raw_events(t: Tables) -> DataFrame:
-    """One raw event per ``events`` row (visitor geo/browser joined in)."""
-    # Dimension first (customer + nation, both small relative to events), then
-    # one size-checked broadcast join on the large events side.
-    cust = (t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-            .join(t.nation.select("n_nationkey", "n_name", "n_regionkey"),
-                  F.col("c_nationkey") == F.col("n_nationkey"), "left"))
-    e = (t.events.withColumn("_k", event_media_number(t.events))
-         .join(sized_broadcast(cust), F.col("user_id") == F.col("c_custkey"), "left"))
+    """``props.k`` of an event (JSON text). ``get_json_object`` stays inside
+    whole-stage codegen (``from_json`` does not); ``try_cast`` turns a bad
+    value into NULL under ANSI mode."""
+    return F.get_json_object(F.col("props"), "$.k").try_cast("long")
+
+
+def raw_events(t: Tables, with_profile: bool = True) -> DataFrame:
+    """One raw event per ``events`` row (visitor geo/browser joined in).
+
+    ``with_profile=False`` leaves the visitor profile fields NULL and skips
+    the customer/nation join: for KPIs over (media, visitor) only, so the
+    large events side is never joined or shuffled for columns it drops.
+    """
+    if with_profile:
+        # Dimension first (customer + nation, both small relative to events),
+        # then one size-checked broadcast join on the large events side.
+        cust = (t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+                .join(t.nation.select("n_nationkey", "n_name", "n_regionkey"),
+                      F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+        e = (t.events.withColumn("_k", event_media_number(t.events))
+             .join(sized_broadcast(cust), F.col("user_id") == F.col("c_custkey"), "left"))
+    else:
+        e = t.events.withColumn("_k", event_media_number(t.events)).select(
+            "*", *[F.lit(None).cast(ty).alias(c) for c, ty in
+                   [("c_name", "string"), ("c_nationkey", "int"), ("c_mktsegment", "string"),
+                    ("n_name", "string"), ("n_regionkey", "int")]])
     mid = media_key(F.col("_k"))
     return e.select(
         F.col("event_id").cast("string").alias("event_key"),

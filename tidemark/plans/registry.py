@@ -52,8 +52,10 @@ def silver_events(t: Tables) -> DataFrame:
     return dedup.distinct_on(flat, ["event_key"], dedup.newest_first("received_at"))
 
 
-def fact_events(t: Tables) -> DataFrame:
-    return model.fact_visitor_engagement(flatten_events(adapters.raw_events(t)))
+def fact_events(t: Tables, with_profile: bool = True) -> DataFrame:
+    """The visitor engagement fact; ``with_profile=False`` for KPIs that use
+    only media and visitor columns (no join to the visitor profile)."""
+    return model.fact_visitor_engagement(flatten_events(adapters.raw_events(t, with_profile)))
 
 
 def dim_media(t: Tables) -> DataFrame:
@@ -239,8 +241,9 @@ def q_fact_media_engagement(spark, sf_dir):
 # --- KPIs ------------------------------------------------------------------
 
 def q_visitors_by_media(spark, sf_dir):
-    return kpi.distinct_visitors(fact_events(_t(spark, sf_dir)), ["media_id"],
-                                 out="unique_visitors", drop_null_keys=True, order="key")
+    return kpi.distinct_visitors(fact_events(_t(spark, sf_dir), with_profile=False),
+                                 ["media_id"], out="unique_visitors", drop_null_keys=True,
+                                 order="key")
 
 
 def q_visitors_by_browser(spark, sf_dir):
@@ -249,7 +252,7 @@ def q_visitors_by_browser(spark, sf_dir):
 
 def q_visitors_by_channel(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return kpi.visitors_by_channel(fact_events(t), dim_media(t))
+    return kpi.visitors_by_channel(fact_events(t, with_profile=False), dim_media(t))
 
 
 def q_top_videos(spark, sf_dir):
@@ -259,7 +262,7 @@ def q_top_videos(spark, sf_dir):
 
 
 def q_kpi_totals(spark, sf_dir):
-    return kpi.totals(fact_events(_t(spark, sf_dir)))
+    return kpi.totals(fact_events(_t(spark, sf_dir), with_profile=False))
 
 
 def q_preview(spark, sf_dir):
@@ -269,7 +272,7 @@ def q_preview(spark, sf_dir):
 def q_sql_views(spark, sf_dir):
     """Dashboard path: named views + SQL, guarded by table and column presence."""
     t = _t(spark, sf_dir)
-    catalog.register({"fact_visitor_engagement": fact_events(t)})
+    catalog.register({"fact_visitor_engagement": fact_events(t, with_profile=False)})
     fact = catalog.table_or_none(spark, "fact_visitor_engagement")
     if fact is None or not {"media_id", "visitor_id"} <= set(fact.columns):
         return spark.createDataFrame([], "media_id string, unique_visitors bigint")
