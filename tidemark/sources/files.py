@@ -61,3 +61,25 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` (retention of old snapshots)."""
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file (overwrites)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small text file, or None when it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    ins = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(ins, "UTF-8")
+    finally:
+        ins.close()

@@ -9,18 +9,23 @@ only once Spark's commit has written its ``_SUCCESS`` marker. So
 * a job that dies mid-write leaves an uncommitted folder that readers skip;
 * re-running a job after a failure is safe.
 
-Old snapshots stay until removed by retention outside the job.
+Each snapshot also carries its schema in ``_schema.json`` (ignored by
+Parquet readers), so reading it back needs no schema-inference job.
+Old snapshots stay until removed by :meth:`SnapshotTable.expire`.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.upsert import upsert as merge_frames
-from tidemark.sources.files import delete_path, list_children, path_exists
+from pyspark.sql import types as T
+
+from tidemark.sources.files import delete_path, list_children, path_exists, read_text, write_text
 
 _SNAP = re.compile(r"^snapshot-(\d{8})$")
 
@@ -52,13 +57,20 @@ class SnapshotTable:
         v = self.latest() if version is None else version
         if v is None:
             raise FileNotFoundError(f"no committed snapshot in {self.path}")
-        return self.spark.read.parquet(self.snapshot_path(v))
+        path = self.snapshot_path(v)
+        text = read_text(self.spark, f"{path}/_schema.json")
+        reader = self.spark.read
+        if text:
+            reader = reader.schema(T.StructType.fromJson(json.loads(text)))
+        return reader.parquet(path)
 
     def write(self, df: DataFrame) -> int:
         """Write ``df`` as the next snapshot; returns its version."""
         versions = self._versions()
         v = (versions[-1] + 1) if versions else 1
-        df.write.mode("errorifexists").parquet(self.snapshot_path(v))
+        path = self.snapshot_path(v)
+        df.write.mode("errorifexists").parquet(path)
+        write_text(self.spark, f"{path}/_schema.json", df.schema.json())
         return v
 
     def expire(self, keep: int = 2) -> list[int]:
