@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -8,22 +7,21 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from tidemark.session import configure  # noqa: E402
+from tidemark.session import configure, work_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="tidemark-test-ckpt-")
     s = (SparkSession.builder.master("local[*]")
          .appName("tidemark-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     configure(s)
+    work_dir(s)   # the session's spark.checkpoint.dir; a fresh local folder only if unset
     yield s
     s.stop()
 

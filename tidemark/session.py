@@ -51,12 +51,12 @@ def work_dir(spark: SparkSession) -> str:
     that is unset (local runs, tests) does it pick a fresh local folder and
     register it as the checkpoint dir, so ``DataFrame.checkpoint`` works too.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        jd = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = jd.get() if jd.isDefined() else None
+    jd = spark.sparkContext._jsc.sc().getCheckpointDir()
+    registered = jd.get() if jd.isDefined() else None
+    d = spark.conf.get("spark.checkpoint.dir", None) or registered
     if not d:
         d = tempfile.mkdtemp(prefix="tidemark-work-")
+    if not registered:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
