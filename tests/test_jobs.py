@@ -119,3 +119,35 @@ def test_schema_test_reports_and_samples(spark):
     assert rep["event_key"] == 8 and rep["ip"] == 0 and rep["user_agent_details.browser"] == 8
     sample = spark.read.json(f"{lake.root}/test-output/events")
     assert sample.count() == 5
+
+
+def _pretty(path, obj):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        json.dump(obj, f, indent=2)
+
+
+def test_poller_layout_multiline_by_key(spark):
+    """Raw folders as the API poller writes them: one pretty-printed object
+    per media / visitor, a JSON array per events page; keys like 0012 stay text."""
+    from tidemark.plans import cli
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"), raw_multi_line=True, raw_layout="by_key")
+    _pretty(f"{lake.raw('visitor_detail')}/visitor_key=0012/a.json",
+            {"visitor_key": "0012", "last_active_at": "2024-01-01T00:00:00Z",
+             "user_agent_details": {"browser": "Chrome"}})
+    _pretty(f"{lake.raw('visitor_detail')}/visitor_key=0012/b.json",
+            {"visitor_key": "0012", "last_active_at": "2024-01-02T00:00:00Z",
+             "user_agent_details": {"browser": "Firefox"}})
+    _pretty(f"{lake.raw('media_metadata')}/media_id=v1/a.json",
+            {"hashed_id": "v1", "name": "yt clip", "updated": "2024-01-01T00:00:00Z",
+             "assets": [{"type": "mp4", "width": 1, "height": 2}, {"type": "hls"}]})
+    _pretty(f"{lake.raw('events')}/page=1/a.json",
+            [_event("e1", "2024-01-01T00:00:00Z", v="0012", m="v1"),
+             _event("e2", "2024-01-01T00:00:00Z", v="0013", m="v1")])
+    out = cli.run(spark, lake, ["bronze", "silver", "gold"])
+    assert out["silver"] == {"media_metadata_flattened": 1, "visitor_list": 1, "events": 2}
+    v = lake.table("gold", "dim_visitor").read()
+    assert rows(v, "visitor_key", "browser") == [("0012", "Firefox")]
+    m = lake.table("silver", "media_metadata_flattened").read()
+    assert rows(m, "media_asset_key") == [("v1_hls",), ("v1_mp4_1_2",)]
+    assert rows(lake.table("gold", "dim_media").read(), "media_id", "channel") == [("v1", "YouTube")]

@@ -52,25 +52,45 @@ ENTITIES = (VISITOR_DETAIL, MEDIA_METADATA, EVENTS)
 RECORD_TIME = "record_time"
 LANDING_PARTITION = "landed_date"
 
+# Raw folder layouts. "landed" is ours (JSON lines by landing
+# date: splittable, prunable); "by_key" is the API poller's layout
+# (pretty-printed files under one folder per media / visitor / page).
+RAW_PARTITIONS = {
+    "landed": {"visitor_detail": (LANDING_PARTITION,), "media_metadata": (LANDING_PARTITION,),
+               "events": (LANDING_PARTITION,)},
+    "by_key": {"visitor_detail": ("visitor_key",), "media_metadata": ("media_id",),
+               "events": ("page",)},
+}
+
 
 class Lake:
-    """Folder layout of one deployment (any Hadoop file system)."""
+    """Folder layout of one deployment (any Hadoop file system).
 
-    def __init__(self, spark: SparkSession, root: str, raw_multi_line: bool = False):
+    ``raw_layout="by_key"`` with ``raw_multi_line=True`` reads raw folders as
+    the API poller writes them; the default reads our JSON-lines landing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, raw_multi_line: bool = False,
+                 raw_layout: str = "landed"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.raw_multi_line = raw_multi_line
+        self.raw_layout = raw_layout
         self.marks = WatermarkStore(spark, f"{self.root}/state/watermarks")
 
+    def raw_partitions(self, entity_name: str) -> tuple[str, ...]:
+        return RAW_PARTITIONS[self.raw_layout].get(entity_name, ())
+
     def raw(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
 
     def table(self, layer: str, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/{layer}/{name}")
 
-    def read_raw(self, entity: Entity, partition_columns: Sequence[str] = (LANDING_PARTITION,)):
+    def read_raw(self, entity: Entity, partition_columns: Sequence[str] | None = None):
+        cols = self.raw_partitions(entity.name) if partition_columns is None else partition_columns
         return read_json(self.spark, self.raw(entity.name), entity.schema,
-                         multi_line=self.raw_multi_line, partition_columns=tuple(partition_columns))
+                         multi_line=self.raw_multi_line, partition_columns=tuple(cols))
 
 
 # --- D0: landing ------------------------------------------------------------
@@ -278,7 +298,7 @@ def raw_to_bronze_stream(lake: Lake, entity: Entity, checkpoint: str | None = No
     from tidemark.streaming.incremental import upsert_stream
 
     spark = lake.spark
-    schema = schemas.with_partition(entity.schema, LANDING_PARTITION)
+    schema = schemas.with_partition(entity.schema, *lake.raw_partitions(entity.name))
     reader = spark.readStream.schema(schema).option("multiLine", lake.raw_multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
