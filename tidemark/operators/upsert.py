@@ -65,16 +65,19 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     if broadcast is None:
         broadcast = fits_in_broadcast(batch.select(*keys, *([newer_than] if newer_than else [])))
     if newer_than is not None:
-        batch = _newer_rows(target, batch, keys, newer_than, broadcast)
+        batch = newer_rows(target, batch, keys, newer_than, broadcast)
         if checkpoint:
             batch = materialize(batch)
     kept = target.join(_bc(batch.select(*keys), broadcast), on=keys, how="left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-def _newer_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: str,
-                broadcast: bool) -> DataFrame:
-    """Batch rows that win against the target under ``newer_than``."""
+def newer_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str,
+               broadcast: bool) -> DataFrame:
+    """Batch rows that win against the target under ``newer_than``: new keys,
+    or ``batch.order > target.order``, or a NULL target order. Reads only the
+    key and order columns of the target."""
+    keys = list(keys)
     t_order = "__target_order"
     b = batch.select(*keys, F.col(order).alias("__batch_order"))
     t = target.select(*keys, F.col(order).alias(t_order))

@@ -375,7 +375,8 @@ FROM visitor""",
     "silver_events": f"""WITH {EV}
 SELECT event_key, received_at, visitor_key, ip, country, region, city, lat, lon, org, email,
        media_id, media_name, percent_viewed, event_type AS conversion_type, embed_url,
-       browser, platform, is_mobile, {STAMP} AS ingestion_time
+       browser, platform, is_mobile, {STAMP} AS ingestion_time,
+       strftime(ts, '%Y-%m-%d') AS event_date
 FROM ev""",
 
     "refined_media_summary": f"""WITH {MEDIA_FACT}

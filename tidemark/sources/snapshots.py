@@ -22,7 +22,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.upsert import upsert as merge_frames
+from tidemark.operators.joins import fits_in_broadcast
+from tidemark.operators.upsert import materialize, newer_rows, upsert as merge_frames
 from pyspark.sql import types as T
 
 from tidemark.sources.files import delete_path, list_children, path_exists, read_text, write_text
@@ -88,8 +89,17 @@ class SnapshotTable:
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], newer_than: str | None = None,
                broadcast: bool | None = None) -> int:
-        """Create the table from ``batch``, or write ``latest MERGE batch``."""
+        """Create the table from ``batch``, or write ``latest MERGE batch``.
+        With ``newer_than``, a batch with no winning row writes nothing."""
         if not self.exists():
             return self.write(batch)
-        return self.write(merge_frames(self.read(), batch, keys, newer_than=newer_than,
-                                       broadcast=broadcast))
+        target = self.read()
+        batch = materialize(batch)
+        if broadcast is None:
+            broadcast = fits_in_broadcast(batch.select(*keys))
+        if newer_than is not None:
+            batch = materialize(newer_rows(target, batch, keys, newer_than, broadcast))
+            if batch.isEmpty():
+                return self.latest()
+        return self.write(merge_frames(target, batch, keys, broadcast=broadcast,
+                                       checkpoint=False))
