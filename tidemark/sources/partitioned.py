@@ -109,8 +109,11 @@ class PartitionedTable:
         n = (self.commits()[-1] + 1) if base is not None else 1
         token = f"{n:08d}-{uuid.uuid4().hex[:8]}"
         data_cols = [c for c in df.columns if c != self.col]
+        # REBALANCE by the partition column: AQE sizes the write tasks (splits a
+        # huge date, merges small ones), so each partition gets few, large files.
         (df.select(*data_cols, F.col(self.col).cast("string").alias(self.col))
            .withColumn(VERSION_COL, F.lit(token))
+           .hint("rebalance", self.col)
            .write.mode("append").partitionBy(self.col, VERSION_COL).parquet(self.path))
         parts = dict(base["partitions"]) if base else {}
         fs, _ = _fs(self.spark, self.path)
