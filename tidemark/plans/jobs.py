@@ -248,12 +248,17 @@ def refine(lake: Lake) -> None:
 
 
 def curate(lake: Lake) -> None:
-    """curated dims and facts, rebuilt from their sources."""
-    raw_media = lake.read_raw(MEDIA_METADATA)
-    lake.table("curated", "dim_media").write(model.curated_dim_media(raw_media))
-    events = lake.table("silver", "events").read()
-    lake.table("curated", "dim_visitor").write(model.curated_dim_visitor(events))
-    lake.table("curated", "fact_visitor_engagement").write(model.fact_visitor_engagement(events))
+    """curated dims and facts, rebuilt from their sources (each skipped when
+    its source does not exist yet)."""
+    if path_exists(lake.spark, lake.raw(MEDIA_METADATA.name)):
+        raw_media = lake.read_raw(MEDIA_METADATA)
+        lake.table("curated", "dim_media").write(model.curated_dim_media(raw_media))
+    silver_events = lake.table("silver", "events")
+    if silver_events.exists():
+        events = silver_events.read()
+        lake.table("curated", "dim_visitor").write(model.curated_dim_visitor(events))
+        lake.table("curated", "fact_visitor_engagement").write(
+            model.fact_visitor_engagement(events))
     summary = lake.table("refined", "media_summary")
     if summary.exists():
         lake.table("curated", "fact_media_engagement").write(
@@ -263,17 +268,21 @@ def curate(lake: Lake) -> None:
 # --- D12, D13: KPIs ----------------------------------------------------------
 
 def build_kpis(lake: Lake) -> None:
-    fact = lake.table("curated", "fact_visitor_engagement").read()
-    dim = lake.table("curated", "dim_media").read()
-    lake.table("curated", "visitors_in_each_browser").write(
-        kpi.distinct_visitors(fact, ["media_id", "browser"]))
-    lake.table("curated", "visitors_in_each_channel").write(kpi.visitors_by_channel(fact, dim))
-    lake.table("curated", "visitors_by_media").write(
-        kpi.distinct_visitors(fact, ["media_id"], out="unique_visitors", drop_null_keys=True,
-                              order="key"))
+    """KPI tables; each is skipped while its inputs do not exist yet."""
+    fact_t, dim_t = lake.table("curated", "fact_visitor_engagement"), lake.table("curated", "dim_media")
+    if fact_t.exists():
+        fact = fact_t.read()
+        lake.table("curated", "visitors_in_each_browser").write(
+            kpi.distinct_visitors(fact, ["media_id", "browser"]))
+        lake.table("curated", "visitors_by_media").write(
+            kpi.distinct_visitors(fact, ["media_id"], out="unique_visitors", drop_null_keys=True,
+                                  order="key"))
+        if dim_t.exists():
+            lake.table("curated", "visitors_in_each_channel").write(
+                kpi.visitors_by_channel(fact, dim_t.read()))
     fme = lake.table("curated", "fact_media_engagement")
-    if fme.exists():
-        lake.table("curated", "top_videos").write(kpi.top_videos(fme.read(), dim))
+    if fme.exists() and dim_t.exists():
+        lake.table("curated", "top_videos").write(kpi.top_videos(fme.read(), dim_t.read()))
 
 
 # The tables the dashboard reads.

@@ -286,6 +286,8 @@ FROM ev""",
 
     "fact_visitor_engagement": f"WITH {FACT} SELECT * FROM fact",
 
+    "incremental_two_runs": f"WITH {FACT} SELECT * FROM fact",
+
     "fact_media_engagement": f"WITH {MEDIA_FACT} SELECT * FROM mfact",
 
     "visitors_by_media": f"""WITH {FACT}
