@@ -151,3 +151,15 @@ def test_poller_layout_multiline_by_key(spark):
     m = lake.table("silver", "media_metadata_flattened").read()
     assert rows(m, "media_asset_key") == [("v1_hls",), ("v1_mp4_1_2",)]
     assert rows(lake.table("gold", "dim_media").read(), "media_id", "channel") == [("v1", "YouTube")]
+
+
+def test_cli_stream_then_expire(spark):
+    from tidemark.plans import cli
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    _land(lake, "events", "a", "2024-01-01", [_event("e1", "2024-01-01T00:00:00Z")])
+    cli.run(spark, lake, ["bronze-stream", "silver"])
+    _land(lake, "events", "b", "2024-01-02", [_event("e1", "2024-01-02T00:00:00Z", browser="New")])
+    out = cli.run(spark, lake, ["bronze-stream", "silver", "expire"], keep=1)
+    assert rows(lake.table("silver", "events").read(), "event_key", "browser") == [("e1", "New")]
+    assert out["expire"]["silver/events"]            # the first version of the date partition went
+    assert lake.table("bronze", "events").commits()[-1] == 2
