@@ -1,5 +1,3 @@
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse_iso
@@ -45,4 +43,3 @@ def test_hot_key_plans_partial_group_limit(spark):
     got = {r["k"]: r["t"] for r in out.filter("k = 0").collect()}
     assert got == {0: 49998}
     assert out.count() == 33334
-    assert dt is not None

@@ -1,8 +1,9 @@
 """The layer jobs: landing -> bronze -> silver -> gold / curated -> KPI.
 
-Each job reads immutable snapshots and writes new ones (see
-:class:`tidemark.sources.snapshots.SnapshotTable`), so any job can be re-run
-after a failure. Incremental jobs follow one shape:
+Each job reads committed table versions and writes new ones (see
+:class:`tidemark.sources.snapshots.SnapshotTable` and
+:class:`tidemark.sources.partitioned.PartitionedTable`), so any job can be
+re-run after a failure. Incremental jobs follow one shape:
 
     mark = marks.get(name)            # S7
     batch = rows newer than mark      # F1, pushed to the scan
@@ -59,9 +60,10 @@ EVENT_DATE = "event_date"
 PARTITIONED_TABLES = {("bronze", "events"): EVENT_DATE, ("silver", "events"): EVENT_DATE}
 
 
-def event_date(time_col: str) -> F.Column:
+def event_date(time: str | F.Column) -> F.Column:
     """Partition value: UTC date of a parsed time, ``unknown`` when NULL."""
-    return F.coalesce(F.date_format(F.col(time_col), "yyyy-MM-dd"), F.lit("unknown"))
+    t = F.col(time) if isinstance(time, str) else time
+    return F.coalesce(F.date_format(t, "yyyy-MM-dd"), F.lit("unknown"))
 
 # Raw folder layouts. "landed" is ours (JSON lines by landing
 # date: splittable, prunable); "by_key" is the API poller's layout
@@ -95,7 +97,7 @@ class Lake:
     def raw(self, name: str) -> str:
         return f"{self.root}/raw/{name}"
 
-    def table(self, layer: str, name: str) -> SnapshotTable | PartitionedTable:
+    def table(self, layer: str, name: str) -> Table:
         path = f"{self.root}/{layer}/{name}"
         col = PARTITIONED_TABLES.get((layer, name))
         return PartitionedTable(self.spark, path, col) if col else SnapshotTable(self.spark, path)
@@ -171,7 +173,10 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
 
 # --- D2-D6: incremental layer jobs -------------------------------------------
 
-def _incremental(lake: Lake, mark_name: str, source: SnapshotTable, target: SnapshotTable,
+Table = SnapshotTable | PartitionedTable
+
+
+def _incremental(lake: Lake, mark_name: str, source: Table, target: Table,
                  transform, key: str) -> int:
     if not source.exists():
         return 0
@@ -204,8 +209,7 @@ def silver_visitor_rows(bronze: DataFrame) -> DataFrame:
 def silver_event_rows(bronze: DataFrame) -> DataFrame:
     rows = dedup.distinct_on(flatten_events(bronze), ["event_key"],
                              dedup.newest_first(parse_iso("received_at"), "ingestion_time"))
-    return rows.withColumn(EVENT_DATE, F.coalesce(
-        F.date_format(parse_iso("received_at"), "yyyy-MM-dd"), F.lit("unknown")))
+    return rows.withColumn(EVENT_DATE, event_date(parse_iso("received_at")))
 
 
 def bronze_to_silver(lake: Lake) -> dict[str, int]:
