@@ -107,6 +107,12 @@ def test_full_lake_to_kpis(spark):
     assert rows(dv, "visitor_key", "visitor_title", "organization_name") == [("v1", "T", "O")]
     assert sorted(jobs.register_dashboard(lake)) == sorted(jobs.DASHBOARD_TABLES)
     assert spark.sql("SELECT count(*) FROM fact_visitor_engagement").first()[0] == 3
+    page = jobs.dashboard(lake)
+    assert tuple(page["totals"].first()) == (3, 2, 2)
+    assert [tuple(r) for r in page["visitors_by_media"].collect()] == [("m1", 2), ("m2", 1)]
+    assert page["top_videos_chart"].columns == ["media_id", "total_hours_watched"]
+    assert page["visitors_in_each_browser_chart"].columns == ["browser", "number_of_visitors"]
+    assert page["preview"].count() == 3
 
 
 def test_schema_test_reports_and_samples(spark):

@@ -374,3 +374,36 @@ def schema_test(lake: Lake, sample_rows: int = 5) -> dict[str, DataFrame]:
                           sample_rows)
         out[name] = schema_report(df)
     return out
+
+
+# --- D15: the dashboard's queries ----------------------------------------------
+
+def dashboard(lake: Lake, preview_rows: int = 100) -> dict[str, DataFrame]:
+    """Every section of the dashboard page as a DataFrame (no UI):
+
+    ``totals`` (events, videos, visitors), ``visitors_by_media``, and for the
+    channel / browser / top-videos tables both the table and its chart series
+    (x column plus the first numeric column); ``preview`` is the first rows of
+    the fact. A table that does not exist, or lacks the chart's x column, is
+    skipped, as the page does.
+    """
+    spark = lake.spark
+    present = set(register_dashboard(lake))
+    out: dict[str, DataFrame] = {}
+    if "fact_visitor_engagement" in present:
+        fact = spark.table("fact_visitor_engagement")
+        out["totals"] = kpi.totals(fact)
+        if {"media_id", "visitor_id"} <= set(fact.columns):
+            out["visitors_by_media"] = kpi.distinct_visitors(
+                fact, ["media_id"], out="unique_visitors", drop_null_keys=True, order="key")
+        order = [c for c in ("event_key",) if c in fact.columns] or fact.columns[:1]
+        out["preview"] = kpi.preview(fact, order, preview_rows)
+    for table, x in (("visitors_in_each_channel", "channel"),
+                     ("visitors_in_each_browser", "browser"), ("top_videos", "media_id")):
+        if table in present:
+            df = spark.sql(f"SELECT * FROM {table}")
+            out[table] = df
+            series = kpi.chart_series(df, x)
+            if series is not None:
+                out[f"{table}_chart"] = series
+    return out
