@@ -177,10 +177,14 @@ FROM customer""",
 
     "nested_access": f"WITH {VISITOR} SELECT * FROM visitor",
 
-    "explode_outer": f"WITH {FLAT_MEDIA} SELECT * FROM flat",
+    "explode_outer": f"""WITH {FLAT_MEDIA}
+SELECT media_id, media_name, folder_name, subfolder_name, asset_type,
+       CAST(asset_width AS DOUBLE) AS asset_width, CAST(asset_height AS DOUBLE) AS asset_height,
+       CAST(asset_file_size AS DOUBLE) AS asset_file_size, media_asset_key
+FROM flat""",
 
     "asset_key": f"""WITH {FLAT_MEDIA}
-SELECT media_asset_key, media_id, asset_file_size FROM (
+SELECT media_asset_key, media_id, CAST(asset_file_size AS DOUBLE) AS asset_file_size FROM (
   SELECT *, row_number() OVER (PARTITION BY media_asset_key
                                ORDER BY asset_file_size ASC NULLS LAST) AS rn
   FROM flat) WHERE rn = 1""",
@@ -362,8 +366,9 @@ flat AS (
          a.asset_height, a.asset_file_size,
          concat_ws('_', l.media_id, a.asset_type, a.asset_width, a.asset_height) AS media_asset_key
   FROM latest l LEFT JOIN assets a ON l.p_partkey = a.p_partkey)
-SELECT media_asset_key, media_id, media_name, updated_at, asset_type, asset_width, asset_height,
-       asset_file_size
+SELECT media_asset_key, media_id, media_name, updated_at, asset_type,
+       CAST(asset_width AS DOUBLE) AS asset_width, CAST(asset_height AS DOUBLE) AS asset_height,
+       CAST(asset_file_size AS DOUBLE) AS asset_file_size
 FROM (SELECT *, row_number() OVER (PARTITION BY media_asset_key
                                    ORDER BY asset_file_size ASC NULLS LAST) AS rn FROM flat)
 WHERE rn = 1""",

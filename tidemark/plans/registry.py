@@ -80,16 +80,26 @@ def q_nested_access(spark, sf_dir):
     return flatten_visitor_detail(adapters.raw_visitor_detail(_t(spark, sf_dir)))
 
 
+# Asset numbers are NULL for media without assets; returned as DOUBLE so a
+# NULL compares the same under any engine's dataframe conversion (a NULL
+# bigint becomes float NaN in one and a nullable integer in another).
+ASSET_NUMBERS = ("asset_width", "asset_height", "asset_file_size")
+
+
+def _as_double(*cols: str) -> list:
+    return [F.col(c).cast("double").alias(c) for c in cols]
+
+
 def q_explode_outer(spark, sf_dir):
     flat = flatten_media(adapters.raw_media(_t(spark, sf_dir)))
     return flat.select("media_id", "media_name", "folder_name", "subfolder_name", "asset_type",
-                       "asset_width", "asset_height", "asset_file_size", MEDIA_ASSET_KEY)
+                       *_as_double(*ASSET_NUMBERS), MEDIA_ASSET_KEY)
 
 
 def q_asset_key(spark, sf_dir):
     flat = flatten_media(adapters.raw_media(_t(spark, sf_dir)))
     one = dedup.distinct_on(flat, [MEDIA_ASSET_KEY], dedup.oldest_first("asset_file_size"))
-    return one.select(MEDIA_ASSET_KEY, "media_id", "asset_file_size")
+    return one.select(MEDIA_ASSET_KEY, "media_id", *_as_double("asset_file_size"))
 
 
 def q_channel_rule(spark, sf_dir):
@@ -424,7 +434,7 @@ def _stamped(df: DataFrame) -> DataFrame:
 def q_silver_media(spark, sf_dir):
     rows = jobs.silver_media_rows(_stamped(adapters.raw_media_versions(_t(spark, sf_dir))))
     return rows.select(MEDIA_ASSET_KEY, "media_id", "media_name", "updated_at", "asset_type",
-                       "asset_width", "asset_height", "asset_file_size")
+                       *_as_double(*ASSET_NUMBERS))
 
 
 def q_silver_visitors(spark, sf_dir):
