@@ -169,3 +169,38 @@ def test_cli_stream_then_expire(spark):
     assert rows(lake.table("silver", "events").read(), "event_key", "browser") == [("e1", "New")]
     assert out["expire"]["silver/events"]            # the first version of the date partition went
     assert lake.table("bronze", "events").commits()[-1] == 2
+
+
+def test_corrupt_raw_lines_are_quarantined(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    d = f"{lake.raw('events')}/landed_date=2024-01-01"
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/x.json", "w") as f:
+        f.write(json.dumps(_event("e1", "2024-01-01T00:00:00Z")) + "\n")
+        f.write('{"event_key": "e2", "received_at": \n')          # truncated record
+    jobs.raw_to_bronze(lake, now="2024-01-02T00:00:00Z", entities=[jobs.EVENTS])
+    assert rows(lake.table("bronze", "events").read(), "event_key") == [("e1",)]
+    q = lake.table("quarantine", "events").read()
+    assert q.count() == 1 and "e2" in q.first()["_corrupt_record"]
+
+
+def test_lateness_overlap_reprocesses_recent_window(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"), lateness=dt.timedelta(days=2))
+    _land(lake, "events", "a", "2024-01-01", [_event("e1", "2024-01-01T00:00:00Z")])
+    jobs.raw_to_bronze(lake, now="2024-01-05T00:00:00Z", entities=[jobs.EVENTS])
+    assert jobs.bronze_to_silver(lake)["events"] == 1
+    # the same bronze again: within the overlap, so re-read; the mark never goes back
+    assert jobs.bronze_to_silver(lake)["events"] == 1
+    assert lake.marks.get("silver_events", "1900-01-01") == dt.datetime(2024, 1, 5)
+    assert rows(lake.table("silver", "events").read(), "event_key") == [("e1",)]
+
+
+def test_stream_quarantines_corrupt_lines(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    d = f"{lake.raw('events')}/landed_date=2024-01-01"
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/x.json", "w") as f:
+        f.write(json.dumps(_event("e1", "2024-01-01T00:00:00Z")) + "\n{broken\n")
+    jobs.raw_to_bronze_stream(lake, jobs.EVENTS)
+    assert rows(lake.table("bronze", "events").read(), "event_key") == [("e1",)]
+    assert rows(lake.table("quarantine", "events").read(), "_corrupt_record") == [("{broken",)]

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.time import parse_iso, to_utc_naive
@@ -30,7 +31,7 @@ from tidemark.operators.flatten import (MEDIA_ASSET_KEY, flatten_events, flatten
 from tidemark.operators.stamp import source_file, stamp
 from tidemark.sinks import land_json
 from tidemark.sources import catalog
-from tidemark.sources.files import path_exists, read_json
+from tidemark.sources.files import CORRUPT_COLUMN, path_exists, read_json
 from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.state import WatermarkStore
@@ -84,11 +85,12 @@ class Lake:
     """
 
     def __init__(self, spark: SparkSession, root: str, raw_multi_line: bool = False,
-                 raw_layout: str = "landed"):
+                 raw_layout: str = "landed", lateness: dt.timedelta | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.raw_multi_line = raw_multi_line
         self.raw_layout = raw_layout
+        self.lateness = lateness     # incremental jobs re-read this window before the mark
         self.marks = WatermarkStore(spark, f"{self.root}/state/watermarks")
 
     def raw_partitions(self, entity_name: str) -> tuple[str, ...]:
@@ -102,10 +104,12 @@ class Lake:
         col = PARTITIONED_TABLES.get((layer, name))
         return PartitionedTable(self.spark, path, col) if col else SnapshotTable(self.spark, path)
 
-    def read_raw(self, entity: Entity, partition_columns: Sequence[str] | None = None):
+    def read_raw(self, entity: Entity, partition_columns: Sequence[str] | None = None,
+                 keep_corrupt: bool = False):
         cols = self.raw_partitions(entity.name) if partition_columns is None else partition_columns
         return read_json(self.spark, self.raw(entity.name), entity.schema,
-                         multi_line=self.raw_multi_line, partition_columns=tuple(cols))
+                         multi_line=self.raw_multi_line, partition_columns=tuple(cols),
+                         keep_corrupt=keep_corrupt)
 
 
 # --- D0: landing ------------------------------------------------------------
@@ -157,17 +161,45 @@ def bronze_batch(raw: DataFrame, entity: Entity, now: dt.datetime | str) -> Data
                                 dedup.newest_first(RECORD_TIME, "ingestion_time", "source_file"))
 
 
+def split_corrupt(cached_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows, rows that did not parse) of a raw read made with
+    ``keep_corrupt=True`` and persisted by the caller (Spark refuses a query
+    over raw JSON that filters on the corrupt-record column alone)."""
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    return cached_raw.filter(~bad).drop(CORRUPT_COLUMN), cached_raw.filter(bad)
+
+
 def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
-                  entities: Sequence[Entity] = ENTITIES) -> dict[str, int]:
+                  entities: Sequence[Entity] = ENTITIES, quarantine: bool = True) -> dict[str, int]:
     """Batch reload of all raw files into bronze. A key is replaced only by a
-    strictly newer record, so unchanged rows keep their ingestion time."""
+    strictly newer record, so unchanged rows keep their ingestion time.
+
+    With ``quarantine`` (default), records that do not parse as JSON are
+    written, stamped, to ``quarantine/<entity>`` instead of failing the job
+    or vanishing."""
     now = now or dt.datetime.now(dt.timezone.utc)
     out = {}
     for e in entities:
         if not path_exists(lake.spark, lake.raw(e.name)):
             continue
-        batch = bronze_batch(lake.read_raw(e), e, now)
-        out[e.name] = lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
+        raw = cached = None
+        try:
+            raw = lake.read_raw(e, keep_corrupt=quarantine)
+            if quarantine:
+                # source file taken on the scan, before the cache the split needs
+                cached = raw.withColumn("source_file", source_file()) \
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+                raw, bad = split_corrupt(cached)
+                bad = stamp(bad.select(CORRUPT_COLUMN, "source_file",
+                                       *lake.raw_partitions(e.name)), now=now)
+                if not bad.isEmpty():
+                    lake.table("quarantine", e.name).write(bad)
+            batch = bronze_batch(raw, e, now)
+            out[e.name] = lake.table("bronze", e.name).upsert(batch, [e.key],
+                                                              newer_than=RECORD_TIME)
+        finally:
+            if cached is not None:
+                cached.unpersist()
     return out
 
 
@@ -181,14 +213,15 @@ def _incremental(lake: Lake, mark_name: str, source: Table, target: Table,
     if not source.exists():
         return 0
     mark = lake.marks.get(mark_name, incremental.DEFAULT_LAYER_MARK)
-    batch = incremental.newer_than_mark(source.read(), "ingestion_time", mark) \
+    batch = incremental.newer_than_mark(source.read(), "ingestion_time", mark,
+                                        lateness=lake.lateness) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n, newest = incremental.batch_stats(batch, "ingestion_time")
         if n == 0:
             return 0
         target.upsert(transform(batch), [key])
-        lake.marks.save(mark_name, newest)
+        lake.marks.save(mark_name, max(to_utc_naive(mark), newest))
         return n
     finally:
         batch.unpersist()
@@ -329,14 +362,21 @@ def raw_to_bronze_stream(lake: Lake, entity: Entity, checkpoint: str | None = No
 
     spark = lake.spark
     schema = schemas.with_partition(entity.schema, *lake.raw_partitions(entity.name))
-    reader = spark.readStream.schema(schema).option("multiLine", lake.raw_multi_line)
+    schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    reader = (spark.readStream.schema(schema).option("multiLine", lake.raw_multi_line)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(lake.raw(entity.name)).withColumn("source_file", source_file())
 
     def prepare(batch: DataFrame, epoch: int) -> DataFrame:
         now = dt.datetime.now(dt.timezone.utc)
-        out = (stamp(batch, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
+        good, bad = split_corrupt(batch)       # batch is persisted by upsert_stream
+        if not bad.isEmpty():
+            lake.table("quarantine", entity.name).write(
+                stamp(bad.select(CORRUPT_COLUMN, "source_file",
+                                 *lake.raw_partitions(entity.name)), now=now))
+        out = (stamp(good, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
                .filter(F.col(entity.key).isNotNull()))
         return out.withColumn(EVENT_DATE, event_date(RECORD_TIME)) if entity is EVENTS else out
 

@@ -11,14 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import latest_per_key
+from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.snapshots import SnapshotTable
 
 
-def upsert_stream(stream: DataFrame, table: SnapshotTable, keys: Sequence[str],
+def upsert_stream(stream: DataFrame, table: SnapshotTable | PartitionedTable, keys: Sequence[str],
                   order: Sequence[Column], checkpoint: str,
                   prepare: Callable[[DataFrame, int], DataFrame] | None = None,
                   newer_than: str | None = None, wait: bool = True) -> StreamingQuery:
@@ -29,8 +31,13 @@ def upsert_stream(stream: DataFrame, table: SnapshotTable, keys: Sequence[str],
     overwriting a newer row (late data), see :func:`tidemark.operators.upsert.upsert`.
     """
     def each(batch: DataFrame, epoch: int) -> None:
-        b = prepare(batch, epoch) if prepare else batch
-        table.upsert(latest_per_key(b, keys, order), keys, newer_than=newer_than)
+        # The micro-batch is read once, however many passes prepare/upsert make.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            b = prepare(batch, epoch) if prepare else batch
+            table.upsert(latest_per_key(b, keys, order), keys, newer_than=newer_than)
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)
