@@ -161,12 +161,28 @@ def bronze_batch(raw: DataFrame, entity: Entity, now: dt.datetime | str) -> Data
                                 dedup.newest_first(RECORD_TIME, "ingestion_time", "source_file"))
 
 
-def split_corrupt(cached_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def probe_column(lake: Lake, entity: Entity) -> str:
+    """A data field of the entity that is not a partition-folder column."""
+    parts = set(lake.raw_partitions(entity.name))
+    return next(f for f in entity.schema.fieldNames() if f not in parts)
+
+
+def split_corrupt(raw: DataFrame, probe: str) -> tuple[DataFrame, DataFrame]:
     """(parsed rows, rows that did not parse) of a raw read made with
-    ``keep_corrupt=True`` and persisted by the caller (Spark refuses a query
-    over raw JSON that filters on the corrupt-record column alone)."""
+    ``keep_corrupt=True``. The bad-row query also reads the data column
+    ``probe``: Spark refuses a raw-JSON query whose only data column is the
+    corrupt record, and a narrow query keeps that extra parse cheap, with no
+    cache."""
     bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return cached_raw.filter(~bad).drop(CORRUPT_COLUMN), cached_raw.filter(bad)
+    rejected = raw.filter(bad).select(CORRUPT_COLUMN, probe,
+                                      *[c for c in raw.columns if c == "source_file"])
+    return raw.filter(~bad).drop(CORRUPT_COLUMN), rejected
+
+
+def count_rejected(rejected: DataFrame, probe: str) -> int:
+    """Row count that keeps ``probe`` in the scan (see :func:`split_corrupt`)."""
+    # coalesce is nullable, so the optimizer cannot rewrite it to count(1)
+    return rejected.agg(F.count(F.coalesce(CORRUPT_COLUMN, probe))).first()[0]
 
 
 def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
@@ -182,24 +198,14 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
     for e in entities:
         if not path_exists(lake.spark, lake.raw(e.name)):
             continue
-        raw = cached = None
-        try:
-            raw = lake.read_raw(e, keep_corrupt=quarantine)
-            if quarantine:
-                # source file taken on the scan, before the cache the split needs
-                cached = raw.withColumn("source_file", source_file()) \
-                    .persist(StorageLevel.MEMORY_AND_DISK)
-                raw, bad = split_corrupt(cached)
-                bad = stamp(bad.select(CORRUPT_COLUMN, "source_file",
-                                       *lake.raw_partitions(e.name)), now=now)
-                if not bad.isEmpty():
-                    lake.table("quarantine", e.name).write(bad)
-            batch = bronze_batch(raw, e, now)
-            out[e.name] = lake.table("bronze", e.name).upsert(batch, [e.key],
-                                                              newer_than=RECORD_TIME)
-        finally:
-            if cached is not None:
-                cached.unpersist()
+        raw = lake.read_raw(e, keep_corrupt=quarantine)
+        if quarantine:
+            probe = probe_column(lake, e)
+            raw, bad = split_corrupt(raw.withColumn("source_file", source_file()), probe)
+            if count_rejected(bad, probe):
+                lake.table("quarantine", e.name).write(stamp(bad, now=now))
+        batch = bronze_batch(raw, e, now)
+        out[e.name] = lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
     return out
 
 
@@ -371,11 +377,10 @@ def raw_to_bronze_stream(lake: Lake, entity: Entity, checkpoint: str | None = No
 
     def prepare(batch: DataFrame, epoch: int) -> DataFrame:
         now = dt.datetime.now(dt.timezone.utc)
-        good, bad = split_corrupt(batch)       # batch is persisted by upsert_stream
-        if not bad.isEmpty():
-            lake.table("quarantine", entity.name).write(
-                stamp(bad.select(CORRUPT_COLUMN, "source_file",
-                                 *lake.raw_partitions(entity.name)), now=now))
+        probe = probe_column(lake, entity)
+        good, bad = split_corrupt(batch, probe)   # batch persisted by upsert_stream
+        if count_rejected(bad, probe):
+            lake.table("quarantine", entity.name).write(stamp(bad, now=now))
         out = (stamp(good, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
                .filter(F.col(entity.key).isNotNull()))
         return out.withColumn(EVENT_DATE, event_date(RECORD_TIME)) if entity is EVENTS else out
