@@ -11,6 +11,7 @@ Steps run in the order given: ``bronze`` (batch reload), ``bronze-stream``
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
@@ -69,10 +70,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--raw-layout", choices=sorted(jobs.RAW_PARTITIONS), default="landed")
     ap.add_argument("--multi-line", action="store_true", help="raw files are pretty-printed JSON")
     ap.add_argument("--keep", type=int, default=2, help="snapshots kept by 'expire'")
+    ap.add_argument("--lateness-hours", type=float, default=0.0,
+                    help="incremental jobs re-read this window before their mark")
     ap.add_argument("steps", nargs="+")
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.appName("tidemark").getOrCreate())
-    lake = jobs.Lake(spark, args.root, raw_multi_line=args.multi_line, raw_layout=args.raw_layout)
+    lateness = dt.timedelta(hours=args.lateness_hours) if args.lateness_hours else None
+    lake = jobs.Lake(spark, args.root, raw_multi_line=args.multi_line, raw_layout=args.raw_layout,
+                     lateness=lateness)
     print(json.dumps(run(spark, lake, args.steps, args.keep), default=str))
 
 
