@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -61,6 +62,18 @@ EVENT_DATE = "event_date"
 PARTITIONED_TABLES = {("bronze", "events"): EVENT_DATE, ("silver", "events"): EVENT_DATE}
 
 
+def run_parallel(tasks: dict) -> dict:
+    """Run independent steps (name -> no-arg callable) as concurrent Spark
+    jobs from driver threads; the first error is raised. Each step's jobs
+    are small next to the cluster, so running them side by side fills idle
+    executors instead of queueing."""
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def event_date(time: str | F.Column) -> F.Column:
     """Partition value: UTC date of a parsed time, ``unknown`` when NULL."""
     t = F.col(time) if isinstance(time, str) else time
@@ -194,10 +207,8 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
     written, stamped, to ``quarantine/<entity>`` instead of failing the job
     or vanishing."""
     now = now or dt.datetime.now(dt.timezone.utc)
-    out = {}
-    for e in entities:
-        if not path_exists(lake.spark, lake.raw(e.name)):
-            continue
+
+    def load(e: Entity) -> int:
         raw = lake.read_raw(e, keep_corrupt=quarantine)
         if quarantine:
             probe = probe_column(lake, e)
@@ -205,7 +216,10 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
             if count_rejected(bad, probe):
                 lake.table("quarantine", e.name).write(stamp(bad, now=now))
         batch = bronze_batch(raw, e, now)
-        out[e.name] = lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
+        return lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
+
+    present = [e for e in entities if path_exists(lake.spark, lake.raw(e.name))]
+    out = run_parallel({e.name: (lambda e=e: load(e)) for e in present})
     return out
 
 
@@ -252,28 +266,30 @@ def silver_event_rows(bronze: DataFrame) -> DataFrame:
 
 
 def bronze_to_silver(lake: Lake) -> dict[str, int]:
-    return {
-        "media_metadata_flattened": _incremental(
+    """The three silver jobs (independent: run side by side)."""
+    return run_parallel({
+        "media_metadata_flattened": lambda: _incremental(
             lake, "silver_media", lake.table("bronze", "media_metadata"),
             lake.table("silver", "media_metadata_flattened"), silver_media_rows, MEDIA_ASSET_KEY),
-        "visitor_list": _incremental(
+        "visitor_list": lambda: _incremental(
             lake, "silver_visitors", lake.table("bronze", "visitor_detail"),
             lake.table("silver", "visitor_list"), silver_visitor_rows, "visitor_key"),
-        "events": _incremental(
+        "events": lambda: _incremental(
             lake, "silver_events", lake.table("bronze", "events"),
             lake.table("silver", "events"), silver_event_rows, "event_key"),
-    }
+    })
 
 
 def silver_to_gold(lake: Lake) -> dict[str, int]:
-    return {
-        "dim_media": _incremental(
+    """The two gold dimension jobs (independent: run side by side)."""
+    return run_parallel({
+        "dim_media": lambda: _incremental(
             lake, "gold_dim_media", lake.table("silver", "media_metadata_flattened"),
             lake.table("gold", "dim_media"), model.gold_dim_media, "media_id"),
-        "dim_visitor": _incremental(
+        "dim_visitor": lambda: _incremental(
             lake, "gold_dim_visitor", lake.table("silver", "visitor_list"),
             lake.table("gold", "dim_visitor"), model.gold_dim_visitor, "visitor_key"),
-    }
+    })
 
 
 # --- D7-D11: full-refresh layers --------------------------------------------
@@ -292,40 +308,49 @@ def refine(lake: Lake) -> None:
 
 def curate(lake: Lake) -> None:
     """curated dims and facts, rebuilt from their sources (each skipped when
-    its source does not exist yet)."""
+    its source does not exist yet; independent tables are built side by side)."""
+    tasks = {}
     if path_exists(lake.spark, lake.raw(MEDIA_METADATA.name)):
-        raw_media = lake.read_raw(MEDIA_METADATA)
-        lake.table("curated", "dim_media").write(model.curated_dim_media(raw_media))
+        tasks["dim_media"] = lambda: lake.table("curated", "dim_media").write(
+            model.curated_dim_media(lake.read_raw(MEDIA_METADATA)))
     silver_events = lake.table("silver", "events")
     if silver_events.exists():
-        events = silver_events.read()
-        lake.table("curated", "dim_visitor").write(model.curated_dim_visitor(events))
-        lake.table("curated", "fact_visitor_engagement").write(
-            model.fact_visitor_engagement(events))
+        tasks["dim_visitor"] = lambda: lake.table("curated", "dim_visitor").write(
+            model.curated_dim_visitor(silver_events.read()))
+        tasks["fact_visitor_engagement"] = lambda: lake.table(
+            "curated", "fact_visitor_engagement").write(
+            model.fact_visitor_engagement(silver_events.read()))
     summary = lake.table("refined", "media_summary")
     if summary.exists():
-        lake.table("curated", "fact_media_engagement").write(
-            model.fact_media_engagement(summary.read()))
+        tasks["fact_media_engagement"] = lambda: lake.table(
+            "curated", "fact_media_engagement").write(model.fact_media_engagement(summary.read()))
+    run_parallel(tasks)
 
 
 # --- D12, D13: KPIs ----------------------------------------------------------
 
 def build_kpis(lake: Lake) -> None:
-    """KPI tables; each is skipped while its inputs do not exist yet."""
+    """KPI tables, built side by side; each is skipped while its inputs do
+    not exist yet."""
     fact_t, dim_t = lake.table("curated", "fact_visitor_engagement"), lake.table("curated", "dim_media")
-    if fact_t.exists():
-        fact = fact_t.read()
-        lake.table("curated", "visitors_in_each_browser").write(
-            kpi.distinct_visitors(fact, ["media_id", "browser"]))
-        lake.table("curated", "visitors_by_media").write(
-            kpi.distinct_visitors(fact, ["media_id"], out="unique_visitors", drop_null_keys=True,
-                                  order="key"))
-        if dim_t.exists():
-            lake.table("curated", "visitors_in_each_channel").write(
-                kpi.visitors_by_channel(fact, dim_t.read()))
     fme = lake.table("curated", "fact_media_engagement")
-    if fme.exists() and dim_t.exists():
-        lake.table("curated", "top_videos").write(kpi.top_videos(fme.read(), dim_t.read()))
+    has_fact, has_dim, has_fme = fact_t.exists(), dim_t.exists(), fme.exists()
+    tasks = {}
+    if has_fact:
+        tasks["visitors_in_each_browser"] = lambda: lake.table(
+            "curated", "visitors_in_each_browser").write(
+            kpi.distinct_visitors(fact_t.read(), ["media_id", "browser"]))
+        tasks["visitors_by_media"] = lambda: lake.table("curated", "visitors_by_media").write(
+            kpi.distinct_visitors(fact_t.read(), ["media_id"], out="unique_visitors",
+                                  drop_null_keys=True, order="key"))
+        if has_dim:
+            tasks["visitors_in_each_channel"] = lambda: lake.table(
+                "curated", "visitors_in_each_channel").write(
+                kpi.visitors_by_channel(fact_t.read(), dim_t.read()))
+    if has_fme and has_dim:
+        tasks["top_videos"] = lambda: lake.table("curated", "top_videos").write(
+            kpi.top_videos(fme.read(), dim_t.read()))
+    run_parallel(tasks)
 
 
 # The tables the dashboard reads.

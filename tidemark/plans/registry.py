@@ -397,10 +397,13 @@ def q_medallion_end_to_end(spark, sf_dir):
     curated, KPIs; returns the channel KPI table (D0-D13)."""
     t = _t(spark, sf_dir)
     lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
-    jobs.land(lake, jobs.EVENTS, adapters.raw_events(t))
-    jobs.land(lake, jobs.MEDIA_METADATA, adapters.raw_media_versions(t))
-    jobs.land_visitors(lake, adapters.visitor_list(t), adapters.raw_visitor_detail(t))
-    land_json(adapters.media_summary(t), lake.raw("media_summary"))
+    jobs.run_parallel({
+        "events": lambda: jobs.land(lake, jobs.EVENTS, adapters.raw_events(t)),
+        "media": lambda: jobs.land(lake, jobs.MEDIA_METADATA, adapters.raw_media_versions(t)),
+        "visitors": lambda: jobs.land_visitors(lake, adapters.visitor_list(t),
+                                               adapters.raw_visitor_detail(t)),
+        "summary": lambda: land_json(adapters.media_summary(t), lake.raw("media_summary")),
+    })
     jobs.run_all(lake, now=STAMP_TIME)
     return lake.table("curated", "visitors_in_each_channel").read()
 
