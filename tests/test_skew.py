@@ -61,3 +61,22 @@ def test_snapshot_expire_keeps_newest(spark):
     assert t.expire(keep=2) == [1, 2]
     assert t.committed() == [3, 4] and t.read().count() == 4
     assert t.expire(keep=2) == []
+
+
+def test_channel_kpi_sort_merge_path_with_hot_media(spark, skewed):
+    """Broadcast limit forced to 1 byte: the dimension is not broadcast, the
+    hot media goes through a shuffled join, and counts stay exact."""
+    dim = skewed.select("media_id").distinct().filter(F.col("media_id").isNotNull()) \
+        .withColumn("channel", F.when(F.col("media_id") == "hot", "YouTube").otherwise("Unknown"))
+    spark.conf.set("tidemark.broadcast.maxBytes", "1")
+    try:
+        out = kpi.visitors_by_channel(skewed, dim)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r["channel"]: r["number_of_visitors"] for r in out.collect()}
+    finally:
+        spark.conf.unset("tidemark.broadcast.maxBytes")
+    assert "SortMergeJoin" in plan
+    exp_hot = skewed.filter("media_id = 'hot'").select("visitor_id").distinct().count()
+    exp_unknown = skewed.filter("media_id <> 'hot'").select("visitor_id").distinct().count()
+    exp_null = skewed.filter("media_id IS NULL").select("visitor_id").distinct().count()
+    assert got == {"YouTube": exp_hot, "Unknown": exp_unknown, None: exp_null}

@@ -47,6 +47,8 @@ def fits_in_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
 
 
 def sized_broadcast(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged
-    (Spark then shuffles both sides; AQE may still switch at run time)."""
-    return F.broadcast(df) if fits_in_broadcast(df, limit_bytes) else df
+    """``broadcast(df)`` when its measured size is within the limit; otherwise
+    ``df`` with a ``merge`` join hint, so Spark's own size estimate (from
+    compressed file sizes, often several times too small) cannot broadcast
+    it anyway: both sides are shuffled and AQE splits skewed partitions."""
+    return F.broadcast(df) if fits_in_broadcast(df, limit_bytes) else df.hint("merge")

@@ -41,7 +41,9 @@ def _align(batch: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _bc(df: DataFrame, on: bool) -> DataFrame:
-    return F.broadcast(df) if on else df
+    """Broadcast a proven-small side; otherwise pin a sort-merge join so
+    Spark's file-size estimate cannot broadcast a side measured too large."""
+    return F.broadcast(df) if on else df.hint("merge")
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],

@@ -150,7 +150,7 @@ class PartitionedTable:
         touched = set(self._values(batch))
         if not stable_partition:
             bkeys = batch.select(*keys)
-            bkeys = F.broadcast(bkeys) if broadcast else bkeys
+            bkeys = F.broadcast(bkeys) if broadcast else bkeys.hint("merge")
             holders = self.read().select(*keys, self.col).join(bkeys, keys, "left_semi")
             touched |= set(self._values(holders))
         touched = sorted(touched)
