@@ -80,3 +80,13 @@ def test_channel_kpi_sort_merge_path_with_hot_media(spark, skewed):
     exp_unknown = skewed.filter("media_id <> 'hot'").select("visitor_id").distinct().count()
     exp_null = skewed.filter("media_id IS NULL").select("visitor_id").distinct().count()
     assert got == {"YouTube": exp_hot, "Unknown": exp_unknown, None: exp_null}
+
+
+def test_approximate_distinct_is_opt_in_and_close(spark, skewed):
+    exact = {r["media_id"]: r["number_of_visitors"]
+             for r in kpi.distinct_visitors(skewed, ["media_id"]).collect()}
+    approx = {r["media_id"]: r["number_of_visitors"]
+              for r in kpi.distinct_visitors(skewed, ["media_id"], approx_rsd=0.02).collect()}
+    assert set(exact) == set(approx)
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= max(2, 0.08 * v)

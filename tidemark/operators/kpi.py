@@ -13,7 +13,7 @@ from tidemark.operators.joins import sized_broadcast
 
 def distinct_visitors(fact: DataFrame, keys: Sequence[str], visitor: str = "visitor_id",
                       out: str = "number_of_visitors", drop_null_keys: bool = False,
-                      order: str = "count") -> DataFrame:
+                      order: str = "count", approx_rsd: float | None = None) -> DataFrame:
     """Exact distinct visitors per group.
 
     ``drop_null_keys=False`` keeps a NULL group (SQL ``GROUP BY``);
@@ -24,13 +24,19 @@ def distinct_visitors(fact: DataFrame, keys: Sequence[str], visitor: str = "visi
     Plan: Spark rewrites the distinct count into two aggregations - first on
     ``(keys, visitor)``, which spreads a hot key over many tasks and combines
     map-side, then on ``keys`` with partial counts.
+
+    ``approx_rsd`` (opt-in, e.g. 0.01) counts with a HyperLogLog++ sketch of
+    that relative standard deviation instead: one shuffle of small sketches
+    per key and task, for visitor counts in the billions.
     """
     keys = list(keys)
     src = fact.select(*keys, visitor)
     if drop_null_keys:
         for k in keys:
             src = src.filter(F.col(k).isNotNull())
-    agg = src.groupBy(*keys).agg(F.count_distinct(visitor).cast("long").alias(out))
+    counter = (F.approx_count_distinct(visitor, approx_rsd) if approx_rsd is not None
+               else F.count_distinct(visitor))
+    agg = src.groupBy(*keys).agg(counter.cast("long").alias(out))
     if order == "count":
         return agg.orderBy(F.col(out).desc(), *[F.col(k).asc_nulls_last() for k in keys])
     if order == "key":
@@ -39,7 +45,8 @@ def distinct_visitors(fact: DataFrame, keys: Sequence[str], visitor: str = "visi
 
 
 def visitors_by_channel(fact: DataFrame, dim_media: DataFrame, visitor: str = "visitor_id",
-                        out: str = "number_of_visitors") -> DataFrame:
+                        out: str = "number_of_visitors",
+                        approx_rsd: float | None = None) -> DataFrame:
     """Distinct visitors per channel: fact -> media -> channel.
 
     The (media, visitor) pairs are made distinct before the join (map-side
@@ -50,7 +57,7 @@ def visitors_by_channel(fact: DataFrame, dim_media: DataFrame, visitor: str = "v
     pairs = fact.select("media_id", visitor).distinct()
     dim = sized_broadcast(dim_media.select("media_id", "channel"))
     joined = pairs.join(dim, on="media_id", how="left")
-    return distinct_visitors(joined, ["channel"], visitor=visitor, out=out)
+    return distinct_visitors(joined, ["channel"], visitor=visitor, out=out, approx_rsd=approx_rsd)
 
 
 def top_videos(fact_media: DataFrame, dim_media: DataFrame, n: int | None = None) -> DataFrame:
