@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -39,11 +40,8 @@ def test_newer_than_and_expire(spark):
 
 def test_bad_partition_value_refused(spark):
     t = PartitionedTable(spark, fresh_dir(spark, "pt"), "d")
-    try:
+    with pytest.raises(ValueError):
         t.write(spark.createDataFrame([("a", "x/y", 1)], SCHEMA))
-        raise AssertionError("expected ValueError")
-    except ValueError:
-        pass
 
 
 ops = st.lists(st.lists(st.tuples(st.sampled_from("abcdef"), st.sampled_from(["p1", "p2", "p3"]),
@@ -62,3 +60,16 @@ def test_same_result_as_whole_table_upsert(spark, batches):
         t.upsert(df, ["k"])
         expected = df if expected is None else upsert(expected, df, ["k"], checkpoint=False)
     assert rows(t.read(), "k", "d", "v") == rows(expected, "k", "d", "v")
+
+
+def test_concurrent_commit_is_refused_not_lost(spark):
+    """A writer whose base commit is stale fails instead of overwriting."""
+    path = fresh_dir(spark, "pt")
+    a, b = PartitionedTable(spark, path, "d"), PartitionedTable(spark, path, "d")
+    a.write(spark.createDataFrame([("k1", "x", 1)], SCHEMA))
+    base = b.manifest()                                   # b reads commit 1
+    a.upsert(spark.createDataFrame([("k2", "x", 2)], SCHEMA), ["k"])   # a commits 2
+    stale = spark.createDataFrame([("k3", "y", 3)], SCHEMA)
+    with pytest.raises(Exception, match="exists"):
+        b._commit(stale, ["y"], base)                     # b tries to commit 2 as well
+    assert rows(a.read(), "k") == [("k1",), ("k2",)]      # a's commit intact

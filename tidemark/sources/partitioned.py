@@ -59,7 +59,9 @@ class PartitionedTable:
         if not c:
             return None
         n = c[-1] if commit is None else commit
-        return json.loads(read_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json"))
+        body = json.loads(read_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json"))
+        body["commit"] = n
+        return body
 
     def exists(self) -> bool:
         return bool(self.commits())
@@ -106,7 +108,10 @@ class PartitionedTable:
         return [str(v) for v in vals]
 
     def _commit(self, df: DataFrame, touched: list[str], base: dict | None) -> int:
-        n = (self.commits()[-1] + 1) if base is not None else 1
+        # Optimistic concurrency: the next number after the commit this change
+        # was computed from. If another writer took it meanwhile, creating the
+        # manifest fails and this attempt leaves only unreferenced folders.
+        n = base["commit"] + 1 if base is not None else 1
         token = f"{n:08d}-{uuid.uuid4().hex[:8]}"
         data_cols = [c for c in df.columns if c != self.col]
         # REBALANCE by the partition column: AQE sizes the write tasks (splits a
@@ -125,7 +130,7 @@ class PartitionedTable:
                 parts.pop(p, None)          # partition emptied by this commit
         schema = T.StructType([f for f in df.schema.fields if f.name != self.col])
         self._create_manifest(n, {"partitions": parts, "schema": json.loads(schema.json()),
-                                  "partition_col": self.col})
+                                  "partition_col": self.col, "commit": n})
         return n
 
     def write(self, df: DataFrame) -> int:
