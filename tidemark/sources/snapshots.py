@@ -9,6 +9,12 @@ only once Spark's commit has written its ``_SUCCESS`` marker. So
 * a job that dies mid-write leaves an uncommitted folder that readers skip;
 * re-running a job after a failure is safe.
 
+One writer per table (each layer job owns its tables): the next version is
+picked when writing, so a crashed attempt never blocks the next one, but two
+concurrent writers of the same table could lose an update. For tables with
+concurrent writers use :class:`tidemark.sources.partitioned.PartitionedTable`,
+whose manifest commits are optimistic (a stale writer fails).
+
 Each snapshot also carries its schema in ``_schema.json`` (ignored by
 Parquet readers), so reading it back needs no schema-inference job.
 Old snapshots stay until removed by :meth:`SnapshotTable.expire`.
