@@ -14,6 +14,9 @@ def _struct(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# The field names of the raw JSON records below (and of the
+# state table) must equal the source data's; the types are our choice.
+
 # One object per file under visitor_detail/visitor_key=<k>/.
 VISITOR_DETAIL = _struct(
     ("visitor_key", S), ("created_at", S), ("last_active_at", S), ("last_event_key", S),
