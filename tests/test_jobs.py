@@ -204,3 +204,29 @@ def test_stream_quarantines_corrupt_lines(spark):
     jobs.raw_to_bronze_stream(lake, jobs.EVENTS)
     assert rows(lake.table("bronze", "events").read(), "event_key") == [("e1",)]
     assert rows(lake.table("quarantine", "events").read(), "_corrupt_record") == [("{broken",)]
+
+
+def test_land_allow_list_and_marks(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    media = spark.createDataFrame(
+        [("v1", "2024-01-01T00:00:00Z"), ("v2", "2024-01-02T00:00:00Z"),
+         ("v3", "2024-01-03T00:00:00Z")], "hashed_id string, updated string")
+    assert jobs.land(lake, jobs.MEDIA_METADATA, media, allowed=["v1", "v3"]) == 2
+    assert lake.marks.get("landing_media_metadata", "2000-01-01") == dt.datetime(2024, 1, 3)
+    # same records again: nothing newer than the mark, nothing landed, mark kept
+    assert jobs.land(lake, jobs.MEDIA_METADATA, media, allowed=["v1", "v3"]) == 0
+    landed = lake.read_raw(jobs.MEDIA_METADATA)
+    assert rows(landed, "hashed_id") == [("v1",), ("v3",)]
+
+
+def test_land_visitors_list_to_detail(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    vlist = spark.createDataFrame([("a", "2024-01-01T00:00:00Z"), ("b", None),
+                                   (None, "2024-01-05T00:00:00Z")],
+                                  "visitor_key string, last_active_at string")
+    detail = spark.createDataFrame([("a", "2024-01-01T00:00:00Z"), ("b", "2024-01-02T00:00:00Z"),
+                                    ("c", "2024-01-03T00:00:00Z")],
+                                   "visitor_key string, last_active_at string")
+    assert jobs.land_visitors(lake, vlist, detail) == 1       # only 'a': b has no time, key-less row skipped
+    # the key-less record never moved the mark
+    assert lake.marks.get("landing_visitor_detail", "2000-01-01") == dt.datetime(2024, 1, 1)
