@@ -230,3 +230,16 @@ def test_land_visitors_list_to_detail(spark):
     assert jobs.land_visitors(lake, vlist, detail) == 1       # only 'a': b has no time, key-less row skipped
     # the key-less record never moved the mark
     assert lake.marks.get("landing_visitor_detail", "2000-01-01") == dt.datetime(2024, 1, 1)
+
+
+def test_cli_main_all_steps(spark, capsys):
+    from tidemark.plans import cli
+    root = fresh_dir(spark, "lake")
+    lake = jobs.Lake(spark, root)
+    _land(lake, "events", "a", "2024-01-01", [_event("e1", "2024-01-01T00:00:00Z"),
+                                             _event("e2", "2024-01-01T00:00:00Z", v="v2")])
+    cli.main(["--root", root, "--lateness-hours", "1", "all", "schema-test"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["silver"]["events"] == 2 and out["schema-test"] == ["events"]
+    fact = lake.table("curated", "fact_visitor_engagement").read()
+    assert rows(fact, "event_key") == [("e1",), ("e2",)]
