@@ -3,9 +3,10 @@
     spark-submit -m tidemark.plans.cli --root s3a://bucket/lake bronze silver gold
     python -m tidemark.plans.cli --root /data/lake --raw-layout by_key --multi-line all
 
-Steps run in the order given: ``bronze`` (batch reload), ``bronze-stream``
-(only new raw files), ``silver``, ``gold``, ``refine``, ``curate``, ``kpi``,
-``schema-test``, ``expire`` (keep the newest snapshots), or ``all``.
+Steps run in the order given: ``bronze`` (batch reload of all raw files),
+``bronze-stream`` (only raw files not seen before), ``silver``, ``gold``,
+``refine``, ``curate``, ``kpi``, ``schema-test``, ``expire`` (keep the newest
+snapshots), or ``all`` (bronze-stream through kpi).
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from pyspark.sql import SparkSession
 from tidemark.plans import jobs
 from tidemark.session import configure
 
-ALL = ["bronze", "silver", "gold", "refine", "curate", "kpi"]
+# "all" loads bronze from the file stream: each run reads only raw files it has
+# not seen (the batch "bronze" step re-reads every raw file).
+ALL = ["bronze-stream", "silver", "gold", "refine", "curate", "kpi"]
 LAYER_TABLES = {
     "bronze": ["visitor_detail", "media_metadata", "events"],
     "silver": ["media_metadata_flattened", "visitor_list", "events"],
@@ -36,10 +39,10 @@ def run(spark: SparkSession, lake: jobs.Lake, steps: list[str], keep: int = 2) -
         elif step == "bronze":
             out["bronze"] = jobs.raw_to_bronze(lake)
         elif step == "bronze-stream":
-            for e in jobs.ENTITIES:
-                if jobs.path_exists(spark, lake.raw(e.name)):
-                    jobs.raw_to_bronze_stream(lake, e)
-            out["bronze-stream"] = "done"
+            present = [e for e in jobs.ENTITIES if jobs.path_exists(spark, lake.raw(e.name))]
+            jobs.run_parallel({e.name: (lambda e=e: jobs.raw_to_bronze_stream(lake, e))
+                               for e in present})
+            out["bronze-stream"] = sorted(e.name for e in present)
         elif step == "silver":
             out["silver"] = jobs.bronze_to_silver(lake)
         elif step == "gold":
