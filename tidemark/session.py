@@ -19,6 +19,15 @@ SESSION_DEFAULTS = {
 }
 
 
+def _default_driver_memory() -> str:
+    """60% of physical memory, at most 16g (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def build_session(master: str | None = None, app: str = "tidemark",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -30,7 +39,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
                .appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
+               .config("spark.driver.memory",
+                       os.environ.get("TIDEMARK_DRIVER_MEMORY") or _default_driver_memory())
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus)))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
