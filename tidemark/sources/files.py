@@ -37,7 +37,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) for ``path`` - any scheme the cluster supports."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -45,13 +46,13 @@ def _fs(spark: SparkSession, path: str):
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists (any Hadoop file system)."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
 def list_children(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` (empty if absent)."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
@@ -59,13 +60,13 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` (retention of old snapshots)."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     return bool(fs.delete(p, True))
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file (overwrites)."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
@@ -75,7 +76,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small text file, or None when it does not exist."""
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     if not fs.exists(p):
         return None
     ins = fs.open(p)

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.joins import fits_in_broadcast
 from tidemark.operators.upsert import materialize, newer_rows, upsert as merge_frames
-from tidemark.sources.files import _fs, delete_path, list_children, read_text
+from tidemark.sources.files import delete_path, hadoop_fs, list_children, read_text
 
 _SAFE = re.compile(r"^[A-Za-z0-9_.-]+$")
 _MANIFEST = re.compile(r"^(\d{8})\.json$")
@@ -71,7 +71,7 @@ class PartitionedTable:
         return c[-1] if c else None
 
     def _create_manifest(self, n: int, body: dict) -> None:
-        fs, p = _fs(self.spark, f"{self._manifest_dir()}/{n:08d}.json")
+        fs, p = hadoop_fs(self.spark, f"{self._manifest_dir()}/{n:08d}.json")
         out = fs.create(p, False)           # fails if another writer took commit n
         try:
             out.write(bytearray(json.dumps(body, sort_keys=True).encode("utf-8")))
@@ -121,7 +121,7 @@ class PartitionedTable:
            .hint("rebalance", self.col)
            .write.mode("append").partitionBy(self.col, VERSION_COL).parquet(self.path))
         parts = dict(base["partitions"]) if base else {}
-        fs, _ = _fs(self.spark, self.path)
+        fs, _ = hadoop_fs(self.spark, self.path)
         jvm = self.spark.sparkContext._jvm
         for p in touched:
             if fs.exists(jvm.org.apache.hadoop.fs.Path(self._dir(p, token))):
