@@ -73,3 +73,16 @@ def test_concurrent_commit_is_refused_not_lost(spark):
     with pytest.raises(Exception, match="exists"):
         b._commit(stale, ["y"], base)                     # b tries to commit 2 as well
     assert rows(a.read(), "k") == [("k1",), ("k2",)]      # a's commit intact
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batches=ops)
+def test_newer_than_same_result_as_whole_table_upsert(spark, batches):
+    t = PartitionedTable(spark, fresh_dir(spark, "pt"), "d")
+    expected = None
+    for b in batches:
+        df = spark.createDataFrame(b, SCHEMA)
+        t.upsert(df, ["k"], newer_than="v")
+        expected = df if expected is None else upsert(expected, df, ["k"], newer_than="v",
+                                                      checkpoint=False)
+    assert rows(t.read(), "k", "d", "v") == rows(expected, "k", "d", "v")

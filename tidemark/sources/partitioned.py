@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import fits_in_broadcast
-from tidemark.operators.upsert import materialize, newer_rows, upsert as merge_frames
+from tidemark.operators.upsert import materialize, upsert as merge_frames
 from tidemark.sources.files import delete_path, hadoop_fs, list_children, read_text
 
 _SAFE = re.compile(r"^[A-Za-z0-9_.-]+$")
@@ -145,19 +145,31 @@ class PartitionedTable:
         if base is None:
             return self.write(batch)
         batch = materialize(batch.withColumn(self.col, F.col(self.col).cast("string")))
+        order = [newer_than] if newer_than else []
         if broadcast is None:
-            broadcast = fits_in_broadcast(batch.select(*keys))
+            broadcast = fits_in_broadcast(batch.select(*keys, *order))
+        matched = None
+        if newer_than is not None or not stable_partition:
+            # One pass over the target's key / partition / order columns answers
+            # both questions: which batch rows lose, and which partitions hold
+            # a key of the batch.
+            bk = batch.select(*keys, *[F.col(c).alias("__b") for c in order])
+            bk = F.broadcast(bk) if broadcast else bk.hint("merge")
+            tk = self.read().select(*keys, F.col(self.col).alias("__part"),
+                                    *[F.col(c).alias("__t") for c in order])
+            matched = materialize(bk.join(tk, keys, "inner"))
         if newer_than is not None:
-            # Keep only winning rows first: a re-run with nothing newer commits nothing.
-            batch = materialize(newer_rows(self.read(), batch, keys, newer_than, broadcast))
+            wins = F.col("__t").isNull() | F.coalesce(F.col("__b") > F.col("__t"), F.lit(False))
+            losers = matched.filter(~wins).select(*keys)
+            losers = F.broadcast(losers) if broadcast else losers.hint("merge")
+            # Keep only winning rows: a re-run with nothing newer commits nothing.
+            batch = materialize(batch.join(losers, keys, "left_anti"))
             if batch.isEmpty():
                 return self.latest()
+            matched = matched.filter(wins)
         touched = set(self._values(batch))
         if not stable_partition:
-            bkeys = batch.select(*keys)
-            bkeys = F.broadcast(bkeys) if broadcast else bkeys.hint("merge")
-            holders = self.read().select(*keys, self.col).join(bkeys, keys, "left_semi")
-            touched |= set(self._values(holders))
+            touched |= set(self._values(matched.select(F.col("__part").alias(self.col))))
         touched = sorted(touched)
         target = self.read(partitions=touched)
         merged = merge_frames(target, batch, keys, broadcast=broadcast, checkpoint=False)
