@@ -157,7 +157,9 @@ class PartitionedTable:
             bk = F.broadcast(bk) if broadcast else bk.hint("merge")
             tk = self.read().select(*keys, F.col(self.col).alias("__part"),
                                     *[F.col(c).alias("__t") for c in order])
-            matched = materialize(bk.join(tk, keys, "inner"))
+            matched = bk.join(tk, keys, "inner")
+            if newer_than is not None:          # used twice below: compute once
+                matched = materialize(matched)
         if newer_than is not None:
             wins = F.col("__t").isNull() | F.coalesce(F.col("__b") > F.col("__t"), F.lit(False))
             losers = matched.filter(~wins).select(*keys)
