@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.session import work_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +23,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work_dir(spark)
+    docs = _table(spark, sf_dir, "documents")
+    # only ids and fingerprints go on: each text is read and shingled once
+    fps = docs.select(F.col("doc_id").alias("id"), fingerprint("text", 3).alias("fp")).checkpoint()
+    return fps.join(fingerprint_groups(fps, 3), "fp").select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup,)}
+    f.__name__: f for f in (op1_substring_dedup, op8_simhash_near_dedup)}
 
 SQL: dict[str, str] = {}

@@ -139,3 +139,21 @@ def windows(words: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray
         out[:n - k + 1] = acc
     left = np.repeat(words.first[1:], words.counts) - np.arange(n)
     return mix(out), left >= k
+
+
+def joined(words: Words, fold_case: bool = False) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words joined by one space, and each word's start and end therein."""
+    lens = words.ends - words.starts
+    ends = np.cumsum(lens + 1) - 1
+    starts = ends - lens
+    total = int(ends[-1]) + 1 if len(ends) else 0
+    out = np.empty(total, np.uint8)
+    for lo in range(0, len(lens), 1 << 18):       # keeps the index array small
+        s = slice(lo, lo + (1 << 18))
+        a, b = int(starts[s][0]), int(ends[s][-1]) + 1
+        at = np.arange(a, b) + np.repeat(words.starts[s] - starts[s], lens[s] + 1)
+        out[a:b] = words.buf[np.minimum(at, len(words.buf) - 1)]
+    out[ends] = 0x20
+    if fold_case:
+        out = _LOWER.astype(np.uint8)[out]
+    return out.tobytes(), starts, ends
