@@ -20,6 +20,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import work_dir
 
@@ -31,8 +32,9 @@ LEARNED = "assistant"
 _CONTROL = re.compile("|".join(map(re.escape, sorted(CONTROLS, key=len, reverse=True))))
 _TURN = re.compile(f"{re.escape(START)}(.*?){re.escape(SEP)}(.*?){re.escape(END)}", re.DOTALL)
 
-_MASK = "array<struct<start:int,end:int>>"
-FORMATTED = f"struct<text:string,loss:{_MASK}>"
+_RANGE = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+FORMATTED = T.StructType([T.StructField("text", T.StringType()),
+                          T.StructField("loss", T.ArrayType(_RANGE))])
 
 
 def escape(text: str) -> str:

@@ -53,17 +53,18 @@ def _targets(sized: DataFrame) -> DataFrame:
               .withColumn("gone", F.coalesce(F.sum("weight").over(before), F.lit(0)))
               .withColumn("level", (F.col("total") - F.col("capped")).cast("double")
                           / (F.col("weights") - F.col("gone"))))
-    level = F.min(F.when(F.col("level") <= F.col("room"), F.col("level"))).over(every)
-    return source.select("source", "source_size", F.least(
-        "cap", F.coalesce(F.col("weight") * level, F.col("cap"))).alias("target"))
+    # the level rises as long as the next source is below it, and falls from there on
+    level = F.max("level").over(every)
+    return source.select("source", "source_size",
+                         F.least("cap", F.col("weight") * level).alias("target"))
 
 
 def cuts(sized: DataFrame) -> DataFrame:
     """Per source: source_size, target, base copies of every document, and the key
     below which documents are taken once more. ``sized`` is read once a level."""
-    share = F.col("target") / F.col("source_size")
+    share = F.try_divide("target", "source_size")
     plan = (_targets(sized)
-            .withColumn("base", F.when(F.col("source_size") > 0, F.floor(share)).otherwise(0))
+            .withColumn("base", F.coalesce(F.floor(share), F.lit(0)))
             .withColumn("budget", F.col("target") - F.col("base") * F.col("source_size"))
             .withColumn("cut", F.lit(0).cast("long")).checkpoint())
     bits = 4 * DIGITS
@@ -98,7 +99,7 @@ def cuts(sized: DataFrame) -> DataFrame:
 
 def copies(docs: DataFrame, plan: DataFrame, source: Column, key: Column) -> DataFrame:
     """``docs`` with struct ``mix``: source_size, target and copies of each row."""
-    taken = (F.col("base") + (key < F.col("cut")).cast("long")).cast("int")
+    taken = F.least(F.col("base") + (key < F.col("cut")).cast("long"), F.lit(MOST)).cast("int")
     small = plan.select(F.struct("source_size", "target", "base", "cut").alias("_plan"),
                         F.col("source").alias("_plan_source"))
     joined = docs.join(small, source.eqNullSafe(F.col("_plan_source")))

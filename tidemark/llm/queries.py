@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.llm import chat, mixing
 from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.session import work_dir
@@ -23,6 +27,86 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work_dir(spark)
+    sized = mixing.sizes(_table(spark, sf_dir, "documents")).checkpoint()
+    out = mixing.copies(sized, mixing.cuts(sized), F.col("source"), F.col("key"))
+    return out.select(F.col("id").alias("doc_id"), "size", "mix.source_size", "mix.target",
+                      (F.col("size") * F.col("mix.copies")).alias("taken"))
+
+
+OP4_SQL = """
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 9))::BIGINT AS key
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM sized GROUP BY source),
+room AS (
+  SELECT *, CAST(3 * source_size AS DOUBLE) AS cap, CAST(3 * source_size AS DOUBLE) / weight AS room,
+         sum(source_size) OVER () AS total, sum(weight) OVER () AS weights FROM sources),
+filled AS (
+  SELECT *, coalesce(sum(3 * source_size) OVER before, 0) AS capped,
+         coalesce(sum(weight) OVER before, 0) AS gone FROM room
+  WINDOW before AS (ORDER BY room, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+levels AS (
+  SELECT *, CAST(total - capped AS DOUBLE) / CAST(weights - gone AS DOUBLE) AS level FROM filled),
+targets AS (
+  SELECT source, source_size, least(cap, weight * max(level) OVER ()) AS target FROM levels),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS base FROM targets),
+sums AS (
+  SELECT source, key, sum(size) AS tokens FROM sized GROUP BY source, key),
+upto AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY source ORDER BY key) AS upto FROM sums),
+edge AS (
+  SELECT p.source, min(u.key) AS key FROM upto u JOIN plan p ON u.source IS NOT DISTINCT FROM p.source
+  WHERE u.upto > p.target - p.base * p.source_size GROUP BY p.source),
+cut AS (
+  SELECT p.*, coalesce(e.key + CASE WHEN u.upto - (p.target - p.base * p.source_size)
+      < (p.target - p.base * p.source_size) - (u.upto - u.tokens) THEN 1 ELSE 0 END, 0) AS cut
+  FROM plan p LEFT JOIN edge e ON p.source IS NOT DISTINCT FROM e.source
+  LEFT JOIN upto u ON u.source IS NOT DISTINCT FROM e.source AND u.key = e.key)
+SELECT s.doc_id, s.size, c.source_size, c.target,
+       CAST(s.size * least(c.base + CASE WHEN s.key < c.cut THEN 1 ELSE 0 END, 3) AS BIGINT) AS taken
+FROM sized s JOIN cut c ON s.source IS NOT DISTINCT FROM c.source
+"""
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                "conv_id bigint, turn bigint, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select(*own.columns).unionByName(own)
+    # a conversation is a tree of one branch: each row answers the one before it
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
+    at = F.row_number().over(order).cast("long")
+    messages = rows.select(F.col("conv_id").alias("tree"), at.alias("node"), (at - 1).alias("parent"),
+                           "role", "text", F.lit(0.0).alias("score"))
+    back = _read_back("conversation")
+    return chat.format_trees(messages, keep=1).select(
+        F.col("tree").alias("conv_id"), back.alias("back"),
+        F.length("conversation.text").cast("long").alias("formatted_chars")).select(
+        "conv_id", "back.*", "formatted_chars")
+
+
+@F.arrow_udf(T.StructType([
+    T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType()),
+    T.StructField("loss_chars", T.LongType()), T.StructField("loss_sha256", T.StringType())]))
+def _read_back(conversations: pa.Array) -> pa.Array:
+    rows = []
+    for c in conversations.to_pylist():
+        turns = chat.read_turns(c["text"])
+        said = "".join(f"{role}\n{text}\n" for role, text in turns)
+        loss = "".join(chat.read_loss(c["text"], c["loss"]))
+        rows.append({"n_turns": len(turns), "turns_sha256": hashlib.sha256(said.encode()).hexdigest(),
+                     "loss_chars": len(loss), "loss_sha256": hashlib.sha256(loss.encode()).hexdigest()})
+    return pa.array(rows, pa.struct([("n_turns", pa.int64()), ("turns_sha256", pa.string()),
+                                     ("loss_chars", pa.int64()), ("loss_sha256", pa.string())]))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     work_dir(spark)
     docs = _table(spark, sf_dir, "documents")
@@ -34,6 +118,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op8_simhash_near_dedup)}
+    f.__name__: f for f in (
+        op1_substring_dedup, op4_mixing, op5_chat_formatting, op8_simhash_near_dedup)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
