@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import chat, mixing
+from tidemark.llm import bpe, chat, mixing
 from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.session import work_dir
@@ -107,6 +108,12 @@ def _read_back(conversations: pa.Array) -> pa.Array:
                                      ("loss_chars", pa.int64()), ("loss_sha256", pa.string())]))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.tokenized(docs, path).select("doc_id", "bpe.*")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     work_dir(spark)
     docs = _table(spark, sf_dir, "documents")
@@ -119,6 +126,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op4_mixing, op5_chat_formatting, op8_simhash_near_dedup)}
+        op1_substring_dedup, op4_mixing, op5_chat_formatting, op7_bpe,
+        op8_simhash_near_dedup)}
 
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
