@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, mixing
+from tidemark.llm import bpe, chat, mixing, ship, toxicity
 from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.session import work_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -28,6 +29,15 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), fold != 0)
+    scored = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"),
+                         toxicity.score(model, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     work_dir(spark)
     sized = mixing.sizes(_table(spark, sf_dir, "documents")).checkpoint()
@@ -126,7 +136,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op4_mixing, op5_chat_formatting, op7_bpe,
+        op1_substring_dedup, op3_toxicity, op4_mixing, op5_chat_formatting, op7_bpe,
         op8_simhash_near_dedup)}
 
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL}

@@ -21,6 +21,7 @@ LONG_WORD = 64            # longer words are hashed one by one
 
 _IS_SEP = np.zeros(256, bool)
 _IS_SEP[list(SEPARATORS)] = True
+_IS_PUNCT = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**64, 256, dtype=np.uint64)
 _LOWER = np.arange(256)
@@ -60,6 +61,16 @@ class Words:
     def index_in_doc(self) -> np.ndarray:
         return np.arange(len(self.starts)) - np.repeat(self.first[:-1], self.counts)
 
+    def prefix_hashes(self, sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each size: the words with that many bytes, and the hash of those bytes, A-Z folded."""
+        lens = self.ends - self.starts
+        h, live = np.zeros(len(lens), np.uint64), np.arange(len(lens))
+        for j in range(max(sizes)):
+            live = live[lens[live] > j]
+            h[live] = h[live] * _MULT + _BYTE_FOLD[self.buf[self.starts[live] + j]]
+            if j + 1 in sizes:
+                yield live, mix(h[live] ^ np.uint64(j + 1 << 56))
+
     def hashes(self, fold_case: bool = False) -> np.ndarray:
         """64-bit hash of each word's bytes (A-Z folded to a-z on request)."""
         table = _BYTE_FOLD if fold_case else _BYTE
@@ -100,10 +111,10 @@ def split_words(texts: pa.Array) -> Words:
     return _split(buf, offsets)
 
 
-def _split(buf: np.ndarray, offsets: np.ndarray) -> Words:
+def _split(buf: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _IS_SEP) -> Words:
     n = len(buf)
     word = np.empty(n + 1, bool)
-    word[:n] = ~_IS_SEP[buf]
+    word[:n] = ~gap[buf]
     word[n] = False
     start = word[:n].copy()
     start[1:] &= ~word[:n - 1] if n else start[1:]
@@ -115,15 +126,18 @@ def _split(buf: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(buf, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
-def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
-    """(first text, end text, Words) of runs of whole texts of about ``size`` bytes."""
+def slices(texts: pa.Array, size: int = SLICE_BYTES,
+           letters: bool = False) -> Iterator[tuple[int, int, Words]]:
+    """(first text, end text, Words) of runs of whole texts of about ``size`` bytes.
+    With ``letters``, all ASCII but letters and digits separates words too."""
+    gap = _IS_PUNCT if letters else _IS_SEP
     buf, offsets = _buffers(texts)
     n, at = len(offsets) - 1, 0
     while at < n:
         to = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
         to = min(max(to, at + 1), n)
         lo, hi = offsets[at], offsets[to]
-        yield at, to, _split(buf[lo:hi], offsets[at:to + 1] - lo)
+        yield at, to, _split(buf[lo:hi], offsets[at:to + 1] - lo, gap)
         at = to
 
 
