@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, mixing, ship, toxicity
+from tidemark.llm import bpe, chat, mixing, quality, ship, toxicity
 from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.session import work_dir
@@ -118,6 +118,15 @@ def _read_back(conversations: pa.Array) -> pa.Array:
                                      ("loss_chars", pa.int64()), ("loss_sha256", pa.string())]))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), fold != 2)
+    scored = docs.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+                         quality.score(model, docs).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -136,7 +145,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op3_toxicity, op4_mixing, op5_chat_formatting, op7_bpe,
+        op1_substring_dedup, op3_toxicity, op4_mixing, op5_chat_formatting,
+        op6_quality_classifier, op7_bpe,
         op8_simhash_near_dedup)}
 
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
