@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, mixing, quality, ship, toxicity
+from tidemark.llm import ann, bpe, chat, mixing, quality, ship, toxicity
+from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.session import work_dir
@@ -29,6 +30,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.9).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
@@ -143,10 +149,16 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_substring_dedup, op3_toxicity, op4_mixing, op5_chat_formatting,
+        op1_substring_dedup, op2_embedding_near_dedup, op3_toxicity, op4_mixing, op5_chat_formatting,
         op6_quality_classifier, op7_bpe,
-        op8_simhash_near_dedup)}
+        op8_simhash_near_dedup,
+        op10_nearest_neighbours)}
 
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
