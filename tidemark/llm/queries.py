@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import ann, bpe, chat, mixing, quality, ship, toxicity
+from tidemark.llm import ann, bpe, chat, licences, mixing, quality, ship, toxicity
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
@@ -149,6 +149,13 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs).select(
+        "row.doc_id", "license", "start", "end", "saved_bytes",
+        F.round("similarity", 4).alias("similarity"), F.size("differences").alias("n_differences"))
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return ann.nearest(rows, rows.where("vec_id % 100 = 0"), k=10)
@@ -159,6 +166,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup, op2_embedding_near_dedup, op3_toxicity, op4_mixing, op5_chat_formatting,
         op6_quality_classifier, op7_bpe,
         op8_simhash_near_dedup,
-        op10_nearest_neighbours)}
+        op9_license_scan, op10_nearest_neighbours)}
 
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
