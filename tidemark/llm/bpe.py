@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 import tempfile
 import uuid
 from collections import Counter
@@ -24,11 +25,16 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEXICON = 1 << 16        # frequent words in the automaton, a bound on its size
-SLICE_CHARS = 1 << 20    # texts are worked on in slices of about so many characters
+from tidemark.session import work_dir
+
+LEXICON = 1 << 17        # frequent words in the automaton, a bound on its size
+LEAST = 4                # rarer words are not worth a place in it
+COUNTED = 1 << 18        # distinct words that a counting task holds at once
+NEVER = 1 << 62          # rank of a pair that doesn't merge
+SLICE_CHARS = 1 << 22    # texts are worked on in slices of about so many characters
 MEMO = 1 << 18           # merged words that a worker remembers
 
 #: The white space of Unicode, and the split pattern of byte-level BPE.
@@ -47,7 +53,7 @@ LATER = ("558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A
 _later = "[" + "".join("-".join(rf"\U{int(c, 16):08x}" for c in r.split("-"))
                        for r in LATER.split()) + "]"
 _OTHER = rf"[^{SPACE}\p{{L}}\p{{N}}]"
-_HAS_LATER = regex.compile(_later)
+_HAS_LATER = re.compile(_later)
 _SPLIT = regex.compile(PATTERN.format(letter=r"\p{L}", number=r"\p{N}", other=_OTHER))
 _SPLIT_LATER = regex.compile(PATTERN.format(
     letter=rf"(?:(?!{_later})\p{{L}})", number=rf"(?:(?!{_later})\p{{N}})",
@@ -89,16 +95,16 @@ class Merges:
         ids = [self.byte[b] for b in word]
         if len(ids) > 64:
             return self._merge_long(ids)
-        rank = self.rank
-        while len(ids) > 1:
-            best, at = None, -1
-            for i in range(len(ids) - 1):
-                r = rank.get(ids[i] << 32 | ids[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            ids[at:at + 2] = [self.new[best]]
+        get, new = self.rank.get, self.new
+        ranks = [get(a << 32 | b, NEVER) for a, b in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != NEVER:
+            i = ranks.index(best)
+            ids[i:i + 2] = [new[best]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 32 | ids[i], NEVER)
+            if i < len(ranks):
+                ranks[i] = get(ids[i] << 32 | ids[i + 1], NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -347,20 +353,35 @@ def _slices(texts: pa.Array) -> Iterator[list[str]]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = Counter()
+
+    def flush():
+        return pa.record_batch([pa.array(n.keys(), pa.string()),
+                                pa.array(n.values(), pa.int64())], names=["word", "n"])
+
     for batch in batches:
         for texts in _slices(batch.column(0)):
-            n = Counter()
             for t in texts:
                 n.update(split_words(t))
-            yield pa.record_batch([pa.array(n.keys(), pa.string()),
-                                   pa.array(n.values(), pa.int64())], names=["word", "n"])
+            if len(n) >= COUNTED:
+                yield flush()
+                n.clear()
+    yield flush()
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", size: int = LEXICON) -> DataFrame:
-    """The ``size`` most frequent words of all documents, ties by code point."""
+    """Words of all documents by frequency, as long as there is room for all of one
+    frequency: at most ``size`` of them, chosen without sorting the words."""
+    work_dir(docs.sparkSession)
     counted = (docs.select(F.col(f"`{text_col}`").alias("text"))
-               .mapInArrow(_count_words, "word string, n bigint"))
-    return counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+               .mapInArrow(_count_words, "word string, n bigint")
+               .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).checkpoint())
+    by_count = counted.groupBy("n").agg(F.count("*").alias("words"))
+    upto = Window.orderBy(F.desc("n"))
+    least = (by_count.orderBy(F.desc("n")).limit(size)
+             .withColumn("sum", F.sum("words").over(upto)).where(F.col("sum") <= size)
+             .agg(F.min("n")).first()[0])
+    return counted.where(F.col("n") >= F.lit(least if least is not None else NEVER))
 
 
 def build_encoder(docs: DataFrame, path: str, text_col: str = "text", size: int = LEXICON) -> str:
