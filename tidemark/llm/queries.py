@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -161,11 +162,15 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_substring_dedup, op2_embedding_near_dedup, op3_toxicity, op4_mixing, op5_chat_formatting,
         op6_quality_classifier, op7_bpe,
         op8_simhash_near_dedup,
-        op9_license_scan, op10_nearest_neighbours)}
+        op9_license_scan, op10_nearest_neighbours, pipeline)}
 
 SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
