@@ -212,9 +212,22 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = 3, distance: int = 3) -> DataFrame:
     """The documents with one of each group left: the one with the smallest id
-    (of rows that share it, the first by text; where no id is known, likewise)."""
-    out = simhash_groups(docs, id_col, text_col, shingle, distance)
-    first = out.where(F.col("row")[id_col].eqNullSafe(F.col("component")))
-    order = Window.partitionBy("group").orderBy(F.col("row")[text_col].asc_nulls_last())
-    return (first.withColumn("rank", F.row_number().over(order)).where("rank = 1")
-            .select("row.*"))
+    (of rows that share it, the smallest fingerprint and then the first by text;
+    a group without any id keeps one row likewise).
+
+    Survivors are chosen on ids and fingerprints alone. Texts then meet them by a
+    key of both, so copies of one text, however many, spread over all tasks.
+    """
+    work_dir(docs.sparkSession)
+    fp, ident = fingerprint(f"`{text_col}`", shingle), F.col(f"`{id_col}`")
+    fps = docs.select(ident.alias("id"), fp.alias("fp")).checkpoint()
+    first = (fps.join(fingerprint_groups(fps, distance), "fp")
+             .where(F.col("id").eqNullSafe(F.col("component")))
+             .groupBy("group").agg(F.min(F.struct("fp", "id")).alias("one"))
+             .select(F.xxhash64("one.id", "one.fp").alias("key"), "one"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, ident.alias("id"), fp.alias("fp"))
+    met = (rows.withColumn("key", F.xxhash64("id", "fp")).join(first, "key")
+           .where(F.col("id").eqNullSafe(F.col("one.id")) & (F.col("fp") == F.col("one.fp"))))
+    order = Window.partitionBy("key", "fp", "id").orderBy(F.col("row")[text_col].asc_nulls_last())
+    return met.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("row.*")
