@@ -86,9 +86,11 @@ def balanced_parts(graph: np.ndarray, parts: int, rng: np.random.Generator) -> n
     label = np.zeros(len(graph), np.int64)
     while parts > 1:
         parts //= 2
+        halves = label * 2
         for p in np.unique(label):
             of = np.flatnonzero(label == p)
-            label[of] = 2 * p + bisect(graph[np.ix_(of, of)], rng)
+            halves[of] += bisect(graph[np.ix_(of, of)], rng)
+        label = halves
     return label
 
 
@@ -158,7 +160,7 @@ def fit_router(x: np.ndarray, k: int = 10, target: float = TARGET, seed: int = 5
     home = router.scores(x).argmax(1)
     rank = np.take_along_axis(place, home[near], axis=1)
     share = np.array([(rank < p).mean() for p in range(1, parts + 1)])
-    router.probes = int(np.argmax(share >= target)) + 1
+    router.probes = int(np.argmax(share >= target)) + 1 if share[-1] >= target else parts
     return router
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 SIMILARITY = 0.8
 FINALISTS = 3            # templates confirmed a block, by rank
 REACH = 40               # words on either side of license vocabulary that belong to its block
+PIECE, OVERLAP = 512, 192    # long blocks are searched in overlapping pieces of so many words
 
 #: Words that any notice below has.
 VOCABULARY = (r"licen[sc]e|copyright|copyleft|rights reserved|permission|redistribut|warrant"
@@ -131,8 +132,8 @@ def align(block: list[str], template: list[str]) -> tuple[int, int, float, list[
     start, end = lo + runs[0].a, lo + runs[-1].a + runs[-1].size
     size = sum(m.size for m in runs)
     similarity = 2 * size / (len(template) + end - start)
-    part = difflib.SequenceMatcher(None, block[start:end], template, autojunk=False)
-    changes = [f"{op}: {' '.join(template[c:d])} -> {' '.join(block[start + a:start + b])}"
+    part = difflib.SequenceMatcher(None, template, block[start:end], autojunk=False)
+    changes = [f"{op}: {' '.join(template[a:b])} -> {' '.join(block[start + c:start + d])}"
                for op, a, b, c, d in part.get_opcodes() if op != "equal"]
     return start, end, similarity, changes
 
@@ -163,6 +164,23 @@ def scan_block(words: list[str], templates: list[Template]) -> Iterator[dict]:
             todo += [(lo, lo + best[1]), (lo + best[2], hi)]
 
 
+def scan_words(words: list[str], templates: list[Template]) -> Iterator[dict]:
+    """As scan_block, piece by piece. What starts in the overlap is left to the next
+    piece, which begins behind the last notice found."""
+    at = 0
+    while at < len(words):
+        last = at + PIECE >= len(words)
+        edge = PIECE - OVERLAP
+        found = sorted(scan_block(words[at:at + PIECE], templates), key=lambda r: r["start"])
+        for row in found:
+            if last or row["start"] < PIECE - OVERLAP:
+                edge = max(edge, row["end"])
+                yield row | {"start": at + row["start"], "end": at + row["end"]}
+        if last:
+            break
+        at += edge
+
+
 def _scan(templates: dict[str, str]):
     def run(texts: pa.Array) -> pa.Array:
         known = load_templates(templates)
@@ -172,7 +190,7 @@ def _scan(templates: dict[str, str]):
             words = list(re.finditer(r"\S+", text))
             for lo, hi in blocks(text, words):
                 compared = plain([w[0] for w in words[lo:hi]])
-                for row in scan_block(compared, known):
+                for row in scan_words(compared, known):
                     found.append(row | {"start": lo + row["start"], "end": lo + row["end"]})
             rows.append(sorted(found, key=lambda r: r["start"]))
         return pa.array(rows, pa.list_(pa.struct([
