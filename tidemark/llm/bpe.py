@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
-LEXICON = 1 << 17        # frequent words in the automaton, a bound on its size
+LEXICON = 1 << 18        # frequent words in the automaton, a bound on its size
 LEAST = 4                # rarer words are not worth a place in it
 COUNTED = 1 << 18        # distinct words that a counting task holds at once
 NEVER = 1 << 62          # rank of a pair that doesn't merge
+NO_RANK = np.int32(2**31 - 1)
+MERGED = 1 << 13         # words merged side by side
 SLICE_CHARS = 1 << 22    # texts are worked on in slices of about so many characters
 MEMO = 1 << 18           # merged words that a worker remembers
 
@@ -62,9 +64,12 @@ _SPLIT_LATER = regex.compile(PATTERN.format(
 
 def split_words(text: str) -> list[str]:
     """The words that merge on their own, in order; joined, they are the text."""
-    if text.isascii() or not _HAS_LATER.search(text):
-        return _SPLIT.findall(text)
-    return _SPLIT_LATER.findall(text)
+    try:
+        text.encode("latin-1")               # no character that late, found out fast
+    except UnicodeEncodeError:
+        if _HAS_LATER.search(text):
+            return _SPLIT_LATER.findall(text)
+    return _SPLIT.findall(text)
 
 
 def _byte_chars() -> dict[str, int]:
@@ -83,6 +88,8 @@ class Merges:
         self.rank = {p: i for i, p in enumerate(pair)}
         self.new = new
         self.byte = arrays["byte"].tolist()
+        order = np.argsort(arrays["pair"])
+        self.pairs, self.ranks = np.asarray(arrays["pair"])[order], order.astype(np.int32)
         self.ends = np.cumsum(arrays["token_len"])
         self.special = {bytes(arrays["token_bytes"][self.ends[i] - n:self.ends[i]]).decode(): i
                         for i, n in zip(arrays["special"].tolist(),
@@ -107,6 +114,55 @@ class Merges:
                 ranks[i] = get(ids[i] << 32 | ids[i + 1], NEVER)
         return ids
 
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids, or NO_RANK; ids below zero are no tokens."""
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (b >= 0), self.ranks[at], NO_RANK)
+
+    def merge_many(self, words: list[bytes]) -> list[list[int]]:
+        """The same for many words: one merge in each word that has any left, a step."""
+        out: list = [None] * len(words)
+        if not len(self.pairs):
+            return [[self.byte[b] for b in w] for w in words]
+        by_size = sorted(range(len(words)), key=lambda i: len(words[i]))
+        byte = np.array(self.byte, np.int32)
+        new = np.asarray(self.arrays["new"])
+        while by_size and len(words[by_size[-1]]) > 64:
+            out[by_size[-1]] = self.merge(words[by_size[-1]])
+            by_size.pop()
+        for lo in range(0, len(by_size), MERGED):
+            part = np.array(by_size[lo:lo + MERGED])
+            lens = np.array([len(words[i]) for i in part])
+            ids = np.full((len(part), max(int(lens.max()), 1)), -1, np.int32)
+            filled = np.arange(ids.shape[1])[None, :] < lens[:, None]
+            ids[filled] = byte[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
+            rank = self.pair_ranks(ids[:, :-1], ids[:, 1:])
+            while len(part):
+                at = rank.argmin(1) if rank.shape[1] else np.zeros(len(part), np.int64)
+                best = rank[np.arange(len(part)), at] if rank.shape[1] else np.full(len(part), NO_RANK)
+                done = best == NO_RANK
+                for i, row in zip(part[done].tolist(), ids[done].tolist()):
+                    out[i] = row[:row.index(-1)] if row and row[-1] < 0 else row
+                part, ids, rank, at, best = (x[~done] for x in (part, ids, rank, at, best))
+                if not len(part):
+                    break
+                row, width = np.arange(len(part)), ids.shape[1] - 1
+                ids[row, at] = new[best]
+                cols = np.arange(width)[None, :]
+                ids = np.take_along_axis(ids, cols + (cols > at[:, None]), 1)
+                if width > 1:
+                    cols = cols[:, :-1]
+                    rank = np.take_along_axis(rank, cols + (cols >= at[:, None]), 1)
+                    left, right = at > 0, at < width - 1
+                    rank[row[left], at[left] - 1] = self.pair_ranks(
+                        ids[row[left], at[left] - 1], ids[row[left], at[left]])
+                    rank[row[right], at[right]] = self.pair_ranks(
+                        ids[row[right], at[right]], ids[row[right], at[right] + 1])
+                else:
+                    rank = np.zeros((len(part), 0), np.int32)
+        return out
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and a linked list: n log n in the word's length."""
         n = len(ids)
@@ -276,24 +332,27 @@ class Encoder:
         known = place >= 0
         lens = np.zeros(len(words), np.int64)
         lens[known] = end[place[known]] - np.where(place[known] > 0, end[place[known] - 1], 0)
-        rare = {}
-        for i in np.flatnonzero(~known).tolist():
-            ids = self.merges.special.get(words[i])
-            if ids is not None:
-                ids = [ids]
-            elif (ids := self.memo.get(words[i])) is None:
-                ids = self.merges.merge(raw[i])
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[words[i]] = ids
-            rare[i] = ids
-            lens[i] = len(ids)
+        unseen = np.flatnonzero(~known).tolist()
+        rare = {i: self.memo.get(words[i]) for i in unseen}
+        missing = []
+        for i in unseen:
+            if rare[i] is None:
+                if words[i] in self.merges.special:
+                    rare[i] = [self.merges.special[words[i]]]
+                else:
+                    missing.append(i)
+        merged = self.merges.merge_many([raw[i] for i in missing])
+        rare.update(zip(missing, merged))
+        if len(self.memo) + len(missing) > MEMO:
+            self.memo.clear()
+        self.memo.update((words[i], ids) for i, ids in zip(missing, merged))
+        lens[unseen] = [len(rare[i]) for i in unseen]
         at = np.cumsum(lens) - lens
         flat = np.zeros(int(lens.sum()), np.int64)
         k = np.flatnonzero(known)
         flat[ragged(at[k], lens[k])] = self.a["ids"][ragged(end[place[k]] - lens[k], lens[k])]
-        for i, ids in rare.items():
-            flat[at[i]:at[i] + len(ids)] = ids
+        if unseen:
+            flat[ragged(at[unseen], lens[unseen])] = [t for i in unseen for t in rare[i]]
         return flat, lens
 
     def split(self, text: str) -> list[str]:
@@ -390,7 +449,7 @@ def build_encoder(docs: DataFrame, path: str, text_col: str = "text", size: int
     arrays = read_tokenizer(path)
     merges = Merges(arrays)
     words = [r["word"].encode() for r in frequent_words(docs, text_col, size).collect()]
-    arrays |= compile_lexicon(words, [merges.merge(w) for w in words])
+    arrays |= compile_lexicon(words, merges.merge_many(words))
     name = f"bpe-{uuid.uuid4().hex}.bin"
     local = os.path.join(tempfile.mkdtemp(prefix="bpe-"), name)    # the driver's own copy
     write_arrays(local, arrays)
