@@ -72,12 +72,18 @@ def top_videos(fact_media: DataFrame, dim_media: DataFrame, n: int | None = None
 
 def totals(fact: DataFrame) -> DataFrame:
     """One row: events, distinct media, distinct visitors (NULLs not counted);
-    a missing column counts 0, as the dashboard does."""
+    a missing column counts 0, as the dashboard does.
+
+    The fact is reduced to its (media, visitor) pairs with a count first, so that
+    only pairs, not fact rows, are expanded for the two distinct counts."""
+    known = [c for c in ("media_id", "visitor_id") if c in fact.columns]
+
     def nunique(c):
-        return F.count_distinct(c).cast("long") if c in fact.columns else F.lit(0).cast("long")
-    return fact.agg(F.count(F.lit(1)).cast("long").alias("total_events"),
-                    nunique("media_id").alias("unique_videos"),
-                    nunique("visitor_id").alias("unique_visitors"))
+        return F.count_distinct(c).cast("long") if c in known else F.lit(0).cast("long")
+    pairs = fact.groupBy(*known).agg(F.count(F.lit(1)).alias("n"))
+    return pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_events"),
+                     nunique("media_id").alias("unique_videos"),
+                     nunique("visitor_id").alias("unique_visitors"))
 
 
 def first_numeric_column(df: DataFrame, exclude: Sequence[str] = ()) -> str | None:

@@ -52,9 +52,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     """Merged table: ``target`` with ``batch`` applied by ``keys``.
 
     ``newer_than``: name of an order column. When given, a batch row replaces
-    a matched target row only if ``batch.c > target.c`` or the target's
-    value is NULL; an older or equal batch row is ignored. Unmatched batch
-    rows are always inserted.
+    a matched target row only if ``batch.c`` is not NULL and is greater than
+    ``target.c`` or that is NULL; any other batch row is ignored, so a row
+    without a time doesn't win again on every run. Unmatched batch rows are
+    always inserted.
 
     ``broadcast``: True/False forces the join strategy; None (default) decides
     from a size check of the batch keys. ``checkpoint=False`` skips
@@ -74,17 +75,21 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def order_wins(batch: Column, target: Column) -> Column:
+    """Whether a batch row's order value replaces a matched target row's."""
+    return batch.isNotNull() & (target.isNull() | F.coalesce(batch > target, F.lit(False)))
+
+
 def newer_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str,
                broadcast: bool) -> DataFrame:
     """Batch rows that win against the target under ``newer_than``: new keys,
-    or ``batch.order > target.order``, or a NULL target order. Reads only the
-    key and order columns of the target."""
+    ``batch.order > target.order``, or a batch order where the target's is NULL.
+    Reads only the key and order columns of the target."""
     keys = list(keys)
     t_order = "__target_order"
     b = batch.select(*keys, F.col(order).alias("__batch_order"))
     t = target.select(*keys, F.col(order).alias(t_order))
-    wins: Column = F.col(t_order).isNull() | F.coalesce(F.col("__batch_order") > F.col(t_order),
-                                                       F.lit(False))
+    wins = order_wins(F.col("__batch_order"), F.col(t_order))
     # Matched batch keys that lose: the target is streamed past the (small,
     # broadcast) batch keys; only the losing keys come back.
     losers = _bc(b, broadcast).join(t, on=keys, how="inner").filter(~wins).select(*keys)

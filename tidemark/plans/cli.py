@@ -24,11 +24,6 @@ from tidemark.session import configure
 # "all" loads bronze from the file stream: each run reads only raw files it has
 # not seen (the batch "bronze" step re-reads every raw file).
 ALL = ["bronze-stream", "silver", "gold", "refine", "curate", "kpi"]
-LAYER_TABLES = {
-    "bronze": ["visitor_detail", "media_metadata", "events"],
-    "silver": ["media_metadata_flattened", "visitor_list", "events"],
-    "gold": ["dim_media", "dim_visitor"],
-}
 
 
 def run(spark: SparkSession, lake: jobs.Lake, steps: list[str], keep: int = 2) -> dict:
@@ -59,8 +54,9 @@ def run(spark: SparkSession, lake: jobs.Lake, steps: list[str], keep: int = 2) -
         elif step == "schema-test":
             out["schema-test"] = sorted(jobs.schema_test(lake))
         elif step == "expire":
-            out["expire"] = {f"{layer}/{t}": lake.table(layer, t).expire(keep)
-                             for layer, names in LAYER_TABLES.items() for t in names}
+            out["expire"] = {f"{layer}/{name}": lake.table(layer, name).expire(keep)
+                             for layer, name in lake.tables()}
+            out["expire"] |= {f"marks/{n}": gone for n, gone in lake.marks.expire(keep).items()}
         else:
             raise SystemExit(f"unknown step {step!r}")
     return out

@@ -19,10 +19,8 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.time import parse_iso, to_utc_naive
@@ -30,9 +28,11 @@ from tidemark.operators import dedup, incremental, kpi, model
 from tidemark.operators.flatten import (MEDIA_ASSET_KEY, flatten_events, flatten_media,
                                         flatten_visitor_detail, flatten_visitors)
 from tidemark.operators.stamp import source_file, stamp
+from tidemark.operators.upsert import materialize
 from tidemark.sinks import land_json
 from tidemark.sources import catalog
-from tidemark.sources.files import CORRUPT_COLUMN, path_exists, read_json
+from tidemark.sources.files import (CORRUPT_COLUMN, RAW_COLUMN, list_children, parse_records,
+                                    path_exists, read_json, read_text_records, text_schema)
 from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.state import WatermarkStore
@@ -75,9 +75,14 @@ def run_parallel(tasks: dict) -> dict:
 
 
 def event_date(time: str | F.Column) -> F.Column:
-    """Partition value: UTC date of a parsed time, ``unknown`` when NULL."""
+    """Partition value: UTC date of a parsed time, ``unknown`` when NULL or
+    outside the years 1 to 9999."""
     t = F.col(time) if isinstance(time, str) else time
-    return F.coalesce(F.date_format(t, "yyyy-MM-dd"), F.lit("unknown"))
+    return F.coalesce(F.when(F.year(t).between(1, 9999), F.date_format(t, "yyyy-MM-dd")),
+                      F.lit("unknown"))
+
+
+LAYERS = ("bronze", "silver", "gold", "refined", "curated", "quarantine", "state")
 
 # Raw folder layouts. "landed" is ours (JSON lines by landing
 # date: splittable, prunable); "by_key" is the API poller's layout
@@ -117,6 +122,23 @@ class Lake:
         col = PARTITIONED_TABLES.get((layer, name))
         return PartitionedTable(self.spark, path, col) if col else SnapshotTable(self.spark, path)
 
+    def tables(self) -> list[tuple[str, str]]:
+        """(layer, name) of every table that a job has written."""
+        found = [(layer, name) for layer in LAYERS
+                 for name in list_children(self.spark, f"{self.root}/{layer}")]
+        return sorted(t for t in found if t != ("state", "watermarks") and self.table(*t).exists())
+
+    def read_records(self, name: str, schema, partition_columns: Sequence[str] = ()) -> DataFrame:
+        """Raw records with their text, parsed once; see :func:`parse_records`."""
+        return parse_records(read_text_records(self.spark, self.raw(name), self.raw_multi_line,
+                                               tuple(partition_columns)), schema)
+
+    def read_good(self, name: str, schema, partition_columns: Sequence[str] = ()) -> DataFrame:
+        """The raw records that parse, without the columns that tell."""
+        records = self.read_records(name, schema, partition_columns)
+        return records.where(F.col(CORRUPT_COLUMN).isNull()).drop(
+            CORRUPT_COLUMN, RAW_COLUMN, "source_file")
+
     def read_raw(self, entity: Entity, partition_columns: Sequence[str] | None = None,
                  keep_corrupt: bool = False):
         cols = self.raw_partitions(entity.name) if partition_columns is None else partition_columns
@@ -129,36 +151,67 @@ class Lake:
 
 def land(lake: Lake, entity: Entity, records: DataFrame, allowed: Sequence[str] | None = None,
          allow_col: str | None = None) -> int:
-    """Land records newer than the entity's mark, with a key, as JSON lines
-    under ``landed_date=`` folders; then advance the mark (floored at the old
-    one) from exactly the landed records. Returns the number landed."""
+    """Land records newer than the entity's mark as JSON lines under
+    ``landed_date=`` folders; then advance the mark (floored at the old one) from
+    exactly the landed records. Returns the number landed.
+
+    With ``lake.lateness``, records of that window before the mark land too; bronze
+    ignores those it has. Visitors need a key; other records without one go on and
+    end in bronze's quarantine, where they are counted.
+    """
     mark_name = f"landing_{entity.name}"
     mark = lake.marks.get(mark_name, incremental.DEFAULT_INGEST_MARK)
-    acc = incremental.accept_since(records, entity.time_col, mark, key_col=entity.key,
+    acc = incremental.accept_since(records, entity.time_col, _overlap(lake, mark),
+                                   key_col=entity.key if entity is VISITOR_DETAIL else None,
                                    parsed_col="_t")
     if allowed is not None:
         acc = incremental.allow_list(acc, allow_col or entity.key, allowed)
-    acc = acc.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n, newest = incremental.batch_stats(acc, "_t")
-        if n == 0:
-            return 0
-        land_json(acc.withColumn(LANDING_PARTITION, F.date_format("_t", "yyyy-MM-dd"))
-                     .drop("_t"), lake.raw(entity.name), partition_by=[LANDING_PARTITION])
+    acc = materialize(acc)
+    n, newest = incremental.batch_stats(acc, "_t")
+    if n:
+        _land_rows(lake, entity, acc)
         lake.marks.save(mark_name, max(to_utc_naive(mark), newest))
-        return n
-    finally:
-        acc.unpersist()
+    return n
+
+
+def _overlap(lake: Lake, mark: dt.datetime) -> dt.datetime:
+    return to_utc_naive(mark) - lake.lateness if lake.lateness else mark
+
+
+def _land_rows(lake: Lake, entity: Entity, rows: DataFrame) -> None:
+    land_json(rows.withColumn(LANDING_PARTITION, event_date("_t")).drop("_t"),
+              lake.raw(entity.name), partition_by=[LANDING_PARTITION])
 
 
 def land_visitors(lake: Lake, visitor_list: DataFrame, details: DataFrame) -> int:
-    """List -> detail lookup (J3): land the detail of each accepted visitor."""
+    """List -> detail lookup (J3): land the detail of each accepted visitor.
+
+    The list alone decides: its times select visitors and move the mark, and a
+    detail lands as it is, whatever time it holds. Listed visitors without a detail
+    wait in ``state/pending_visitor_detail`` and are looked up again by later runs.
+    """
     mark_name = f"landing_{VISITOR_DETAIL.name}"
     mark = lake.marks.get(mark_name, incremental.DEFAULT_INGEST_MARK)
-    acc = incremental.accept_since(visitor_list, "last_active_at", mark,
+    acc = incremental.accept_since(visitor_list, "last_active_at", _overlap(lake, mark),
                                    key_col="visitor_key", parsed_col="_t")
-    picked = details.join(acc.select("visitor_key"), on="visitor_key", how="left_semi")
-    return land(lake, VISITOR_DETAIL, picked)
+    listed = materialize(acc.groupBy("visitor_key").agg(F.max("_t").alias("_t")))
+    n_listed, newest = incremental.batch_stats(listed, "_t")
+    pending = lake.table("state", "pending_visitor_detail")
+    waiting = pending.exists()
+    wanted = listed
+    if waiting:
+        wanted = (listed.unionByName(pending.read()).groupBy("visitor_key")
+                  .agg(F.max("_t").alias("_t")))
+    picked = materialize(details.join(wanted, on="visitor_key", how="inner"))
+    n = picked.count()
+    if n:
+        _land_rows(lake, VISITOR_DETAIL, picked)
+    missing = materialize(wanted.join(picked.select("visitor_key"), "visitor_key", "left_anti"))
+    if waiting or not missing.isEmpty():
+        pending.write(missing)
+    if n_listed:
+        lake.marks.save(mark_name, max(to_utc_naive(mark), newest))
+    return n
 
 
 # --- D1: raw -> bronze ------------------------------------------------------
@@ -174,28 +227,33 @@ def bronze_batch(raw: DataFrame, entity: Entity, now: dt.datetime | str) -> Data
                                 dedup.newest_first(RECORD_TIME, "ingestion_time", "source_file"))
 
 
-def probe_column(lake: Lake, entity: Entity) -> str:
-    """A data field of the entity that is not a partition-folder column."""
-    parts = set(lake.raw_partitions(entity.name))
-    return next(f for f in entity.schema.fieldNames() if f not in parts)
-
-
-def split_corrupt(raw: DataFrame, probe: str) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, rows that did not parse) of a raw read made with
-    ``keep_corrupt=True``. The bad-row query also reads the data column
-    ``probe``: Spark refuses a raw-JSON query whose only data column is the
-    corrupt record, and a narrow query keeps that extra parse cheap, with no
-    cache."""
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    rejected = raw.filter(bad).select(CORRUPT_COLUMN, probe,
-                                      *[c for c in raw.columns if c == "source_file"])
-    return raw.filter(~bad).drop(CORRUPT_COLUMN), rejected
-
-
-def count_rejected(rejected: DataFrame, probe: str) -> int:
-    """Row count that keeps ``probe`` in the scan (see :func:`split_corrupt`)."""
-    # coalesce is nullable, so the optimizer cannot rewrite it to count(1)
-    return rejected.agg(F.count(F.coalesce(CORRUPT_COLUMN, probe))).first()[0]
+def split_records(records: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected records) of parsed raw records. Together they are all
+    of them: a record is rejected as ``malformed`` if it is no JSON object or any
+    declared field has another type, and as ``missing_key`` without its key."""
+    reason = (F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed")
+              .when(F.col(key).isNull(), "missing_key"))
+    told = records.withColumn("reason", reason)
+    good = told.where(F.col("reason").isNull()).drop("reason", CORRUPT_COLUMN)
+    return good, told.where(F.col("reason").isNotNull()).select(
+        "source_file", F.col(RAW_COLUMN).alias(CORRUPT_COLUMN), "reason")
+
+
+def add_rejected(lake: Lake, name: str, rejected: DataFrame, now: dt.datetime | str) -> int:
+    """Append rejected records to ``quarantine/<name>``, one row a text and file with
+    the number of its records. What the table has is not added again, so a replay or
+    a batch reload changes nothing. Returns the rows added."""
+    same = ["source_file", CORRUPT_COLUMN, "reason"]
+    table = lake.table("quarantine", name)
+    rows = rejected.groupBy(*same).agg(F.count("*").alias("n_records"))
+    known = table.read() if table.exists() else None
+    if known is not None:
+        rows = rows.join(known.select(*same), same, "left_anti")
+    rows = materialize(stamp(rows, now=now))
+    n = rows.count()
+    if n:
+        table.write(rows if known is None else known.unionByName(rows, allowMissingColumns=True))
+    return n
 
 
 def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
@@ -203,24 +261,22 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
     """Batch reload of all raw files into bronze. A key is replaced only by a
     strictly newer record, so unchanged rows keep their ingestion time.
 
-    With ``quarantine`` (default), records that do not parse as JSON are
-    written, stamped, to ``quarantine/<entity>`` instead of failing the job
-    or vanishing."""
+    Records are parsed once, with the full schema, into shared storage; good and
+    rejected ones come from that one result. Bronze keeps each record's whole text
+    next to the declared fields. With ``quarantine`` (default), rejected records are
+    added to ``quarantine/<entity>``."""
     now = now or dt.datetime.now(dt.timezone.utc)
 
     def load(e: Entity) -> int:
-        raw = lake.read_raw(e, keep_corrupt=quarantine)
+        records = materialize(lake.read_records(e.name, e.schema, lake.raw_partitions(e.name)))
+        good, rejected = split_records(records, e.key)
         if quarantine:
-            probe = probe_column(lake, e)
-            raw, bad = split_corrupt(raw.withColumn("source_file", source_file()), probe)
-            if count_rejected(bad, probe):
-                lake.table("quarantine", e.name).write(stamp(bad, now=now))
-        batch = bronze_batch(raw, e, now)
+            add_rejected(lake, e.name, rejected, now)
+        batch = bronze_batch(good, e, now)
         return lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
 
     present = [e for e in entities if path_exists(lake.spark, lake.raw(e.name))]
-    out = run_parallel({e.name: (lambda e=e: load(e)) for e in present})
-    return out
+    return run_parallel({e.name: (lambda e=e: load(e)) for e in present})
 
 
 # --- D2-D6: incremental layer jobs -------------------------------------------
@@ -233,18 +289,13 @@ def _incremental(lake: Lake, mark_name: str, source: Table, target: Table,
     if not source.exists():
         return 0
     mark = lake.marks.get(mark_name, incremental.DEFAULT_LAYER_MARK)
-    batch = incremental.newer_than_mark(source.read(), "ingestion_time", mark,
-                                        lateness=lake.lateness) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n, newest = incremental.batch_stats(batch, "ingestion_time")
-        if n == 0:
-            return 0
+    batch = materialize(incremental.newer_than_mark(source.read(), "ingestion_time", mark,
+                                                    lateness=lake.lateness))
+    n, newest = incremental.batch_stats(batch, "ingestion_time")
+    if n:
         target.upsert(transform(batch), [key])
         lake.marks.save(mark_name, max(to_utc_naive(mark), newest))
-        return n
-    finally:
-        batch.unpersist()
+    return n
 
 
 def silver_media_rows(bronze: DataFrame) -> DataFrame:
@@ -298,12 +349,14 @@ def refine(lake: Lake) -> None:
     """refined media summary (pass-through) and visitor detail (flattened)."""
     spark = lake.spark
     if path_exists(spark, lake.raw("media_summary")):
-        ms = read_json(spark, lake.raw("media_summary"), schemas.MEDIA_SUMMARY,
-                       multi_line=lake.raw_multi_line)
-        lake.table("refined", "media_summary").write(ms.select("*"))
+        summary = materialize(lake.read_records("media_summary", schemas.MEDIA_SUMMARY))
+        good, rejected = split_records(summary, "media_id")
+        add_rejected(lake, "media_summary", rejected, dt.datetime.now(dt.timezone.utc))
+        lake.table("refined", "media_summary").write(good.drop(RAW_COLUMN, "source_file"))
     if path_exists(spark, lake.raw(VISITOR_DETAIL.name)):
-        lake.table("refined", "visitor_detail_flattened").write(
-            flatten_visitor_detail(lake.read_raw(VISITOR_DETAIL)))
+        lake.table("refined", "visitor_detail_flattened").write(flatten_visitor_detail(
+            lake.read_good(VISITOR_DETAIL.name, VISITOR_DETAIL.schema,
+                           lake.raw_partitions(VISITOR_DETAIL.name))))
 
 
 def curate(lake: Lake) -> None:
@@ -312,7 +365,8 @@ def curate(lake: Lake) -> None:
     tasks = {}
     if path_exists(lake.spark, lake.raw(MEDIA_METADATA.name)):
         tasks["dim_media"] = lambda: lake.table("curated", "dim_media").write(
-            model.curated_dim_media(lake.read_raw(MEDIA_METADATA)))
+            model.curated_dim_media(lake.read_good(MEDIA_METADATA.name, MEDIA_METADATA.schema,
+                                                   lake.raw_partitions(MEDIA_METADATA.name))))
     silver_events = lake.table("silver", "events")
     if silver_events.exists():
         tasks["dim_visitor"] = lambda: lake.table("curated", "dim_visitor").write(
@@ -391,23 +445,18 @@ def raw_to_bronze_stream(lake: Lake, entity: Entity, checkpoint: str | None = No
     """
     from tidemark.streaming.incremental import upsert_stream
 
-    spark = lake.spark
-    schema = schemas.with_partition(entity.schema, *lake.raw_partitions(entity.name))
-    schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    reader = (spark.readStream.schema(schema).option("multiLine", lake.raw_multi_line)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
+    parts = tuple(lake.raw_partitions(entity.name))
+    reader = lake.spark.readStream.schema(text_schema(parts))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(lake.raw(entity.name)).withColumn("source_file", source_file())
+    stream = (reader.text(lake.raw(entity.name), wholetext=lake.raw_multi_line)
+              .withColumn("source_file", source_file()))
 
     def prepare(batch: DataFrame, epoch: int) -> DataFrame:
         now = dt.datetime.now(dt.timezone.utc)
-        probe = probe_column(lake, entity)
-        good, bad = split_corrupt(batch, probe)   # batch persisted by upsert_stream
-        if count_rejected(bad, probe):
-            lake.table("quarantine", entity.name).write(stamp(bad, now=now))
-        out = (stamp(good, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
-               .filter(F.col(entity.key).isNotNull()))
+        good, rejected = split_records(materialize(parse_records(batch, entity.schema)), entity.key)
+        add_rejected(lake, entity.name, rejected, now)
+        out = stamp(good, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
         return out.withColumn(EVENT_DATE, event_date(RECORD_TIME)) if entity is EVENTS else out
 
     return upsert_stream(stream, lake.table("bronze", entity.name), [entity.key],
@@ -425,24 +474,44 @@ SCHEMA_TEST_FOLDERS = {
     "visitor_detail": schemas.VISITOR_DETAIL,
     "media_metadata": schemas.MEDIA_METADATA,
     "events": schemas.EVENT,
+    "media_engagement": None,        # its fields are not declared: inference alone
 }
 
 
 def schema_test(lake: Lake, sample_rows: int = 5) -> dict[str, DataFrame]:
-    """For each raw folder present: a schema report (with non-NULL counts
-    over the whole folder) and a ``sample_rows`` JSON sample in key order
-    under ``test-output/<name>``. Returns the reports."""
-    from tidemark.operators.report import schema_report
+    """For each raw folder present: a schema report, and a ``sample_rows`` JSON
+    sample in key order under ``test-output/<name>``. Returns the reports.
+
+    A report has the declared fields, with non-NULL counts over the whole folder,
+    and the fields that the data has besides, as inferred from all of it; columns
+    ``declared`` and ``inferred_type`` (NULL where no record has the field) tell drift.
+    """
+    from tidemark.operators.report import leaf_columns, schema_report
     from tidemark.sinks import write_json_sample
 
     out = {}
     for name, schema in SCHEMA_TEST_FOLDERS.items():
         if not path_exists(lake.spark, lake.raw(name)):
             continue
-        df = read_json(lake.spark, lake.raw(name), schema, multi_line=lake.raw_multi_line)
-        write_json_sample(df, f"{lake.root}/test-output/{name}", [schema.fieldNames()[0]],
-                          sample_rows)
-        out[name] = schema_report(df)
+        found = lake.spark.read.option("multiLine", lake.raw_multi_line).json(lake.raw(name))
+        found = found.drop(CORRUPT_COLUMN, *lake.raw_partitions(name))
+        kinds = {path: kind.simpleString() for path, kind, _ in leaf_columns(found.schema)}
+        reports, declared = [], set()
+        if schema is not None:
+            df = read_json(lake.spark, lake.raw(name), schema, multi_line=lake.raw_multi_line)
+            declared = {path for path, _, _ in leaf_columns(schema)}
+            reports.append(schema_report(df).withColumn("declared", F.lit(True)))
+        else:
+            df = found
+        if found.columns:
+            reports.append(schema_report(found).where(~F.col("column").isin(list(declared)))
+                           .withColumn("declared", F.lit(False)))
+        order = schema.fieldNames()[0] if schema is not None else sorted(found.columns)[0]
+        write_json_sample(df, f"{lake.root}/test-output/{name}", [order], sample_rows)
+        report = reports[0] if len(reports) == 1 else reports[0].unionByName(reports[1])
+        known = F.map_from_arrays(F.array(*map(F.lit, kinds)).cast("array<string>"),
+                                  F.array(*map(F.lit, kinds.values())).cast("array<string>"))
+        out[name] = report.withColumn("inferred_type", F.try_element_at(known, F.col("column")))
     return out
 
 

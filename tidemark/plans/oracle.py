@@ -167,7 +167,42 @@ SELECT user_id, event_id, ts, event_type FROM (
                                event_id DESC NULLS LAST) AS rn
   FROM events) WHERE rn = 1"""
 
+# Records of the damaged inputs by what becomes of them.
+FATES = f"""WITH {VISITOR},
+keys AS (
+  SELECT 'events' AS entity, event_id AS k FROM events
+  UNION ALL SELECT 'media_metadata', p_partkey FROM part
+  UNION ALL SELECT 'visitor_detail', CAST(visitor_key AS BIGINT) FROM visitor)
+SELECT entity, CASE WHEN k % 10 IN (3, 4) THEN 'malformed' WHEN k % 10 = 5 THEN 'missing_key'
+                    ELSE 'good' END AS fate, count(*) AS n
+FROM keys GROUP BY ALL"""
+
 SQL: dict[str, str] = {
+    "quarantine_all": FATES,
+
+    "quarantine_stream": FATES,
+
+    "bronze_media": f"""
+SELECT 'm' || CAST(p_partkey AS VARCHAR) AS hashed_id, {TITLE} AS name,
+       '2024-02-' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || 'T12:00:00Z' AS updated,
+       CASE WHEN p_size % 5 = 0 THEN NULL ELSE CAST(least(p_size % 4, 3) AS INTEGER) END AS n_assets,
+       's' || CAST(p_partkey AS VARCHAR) AS session_note, {STAMP} AS ingestion_time
+FROM part WHERE p_partkey % 10 NOT IN (3, 4, 5)""",
+
+    "bronze_visitors": f"""WITH {VISITOR}
+SELECT visitor_key, load_count, visitor_name, 's' || visitor_key AS session_note
+FROM visitor WHERE CAST(visitor_key AS BIGINT) % 10 NOT IN (3, 4, 5)""",
+
+    "rerun_is_noop": """
+SELECT count(*) AS events, count(*) FILTER (event_id % 7 = 0 OR event_id % 11 = 0) AS undated,
+       count(*) FILTER (event_id % 7 = 0) AS without_time, CAST(1 AS BIGINT) AS commits
+FROM events""",
+
+    "land_visitors": f"""WITH {VISITOR}
+SELECT visitor_key, CASE WHEN CAST(visitor_key AS BIGINT) % 2 = 0 THEN last_active_at END AS last_active_at,
+       (SELECT max(ts) FROM events) AS watermark
+FROM visitor""",
+
     "scan_all": "SELECT * FROM nation",
 
     "project_rename": """
@@ -310,8 +345,7 @@ GROUP BY d.channel""",
     "top_videos": f"""WITH {MEDIA_FACT}, {LATEST_MEDIA}
 SELECT f.media_id, d.title, d.channel, f.total_hours_watched, f.play_count
 FROM mfact f JOIN dim d ON f.media_id = d.media_id
-ORDER BY f.play_count DESC, f.media_id
-LIMIT 10""",
+ORDER BY f.play_count DESC, f.media_id""",
 
     "kpi_totals": f"""WITH {FACT}
 SELECT count(*) AS total_events, count(DISTINCT media_id) AS unique_videos,

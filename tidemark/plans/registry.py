@@ -36,7 +36,6 @@ FUTURE_MARK = "2100-01-01T00:00:00Z"
 VISITOR_LIST_MARK = "2024-01-29T00:00:00Z"
 ALLOWED_EVENT_TYPES = ("view", "purchase")
 STAMP_TIME = "2025-01-01T00:00:00Z"
-TOP_N = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -268,7 +267,7 @@ def q_visitors_by_channel(spark, sf_dir):
 def q_top_videos(spark, sf_dir):
     t = _t(spark, sf_dir)
     fact = model.fact_media_engagement(adapters.media_summary(t))
-    return kpi.top_videos(fact, dim_media(t), n=TOP_N)
+    return kpi.top_videos(fact, dim_media(t))
 
 
 def q_kpi_totals(spark, sf_dir):
@@ -285,7 +284,7 @@ def q_sql_views(spark, sf_dir):
     catalog.register({"fact_visitor_engagement": fact_events(t, with_profile=False)})
     fact = catalog.table_or_none(spark, "fact_visitor_engagement")
     if fact is None or not {"media_id", "visitor_id"} <= set(fact.columns):
-        return spark.createDataFrame([], "media_id string, unique_visitors bigint")
+        raise LookupError("fact_visitor_engagement lacks a column that this query needs")
     return spark.sql("""
         SELECT media_id, CAST(COUNT(DISTINCT visitor_id) AS BIGINT) AS unique_visitors
         FROM fact_visitor_engagement
@@ -456,7 +455,143 @@ def q_refined_media_summary(spark, sf_dir):
     return lake.table("refined", "media_summary").read()
 
 
+# --- damaged, drifting and repeated input (S1, K3, T1, D0, D1) -----------------
+
+def _raw_inputs(t: Tables) -> dict[str, tuple[DataFrame, F.Column]]:
+    """Raw records of each entity, with the number that their key holds."""
+    return {"events": (adapters.raw_events(t), F.col("event_key").cast("long")),
+            "media_metadata": (adapters.raw_media(t), F.col("id")),
+            "visitor_detail": (adapters.raw_visitor_detail(t), F.col("visitor_key").cast("long"))}
+
+
+# A field of each entity that is no text, and the key.
+_TYPED_FIELD = {"events": "percent_viewed", "media_metadata": "duration", "visitor_detail": "load_count"}
+_KEYS = {e.name: e.key for e in jobs.ENTITIES}
+
+
+def _damage(records: DataFrame, number: F.Column, entity: str) -> DataFrame:
+    """JSON lines of the records: by the key's last digit, 3 is cut off, 4 has text
+    in a number field, 5 lacks its key; all have a field that no schema declares."""
+    digit = F.pmod(number, F.lit(10))
+    key = _KEYS[entity]
+    lines = records.withColumn("_digit", digit).withColumn("session_note", F.concat(F.lit("s"), number))
+    lines = lines.withColumn(key, F.when(digit != 5, F.col(key)))
+    whole = F.to_json(F.struct(*[c for c in lines.columns if c != "_digit"]))
+    value = (F.when(F.col("_digit") == 3, F.substring(whole, 1, 20))
+             .when(F.col("_digit") == 4, F.concat(F.lit(f'{{"{_TYPED_FIELD[entity]}":"n/a",'),
+                                                  F.substring(whole, 2, 1 << 30)))
+             .otherwise(whole))
+    return lines.select(value.alias("value"))
+
+
+def _damaged_lake(spark, sf_dir, name: str) -> jobs.Lake:
+    lake = jobs.Lake(spark, fresh_dir(spark, name))
+    for entity, (records, number) in _raw_inputs(_t(spark, sf_dir)).items():
+        (_damage(records, number, entity).withColumn(jobs.LANDING_PARTITION, F.lit("2024-02-01"))
+         .write.partitionBy(jobs.LANDING_PARTITION).text(lake.raw(entity)))
+    return lake
+
+
+def _fates(lake: jobs.Lake) -> DataFrame:
+    """(entity, fate, n): bronze rows as good, quarantined records by reason."""
+    parts = []
+    for entity in _KEYS:
+        good = lake.table("bronze", entity).read().agg(F.count("*").alias("n"))
+        parts.append(good.select(F.lit(entity).alias("entity"), F.lit("good").alias("fate"), "n"))
+        parts.append(lake.table("quarantine", entity).read().groupBy("reason")
+                     .agg(F.sum("n_records").cast("long").alias("n"))
+                     .select(F.lit(entity).alias("entity"), F.col("reason").alias("fate"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_quarantine_all(spark, sf_dir):
+    """Two batch reloads over files with broken lines, badly typed fields and
+    missing keys: good and rejected records are all records, counted once."""
+    lake = _damaged_lake(spark, sf_dir, "damaged")
+    for day in (1, 2):
+        jobs.raw_to_bronze(lake, now=f"2025-01-0{day}T00:00:00Z")
+    return _fates(lake)
+
+
+def q_quarantine_stream(spark, sf_dir):
+    """The same files through the stream, in two runs."""
+    lake = _damaged_lake(spark, sf_dir, "damaged_stream")
+    for _ in range(2):
+        jobs.run_parallel({e.name: (lambda e=e: jobs.raw_to_bronze_stream(lake, e))
+                           for e in jobs.ENTITIES})
+    return _fates(lake)
+
+
+def _bronze_of(spark, sf_dir, entity: jobs.Entity) -> DataFrame:
+    lake = _damaged_lake(spark, sf_dir, f"bronze_{entity.name}")
+    jobs.raw_to_bronze(lake, now=STAMP_TIME, entities=[entity])
+    return lake.table("bronze", entity.name).read()
+
+
+def q_bronze_media(spark, sf_dir):
+    """Bronze media through the job; ``session_note`` is declared nowhere and comes
+    from the record's kept text."""
+    bronze = _bronze_of(spark, sf_dir, jobs.MEDIA_METADATA)
+    return bronze.select("hashed_id", "name", "updated", F.size("assets").alias("n_assets"),
+                         F.get_json_object("raw_record", "$.session_note").alias("session_note"),
+                         "ingestion_time")
+
+
+def q_bronze_visitors(spark, sf_dir):
+    bronze = _bronze_of(spark, sf_dir, jobs.VISITOR_DETAIL)
+    return bronze.select("visitor_key", "load_count",
+                         F.col("visitor_identity.name").alias("visitor_name"),
+                         F.get_json_object("raw_record", "$.session_note").alias("session_note"))
+
+
+def q_rerun_is_noop(spark, sf_dir):
+    """Two loads of the same raw events, some without a time and some in a
+    five-digit year: the second commits nothing, and no event is lost."""
+    t = _t(spark, sf_dir)
+    lake = jobs.Lake(spark, fresh_dir(spark, "noop"))
+    n = F.col("event_key").cast("long")
+    odd = adapters.raw_events(t).withColumn(
+        "received_at", F.when(n % 7 == 0, F.lit(None)).when(n % 11 == 0, F.lit("12024-01-01T00:00:00Z"))
+        .otherwise(F.col("received_at")))
+    land_json(odd.withColumn(jobs.LANDING_PARTITION, F.lit("2024-02-01")), lake.raw("events"),
+              partition_by=[jobs.LANDING_PARTITION])
+    for day in (1, 2):
+        jobs.raw_to_bronze(lake, now=f"2025-01-0{day}T00:00:00Z", entities=[jobs.EVENTS])
+    bronze = lake.table("bronze", "events")
+    return bronze.read().agg(
+        F.count("*").alias("events"),
+        F.count_if(F.col(jobs.EVENT_DATE) == "unknown").alias("undated"),
+        F.count_if(F.col(jobs.RECORD_TIME).isNull()).alias("without_time")).withColumn(
+        "commits", F.lit(len(bronze.commits())).cast("long"))
+
+
+def q_land_visitors(spark, sf_dir):
+    """Visitors landed by the list alone: details without a time land too, and
+    listed visitors whose detail comes in the second run only are not lost."""
+    t = _t(spark, sf_dir)
+    lake = jobs.Lake(spark, fresh_dir(spark, "visitors"))
+    number = F.col("visitor_key").cast("long")
+    details = adapters.raw_visitor_detail(t).withColumn(
+        "last_active_at", F.when(number % 2 == 0, F.col("last_active_at")))
+    listed = adapters.visitor_list(t)
+    jobs.land_visitors(lake, listed, details.where(number % 10 != 0))
+    first = jobs.incremental.DEFAULT_INGEST_MARK
+    mark = lake.marks.get("landing_visitor_detail", first)
+    jobs.land_visitors(lake, listed.limit(0), details)
+    return lake.read_raw(jobs.VISITOR_DETAIL).select(
+        "visitor_key", "last_active_at", mark_literal(mark).alias("watermark"))
+
+
 QUERIES: dict[str, Query] = {
+    "quarantine_all": q_quarantine_all,
+    "quarantine_stream": q_quarantine_stream,
+    "bronze_media": q_bronze_media,
+    "bronze_visitors": q_bronze_visitors,
+    "rerun_is_noop": q_rerun_is_noop,
+    "land_visitors": q_land_visitors,
     "scan_all": q_scan_all,
     "project_rename": q_project_rename,
     "nested_access": q_nested_access,

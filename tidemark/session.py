@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -62,10 +63,14 @@ def work_dir(spark: SparkSession) -> str:
     Uses the folder the cluster names in ``spark.checkpoint.dir``. Only when
     that is unset (local runs, tests) does it pick a fresh local folder and
     register it as the checkpoint dir, so ``DataFrame.checkpoint`` works too.
+    On a cluster without that setting it raises: a machine-local folder would
+    be out of the other machines' reach.
     """
     jd = spark.sparkContext._jsc.sc().getCheckpointDir()
     registered = jd.get() if jd.isDefined() else None
     d = spark.conf.get("spark.checkpoint.dir", None) or registered
+    if not d and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tidemark-work-")
     if not registered:

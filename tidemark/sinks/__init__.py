@@ -15,7 +15,11 @@ def write_overwrite(df: DataFrame, path: str) -> None:
 
 def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append accepted raw records as JSON lines under ``name=value``
-    folders (K5). Every run adds new files; nothing is rewritten."""
+    folders (K5). Every run adds new files; nothing is rewritten. Rows are
+    rebalanced by folder first, so files follow the data's size and not the
+    number of tasks times folders."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import with_partition
 
 CORRUPT_COLUMN = "_corrupt_record"
+RAW_COLUMN = "raw_record"
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType,
@@ -33,6 +35,41 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType,
     return reader.json(path)
 
 
+def text_schema(partition_columns: tuple[str, ...] = ()) -> T.StructType:
+    """Schema of raw files read as text: a record (or file) a row, and the folder values."""
+    return with_partition(T.StructType([T.StructField("value", T.StringType())]), *partition_columns)
+
+
+def read_text_records(spark: SparkSession, path: str, multi_line: bool,
+                      partition_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Raw JSON files as text, with ``source_file``; see :func:`parse_records`."""
+    lines = spark.read.schema(text_schema(partition_columns)).text(path, wholetext=multi_line)
+    return lines.withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def parse_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of JSON text (column ``value``), parsed once with the full schema.
+
+    Adds ``raw_record``, the record's whole text, so that fields outside the
+    schema are kept, and ``_corrupt_record``, its text again if any field does not
+    parse as declared. An array of records gives one row each. Folder columns
+    take the place of fields of their name. Blank lines are no records.
+    """
+    value = F.col("value")
+    items = F.try_variant_get(F.try_parse_json(value), "$", "array<variant>")
+    records = F.when(value.rlike(r"^\s*\["), F.coalesce(
+        F.transform(items, lambda v: F.to_json(v)), F.array(value))).otherwise(F.array(value))
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    others = [c for c in lines.columns if c != "value"]
+    parsed = (lines.where(value.rlike(r"\S"))
+              .select(*others, F.explode(records).alias(RAW_COLUMN))
+              .withColumn("_p", F.from_json(RAW_COLUMN, full, {
+                  "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})))
+    corrupt = F.when(F.col("_p").isNull(), F.col(RAW_COLUMN)).otherwise(F.col(f"_p.{CORRUPT_COLUMN}"))
+    return parsed.select(*[F.col(f"_p.{f}").alias(f) for f in schema.fieldNames() if f not in others],
+                         *others, RAW_COLUMN, corrupt.alias(CORRUPT_COLUMN))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

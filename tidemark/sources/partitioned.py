@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import fits_in_broadcast
-from tidemark.operators.upsert import materialize, upsert as merge_frames
+from tidemark.operators.upsert import materialize, order_wins, upsert as merge_frames
 from tidemark.sources.files import delete_path, hadoop_fs, list_children, read_text
 
 _SAFE = re.compile(r"^[A-Za-z0-9_.-]+$")
@@ -134,8 +134,10 @@ class PartitionedTable:
         return n
 
     def write(self, df: DataFrame) -> int:
-        """First load (or a full replacement of the listed partitions)."""
+        """First load (or a full replacement of the listed partitions). The rows
+        are computed once: what is listed is what is written."""
         base = self.manifest()
+        df = materialize(df)
         return self._commit(df, self._values(df), base)
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], newer_than: str | None = None,
@@ -161,7 +163,7 @@ class PartitionedTable:
             if newer_than is not None:          # used twice below: compute once
                 matched = materialize(matched)
         if newer_than is not None:
-            wins = F.col("__t").isNull() | F.coalesce(F.col("__b") > F.col("__t"), F.lit(False))
+            wins = order_wins(F.col("__b"), F.col("__t"))
             losers = matched.filter(~wins).select(*keys)
             losers = F.broadcast(losers) if broadcast else losers.hint("merge")
             # Keep only winning rows: a re-run with nothing newer commits nothing.

@@ -54,6 +54,10 @@ class WatermarkStore:
         self._table(name).write(row.coalesce(1))
         return True
 
+    def expire(self, keep: int = 2) -> dict[str, list[int]]:
+        """Delete all but the newest ``keep`` saves of each mark."""
+        return {n: self._table(n).expire(keep) for n in self.names()}
+
     def names(self) -> list[str]:
         return sorted(n for n in list_children(self.spark, self.path)
                       if _NAME.match(n) and self._table(n).exists())

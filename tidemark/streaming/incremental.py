@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.upsert import materialize
 from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.snapshots import SnapshotTable
 
@@ -31,13 +31,10 @@ def upsert_stream(stream: DataFrame, table: SnapshotTable | PartitionedTable, ke
     overwriting a newer row (late data), see :func:`tidemark.operators.upsert.upsert`.
     """
     def each(batch: DataFrame, epoch: int) -> None:
-        # The micro-batch is read once, however many passes prepare/upsert make.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            b = prepare(batch, epoch) if prepare else batch
-            table.upsert(latest_per_key(b, keys, order), keys, newer_than=newer_than)
-        finally:
-            batch.unpersist()
+        # Read once, however many passes prepare/upsert make, into shared storage.
+        batch = materialize(batch)
+        b = prepare(batch, epoch) if prepare else batch
+        table.upsert(latest_per_key(b, keys, order), keys, newer_than=newer_than)
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)
