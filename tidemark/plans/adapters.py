@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.time import iso_utc_string
+from tidemark.functions.time import iso_utc_string, parse_iso
 from tidemark.operators.joins import sized_broadcast
 from tidemark.sources.testdata import Tables
 
@@ -81,6 +81,18 @@ def raw_events(t: Tables, with_profile: bool = True) -> DataFrame:
     )
 
 
+def raw_event_versions(t: Tables) -> DataFrame:
+    """The raw events, and a day older copy with another browser of every fifth:
+    whoever keeps an arbitrary one of two versions gets a wrong row."""
+    raw = raw_events(t)
+    stale = (raw.where(F.pmod(F.col("event_key").cast("long"), F.lit(5)) == 0)
+             .withColumn("received_at", iso_utc_string(
+                 parse_iso("received_at") - F.expr("INTERVAL 1 DAY")))
+             .withColumn("user_agent_details",
+                         F.col("user_agent_details").withField("browser", F.lit("STALE"))))
+    return stale.unionByName(raw)
+
+
 def _two(c: Column) -> Column:
     return F.lpad(c.cast("string"), 2, "0")
 
@@ -176,9 +188,10 @@ def visitor_list(t: Tables) -> DataFrame:
 
 
 def raw_visitor_detail(t: Tables) -> DataFrame:
-    """Visitor detail documents for customers that have events."""
+    """Visitor detail documents of all customers; times and counts are NULL for
+    those without events."""
     act = visitor_activity(t)
-    c = t.customer.join(act, F.col("c_custkey") == F.col("user_id"), "inner")
+    c = t.customer.join(act, F.col("c_custkey") == F.col("user_id"), "left")
     odd = F.pmod("c_custkey", F.lit(2)) == 1
     return c.select(
         F.col("c_custkey").cast("string").alias("visitor_key"),

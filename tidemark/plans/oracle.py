@@ -136,7 +136,7 @@ visitor AS (
          CAST(c.c_nationkey AS VARCHAR) AS browser_version,
          CASE WHEN c.c_custkey % 2 = 1 THEN 'iOS' ELSE 'Windows' END AS platform,
          c.c_custkey % 2 = 1 AS mobile
-  FROM customer c JOIN act a ON c.c_custkey = a.user_id)"""
+  FROM customer c LEFT JOIN act a ON c.c_custkey = a.user_id)"""
 
 STAMP = "TIMESTAMP '2025-01-01 00:00:00'"
 
@@ -198,10 +198,18 @@ SELECT count(*) AS events, count(*) FILTER (event_id % 7 = 0 OR event_id % 11 =
        count(*) FILTER (event_id % 7 = 0) AS without_time, CAST(1 AS BIGINT) AS commits
 FROM events""",
 
+    "fact_event_versions": f"WITH {FACT} SELECT * FROM fact",
+
+    "visitors_unmatched_media": f"""WITH {FACT}, {LATEST_MEDIA}
+SELECT d.channel, count(DISTINCT f.visitor_id) AS number_of_visitors
+FROM fact f LEFT JOIN dim d ON f.media_id = d.media_id
+                           AND CAST(substr(d.media_id, 2) AS BIGINT) % 13 <> 0
+GROUP BY d.channel""",
+
     "land_visitors": f"""WITH {VISITOR}
 SELECT visitor_key, CASE WHEN CAST(visitor_key AS BIGINT) % 2 = 0 THEN last_active_at END AS last_active_at,
        (SELECT max(ts) FROM events) AS watermark
-FROM visitor""",
+FROM visitor WHERE load_count IS NOT NULL""",
 
     "scan_all": "SELECT * FROM nation",
 

@@ -264,6 +264,20 @@ def q_visitors_by_channel(spark, sf_dir):
     return kpi.visitors_by_channel(fact_events(t, with_profile=False), dim_media(t))
 
 
+def q_fact_event_versions(spark, sf_dir):
+    """The fact over events that come in two versions: the newer one stays."""
+    raw = adapters.raw_event_versions(_t(spark, sf_dir))
+    return model.fact_visitor_engagement(flatten_events(raw))
+
+
+def q_visitors_unmatched_media(spark, sf_dir):
+    """Channels when the dimension lacks some media: their visitors count under NULL."""
+    t = _t(spark, sf_dir)
+    number = F.substring("media_id", 2, 20).cast("long")
+    return kpi.visitors_by_channel(fact_events(t, with_profile=False),
+                                   dim_media(t).where(number % 13 != 0))
+
+
 def q_top_videos(spark, sf_dir):
     t = _t(spark, sf_dir)
     fact = model.fact_media_engagement(adapters.media_summary(t))
@@ -382,7 +396,7 @@ def q_incremental_two_runs(spark, sf_dir):
     nothing doubled (D0, D1, D4, F1, F2, K3, K6, S7)."""
     t = _t(spark, sf_dir)
     lake = jobs.Lake(spark, fresh_dir(spark, "two_runs"))
-    raw = adapters.raw_events(t)
+    raw = adapters.raw_event_versions(t)
     first = raw.filter(parse_iso("received_at") < mark_literal(INCREMENT_SPLIT))
     for i, part in enumerate([first, raw]):
         jobs.land(lake, jobs.EVENTS, part)
@@ -444,7 +458,7 @@ def q_silver_visitors(spark, sf_dir):
 
 
 def q_silver_events(spark, sf_dir):
-    return jobs.silver_event_rows(_stamped(adapters.raw_events(_t(spark, sf_dir))))
+    return jobs.silver_event_rows(_stamped(adapters.raw_event_versions(_t(spark, sf_dir))))
 
 
 def q_refined_media_summary(spark, sf_dir):
@@ -578,7 +592,7 @@ def q_land_visitors(spark, sf_dir):
         "last_active_at", F.when(number % 2 == 0, F.col("last_active_at")))
     listed = adapters.visitor_list(t)
     jobs.land_visitors(lake, listed, details.where(number % 10 != 0))
-    first = jobs.incremental.DEFAULT_INGEST_MARK
+    first = incremental.DEFAULT_INGEST_MARK
     mark = lake.marks.get("landing_visitor_detail", first)
     jobs.land_visitors(lake, listed.limit(0), details)
     return lake.read_raw(jobs.VISITOR_DETAIL).select(
@@ -591,6 +605,8 @@ QUERIES: dict[str, Query] = {
     "bronze_media": q_bronze_media,
     "bronze_visitors": q_bronze_visitors,
     "rerun_is_noop": q_rerun_is_noop,
+    "fact_event_versions": q_fact_event_versions,
+    "visitors_unmatched_media": q_visitors_unmatched_media,
     "land_visitors": q_land_visitors,
     "scan_all": q_scan_all,
     "project_rename": q_project_rename,
