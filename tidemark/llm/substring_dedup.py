@@ -243,7 +243,7 @@ def _remove(window: int):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = WINDOW) -> DataFrame:
+                   window: int = WINDOW, chunks: int | None = None) -> DataFrame:
     """Remove every word covered by a ``window``-word passage that also starts
     earlier: in a document with a smaller id, or before it in the same one.
 
@@ -254,11 +254,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A null text has no words and stays null. Texts under ``window`` words keep
     all words. Rows that share an id count as one after the other, in text
     order; a null id comes last. Other columns may have any names and types.
+
+    ``chunks``: groups of documents that a task holds at once, twice the shuffle
+    partitions by default; some 5 to 50 MB of text each keeps tasks small.
     """
     if window < 2 or window % 2:
         raise ValueError("window must be even")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = 2 * n
+    parts = chunks or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     chunk = F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(parts)).cast("int")
     base = docs.select(
