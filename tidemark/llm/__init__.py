@@ -14,12 +14,17 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Rows of whole texts in one Arrow batch: what a Python worker holds at once.
+BATCH_ROWS = 1000
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Hand this package to the executors, once an application: they run its
-    functions and need not have it installed."""
+    functions and need not have it installed. Arrow batches of this session are
+    kept small, as rows hold whole texts."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(rows, min(int(spark.conf.get(rows)), BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

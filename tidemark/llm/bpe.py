@@ -30,14 +30,14 @@ from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
 
-LEXICON = 1 << 18        # frequent words in the automaton, a bound on its size
+LEXICON = 1 << 17        # frequent words in the automaton, a bound on its size
 LEAST = 4                # rarer words are not worth a place in it
 COUNTED = 1 << 18        # distinct words that a counting task holds at once
 NEVER = 1 << 62          # rank of a pair that doesn't merge
 NO_RANK = np.int32(2**31 - 1)
 MERGED = 1 << 13         # words merged side by side
-SLICE_CHARS = 1 << 22    # texts are worked on in slices of about so many characters
-MEMO = 1 << 18           # merged words that a worker remembers
+SLICE_CHARS = 1 << 20    # texts are worked on in slices of about so many characters
+MEMO = 1 << 16           # merged words that a worker remembers
 
 #: The white space of Unicode, and the split pattern of byte-level BPE.
 SPACE = r"\t-\r \x85\xa0  -     　"
