@@ -243,3 +243,95 @@ def test_cli_main_all_steps(spark, capsys):
     assert out["silver"]["events"] == 2 and out["schema-test"] == ["events"]
     fact = lake.table("curated", "fact_visitor_engagement").read()
     assert rows(fact, "event_key") == [("e1",), ("e2",)]
+
+
+def test_damaged_records_of_every_entity_are_counted(spark):
+    """Broken lines, badly typed fields and missing keys, batch and stream, two runs."""
+    for stream in (False, True):
+        lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+        bad = {"media_metadata": ({"hashed_id": "m1"}, {"hashed_id": "m2", "duration": "abc"}, {"name": "x"}),
+               "events": (_event("e1", None), _event("e2", "2024-01-01T00:00:00Z") | {"percent_viewed": "n/a"},
+                          {"media_id": "m"}),
+               "visitor_detail": ({"visitor_key": "v1"}, {"visitor_key": "v2", "load_count": {}}, {"created_at": "t"})}
+        for run in (1, 2):
+            for entity, (good, typed, nokey) in bad.items():
+                _land(lake, entity, f"run{run}", f"2024-01-0{run}", [good, typed, nokey])
+                with open(f"{lake.raw(entity)}/landed_date=2024-01-0{run}/run{run}.json", "a") as f:
+                    f.write("{broken\n\n{broken\n[1]\n")
+            for e in jobs.ENTITIES:
+                if stream:
+                    jobs.raw_to_bronze_stream(lake, e)
+                else:
+                    jobs.raw_to_bronze(lake, entities=[e])
+            for e in jobs.ENTITIES:
+                assert lake.table("bronze", e.name).read().count() == 1
+                q = lake.table("quarantine", e.name).read()
+                n = {r["reason"]: r["n"] for r in q.groupBy("reason").sum("n_records")
+                     .withColumnRenamed("sum(n_records)", "n").collect()}
+                assert n == {"malformed": 4 * run, "missing_key": run}
+
+
+def test_bronze_keeps_undeclared_fields_and_reruns_commit_nothing(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    _land(lake, "events", "a", "2024-01-01", [
+        _event("e1", None) | {"session_note": "kept"}, _event("e2", "12024-01-01T00:00:00Z"),
+        _event("e3", "2024-01-01T00:00:00Z")])
+    for day in (2, 3):
+        jobs.raw_to_bronze(lake, now=f"2024-01-0{day}T00:00:00Z", entities=[jobs.EVENTS])
+    bronze = lake.table("bronze", "events")
+    assert bronze.commits() == [1]
+    assert rows(bronze.read(), "event_key", jobs.EVENT_DATE) == [
+        ("e1", "unknown"), ("e2", "unknown"), ("e3", "2024-01-01")]
+    assert json.loads(bronze.read().where("event_key = 'e1'").first()["raw_record"])["session_note"] == "kept"
+
+
+def test_listed_visitors_wait_for_their_detail(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    listed = spark.createDataFrame([("a", "2024-01-01T00:00:00Z"), ("b", "2024-01-02T00:00:00Z")],
+                                   "visitor_key string, last_active_at string")
+    details = spark.createDataFrame([("a", None), ("b", "2024-01-02T00:00:00Z")],
+                                    "visitor_key string, last_active_at string")
+    assert jobs.land_visitors(lake, listed, details.where("visitor_key = 'a'")) == 1
+    assert lake.marks.get("landing_visitor_detail", "2000-01-01") == dt.datetime(2024, 1, 2)
+    assert jobs.land_visitors(lake, listed, details) == 1
+    assert jobs.land_visitors(lake, listed, details) == 0
+    assert rows(lake.read_raw(jobs.VISITOR_DETAIL), "visitor_key") == [("a",), ("b",)]
+
+
+def test_late_records_land_within_the_window(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"), lateness=dt.timedelta(days=2))
+    frame = lambda *r: spark.createDataFrame(list(r), "event_key string, received_at string")
+    assert jobs.land(lake, jobs.EVENTS, frame(("e1", "2024-01-10T00:00:00Z"))) == 1
+    assert jobs.land(lake, jobs.EVENTS, frame(("late", "2024-01-09T00:00:00Z"), ("old", "2024-01-01T00:00:00Z"))) == 1
+    assert rows(lake.read_raw(jobs.EVENTS), "event_key") == [("e1",), ("late",)]
+
+
+def test_schema_test_shows_drift_and_undeclared_folders(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    _land(lake, "events", "a", "2024-01-01", [_event("e1", "2024-01-01T00:00:00Z") | {"extra": 5}])
+    _land(lake, "media_engagement", "a", "2024-01-01", [{"media": "m", "engagement": {"rate": 0.5}}])
+    reports = jobs.schema_test(lake)
+    seen = {r["column"]: (r["declared"], r["inferred_type"], r["non_null"]) for r in reports["events"].collect()}
+    assert seen["extra"] == (False, "bigint", 1) and seen["ip"] == (True, None, 0)
+    assert seen["event_key"] == (True, "string", 1) and "landed_date" not in seen
+    assert {r["column"] for r in reports["media_engagement"].collect()} >= {"media", "engagement.rate"}
+
+
+def test_landing_files_follow_the_data_not_the_tasks(spark):
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    records = spark.range(0, 1600, 1, 16).selectExpr(
+        "cast(id AS string) AS event_key", "concat('2024-01-0', id % 3 + 1, 'T00:00:00Z') AS received_at")
+    jobs.land(lake, jobs.EVENTS, records)
+    files = [f for _, _, names in os.walk(lake.raw("events")) for f in names if f.endswith(".json")]
+    assert len(files) <= 6
+
+
+def test_expire_covers_every_table_and_mark(spark):
+    from tidemark.plans import cli
+    lake = jobs.Lake(spark, fresh_dir(spark, "lake"))
+    _land(lake, "events", "a", "2024-01-01", [_event("e1", "2024-01-01T00:00:00Z")])
+    for day in (2, 3, 4):
+        _land(lake, "events", f"n{day}", f"2024-01-0{day}", [_event(f"e{day}", f"2024-01-0{day}T00:00:00Z")])
+        cli.run(spark, lake, ["all", "expire"], keep=1)
+    assert len(lake.table("curated", "fact_visitor_engagement").committed()) == 1
+    assert len(lake.marks._table("silver_events").committed()) == 1

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -86,3 +88,21 @@ def test_newer_than_same_result_as_whole_table_upsert(spark, batches):
         expected = df if expected is None else upsert(expected, df, ["k"], newer_than="v",
                                                       checkpoint=False)
     assert rows(t.read(), "k", "d", "v") == rows(expected, "k", "d", "v")
+
+
+def test_reads_and_upserts_open_only_the_dates_they_need(spark):
+    t = PartitionedTable(spark, fresh_dir(spark, "since"), "d")
+    row = "k string, d string, v int, ingestion_time timestamp_ntz"
+    at = lambda n: dt.datetime(2024, 1, n)
+    t.write(spark.createDataFrame([("a", "2024-01-01", 1, at(1)), ("b", "2024-01-05", 1, at(1)),
+                                   ("c", "unknown", 1, at(1))], row))
+    t.upsert(spark.createDataFrame([("b", "2024-01-05", 2, at(2))], row), ["k"])
+    dates = lambda df: sorted({f.split("/d=")[1].split("/")[0] for f in df.inputFiles()})
+    assert dates(t.read()) == ["2024-01-01", "2024-01-05", "unknown"]
+    assert dates(t.read_since(at(1))) == ["2024-01-05"]
+    assert rows(t.read_since(at(1)), "k", "v") == [("b", 2)]
+    assert t._near(["2024-01-04"], 1) == ["2024-01-05", "unknown"]
+    t.upsert(spark.createDataFrame([("b", "2024-01-06", 3, at(3)), ("c", "2024-01-06", 3, at(3))], row),
+             ["k"], near_days=1)
+    assert rows(t.read(), "k", "d", "v") == [("a", "2024-01-01", 1), ("b", "2024-01-06", 3),
+                                             ("c", "2024-01-06", 3)]

@@ -18,10 +18,12 @@ from pyspark.sql import types as T
 def parse_iso(text: Column | str) -> Column:
     """ISO-8601 text (``Z``, ``+hh:mm`` or no zone = UTC) -> UTC TIMESTAMP_NTZ.
 
-    Bad text gives NULL instead of failing the job (ANSI mode is on).
+    Bad text gives NULL instead of failing the job (ANSI mode is on), and so
+    does a year outside 1 to 9999, which neither a date folder nor a mark can hold.
     """
     c = F.col(text) if isinstance(text, str) else text
-    return F.try_to_timestamp(c).cast(T.TimestampNTZType())
+    t = F.try_to_timestamp(c).cast(T.TimestampNTZType())
+    return F.when(F.year(t).between(1, 9999), t)
 
 
 def iso_utc_string(ts: Column | str) -> Column:

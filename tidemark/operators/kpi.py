@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import sized_broadcast
+from tidemark.operators.upsert import materialize
 
 
 def distinct_visitors(fact: DataFrame, keys: Sequence[str], visitor: str = "visitor_id",
@@ -51,11 +52,11 @@ def visitors_by_channel(fact: DataFrame, dim_media: DataFrame, visitor: str = "v
 
     The (media, visitor) pairs are made distinct before the join (map-side
     combine shrinks a hot media to its distinct visitors), the media->channel
-    lookup is broadcast only if proven small, and a fact media missing from
-    the dimension counts under a NULL channel.
+    lookup is computed once, measured and broadcast only if proven small, and a
+    fact media missing from the dimension counts under a NULL channel.
     """
     pairs = fact.select("media_id", visitor).distinct()
-    dim = sized_broadcast(dim_media.select("media_id", "channel"))
+    dim = sized_broadcast(materialize(dim_media.select("media_id", "channel")))
     joined = pairs.join(dim, on="media_id", how="left")
     return distinct_visitors(joined, ["channel"], visitor=visitor, out=out, approx_rsd=approx_rsd)
 
@@ -63,7 +64,7 @@ def visitors_by_channel(fact: DataFrame, dim_media: DataFrame, visitor: str = "v
 def top_videos(fact_media: DataFrame, dim_media: DataFrame, n: int | None = None) -> DataFrame:
     """Fact joined to its media dimension, ``play_count`` descending (ties by
     ``media_id``). ``n`` keeps the first n (a top-k report); None keeps all."""
-    dim = sized_broadcast(dim_media.select("media_id", "title", "channel"))
+    dim = sized_broadcast(materialize(dim_media.select("media_id", "title", "channel")))
     out = (fact_media.join(dim, on="media_id", how="inner")
            .select("media_id", "title", "channel", "total_hours_watched", "play_count")
            .orderBy(F.col("play_count").desc_nulls_last(), F.col("media_id").asc()))

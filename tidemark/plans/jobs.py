@@ -75,11 +75,9 @@ def run_parallel(tasks: dict) -> dict:
 
 
 def event_date(time: str | F.Column) -> F.Column:
-    """Partition value: UTC date of a parsed time, ``unknown`` when NULL or
-    outside the years 1 to 9999."""
+    """Partition value: UTC date of a parsed time, ``unknown`` when NULL."""
     t = F.col(time) if isinstance(time, str) else time
-    return F.coalesce(F.when(F.year(t).between(1, 9999), F.date_format(t, "yyyy-MM-dd")),
-                      F.lit("unknown"))
+    return F.coalesce(F.date_format(t, "yyyy-MM-dd"), F.lit("unknown"))
 
 
 LAYERS = ("bronze", "silver", "gold", "refined", "curated", "quarantine", "state")
@@ -103,12 +101,14 @@ class Lake:
     """
 
     def __init__(self, spark: SparkSession, root: str, raw_multi_line: bool = False,
-                 raw_layout: str = "landed", lateness: dt.timedelta | None = None):
+                 raw_layout: str = "landed", lateness: dt.timedelta | None = None,
+                 version_days: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.raw_multi_line = raw_multi_line
         self.raw_layout = raw_layout
-        self.lateness = lateness     # incremental jobs re-read this window before the mark
+        self.lateness = lateness     # landing and layer jobs re-read this window before the mark
+        self.version_days = version_days     # versions of one event are at most so far apart
         self.marks = WatermarkStore(spark, f"{self.root}/state/watermarks")
 
     def raw_partitions(self, entity_name: str) -> tuple[str, ...]:
@@ -122,6 +122,9 @@ class Lake:
         col = PARTITIONED_TABLES.get((layer, name))
         return PartitionedTable(self.spark, path, col) if col else SnapshotTable(self.spark, path)
 
+    def upsert_options(self, table: Table) -> dict:
+        return {"near_days": self.version_days} if isinstance(table, PartitionedTable) else {}
+
     def tables(self) -> list[tuple[str, str]]:
         """(layer, name) of every table that a job has written."""
         found = [(layer, name) for layer in LAYERS
@@ -273,7 +276,8 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
         if quarantine:
             add_rejected(lake, e.name, rejected, now)
         batch = bronze_batch(good, e, now)
-        return lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
+        table = lake.table("bronze", e.name)
+        return table.upsert(batch, [e.key], newer_than=RECORD_TIME, **lake.upsert_options(table))
 
     present = [e for e in entities if path_exists(lake.spark, lake.raw(e.name))]
     return run_parallel({e.name: (lambda e=e: load(e)) for e in present})
@@ -289,11 +293,13 @@ def _incremental(lake: Lake, mark_name: str, source: Table, target: Table,
     if not source.exists():
         return 0
     mark = lake.marks.get(mark_name, incremental.DEFAULT_LAYER_MARK)
-    batch = materialize(incremental.newer_than_mark(source.read(), "ingestion_time", mark,
+    rows = (source.read_since(_overlap(lake, mark)) if isinstance(source, PartitionedTable)
+            else source.read())
+    batch = materialize(incremental.newer_than_mark(rows, "ingestion_time", mark,
                                                     lateness=lake.lateness))
     n, newest = incremental.batch_stats(batch, "ingestion_time")
     if n:
-        target.upsert(transform(batch), [key])
+        target.upsert(transform(batch), [key], **lake.upsert_options(target))
         lake.marks.save(mark_name, max(to_utc_naive(mark), newest))
     return n
 
@@ -494,11 +500,14 @@ def schema_test(lake: Lake, sample_rows: int = 5) -> dict[str, DataFrame]:
         if not path_exists(lake.spark, lake.raw(name)):
             continue
         found = lake.spark.read.option("multiLine", lake.raw_multi_line).json(lake.raw(name))
-        found = found.drop(CORRUPT_COLUMN, *lake.raw_partitions(name))
+        folders = [c for c in lake.raw_partitions(name)
+                   if schema is None or c not in schema.fieldNames()]
+        found = found.drop(CORRUPT_COLUMN, *folders)
         kinds = {path: kind.simpleString() for path, kind, _ in leaf_columns(found.schema)}
         reports, declared = [], set()
         if schema is not None:
-            df = read_json(lake.spark, lake.raw(name), schema, multi_line=lake.raw_multi_line)
+            df = read_json(lake.spark, lake.raw(name), schema,
+                           multi_line=lake.raw_multi_line).drop(*folders)
             declared = {path for path, _, _ in leaf_columns(schema)}
             reports.append(schema_report(df).withColumn("declared", F.lit(True)))
         else:

@@ -195,7 +195,7 @@ FROM visitor WHERE CAST(visitor_key AS BIGINT) % 10 NOT IN (3, 4, 5)""",
 
     "rerun_is_noop": """
 SELECT count(*) AS events, count(*) FILTER (event_id % 7 = 0 OR event_id % 11 = 0) AS undated,
-       count(*) FILTER (event_id % 7 = 0) AS without_time, CAST(1 AS BIGINT) AS commits
+       count(*) FILTER (event_id % 7 = 0 OR event_id % 11 = 0) AS without_time, CAST(1 AS BIGINT) AS commits
 FROM events""",
 
     "fact_event_versions": f"WITH {FACT} SELECT * FROM fact",

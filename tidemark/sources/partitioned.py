@@ -15,6 +15,11 @@ holding a target row with a batch key (found by a semi join over the
 key and partition columns only). With ``stable_partition=True`` (a key never
 changes partition, e.g. a date fixed at creation) that scan is skipped.
 
+A manifest also holds the newest value of ``ingestion_time`` in each partition,
+so :meth:`PartitionedTable.read_since` opens only partitions that can hold rows
+after a mark. When versions of a key lie at most some days apart, ``near_days``
+bounds an upsert's search for its keys to the dates around the batch's.
+
 For append-mostly data partitioned by time (events), an incremental run
 costs O(recent partitions), not O(table). Manifest creation uses the file
 system's create-if-absent; object stores without it need one writer per table.
@@ -22,6 +27,7 @@ system's create-if-absent; object stores without it need one writer per table.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import re
 import uuid
@@ -38,6 +44,8 @@ from tidemark.sources.files import delete_path, hadoop_fs, list_children, read_t
 _SAFE = re.compile(r"^[A-Za-z0-9_.-]+$")
 _MANIFEST = re.compile(r"^(\d{8})\.json$")
 VERSION_COL = "_tm_version"
+NEWEST_COL = "ingestion_time"
+_STAMP = "%Y-%m-%dT%H:%M:%S.%f"
 
 
 class PartitionedTable:
@@ -98,6 +106,29 @@ class PartitionedTable:
         return (self.spark.read.schema(schema).option("basePath", self.path)
                 .parquet(*paths).drop(VERSION_COL))
 
+    def read_since(self, mark: dt.datetime) -> DataFrame:
+        """The partitions that may hold rows ingested after ``mark``."""
+        m = self.manifest()
+        if m is None:
+            raise FileNotFoundError(f"no commit in {self.path}")
+        newest, after = m.get("newest", {}), mark.strftime(_STAMP)
+        return self.read([p for p in m["partitions"] if newest.get(p, "9999") > after])
+
+    def _near(self, dates: Sequence[str], days: int) -> list[str]:
+        """Known partitions at most ``days`` from a date of ``dates``, and those
+        that are no dates."""
+        def day(p):
+            try:
+                return dt.date.fromisoformat(p)
+            except ValueError:
+                return None
+        own = sorted(d for d in map(day, dates) if d)
+        if not own:
+            return sorted(self.manifest()["partitions"])
+        lo, hi = own[0].toordinal() - days, own[-1].toordinal() + days
+        return [p for p in sorted(self.manifest()["partitions"])
+                if day(p) is None or lo <= day(p).toordinal() <= hi]
+
     # --- write ---------------------------------------------------------------
     def _values(self, df: DataFrame) -> list[str]:
         """Distinct partition values (bounded by the number of partitions)."""
@@ -129,8 +160,18 @@ class PartitionedTable:
             else:
                 parts.pop(p, None)          # partition emptied by this commit
         schema = T.StructType([f for f in df.schema.fields if f.name != self.col])
+        newest = {p: v for p, v in (base or {}).get("newest", {}).items() if p in parts}
+        written = [p for p in touched if parts.get(p) == token]
+        if written and NEWEST_COL in df.columns:     # one narrow scan of what was written
+            new = (self.spark.read.schema(T.StructType(
+                [*schema.fields, T.StructField(self.col, T.StringType())]))
+                   .option("basePath", self.path).parquet(*[self._dir(p, token) for p in written]))
+            for p, t in new.groupBy(self.col).agg(F.max(NEWEST_COL)).collect():
+                newest.pop(p, None)
+                if t is not None:
+                    newest[p] = t.strftime(_STAMP)
         self._create_manifest(n, {"partitions": parts, "schema": json.loads(schema.json()),
-                                  "partition_col": self.col, "commit": n})
+                                  "partition_col": self.col, "commit": n, "newest": newest})
         return n
 
     def write(self, df: DataFrame) -> int:
@@ -141,7 +182,8 @@ class PartitionedTable:
         return self._commit(df, self._values(df), base)
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], newer_than: str | None = None,
-               stable_partition: bool = False, broadcast: bool | None = None) -> int:
+               stable_partition: bool = False, broadcast: bool | None = None,
+               near_days: int | None = None) -> int:
         keys = list(keys)
         base = self.manifest()
         if base is None:
@@ -157,7 +199,8 @@ class PartitionedTable:
             # a key of the batch.
             bk = batch.select(*keys, *[F.col(c).alias("__b") for c in order])
             bk = F.broadcast(bk) if broadcast else bk.hint("merge")
-            tk = self.read().select(*keys, F.col(self.col).alias("__part"),
+            seen = None if near_days is None else self._near(self._values(batch), near_days)
+            tk = self.read(seen).select(*keys, F.col(self.col).alias("__part"),
                                     *[F.col(c).alias("__t") for c in order])
             matched = bk.join(tk, keys, "inner")
             if newer_than is not None:          # used twice below: compute once
