@@ -28,6 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.textkit import tidied
 from tidemark.session import work_dir
 
 LEXICON = 1 << 17        # frequent words in the automaton, a bound on its size
@@ -464,6 +465,7 @@ def round_trip(name: str, text: Column) -> Column:
     """Struct column: token ids as little-endian 32-bit integers, and the text
     decoded from them. A null text is empty."""
 
+    @tidied
     def run(texts: pa.Array) -> pa.Array:
         encoder = Encoder.of(name)
         ids, back = [], []

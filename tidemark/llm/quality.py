@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textkit import Words, slices
+from tidemark.llm.textkit import Words, slices, tidied
 
 BITS = 13                # hashed words
 RANK = 8
@@ -90,6 +90,7 @@ def _columns(docs: DataFrame, text_col: str, chars_col: str | None) -> tuple[Col
 
 
 def _sample_features():
+    @tidied
     def run(texts: pa.Array, chars: pa.Array) -> pa.Array:
         rows, count = [], chars.to_numpy()
         for lo, hi, words in slices(texts):
@@ -188,6 +189,7 @@ def score(fm: Machine, docs: DataFrame, text_col: str = "text",
     """Column: score from 0 to 1 of each whole text; null and empty texts too."""
     shared = docs.sparkSession.sparkContext.broadcast(fm)
 
+    @tidied
     def run(texts: pa.Array, chars: pa.Array) -> pa.Array:
         fm, out, count = shared.value, [], chars.to_numpy()
         words_size = 1 << BITS

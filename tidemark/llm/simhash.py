@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components, star_edges
-from tidemark.llm.textkit import joined, slices
+from tidemark.llm.textkit import joined, slices, tidied
 from tidemark.session import work_dir
 
 BITS = 64
@@ -35,6 +35,7 @@ _BLOCK = 1 << 17         # shingles whose bits are counted at once
 
 
 def _fingerprints(shingle: int):
+    @tidied
     def fingerprint(texts: pa.Array) -> pa.Array:
         out = np.zeros(len(texts), np.uint64)
         for lo, hi, words in slices(texts):
@@ -163,16 +164,23 @@ def link_fingerprints(fps: DataFrame, distance: int) -> DataFrame:
     most ``distance`` bits: per task a spanning forest of the links found there."""
     if not 0 < distance < BITS // 2:
         raise ValueError("distance must be between 1 and 31")
+    work_dir(fps.sparkSession)
     index, probe = _keys(distance)
     rows = fps.select("fp", F.explode(index).alias("key"))
     hot = (rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
-           .select("key", F.ceil(F.col("n") / HOT).cast("int").alias("cells")))
+           .select("key", F.ceil(F.col("n") / HOT).cast("int").alias("cells")).checkpoint())
+    probes = fps.select("fp", F.explode(probe).alias("key"))
+    if hot.isEmpty():                # one cell a key: nothing to look up
+        both = rows.withColumn("probe", F.lit(False)).unionByName(
+            probes.withColumn("probe", F.lit(True)))
+        return (both.select("key", F.lit(0).alias("cell"), "fp", "probe").repartition("key")
+                .mapInArrow(_links(distance), "u bigint, v bigint"))
     # a hot key's index rows are dealt to cells; its probes go to all of them
     one = F.coalesce(F.col("cells"), F.lit(1))
     index_rows = rows.join(hot, "key", "left").select(
         "key", F.pmod(F.xxhash64("fp"), one).cast("int").alias("cell"), "fp",
         F.lit(False).alias("probe"))
-    probe_rows = (fps.select("fp", F.explode(probe).alias("key")).join(hot, "key", "left")
+    probe_rows = (probes.join(hot, "key", "left")
                   .select("key", F.explode(F.sequence(F.lit(0), one - 1)).alias("cell"), "fp",
                           F.lit(True).alias("probe")))
     return (index_rows.unionByName(probe_rows).repartition("key", "cell")

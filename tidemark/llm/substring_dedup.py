@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import packing
-from tidemark.llm.textkit import mix, slices, windows
+from tidemark.llm.textkit import mix, slices, tidied, windows
 
 WINDOW = 20
 ANCHOR_BITS = 40
@@ -58,6 +58,7 @@ def _probes(window: int, parts: int):
     """Step 1, map side: the rolling half-window hashes of a chunk by hash range."""
     half = window // 2
 
+    @tidied
     def emit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         found = []
         for _, _, words in slices(table[_TEXT]):
@@ -83,6 +84,7 @@ def _probes(window: int, parts: int):
     return emit
 
 
+@tidied
 def _match(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Step 1, hash range side: hashes of a block that occur again, back to their chunks."""
     chunks = table["_chunk"].to_numpy()
@@ -131,6 +133,7 @@ def _extend(window: int, parts: int):
     """Step 2, map side: whole windows around a hit, each once with its first id here."""
     half = window // 2
 
+    @tidied
     def emit(key: tuple[pa.Scalar, ...], docs: pa.Table, hits: pa.Table) -> pa.Table:
         among = _values(hits)
         if not len(among) or not docs.num_rows:
@@ -175,6 +178,7 @@ def _parts(blob: bytes) -> list[bytes]:
     return out
 
 
+@tidied
 def _earlier(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Step 2, hash range side: to each chunk, its windows that an earlier document has."""
     chunks = table["_chunk"].to_numpy()
@@ -195,6 +199,7 @@ def _earlier(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 def _remove(window: int):
     """Step 3: cut covered words out of each text of a chunk."""
 
+    @tidied
     def cut(key: tuple[pa.Scalar, ...], docs: pa.Table, hits: pa.Table) -> pa.Table:
         among, docs = _values(hits), _ordered(docs)
         heads = []                                 # (hash, check) of each window, in order

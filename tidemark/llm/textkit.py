@@ -8,8 +8,12 @@ tasks on bounded slices of a partition.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import hashlib
-from collections.abc import Iterator
+import inspect
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +34,25 @@ _BYTE_FOLD = _BYTE[_LOWER]
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
+def tidied(run: Callable) -> Callable:
+    """``run``, giving freed memory back to the system when it is done. Workers live
+    on between tasks, and several share an executor's memory."""
+    @functools.wraps(run)
+    def tidy(*args):
+        try:
+            return run(*args)
+        finally:
+            gc.collect(1)
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):     # another C library
+                pass
+
+    tidy.__signature__ = inspect.signature(run)    # Spark counts the arguments
+    return tidy
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser: spreads every input bit over the 64 output bits."""
     x = x ^ (x >> np.uint64(30))
