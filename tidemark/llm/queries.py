@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import ann, bpe, chat, licences, mixing, quality, ship, toxicity
+from tidemark.llm import (ann, bpe, chat, collocations, content_sort, licences, merkle, mixing,
+                          quality, ship, toxicity)
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.simhash import fingerprint, fingerprint_groups
 from tidemark.llm.substring_dedup import remove_repeats
@@ -162,6 +164,139 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+def op11_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return content_sort.mark_copies(docs, keep="largest").select(
+        "row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP11_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+WINDOW same AS (PARTITION BY text)
+"""
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0,
+                      merkle.leaf_digest([*fields, lower]))
+    leaves = merkle.as_leaves(docs, [*fields, "text"], extra={"tampered": tampered})
+    proved = merkle.witnesses(merkle.build(leaves))
+    folded = merkle.fold(F.coalesce("row.tampered", "digest"), "witness")
+    hexed = [F.lower(F.hex(c)).alias(name) for c, name in
+             (("digest", "leaf"), ("subroot", "subroot"), ("root", "root"))]
+    return (proved.select(F.col("row.id").alias("doc_id"), *hexed, folded.alias("folded"))
+            .select("doc_id", "leaf", "subroot", "root", "folded.proof_sha256",
+                    F.col("folded.root").alias("folded_root"),
+                    (F.col("folded.root") == F.col("root")).alias("verified")))
+
+
+def _merkle_sql(levels: int) -> str:
+    """One WITH term a level: ``levels`` of a source, then as many of the sources. Folding
+    needs the siblings left and right of each node, for the true and the tampered leaf."""
+    def field(c: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    # CRC-32 bit by bit: a digit is mixed in, then eight steps marked -1 follow
+    digits = "CAST(doc_id AS VARCHAR)"
+    crc = (f"list_reduce(flatten(list_transform(range(1, len({digits}) + 1), lambda i: "
+           f"list_value(ascii({digits}[i])::BIGINT, {', '.join(['-1::BIGINT'] * 8)}))), "
+           "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END, "
+           "4294967295::BIGINT)")
+    terms = [f"""leaves AS (
+      SELECT doc_id, source, xor({crc}, 4294967295) % 5 = 0 AS hit,
+             sha256({head} || {field('text')}) AS leaf,
+             sha256({head} || {field(f"translate(text, '{upper}', '{lower}')")}) AS tampered
+      FROM documents)""",
+             """t0 AS (SELECT source AS tree, row_number() OVER (
+        PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS d FROM leaves)"""]
+    for tree in ("t", "s"):
+        if tree == "s":
+            terms.append(f"""s0 AS (SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos,
+                d, tree AS source FROM t{levels})""")
+        for k in range(levels):
+            terms.append(f"""{tree}{k + 1} AS (
+              SELECT tree, pos // 16 AS pos, CASE WHEN any_value(more) THEN sha256(string_agg(d, '' ORDER BY pos))
+                     ELSE any_value(d) END AS d
+              FROM (SELECT *, count(*) OVER (PARTITION BY tree) > 1 AS more FROM {tree}{k})
+              GROUP BY tree, pos // 16)""")
+            terms.append(f"""{tree}w{k} AS (
+              SELECT tree, pos, coalesce(string_agg(d, '' ORDER BY pos) OVER (run ROWS BETWEEN
+                       UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                     coalesce(string_agg(d, '' ORDER BY pos) OVER (run ROWS BETWEEN
+                       1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r,
+                     count(*) OVER (PARTITION BY tree) > 1 AS more
+              FROM {tree}{k} WINDOW run AS (PARTITION BY tree, pos // 16 ORDER BY pos))""")
+    terms.append(f"""f0 AS (
+      SELECT l.*, p.pos AS a, z.pos AS b, CASE WHEN hit THEN tampered ELSE leaf END AS f, '' AS proof
+      FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rn
+            FROM leaves) l
+      JOIN t0 p ON p.tree IS NOT DISTINCT FROM l.source AND p.pos = l.rn
+      JOIN s0 z ON z.source IS NOT DISTINCT FROM l.source)""")
+    step = 0
+    for tree, place in (("t", "a"), ("s", "b")):
+        for k in range(levels):
+            same = "w.tree IS NOT DISTINCT FROM f.source" if tree == "t" else "w.tree = 0"
+            terms.append(f"""f{step + 1} AS (
+              SELECT f.* REPLACE (f.{place} // 16 AS {place},
+                       CASE WHEN w.more THEN sha256(w.l || f.f || w.r) ELSE f.f END AS f,
+                       f.proof || w.l || w.r AS proof)
+              FROM f{step} f JOIN {tree}w{k} w ON {same} AND w.pos = f.{place})""")
+            step += 1
+    return f"""WITH {', '.join(terms)}
+    SELECT f.doc_id, f.leaf, t.d AS subroot, s.d AS root, sha256(f.proof) AS proof_sha256,
+           f.f AS folded_root, f.f = s.d AS verified
+    FROM f{step} f JOIN t{levels} t ON t.tree IS NOT DISTINCT FROM f.source JOIN s{levels} s ON s.tree = 0"""
+
+
+#: Five levels: 16^5 leaves of a source, and as many sources.
+OP12_SQL = _merkle_sql(5)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.mine(docs, least=30, keep=2000)
+
+
+OP13_SQL = f"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+      '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents)),
+grams AS (
+  SELECT lang, w[i:i + n - 1] AS g FROM (
+    SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM (
+      SELECT *, unnest(range(1, least(len(w), 4) + 1)) AS n FROM pieces))),
+f AS (SELECT lang, g, count(*) AS a FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.g, c.a, k, l.a AS l, r.a AS r, (2000000 * c.a::HUGEINT) // (l.a + r.a) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1) c
+  JOIN f l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, a, g[s:s + n - 1] AS g FROM (
+    SELECT *, unnest(range(1, len(g) - n + 2)) AS s FROM (
+      SELECT *, unnest(range(2, len(g))) AS n FROM f WHERE len(g) > 2))),
+longer AS (SELECT lang, g, max(a) AS most FROM inner_parts GROUP BY lang, g),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+ranked AS (
+  SELECT c.lang, row_number() OVER (PARTITION BY c.lang
+           ORDER BY score DESC, a DESC, array_to_string(c.g, ' ')) AS rank,
+         array_to_string(c.g, ' ') AS phrase, a, l, r, score
+  FROM lowest c LEFT JOIN longer o ON o.lang = c.lang AND o.g = c.g
+  WHERE o.most IS NULL OR 100 * o.most::HUGEINT < 80 * a::HUGEINT)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -171,6 +306,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup, op2_embedding_near_dedup, op3_toxicity, op4_mixing, op5_chat_formatting,
         op6_quality_classifier, op7_bpe,
         op8_simhash_near_dedup,
-        op9_license_scan, op10_nearest_neighbours, pipeline)}
+        op9_license_scan, op10_nearest_neighbours, op11_content_sort, op12_merkle_manifest,
+        op13_collocations, pipeline)}
 
-SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
+SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op11_content_sort": OP11_SQL,
+                       "op12_merkle_manifest": OP12_SQL, "op13_collocations": OP13_SQL}
