@@ -21,11 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import textkit
+from tidemark.llm.places import places
 from tidemark.llm.textkit import Words, tidied
 from tidemark.session import fresh_dir
 
@@ -61,7 +62,7 @@ def _gather(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
                                                    pa.py_buffer(out)])
 
 
-def _chunks(words: Words) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _chunks(words: Words, trigger: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(chunk texts, whether each is its text's last, text that each belongs to). Words of
     one piece are joined by a space, those of two by a line feed."""
     n = len(words.starts)
@@ -83,7 +84,7 @@ def _chunks(words: Words) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     clean[ends] = np.where(apart, BREAK, SPACE)
     h, whole = textkit.windows(words, words.hashes(fold_case=True), SHARED)
     index = words.index_in_doc()
-    cut = whole & (h % np.uint64(TRIGGER) == 0) & (index > 0)
+    cut = whole & (h % np.uint64(trigger) == 0) & (index > 0)
     first = np.flatnonzero(cut | (index == 0))
     doc = np.repeat(np.arange(len(words.first) - 1), words.counts)[first]
     last = np.append(doc[1:] != doc[:-1], True)
@@ -95,30 +96,37 @@ _PARSED = T.StructType([T.StructField("lang", T.StringType()), T.StructField("ch
                         T.StructField("last", T.BooleanType())])
 
 
-@tidied
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lang = batch.column("lang")
-        buf, offsets = textkit._buffers(batch.column("text"))
-        n, at = len(offsets) - 1, 0
-        while at < n:
-            to = int(np.searchsorted(offsets, offsets[at] + textkit.SLICE_BYTES, side="right")) - 1
-            to = min(max(to, at + 1), n)
-            lo, hi = offsets[at], offsets[to]
-            words = textkit._split(buf[lo:hi], offsets[at:to + 1] - lo, _GAP)
-            chunk, last, doc = _chunks(words)
-            if len(chunk):
-                yield pa.RecordBatch.from_arrays(
-                    [lang.take(pa.array(doc + at)), chunk, pa.array(last)], names=_PARSED.names)
-            at = to
-
-
-def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def _parse(batch: pa.RecordBatch, trigger: int) -> Iterator[pa.RecordBatch]:
+    """Chunks of a batch of texts, worked on in slices of bounded size."""
+    lang = batch.column("lang")
+    buf, offsets = textkit._buffers(batch.column("text"))
+    n, at = len(offsets) - 1, 0
+    while at < n:
+        to = int(np.searchsorted(offsets, offsets[at] + textkit.SLICE_BYTES, side="right")) - 1
+        to = min(max(to, at + 1), n)
+        lo, hi = offsets[at], offsets[to]
+        words = textkit._split(buf[lo:hi], offsets[at:to + 1] - lo, _GAP)
+        chunk, last, doc = _chunks(words, trigger)
+        if len(chunk):
+            yield pa.RecordBatch.from_arrays(
+                [lang.take(pa.array(doc + at)), chunk, pa.array(last)], names=_PARSED.names)
+        at = to
+
+
+def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+          trigger: int = TRIGGER) -> DataFrame:
     """The dictionary: (lang, chunk, last, freq), one row a distinct chunk of a language.
-    ``last`` marks chunks that end their text and share no words with a next one."""
+    ``last`` marks chunks that end their text and share no words with a next one. One
+    window in ``trigger`` cuts; counts do not depend on it."""
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNDEFINED)).alias("lang")
     rows = docs.select(lang, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    return (rows.mapInArrow(_parse, _PARSED).groupBy("lang", "chunk", "last")
+
+    @tidied
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _parse(batch, trigger)
+
+    return (rows.mapInArrow(chunks, _PARSED).groupBy("lang", "chunk", "last")
             .agg(F.count("*").alias("freq")))
 
 
@@ -236,12 +244,12 @@ def _bit_set(frequent: DataFrame):
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                  least: int = 30) -> DataFrame:
+                  least: int = 30, trigger: int = TRIGGER) -> DataFrame:
     """(lang, phrase, n_words, f) of all phrases of 1 to 4 words with f >= ``least``, and one
     row without a phrase a language, with the number of its words."""
     spark = docs.sparkSession
     path = fresh_dir(spark, "phrases")
-    parse(docs, text_col, lang_col).write.parquet(f"{path}/chunks")
+    parse(docs, text_col, lang_col, trigger).write.parquet(f"{path}/chunks")
     chunks = spark.read.parquet(f"{path}/chunks")
     bits, enough = None, (F.col("f") >= least) | F.col("phrase").isNull()
     for at, sizes in enumerate(((1,), (2,), tuple(range(3, LONGEST + 1)))):
@@ -303,7 +311,8 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least:
     kept = _score(counts).join(part_of, ["lang", "phrase"], "left").where(
         "most IS NULL OR 100BD * CAST(most AS decimal(20,0)) < 80BD * CAST(a AS decimal(20,0))")
     total = counts.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
-    return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase",
+    # ranks are places in sorted ranges: a language with most of the phrases is no single task
+    down = kept.withColumn("_order", F.struct((-F.col("score")).alias("s"), (-F.col("a")).alias("a"), "phrase"))
+    best = places(down, "lang", ["_order"]).drop("n").where(F.col("at") < keep)
+    return best.join(total, "lang").select("lang", (F.col("at") + 1).alias("rank"), "phrase",
                                            "a", "l", "r", "n", F.col("score").cast("long").alias("score"))

@@ -18,20 +18,18 @@ import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.textkit import tidied
+from tidemark.llm.places import places
 from tidemark.session import work_dir
 
 FAN = 16                 # children of a node
-LEVELS = 3               # levels of a block
-BLOCK = FAN ** LEVELS    # leaves of a block
+LEVELS = 3               # levels of a block, which has 16^3 = 4096 leaves
 SIZE = 32                # bytes of a digest
+LEAF_ORDER = ("key", "digest")
 
 
 # --- hashing -------------------------------------------------------------------
@@ -96,9 +94,9 @@ class Frontier:
         return root
 
 
-def _grow(digests: list[bytes], n: int) -> Frontier:
+def _grow(digests: list[bytes], n: int, levels: int) -> Frontier:
     """The block's frontier; its tree has n nodes of this round."""
-    frontier = Frontier(min(LEVELS, levels_of(n)))
+    frontier = Frontier(min(levels, levels_of(n)))
     for d in digests:
         frontier.append(d)
     return frontier
@@ -127,67 +125,30 @@ def fold(leaf: pa.Array, witness: pa.Array) -> pa.Array:
                                       ["root", "proof_sha256"])
 
 
-# --- places ----------------------------------------------------------------------
-
-def _places(leaves: DataFrame) -> DataFrame:
-    """Columns at (0, 1, ... in each tree, by key and digest) and n, without one task
-    for one tree: sorted ranges count for themselves, and range counts add up."""
-    order = ("tree", "key", "digest")
-    ranges = leaves.repartitionByRange(*order).sortWithinPartitions(*order)
-    out = T.StructType([*leaves.schema.fields, T.StructField("part", T.IntegerType()),
-                        T.StructField("at", T.LongType())])
-
-    @tidied
-    def number(batches):
-        part = TaskContext.get().partitionId()
-        last, seen = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tree = batch.column("tree")
-            codes = tree.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            heads = np.flatnonzero(np.diff(codes, prepend=-1))
-            at = np.arange(len(codes)) - np.repeat(heads, np.diff(np.append(heads, len(codes))))
-            first = heads[1] if len(heads) > 1 else len(codes)
-            if tree[0].as_py() == last:
-                at[:first] += seen
-            last, seen = tree[len(tree) - 1].as_py(), int(at[-1]) + 1
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(codes), part, np.int32)), pa.array(at)],
-                names=[*batch.schema.names, "part", "at"])
-
-    numbered = ranges.mapInArrow(number, out).checkpoint()
-    before = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (numbered.groupBy("tree", "part").agg(F.count("*").alias("rows"))
-               .select("tree", "part",
-                       F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"),
-                       F.sum("rows").over(Window.partitionBy("tree")).alias("n")))
-    placed = numbered.join(offsets, ["tree", "part"])
-    return placed.withColumn("at", F.col("at") + F.col("before")).drop("part", "before")
-
-
-def _block(at: str | Column = "at") -> Column:
-    return F.shiftright(at, BLOCK.bit_length() - 1)
-
-
-def _raise(nodes: DataFrame) -> DataFrame:
+# --- rounds ----------------------------------------------------------------------
+
+def _block(levels: int, at: str | Column = "at") -> Column:
+    return F.shiftright(at, levels * (FAN.bit_length() - 1))
+
+
+def _raise(nodes: DataFrame, levels: int) -> DataFrame:
     """Block roots of nodes (tree, at, n, digest): the nodes of the next round."""
-    schema = "tree string, at long, n long, digest binary"
+    schema, size = "tree string, at long, n long, digest binary", FAN ** levels
 
     def up(block: pa.Table) -> pa.Table:
         block = block.sort_by("at")
         n = block["n"][0].as_py()
-        root = _grow(block["digest"].to_pylist(), n).finish()
-        return pa.table({"tree": [block["tree"][0].as_py()], "at": [block["at"][0].as_py() // BLOCK],
-                         "n": [-(-n // BLOCK)], "digest": [root]},
+        root = _grow(block["digest"].to_pylist(), n, levels).finish()
+        return pa.table({"tree": [block["tree"][0].as_py()], "at": [block["at"][0].as_py() // size],
+                         "n": [-(-n // size)], "digest": [root]},
                         pa.schema([("tree", pa.string()), ("at", pa.int64()), ("n", pa.int64()),
                                    ("digest", pa.binary())]))
 
-    return (nodes.select("tree", "at", "n", "digest").groupBy("tree", _block().alias("block"))
+    return (nodes.select("tree", "at", "n", "digest").groupBy("tree", _block(levels).alias("block"))
             .applyInArrow(up, schema))
 
 
-def _extend(nodes: DataFrame, above: DataFrame) -> DataFrame:
+def _extend(nodes: DataFrame, above: DataFrame, levels: int) -> DataFrame:
     """``nodes`` with their witnesses up to the tree's root and on: the block's own, streamed
     again, then its root's (``above``: tree, at, witness, subroot, root)."""
     out = T.StructType([*nodes.schema.fields, T.StructField("witness", T.BinaryType()),
@@ -198,7 +159,7 @@ def _extend(nodes: DataFrame, above: DataFrame) -> DataFrame:
 
     def down(block: pa.Table, root: pa.Table) -> pa.Table:
         block = block.sort_by("at")
-        frontier = _grow(block["digest"].to_pylist(), block["n"][0].as_py())
+        frontier = _grow(block["digest"].to_pylist(), block["n"][0].as_py(), levels)
         frontier.finish()
         rest = root["witness"][0].as_py()
         full = [b"".join(parts) + rest for parts in frontier.witnesses]
@@ -207,7 +168,7 @@ def _extend(nodes: DataFrame, above: DataFrame) -> DataFrame:
             columns.append(pa.array([root[name][0].as_py()] * len(full), pa.binary()))
         return pa.table(columns, names=[*names, "witness", "subroot", "root"])
 
-    blocks = nodes.withColumn("block", _block())
+    blocks = nodes.withColumn("block", _block(levels))
     roots = above.withColumnRenamed("at", "block")
     return (blocks.groupBy("tree", "block").cogroup(roots.groupBy("tree", "block"))
             .applyInArrow(down, out))
@@ -219,10 +180,11 @@ def _extend(nodes: DataFrame, above: DataFrame) -> DataFrame:
 class Manifest:
     """``rounds[0]``: the leaves (tree, key, digest, row, at, n); ``rounds[r]``: block roots
     (tree, at, n, digest), the last of which are the subroots. ``top``: the rounds of
-    the last tree, whose leaves are the subroots in order."""
+    the last tree, whose leaves are the subroots in order. ``levels``: those of a block."""
 
     rounds: list[DataFrame]
     top: list[DataFrame]
+    levels: int = LEVELS
 
 
 def _tree(source: str) -> Column:
@@ -239,26 +201,26 @@ def as_leaves(docs: DataFrame, columns: Sequence[str], id_col: str = "doc_id",
                        leaf_digest(columns).alias("digest"), row.alias("row"))
 
 
-def _rounds(first: DataFrame) -> list[DataFrame]:
+def _rounds(first: DataFrame, levels: int) -> list[DataFrame]:
     """Rounds above placed nodes, until each tree is one node. A round has a 4096th of
     the nodes below, so there are few: three for 68 billion leaves of one tree."""
     rounds = [first]
     while (rounds[-1].agg(F.max("n")).first()[0] or 0) > 1:
-        rounds.append(_raise(rounds[-1]).checkpoint())
+        rounds.append(_raise(rounds[-1], levels).checkpoint())
     return rounds
 
 
-def _topped(rounds: list[DataFrame]) -> Manifest:
+def _topped(rounds: list[DataFrame], levels: int) -> Manifest:
     """A round in which all trees are one node has the subroots."""
     subroots = rounds[-1].select(F.lit("").alias("tree"), F.col("tree").alias("key"), "digest")
-    return Manifest(rounds, _rounds(_places(subroots)))
+    return Manifest(rounds, _rounds(places(subroots, "tree", LEAF_ORDER), levels), levels)
 
 
-def build(leaves: DataFrame) -> Manifest:
+def build(leaves: DataFrame, levels: int = LEVELS) -> Manifest:
     """Manifest of leaves (:func:`as_leaves`). In each tree leaves ascend by key, null
     first; leaves with one key by digest, so repeated rows are leaves of their own."""
     work_dir(leaves.sparkSession)
-    return _topped(_rounds(_places(leaves.checkpoint())))
+    return _topped(_rounds(places(leaves.checkpoint(), "tree", LEAF_ORDER), levels), levels)
 
 
 def append(manifest: Manifest, leaves: DataFrame) -> Manifest:
@@ -270,7 +232,7 @@ def append(manifest: Manifest, leaves: DataFrame) -> Manifest:
     work_dir(leaves.sparkSession)
     old = manifest.rounds[0]
     ends = old.groupBy("tree").agg(F.max("n").alias("old_n"), F.max("key").alias("last"))
-    more = _places(leaves.checkpoint()).join(ends, "tree", "left")
+    more = places(leaves.checkpoint(), "tree", LEAF_ORDER).join(ends, "tree", "left")
     if not more.where("last IS NOT NULL AND (key IS NULL OR key <= last)").isEmpty():
         raise ValueError("appended keys must follow the last key of their tree")
     more = more.withColumn("at", F.col("at") + F.coalesce("old_n", F.lit(0))).drop("last", "old_n")
@@ -280,23 +242,24 @@ def append(manifest: Manifest, leaves: DataFrame) -> Manifest:
              .checkpoint())
     placed = (old.unionByName(more).drop("n").join(grown.select("tree", "n"), "tree")
               .select(*old.columns).checkpoint())
-    closed = _block("old_n")
-    fresh = placed.join(grown.select("tree", "old_n"), "tree").where(_block() >= closed)
-    roots = _raise(fresh)
+    levels = manifest.levels
+    closed = _block(levels, "old_n")
+    fresh = placed.join(grown.select("tree", "old_n"), "tree").where(_block(levels) >= closed)
+    roots = _raise(fresh, levels)
     if len(manifest.rounds) > 1:
         kept = manifest.rounds[1].drop("n").join(grown, "tree").where(F.col("at") < closed)
-        blocks = _block(F.col("n") + BLOCK - 1)
+        blocks = _block(levels, F.col("n") + FAN ** levels - 1)
         kept = kept.select("tree", "at", blocks.alias("n"), "digest")
         roots = roots.unionByName(kept)
-    return _topped([placed, *_rounds(roots.checkpoint())])
+    return _topped([placed, *_rounds(roots.checkpoint(), levels)], levels)
 
 
-def _descend(rounds: list[DataFrame], seeds: DataFrame) -> DataFrame:
+def _descend(rounds: list[DataFrame], seeds: DataFrame, levels: int) -> DataFrame:
     """The nodes of the first round with witness, subroot and root, from those of each
     tree's root (``seeds``: tree, witness, subroot, root)."""
     found = rounds[-1].join(seeds, "tree")
     for nodes in reversed(rounds[:-1]):
-        found = _extend(nodes, found.select("tree", "at", "witness", "subroot", "root"))
+        found = _extend(nodes, found.select("tree", "at", "witness", "subroot", "root"), levels)
     return found
 
 
@@ -305,6 +268,6 @@ def witnesses(manifest: Manifest) -> DataFrame:
     root, the root of its tree and the root; :func:`fold` follows a witness. No leaves: no rows."""
     last = manifest.top[-1].select("tree", F.lit(b"").alias("witness"),
                                    F.col("digest").alias("subroot"), F.col("digest").alias("root"))
-    trees = _descend(manifest.top, last).select(
+    trees = _descend(manifest.top, last, manifest.levels).select(
         F.col("key").alias("tree"), "witness", F.col("digest").alias("subroot"), "root")
-    return _descend(manifest.rounds, trees)
+    return _descend(manifest.rounds, trees, manifest.levels)
