@@ -1,9 +1,8 @@
-import datetime as dt
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tidemark.operators.keyfilter import key_filter, might_hold
 from tidemark.operators.upsert import upsert
 from tidemark.session import fresh_dir
 from tidemark.sources.partitioned import PartitionedTable
@@ -12,38 +11,70 @@ from tests.conftest import rows
 SCHEMA = "k string, d string, v int"
 
 
+def files_of(t, value):
+    return [f for f in t.files() if f"/d={value}/" in f]
+
+
 def test_only_touched_partitions_are_rewritten(spark):
     t = PartitionedTable(spark, fresh_dir(spark, "pt"), "d")
     t.write(spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-02", 2),
                                    ("c", "2024-01-03", 3)], SCHEMA))
-    m1 = t.manifest()["partitions"]
+    before = {d: files_of(t, d) for d in t.partitions()}
     # update a (moves from 01-01 to 01-04), insert e on 01-02
     t.upsert(spark.createDataFrame([("a", "2024-01-04", 10), ("e", "2024-01-02", 5)], SCHEMA),
              ["k"])
-    m2 = t.manifest()["partitions"]
-    assert m2["2024-01-03"] == m1["2024-01-03"]          # untouched: same folder
-    assert m2["2024-01-02"] != m1["2024-01-02"]
-    assert "2024-01-01" not in m2                          # emptied by the move
+    assert files_of(t, "2024-01-03") == before["2024-01-03"]          # untouched: same files
+    assert files_of(t, "2024-01-02") != before["2024-01-02"]
+    assert t.partitions() == ["2024-01-02", "2024-01-03", "2024-01-04"]     # 01-01 emptied by the move
     assert rows(t.read(), "k", "d", "v") == [("a", "2024-01-04", 10), ("b", "2024-01-02", 2),
                                               ("c", "2024-01-03", 3), ("e", "2024-01-02", 5)]
 
 
-def test_newer_than_and_expire(spark):
+def test_newer_than_rewrites_nothing_without_a_winner(spark):
     t = PartitionedTable(spark, fresh_dir(spark, "pt"), "d")
     t.write(spark.createDataFrame([("a", "x", 5)], SCHEMA))
+    before = t.files()
     t.upsert(spark.createDataFrame([("a", "x", 3)], SCHEMA), ["k"], newer_than="v")
-    assert rows(t.read(), "k", "v") == [("a", 5)]
-    assert t.commits() == [1]                  # nothing newer: no commit at all
+    assert rows(t.read(), "k", "v") == [("a", 5)] and t.files() == before
     t.upsert(spark.createDataFrame([("a", "x", 7)], SCHEMA), ["k"], newer_than="v")
     assert rows(t.read(), "k", "v") == [("a", 7)]
-    gone = t.expire(keep=1)
-    assert len(gone) == 1 and rows(t.read(), "k", "v") == [("a", 7)]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_versions_far_apart_leave_one_row(spark, broadcast):
+    t = PartitionedTable(spark, fresh_dir(spark, "pt"), "d")
+    t.write(spark.createDataFrame([("1", "2024-01-01", 1), ("2", "2024-01-01", 1)], SCHEMA))
+    t.upsert(spark.createDataFrame([("1", "2024-02-10", 2)], SCHEMA), ["k"], newer_than="v",
+             broadcast=broadcast)
+    assert rows(t.read(), "k", "d", "v") == [("1", "2024-02-10", 2), ("2", "2024-01-01", 1)]
+
+
+@pytest.mark.parametrize("newer", [None, "v"])
+def test_upsert_completes_one_that_broke_off(spark, newer):
+    """The driver died when the new partition was in place and the old one not yet replaced."""
+    t = PartitionedTable(spark, fresh_dir(spark, "pt"), "d")
+    t.write(spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-01", 1),
+                                   ("a", "2024-01-04", 2)], SCHEMA))
+    t.upsert(spark.createDataFrame([("a", "2024-01-04", 2)], SCHEMA), ["k"], newer_than=newer)
+    assert rows(t.read(), "k", "d", "v") == [("a", "2024-01-04", 2), ("b", "2024-01-01", 1)]
+
+
+def test_large_batches_filter_the_scan_by_key_bits(spark):
+    keys = spark.range(0, 2000, 40).selectExpr("cast(id AS string) AS k", "id % 7 AS g")
+    target = spark.range(2000).selectExpr("cast(id AS string) AS k", "id % 7 AS g", "id AS v")
+    found = might_hold(target, key_filter(keys, ["k", "g"]), ["k", "g"])
+    assert found.columns == target.columns
+    held = {r["k"] for r in found.collect()}
+    assert held >= {r["k"] for r in keys.collect()} and len(held) < 60
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_bad_partition_value_refused(spark):
     t = PartitionedTable(spark, fresh_dir(spark, "pt"), "d")
-    with pytest.raises(ValueError):
-        t.write(spark.createDataFrame([("a", "x/y", 1)], SCHEMA))
+    for bad in ("x/y", None):
+        with pytest.raises(Exception, match="must match"):
+            t.write(spark.createDataFrame([("a", bad, 1)], SCHEMA))
 
 
 ops = st.lists(st.lists(st.tuples(st.sampled_from("abcdef"), st.sampled_from(["p1", "p2", "p3"]),
@@ -64,19 +95,6 @@ def test_same_result_as_whole_table_upsert(spark, batches):
     assert rows(t.read(), "k", "d", "v") == rows(expected, "k", "d", "v")
 
 
-def test_concurrent_commit_is_refused_not_lost(spark):
-    """A writer whose base commit is stale fails instead of overwriting."""
-    path = fresh_dir(spark, "pt")
-    a, b = PartitionedTable(spark, path, "d"), PartitionedTable(spark, path, "d")
-    a.write(spark.createDataFrame([("k1", "x", 1)], SCHEMA))
-    base = b.manifest()                                   # b reads commit 1
-    a.upsert(spark.createDataFrame([("k2", "x", 2)], SCHEMA), ["k"])   # a commits 2
-    stale = spark.createDataFrame([("k3", "y", 3)], SCHEMA)
-    with pytest.raises(Exception, match="exists"):
-        b._commit(stale, ["y"], base)                     # b tries to commit 2 as well
-    assert rows(a.read(), "k") == [("k1",), ("k2",)]      # a's commit intact
-
-
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(batches=ops)
 def test_newer_than_same_result_as_whole_table_upsert(spark, batches):
@@ -88,21 +106,3 @@ def test_newer_than_same_result_as_whole_table_upsert(spark, batches):
         expected = df if expected is None else upsert(expected, df, ["k"], newer_than="v",
                                                       checkpoint=False)
     assert rows(t.read(), "k", "d", "v") == rows(expected, "k", "d", "v")
-
-
-def test_reads_and_upserts_open_only_the_dates_they_need(spark):
-    t = PartitionedTable(spark, fresh_dir(spark, "since"), "d")
-    row = "k string, d string, v int, ingestion_time timestamp_ntz"
-    at = lambda n: dt.datetime(2024, 1, n)
-    t.write(spark.createDataFrame([("a", "2024-01-01", 1, at(1)), ("b", "2024-01-05", 1, at(1)),
-                                   ("c", "unknown", 1, at(1))], row))
-    t.upsert(spark.createDataFrame([("b", "2024-01-05", 2, at(2))], row), ["k"])
-    dates = lambda df: sorted({f.split("/d=")[1].split("/")[0] for f in df.inputFiles()})
-    assert dates(t.read()) == ["2024-01-01", "2024-01-05", "unknown"]
-    assert dates(t.read_since(at(1))) == ["2024-01-05"]
-    assert rows(t.read_since(at(1)), "k", "v") == [("b", 2)]
-    assert t._near(["2024-01-04"], 1) == ["2024-01-05", "unknown"]
-    t.upsert(spark.createDataFrame([("b", "2024-01-06", 3, at(3)), ("c", "2024-01-06", 3, at(3))], row),
-             ["k"], near_days=1)
-    assert rows(t.read(), "k", "d", "v") == [("a", "2024-01-01", 1), ("b", "2024-01-06", 3),
-                                             ("c", "2024-01-06", 3)]

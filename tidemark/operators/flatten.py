@@ -107,8 +107,8 @@ def flatten_visitors(bronze: DataFrame, keep: Sequence[str] = ("ingestion_time",
     return flatten(bronze, VISITOR_SPEC, keep=[c for c in keep if c in bronze.columns])
 
 
-def flatten_visitor_detail(raw: DataFrame) -> DataFrame:
-    return flatten(raw, VISITOR_DETAIL_SPEC)
+def flatten_visitor_detail(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return flatten(raw, VISITOR_DETAIL_SPEC, keep=keep)
 
 
 def flatten_events(bronze: DataFrame, keep: Sequence[str] = ("ingestion_time",)) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +78,11 @@ def fact_visitor_engagement(events: DataFrame) -> DataFrame:
     """curated ``fact_visitor_engagement``: one row per event key."""
     ranked = latest_per_key(events.withColumn("_rcv", _order_time("received_at")),
                             ["event_key"], newest_first("_rcv"))
-    return ranked.select("event_key", "media_id", F.col("visitor_key").alias("visitor_id"),
+    return visitor_engagement_rows(ranked)
+
+
+def visitor_engagement_rows(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The fact's columns, for events that have one row a key already."""
+    return events.select("event_key", "media_id", F.col("visitor_key").alias("visitor_id"),
                          F.col("received_at").alias("event_timestamp"), "percent_viewed",
-                         "browser", "country", "embed_url")
+                         "browser", "country", "embed_url", *keep)

@@ -1,38 +1,41 @@
 """The layer jobs: landing -> bronze -> silver -> gold / curated -> KPI.
 
-Each job reads committed table versions and writes new ones (see
-:class:`tidemark.sources.snapshots.SnapshotTable` and
-:class:`tidemark.sources.partitioned.PartitionedTable`), so any job can be
-re-run after a failure. Incremental jobs follow one shape:
-
-    mark = marks.get(name)            # S7
-    batch = rows newer than mark      # F1, pushed to the scan
-    (n, newest) = one pass over batch # F5 guard + A3 mark, same data
-    transform, dedup per key, upsert  # W1/A8, K3
-    marks.save(name, newest)          # K6, only after the write
+Every upsert is idempotent, so any job can be re-run after a failure. Each load
+marks its rows with a ``load_id`` of its own, and a ledger names the loads that a
+job has consumed. Incremental jobs follow one shape:
+
+    todo = loads of the source that the ledger lacks   # F1, S7: anti-join, no clock
+    (n, newest) = observed while todo is written       # F5 guard, A3
+    transform, dedup per key, upsert rows of todo      # W1/A8, K3
+    ledger.append(todo), marks.save(name, newest)      # K6, only after the write
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.time import parse_iso, to_utc_naive
-from tidemark.operators import dedup, incremental, kpi, model
+from tidemark.operators import dedup, incremental, kpi, model, sketches
 from tidemark.operators.flatten import (MEDIA_ASSET_KEY, flatten_events, flatten_media,
                                         flatten_visitor_detail, flatten_visitors)
 from tidemark.operators.stamp import source_file, stamp
+from tidemark.operators.joins import sized_broadcast
 from tidemark.operators.upsert import materialize
 from tidemark.sinks import land_json
-from tidemark.sources import catalog
-from tidemark.sources.files import (CORRUPT_COLUMN, RAW_COLUMN, list_children, parse_records,
-                                    path_exists, read_json, read_text_records, text_schema)
+from tidemark.sources import append, catalog
+from tidemark.sources.append import AppendTable
+from tidemark.sources.files import (CORRUPT_COLUMN, RECORD_COLUMN, list_children, list_files,
+                                    parse_records, path_exists, read_json, read_text_records,
+                                    text_schema)
 from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.state import WatermarkStore
@@ -57,9 +60,18 @@ RECORD_TIME = "record_time"
 LANDING_PARTITION = "landed_date"
 EVENT_DATE = "event_date"
 
+LOAD_ID = "load_id"
+
 # The large, append-mostly tables, partitioned by event date so
 # an incremental upsert rewrites only the dates it touches.
-PARTITIONED_TABLES = {("bronze", "events"): EVENT_DATE, ("silver", "events"): EVENT_DATE}
+PARTITIONED_TABLES = {("bronze", "events"): EVENT_DATE, ("silver", "events"): EVENT_DATE,
+                      ("curated", "fact_visitor_engagement"): EVENT_DATE,
+                      ("curated", "visitor_sketches"): EVENT_DATE}
+
+
+def new_load_id() -> str:
+    """A name for one load, unlike any other's: loads are told apart, never ordered."""
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
 
 
 def run_parallel(tasks: dict) -> dict:
@@ -80,6 +92,9 @@ def event_date(time: str | F.Column) -> F.Column:
     return F.coalesce(F.date_format(t, "yyyy-MM-dd"), F.lit("unknown"))
 
 
+# Tables that only grow.
+GROWING_TABLES = {("refined", "visitor_detail_flattened"), ("state", "visitor_numbers")}
+
 LAYERS = ("bronze", "silver", "gold", "refined", "curated", "quarantine", "state")
 
 # Raw folder layouts. "landed" is ours (JSON lines by landing
@@ -101,14 +116,12 @@ class Lake:
     """
 
     def __init__(self, spark: SparkSession, root: str, raw_multi_line: bool = False,
-                 raw_layout: str = "landed", lateness: dt.timedelta | None = None,
-                 version_days: int | None = None):
+                 raw_layout: str = "landed", lateness: dt.timedelta | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.raw_multi_line = raw_multi_line
         self.raw_layout = raw_layout
-        self.lateness = lateness     # landing and layer jobs re-read this window before the mark
-        self.version_days = version_days     # versions of one event are at most so far apart
+        self.lateness = lateness     # landing takes records of this window before its mark too
         self.marks = WatermarkStore(spark, f"{self.root}/state/watermarks")
 
     def raw_partitions(self, entity_name: str) -> tuple[str, ...]:
@@ -119,28 +132,42 @@ class Lake:
 
     def table(self, layer: str, name: str) -> Table:
         path = f"{self.root}/{layer}/{name}"
+        if layer == "quarantine" or (layer, name) in GROWING_TABLES:
+            return AppendTable(self.spark, path)
         col = PARTITIONED_TABLES.get((layer, name))
         return PartitionedTable(self.spark, path, col) if col else SnapshotTable(self.spark, path)
 
-    def upsert_options(self, table: Table) -> dict:
-        return {"near_days": self.version_days} if isinstance(table, PartitionedTable) else {}
+    def read_files(self, job: str) -> AppendTable:
+        """Ledger of the raw files that a job has read."""
+        return AppendTable(self.spark, f"{self.root}/state/read_files/{job}", append.FILES)
+
+    def read_loads(self, job: str) -> AppendTable:
+        """Ledger of the loads, by part of the source table, that a job has consumed."""
+        return AppendTable(self.spark, f"{self.root}/state/read_loads/{job}", append.LOADS)
 
     def tables(self) -> list[tuple[str, str]]:
         """(layer, name) of every table that a job has written."""
         found = [(layer, name) for layer in LAYERS
                  for name in list_children(self.spark, f"{self.root}/{layer}")]
-        return sorted(t for t in found if t != ("state", "watermarks") and self.table(*t).exists())
-
-    def read_records(self, name: str, schema, partition_columns: Sequence[str] = ()) -> DataFrame:
-        """Raw records with their text, parsed once; see :func:`parse_records`."""
+        ledgers = {("state", n) for n in ("watermarks", "read_files", "read_loads")}
+        return sorted(t for t in found if t not in ledgers and self.table(*t).exists())
+
+    def new_files(self, name: str, job: str) -> list:
+        """Raw files that the job has not read as they are now: new ones, and those whose size
+        or time changed. The paths of one load's files, as any reader lists them."""
+        unread = self.read_files(job).unread(list_files(self.spark, self.raw(name)),
+                                             append.FILES.fieldNames())
+        return unread.collect()
+
+    def mark_read(self, job: str, files: list) -> None:
+        self.read_files(job).append(self.spark.createDataFrame(files, append.FILES))
+
+    def read_records(self, name: str, schema, partition_columns: Sequence[str] = (),
+                     files: list | None = None) -> DataFrame:
+        """Raw records, parsed once; see :func:`parse_records`."""
+        paths = None if files is None else [f["path"] for f in files]
         return parse_records(read_text_records(self.spark, self.raw(name), self.raw_multi_line,
-                                               tuple(partition_columns)), schema)
-
-    def read_good(self, name: str, schema, partition_columns: Sequence[str] = ()) -> DataFrame:
-        """The raw records that parse, without the columns that tell."""
-        records = self.read_records(name, schema, partition_columns)
-        return records.where(F.col(CORRUPT_COLUMN).isNull()).drop(
-            CORRUPT_COLUMN, RAW_COLUMN, "source_file")
+                                               tuple(partition_columns), paths), schema)
 
     def read_raw(self, entity: Entity, partition_columns: Sequence[str] | None = None,
                  keep_corrupt: bool = False):
@@ -169,10 +196,10 @@ def land(lake: Lake, entity: Entity, records: DataFrame, allowed: Sequence[str]
                                    parsed_col="_t")
     if allowed is not None:
         acc = incremental.allow_list(acc, allow_col or entity.key, allowed)
-    acc = materialize(acc)
-    n, newest = incremental.batch_stats(acc, "_t")
+    seen = Observation()
+    _land_rows(lake, entity, acc, seen)
+    n, newest = seen.get["n"], seen.get["newest"]
     if n:
-        _land_rows(lake, entity, acc)
         lake.marks.save(mark_name, max(to_utc_naive(mark), newest))
     return n
 
@@ -181,9 +208,11 @@ def _overlap(lake: Lake, mark: dt.datetime) -> dt.datetime:
     return to_utc_naive(mark) - lake.lateness if lake.lateness else mark
 
 
-def _land_rows(lake: Lake, entity: Entity, rows: DataFrame) -> None:
-    land_json(rows.withColumn(LANDING_PARTITION, event_date("_t")).drop("_t"),
-              lake.raw(entity.name), partition_by=[LANDING_PARTITION])
+def _land_rows(lake: Lake, entity: Entity, rows: DataFrame, seen: Observation) -> None:
+    """Lands ``rows``; their number and newest time are observed by the write itself."""
+    land_json(rows.withColumn(LANDING_PARTITION, event_date("_t")), lake.raw(entity.name),
+              partition_by=[LANDING_PARTITION], drop=["_t"],
+              observe=(seen, F.count(F.lit(1)).alias("n"), F.max("_t").alias("newest")))
 
 
 def land_visitors(lake: Lake, visitor_list: DataFrame, details: DataFrame) -> int:
@@ -206,9 +235,9 @@ def land_visitors(lake: Lake, visitor_list: DataFrame, details: DataFrame) -> in
         wanted = (listed.unionByName(pending.read()).groupBy("visitor_key")
                   .agg(F.max("_t").alias("_t")))
     picked = materialize(details.join(wanted, on="visitor_key", how="inner"))
-    n = picked.count()
-    if n:
-        _land_rows(lake, VISITOR_DETAIL, picked)
+    seen = Observation()
+    _land_rows(lake, VISITOR_DETAIL, picked, seen)
+    n = seen.get["n"]
     missing = materialize(wanted.join(picked.select("visitor_key"), "visitor_key", "left_anti"))
     if waiting or not missing.isEmpty():
         pending.write(missing)
@@ -234,50 +263,63 @@ def split_records(records: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected records) of parsed raw records. Together they are all
     of them: a record is rejected as ``malformed`` if it is no JSON object or any
     declared field has another type, and as ``missing_key`` without its key."""
-    reason = (F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed")
-              .when(F.col(key).isNull(), "missing_key"))
-    told = records.withColumn("reason", reason)
+    told = records.withColumn("reason", _reason(key))
     good = told.where(F.col("reason").isNull()).drop("reason", CORRUPT_COLUMN)
+    text = F.coalesce(F.col(CORRUPT_COLUMN), F.to_json(RECORD_COLUMN))
     return good, told.where(F.col("reason").isNotNull()).select(
-        "source_file", F.col(RAW_COLUMN).alias(CORRUPT_COLUMN), "reason")
+        "source_file", text.alias(CORRUPT_COLUMN), "reason")
 
 
-def add_rejected(lake: Lake, name: str, rejected: DataFrame, now: dt.datetime | str) -> int:
+def _reason(key: str) -> F.Column:
+    return (F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed")
+            .when(F.col(key).isNull(), "missing_key"))
+
+
+def add_rejected(lake: Lake, name: str, rejected: DataFrame, now: dt.datetime | str) -> None:
     """Append rejected records to ``quarantine/<name>``, one row a text and file with
-    the number of its records. What the table has is not added again, so a replay or
-    a batch reload changes nothing. Returns the rows added."""
+    the number of its records. What the table has is not added again, so a replayed
+    load changes nothing; what it has is never rewritten."""
     same = ["source_file", CORRUPT_COLUMN, "reason"]
     table = lake.table("quarantine", name)
     rows = rejected.groupBy(*same).agg(F.count("*").alias("n_records"))
-    known = table.read() if table.exists() else None
-    if known is not None:
-        rows = rows.join(known.select(*same), same, "left_anti")
-    rows = materialize(stamp(rows, now=now))
-    n = rows.count()
-    if n:
-        table.write(rows if known is None else known.unionByName(rows, allowMissingColumns=True))
-    return n
+    table.append(stamp(table.unread(rows, same), now=now))
+
+
+def parsed_once(lake: Lake, name: str, schema, key: str, files: list | None = None,
+                partition_columns: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, int]:
+    """(good rows, rejected records, number of these) of raw files. They are parsed once, into
+    shared storage; the rejected are counted on the way, so nobody looks for them in vain."""
+    seen = Observation()
+    records = lake.read_records(name, schema, partition_columns, files)
+    records = records.observe(seen, F.count(_reason(key)).alias("rejected"))
+    good, rejected = split_records(materialize(records), key)
+    return good, rejected, seen.get["rejected"]
 
 
 def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
                   entities: Sequence[Entity] = ENTITIES, quarantine: bool = True) -> dict[str, int]:
-    """Batch reload of all raw files into bronze. A key is replaced only by a
-    strictly newer record, so unchanged rows keep their ingestion time.
-
-    Records are parsed once, with the full schema, into shared storage; good and
-    rejected ones come from that one result. Bronze keeps each record's whole text
-    next to the declared fields. With ``quarantine`` (default), rejected records are
-    added to ``quarantine/<entity>``."""
+    """Load raw files that bronze has not read as they are now; returns how many, by entity.
+
+    A ledger of files (path, size, time) is anti-joined with the listing, so a load
+    over unchanged raw reads none. A key is replaced only by a strictly newer record, so
+    unchanged rows keep their load and ingestion time. Bronze keeps each whole record as
+    a VARIANT next to the declared fields. With ``quarantine`` (default), rejected records
+    are added to ``quarantine/<entity>``. The files are marked read at the end: after a
+    crash they are read again, which changes nothing."""
     now = now or dt.datetime.now(dt.timezone.utc)
 
     def load(e: Entity) -> int:
-        records = materialize(lake.read_records(e.name, e.schema, lake.raw_partitions(e.name)))
-        good, rejected = split_records(records, e.key)
-        if quarantine:
-            add_rejected(lake, e.name, rejected, now)
-        batch = bronze_batch(good, e, now)
-        table = lake.table("bronze", e.name)
-        return table.upsert(batch, [e.key], newer_than=RECORD_TIME, **lake.upsert_options(table))
+        job = f"bronze_{e.name}"
+        files = lake.new_files(e.name, job)
+        if files:
+            good, rejected, n_rejected = parsed_once(lake, e.name, e.schema, e.key, files,
+                                                     lake.raw_partitions(e.name))
+            if quarantine and n_rejected:
+                add_rejected(lake, e.name, rejected, now)
+            batch = bronze_batch(good, e, now).withColumn(LOAD_ID, F.lit(new_load_id()))
+            lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
+            lake.mark_read(job, files)
+        return len(files)
 
     present = [e for e in entities if path_exists(lake.spark, lake.raw(e.name))]
     return run_parallel({e.name: (lambda e=e: load(e)) for e in present})
@@ -285,22 +327,47 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
 
 # --- D2-D6: incremental layer jobs -------------------------------------------
 
-Table = SnapshotTable | PartitionedTable
+Table = SnapshotTable | PartitionedTable | AppendTable
+
 
+def _unread(lake: Lake, job: str, source: Table) -> tuple[int, DataFrame | None, DataFrame | None, dt.datetime | None]:
+    """(rows, the rows, the loads they come from, newest ingestion) that the job has not consumed.
 
-def _incremental(lake: Lake, mark_name: str, source: Table, target: Table,
-                 transform, key: str) -> int:
+    A row is unread if its load, in its part of the table, is not in the job's ledger: neither
+    clocks nor the order of commits matter. Only the columns that tell are read of the
+    whole source, and rows only of the parts that hold something unread. A load that
+    commits part by part is consumed part by part.
+    """
     if not source.exists():
-        return 0
-    mark = lake.marks.get(mark_name, incremental.DEFAULT_LAYER_MARK)
-    rows = (source.read_since(_overlap(lake, mark)) if isinstance(source, PartitionedTable)
-            else source.read())
-    batch = materialize(incremental.newer_than_mark(rows, "ingestion_time", mark,
-                                                    lateness=lake.lateness))
-    n, newest = incremental.batch_stats(batch, "ingestion_time")
+        return 0, None, None, None
+    rows = source.read()
+    part = F.col(source.col) if isinstance(source, PartitionedTable) else F.lit("")
+    seen = Observation()
+    found = rows.groupBy(LOAD_ID, part.alias("part")).agg(
+        F.count("*").alias("n"), F.max("ingestion_time").alias("newest"))
+    todo = materialize(lake.read_loads(job).unread(found, [LOAD_ID, "part"]).observe(
+        seen, F.sum("n").alias("n"), F.max("newest").alias("newest")))
+    # the join prunes the source to the parts in question when it is planned or run
+    wanted = sized_broadcast(todo.select(F.col(LOAD_ID).alias("_load"), F.col("part").alias("_part")))
+    batch = rows.join(wanted, (F.col(LOAD_ID) == F.col("_load")) & (part == F.col("_part")), "left_semi")
+    return seen.get["n"] or 0, batch, todo, seen.get["newest"]
+
+
+def _consumed(lake: Lake, job: str, todo: DataFrame, newest: dt.datetime | None) -> None:
+    """The job is done with these loads; its mark, which tells how far it came, never goes back."""
+    def mark() -> None:
+        before = lake.marks.get(job, incremental.DEFAULT_LAYER_MARK)
+        lake.marks.save(job, max(before, newest or before))
+
+    run_parallel({"loads": lambda: lake.read_loads(job).append(todo), "mark": mark})
+
+
+def _incremental(lake: Lake, job: str, source: Table, target: Table, transform, key: str) -> int:
+    """Upsert into ``target`` what the job has not consumed of ``source``; returns how many rows."""
+    n, batch, todo, newest = _unread(lake, job, source)
     if n:
-        target.upsert(transform(batch), [key], **lake.upsert_options(target))
-        lake.marks.save(mark_name, max(to_utc_naive(mark), newest))
+        target.upsert(transform(batch).withColumn(LOAD_ID, F.lit(new_load_id())), [key])
+        _consumed(lake, job, todo, newest)
     return n
 
 
@@ -352,34 +419,48 @@ def silver_to_gold(lake: Lake) -> dict[str, int]:
 # --- D7-D11: full-refresh layers --------------------------------------------
 
 def refine(lake: Lake) -> None:
-    """refined media summary (pass-through) and visitor detail (flattened)."""
-    spark = lake.spark
+    """Refined media summary (pass-through, rebuilt) and visitor detail: every good raw
+    record flattened, versions too. Raw files are never rewritten rows, so the latter
+    only grows by the files not read yet."""
+    spark, now = lake.spark, dt.datetime.now(dt.timezone.utc)
     if path_exists(spark, lake.raw("media_summary")):
-        summary = materialize(lake.read_records("media_summary", schemas.MEDIA_SUMMARY))
-        good, rejected = split_records(summary, "media_id")
-        add_rejected(lake, "media_summary", rejected, dt.datetime.now(dt.timezone.utc))
-        lake.table("refined", "media_summary").write(good.drop(RAW_COLUMN, "source_file"))
-    if path_exists(spark, lake.raw(VISITOR_DETAIL.name)):
-        lake.table("refined", "visitor_detail_flattened").write(flatten_visitor_detail(
-            lake.read_good(VISITOR_DETAIL.name, VISITOR_DETAIL.schema,
-                           lake.raw_partitions(VISITOR_DETAIL.name))))
+        good, rejected, n = parsed_once(lake, "media_summary", schemas.MEDIA_SUMMARY, "media_id")
+        if n:
+            add_rejected(lake, "media_summary", rejected, now)
+        lake.table("refined", "media_summary").write(good.drop(RECORD_COLUMN, "source_file"))
+    job = "refined_visitor_detail"
+    files = lake.new_files(VISITOR_DETAIL.name, job) if path_exists(
+        spark, lake.raw(VISITOR_DETAIL.name)) else []
+    if files:
+        records = lake.read_records(VISITOR_DETAIL.name, VISITOR_DETAIL.schema,
+                                    lake.raw_partitions(VISITOR_DETAIL.name), files)
+        flat = flatten_visitor_detail(records.where(F.col(CORRUPT_COLUMN).isNull()),
+                                      keep=["source_file"])
+        table = lake.table("refined", "visitor_detail_flattened")
+        table.append(table.unread(flat, ["source_file"]))       # a file's rows go in once
+        lake.mark_read(job, files)
+
+
+UPKEEP = ("ingestion_time", EVENT_DATE)      # columns that jobs go by and reports do not show
 
 
 def curate(lake: Lake) -> None:
-    """curated dims and facts, rebuilt from their sources (each skipped when
-    its source does not exist yet; independent tables are built side by side)."""
+    """curated dims and facts, from bronze, silver and refined tables only (each skipped when
+    its source does not exist yet; independent tables are built side by side). The visitor
+    fact takes only what is new in silver, which holds one row a key already."""
     tasks = {}
-    if path_exists(lake.spark, lake.raw(MEDIA_METADATA.name)):
+    media = lake.table("bronze", MEDIA_METADATA.name)
+    if media.exists():
         tasks["dim_media"] = lambda: lake.table("curated", "dim_media").write(
-            model.curated_dim_media(lake.read_good(MEDIA_METADATA.name, MEDIA_METADATA.schema,
-                                                   lake.raw_partitions(MEDIA_METADATA.name))))
+            model.curated_dim_media(media.read()))
     silver_events = lake.table("silver", "events")
     if silver_events.exists():
         tasks["dim_visitor"] = lambda: lake.table("curated", "dim_visitor").write(
             model.curated_dim_visitor(silver_events.read()))
-        tasks["fact_visitor_engagement"] = lambda: lake.table(
-            "curated", "fact_visitor_engagement").write(
-            model.fact_visitor_engagement(silver_events.read()))
+        tasks["fact_visitor_engagement"] = lambda: _incremental(
+            lake, "curated_fact_visitor_engagement", silver_events,
+            lake.table("curated", "fact_visitor_engagement"),
+            lambda rows: model.visitor_engagement_rows(rows, keep=UPKEEP), "event_key")
     summary = lake.table("refined", "media_summary")
     if summary.exists():
         tasks["fact_media_engagement"] = lambda: lake.table(
@@ -387,6 +468,11 @@ def curate(lake: Lake) -> None:
     run_parallel(tasks)
 
 
+def curated_fact(lake: Lake) -> DataFrame:
+    """The visitor engagement fact, without the columns that only its upkeep needs."""
+    return lake.table("curated", "fact_visitor_engagement").read().drop(LOAD_ID, *UPKEEP)
+
+
 # --- D12, D13: KPIs ----------------------------------------------------------
 
 def build_kpis(lake: Lake) -> None:
@@ -399,20 +485,59 @@ def build_kpis(lake: Lake) -> None:
     if has_fact:
         tasks["visitors_in_each_browser"] = lambda: lake.table(
             "curated", "visitors_in_each_browser").write(
-            kpi.distinct_visitors(fact_t.read(), ["media_id", "browser"]))
+            kpi.distinct_visitors(curated_fact(lake), ["media_id", "browser"]))
         tasks["visitors_by_media"] = lambda: lake.table("curated", "visitors_by_media").write(
-            kpi.distinct_visitors(fact_t.read(), ["media_id"], out="unique_visitors",
+            kpi.distinct_visitors(curated_fact(lake), ["media_id"], out="unique_visitors",
                                   drop_null_keys=True, order="key"))
         if has_dim:
             tasks["visitors_in_each_channel"] = lambda: lake.table(
                 "curated", "visitors_in_each_channel").write(
-                kpi.visitors_by_channel(fact_t.read(), dim_t.read()))
+                kpi.visitors_by_channel(curated_fact(lake), dim_t.read()))
     if has_fme and has_dim:
         tasks["top_videos"] = lambda: lake.table("curated", "top_videos").write(
             kpi.top_videos(fme.read(), dim_t.read()))
     run_parallel(tasks)
 
 
+# --- distinct visitors that are kept up (A1, A2, A7) ----------------------------
+
+def keep_visitor_counts(lake: Lake) -> int:
+    """Bring the kept distinct counts up to the curated fact; returns the events counted.
+
+    ``curated/visitor_bitmaps``: one bitmap a media and block of visitor numbers, grown by the
+    loads not counted yet. Exact as long as later versions of an event keep its media
+    and visitor: a bit is never taken back.
+    ``curated/visitor_sketches``: sketches a date and media, made anew for the dates whose files
+    changed, so they follow every change of the fact.
+    """
+    fact = lake.table("curated", "fact_visitor_engagement")
+    n, batch, todo, newest = _unread(lake, "visitor_bitmaps", fact)
+    if n:
+        numbers = lake.table("state", "visitor_numbers")
+        known = numbers.read() if numbers.exists() else None
+        numbers.append(sketches.number_new(known, batch, "visitor_id"))
+        bits = sketches.visitor_bitmaps(batch, numbers.read(), ["media_id"])
+        table = lake.table("curated", "visitor_bitmaps")
+        old = table.read() if table.exists() else None
+        table.write(sketches.merge_bitmaps(old, bits, ["media_id"]))
+        _consumed(lake, "visitor_bitmaps", todo, newest)
+        _refresh_sketches(lake, fact)
+    return n
+
+
+def _refresh_sketches(lake: Lake, fact: PartitionedTable) -> None:
+    job = "visitor_sketches"
+    files = lake.read_files(job).unread(list_files(lake.spark, fact.path), append.FILES.fieldNames())
+    files = materialize(files)
+    date = F.regexp_extract("path", f"{fact.col}=([^/]+)/", 1)
+    dates = sorted(r[0] for r in files.select(date).distinct().collect())
+    table = lake.table("curated", "visitor_sketches")
+    if dates:
+        table.write(sketches.visitor_sketches(fact.read(dates), fact.col, ["media_id"]))
+        lake.read_files(job).append(files)
+    table.drop(sorted(set(table.partitions()) - set(fact.partitions())))
+
+
 # The tables the dashboard reads.
 DASHBOARD_TABLES = ("fact_visitor_engagement", "visitors_in_each_channel",
                     "visitors_in_each_browser", "top_videos")
@@ -424,7 +549,7 @@ def register_dashboard(lake: Lake) -> list[str]:
     for name in DASHBOARD_TABLES:
         t = lake.table("curated", name)
         if t.exists():
-            present[name] = t.read()
+            present[name] = curated_fact(lake) if isinstance(t, PartitionedTable) else t.read()
     catalog.register(present)
     return list(present)
 
@@ -461,8 +586,10 @@ def raw_to_bronze_stream(lake: Lake, entity: Entity, checkpoint: str | None = No
     def prepare(batch: DataFrame, epoch: int) -> DataFrame:
         now = dt.datetime.now(dt.timezone.utc)
         good, rejected = split_records(materialize(parse_records(batch, entity.schema)), entity.key)
-        add_rejected(lake, entity.name, rejected, now)
-        out = stamp(good, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
+        if not rejected.isEmpty():
+            add_rejected(lake, entity.name, rejected, now)
+        out = (stamp(good, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
+               .withColumn(LOAD_ID, F.lit(new_load_id())))
         return out.withColumn(EVENT_DATE, event_date(RECORD_TIME)) if entity is EVENTS else out
 
     return upsert_stream(stream, lake.table("bronze", entity.name), [entity.key],
@@ -485,42 +612,28 @@ SCHEMA_TEST_FOLDERS = {
 
 
 def schema_test(lake: Lake, sample_rows: int = 5) -> dict[str, DataFrame]:
-    """For each raw folder present: a schema report, and a ``sample_rows`` JSON
-    sample in key order under ``test-output/<name>``. Returns the reports.
-
-    A report has the declared fields, with non-NULL counts over the whole folder,
-    and the fields that the data has besides, as inferred from all of it; columns
-    ``declared`` and ``inferred_type`` (NULL where no record has the field) tell drift.
+    """For each raw folder present: a drift report, and a ``sample_rows`` JSON sample in
+    key order under ``test-output/<name>``. Returns the reports.
+
+    A report has one row a field: ``column, data_type`` (declared), ``declared, inferred_type``
+    (the kinds of value found, NULL if none), ``non_null, state`` (as declared, retyped, extra or
+    absent). It is one aggregation over all records as VARIANT
+    (:func:`tidemark.operators.report.drift_report`). The sample has the fields declared,
+    or those that the merged schema of all records has where none are declared.
     """
-    from tidemark.operators.report import leaf_columns, schema_report
+    from tidemark.operators.report import by_field, drift_report
     from tidemark.sinks import write_json_sample
 
     out = {}
     for name, schema in SCHEMA_TEST_FOLDERS.items():
         if not path_exists(lake.spark, lake.raw(name)):
             continue
-        found = lake.spark.read.option("multiLine", lake.raw_multi_line).json(lake.raw(name))
-        folders = [c for c in lake.raw_partitions(name)
-                   if schema is None or c not in schema.fieldNames()]
-        found = found.drop(CORRUPT_COLUMN, *folders)
-        kinds = {path: kind.simpleString() for path, kind, _ in leaf_columns(found.schema)}
-        reports, declared = [], set()
-        if schema is not None:
-            df = read_json(lake.spark, lake.raw(name), schema,
-                           multi_line=lake.raw_multi_line).drop(*folders)
-            declared = {path for path, _, _ in leaf_columns(schema)}
-            reports.append(schema_report(df).withColumn("declared", F.lit(True)))
-        else:
-            df = found
-        if found.columns:
-            reports.append(schema_report(found).where(~F.col("column").isin(list(declared)))
-                           .withColumn("declared", F.lit(False)))
-        order = schema.fieldNames()[0] if schema is not None else sorted(found.columns)[0]
-        write_json_sample(df, f"{lake.root}/test-output/{name}", [order], sample_rows)
-        report = reports[0] if len(reports) == 1 else reports[0].unionByName(reports[1])
-        known = F.map_from_arrays(F.array(*map(F.lit, kinds)).cast("array<string>"),
-                                  F.array(*map(F.lit, kinds.values())).cast("array<string>"))
-        out[name] = report.withColumn("inferred_type", F.try_element_at(known, F.col("column")))
+        records = lake.read_records(name, schema or T.StructType([]), lake.raw_partitions(name))
+        out[name] = by_field(drift_report(records, schema))
+        order = F.to_json(RECORD_COLUMN) if schema is None else F.col(schema.fieldNames()[0])
+        shown = records.where(F.col(CORRUPT_COLUMN).isNull()).withColumn("_order", order)
+        shown = shown.select("_order", *(schema.fieldNames() if schema is not None else [RECORD_COLUMN]))
+        write_json_sample(shown, f"{lake.root}/test-output/{name}", ["_order"], sample_rows, drop=["_order"])
     return out
 
 

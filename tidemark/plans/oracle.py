@@ -177,6 +177,33 @@ SELECT entity, CASE WHEN k % 10 IN (3, 4) THEN 'malformed' WHEN k % 10 = 5 THEN
                     ELSE 'good' END AS fate, count(*) AS n
 FROM keys GROUP BY ALL"""
 
+GOLD_MEDIA = f"""WITH {LATEST_MEDIA}
+SELECT media_id, title, 'https://img.example/' || media_id || '.jpg' AS thumbnail_url,
+       p_retailprice AS duration, 'ready' AS status, p_type AS folder_name,
+       CASE WHEN p_size % 2 = 0 THEN NULL ELSE lower(p_type) END AS subfolder_name,
+       {channel('title')} AS channel, created_at, updated_at, {STAMP} AS ingestion_time
+FROM latest"""
+
+GOLD_VISITOR = f"""WITH {VISITOR}
+SELECT visitor_key, visitor_name, visitor_email, org_title AS visitor_title,
+       org_name AS organization_name, created_at, last_active_at, browser, browser_version,
+       platform, mobile AS is_mobile, {STAMP} AS ingestion_time
+FROM visitor"""
+
+SILVER_MEDIA = f"""WITH {LATEST_MEDIA},
+{ASSETS},
+flat AS (
+  SELECT l.media_id, l.title AS media_name, l.updated_at, a.asset_type, a.asset_width,
+         a.asset_height, a.asset_file_size,
+         concat_ws('_', l.media_id, a.asset_type, a.asset_width, a.asset_height) AS media_asset_key
+  FROM latest l LEFT JOIN assets a ON l.p_partkey = a.p_partkey)
+SELECT media_asset_key, media_id, media_name, updated_at, asset_type,
+       CAST(asset_width AS DOUBLE) AS asset_width, CAST(asset_height AS DOUBLE) AS asset_height,
+       CAST(asset_file_size AS DOUBLE) AS asset_file_size
+FROM (SELECT *, row_number() OVER (PARTITION BY media_asset_key
+                                   ORDER BY asset_file_size ASC NULLS LAST) AS rn FROM flat)
+WHERE rn = 1"""
+
 SQL: dict[str, str] = {
     "quarantine_all": FATES,
 
@@ -213,6 +240,99 @@ FROM visitor WHERE load_count IS NOT NULL""",
 
     "scan_all": "SELECT * FROM nation",
 
+    "scan_large": "SELECT * FROM lineitem",
+
+    "visitors_by_media_kept": f"""WITH {FACT}
+SELECT media_id, count(DISTINCT visitor_id) AS unique_visitors FROM fact GROUP BY media_id""",
+
+    "totals_kept": "SELECT count(DISTINCT user_id) AS unique_visitors FROM events",
+
+    "visitors_sketched": f"""WITH {FACT}
+SELECT media_id, count(*) AS events, count(DISTINCT visitor_id) AS unique_visitors, true AS within_bound
+FROM fact WHERE event_timestamp >= '2024-01-10' GROUP BY media_id""",
+
+    "hot_key_join": """
+SELECT p_brand, count(*) AS lines, count(DISTINCT l.p_partkey) AS parts,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS p_partkey FROM lineitem) l
+LEFT JOIN part p ON l.p_partkey = p.p_partkey GROUP BY p_brand""",
+
+    "schema_drift": f"""WITH {MEDIA},
+d AS (SELECT *, p_partkey % 4 = 0 AS odd FROM media),
+leaf AS (
+  SELECT 'id' AS "column", 'bigint' AS data_type, 'bigint' AS inferred_type, true AS here, 'as declared' AS state FROM d
+  UNION ALL SELECT 'hashed_id', 'string', 'string', true, 'as declared' FROM d
+  UNION ALL SELECT 'name', 'string', 'string', title IS NOT NULL, 'as declared' FROM d
+  UNION ALL SELECT 'duration', 'double', 'double|string', true, 'retyped' FROM d
+  UNION ALL SELECT 'created', 'string', 'string', true, 'as declared' FROM d
+  UNION ALL SELECT 'updated', 'string', 'string', true, 'as declared' FROM d
+  UNION ALL SELECT 'status', 'string', 'string', true, 'as declared' FROM d
+  UNION ALL SELECT 'folder.id', 'bigint', 'bigint', true, 'as declared' FROM d
+  UNION ALL SELECT 'folder.hashed_id', 'string', 'string', true, 'as declared' FROM d
+  UNION ALL SELECT 'folder.name', 'string', 'string', true, 'as declared' FROM d
+  UNION ALL SELECT 'folder.owner', NULL, 'string', odd, 'extra' FROM d
+  UNION ALL SELECT 'added', NULL, 'boolean', odd, 'extra' FROM d)
+SELECT "column", data_type, inferred_type, count(*) AS non_null, state FROM leaf WHERE here GROUP BY ALL
+UNION ALL
+SELECT c, t, NULL, 0, 'absent' FROM (VALUES ('subfolder.hashed_id', 'string'), ('subfolder.name', 'string'),
+  ('thumbnail.url', 'string'), ('thumbnail.width', 'bigint'), ('thumbnail.height', 'bigint'),
+  ('assets', 'array<struct<width:bigint,height:bigint,type:string,file_size:bigint,content_type:string,url:string>>')
+  ) AS absent (c, t)""",
+
+    "stream_late_events": """
+WITH e AS (SELECT *, ts < (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20') - INTERVAL 12 DAY
+                     AND ts < TIMESTAMP '2024-01-10' AS late FROM events)
+SELECT CASE WHEN late THEN 'late' ELSE 'kept' END AS fate, strftime(ts, '%Y-%m-%d') AS event_date,
+       CAST(sum(CASE WHEN late AND event_type = 'click' THEN 2 ELSE 1 END) AS BIGINT) AS n
+FROM e GROUP BY ALL""",
+
+    "silver_after_late_load": f"""WITH {EV}
+SELECT event_key, received_at, visitor_key, media_id, browser,
+       CASE WHEN event_type IN ('signup', 'error') THEN TIMESTAMP '2025-01-01 00:00:00'
+            ELSE TIMESTAMP '2025-01-02 00:00:00' END AS ingestion_time
+FROM ev""",
+
+    "bronze_reload_reads_new_files": """
+SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS events, CAST(1 AS BIGINT) AS loads,
+       CAST(0 AS BIGINT) AS files_read_again, true AS each_file_once
+FROM events GROUP BY 1""",
+
+    "upsert_far_versions": """
+SELECT event_id, user_id, event_type,
+       CASE WHEN event_type = 'click' THEN value * 2 ELSE value END AS value,
+       CASE WHEN event_type = 'click' THEN ts + INTERVAL 40 DAY ELSE ts END AS ts,
+       strftime(CASE WHEN event_type = 'click' THEN ts + INTERVAL 40 DAY ELSE ts END, '%Y-%m-%d') AS day
+FROM events""",
+
+    "late_records_land": f"""WITH {EV}
+SELECT event_key, received_at, strftime(ts, '%Y-%m-%d') AS event_date FROM ev
+WHERE ts >= TIMESTAMP '2024-01-15' OR ts > (SELECT max(ts) FROM events) - INTERVAL 20 DAY""",
+
+    "job_gold_media": GOLD_MEDIA,
+
+    "job_gold_visitors": f"{GOLD_VISITOR} WHERE load_count IS NOT NULL",
+
+    "job_silver_media": SILVER_MEDIA,
+
+    "job_refined_visitors": f"WITH {VISITOR} SELECT * FROM visitor WHERE load_count IS NOT NULL",
+
+    "job_curated_media": f"WITH {LATEST_MEDIA} SELECT * FROM dim",
+
+    "job_fact": f"WITH {FACT} SELECT * FROM fact",
+
+    "job_dashboard": f"""WITH {FACT}, {LATEST_MEDIA}, {MEDIA_FACT}
+SELECT 'totals' AS section, 'total_events' AS key, CAST(NULL AS VARCHAR) AS detail, count(*) AS value FROM fact
+UNION ALL SELECT 'totals', 'unique_videos', NULL, count(DISTINCT media_id) FROM fact
+UNION ALL SELECT 'totals', 'unique_visitors', NULL, count(DISTINCT visitor_id) FROM fact
+UNION ALL SELECT 'visitors_by_media', media_id, NULL, count(DISTINCT visitor_id) FROM fact
+  WHERE media_id IS NOT NULL GROUP BY media_id
+UNION ALL SELECT 'visitors_in_each_channel', d.channel, NULL, count(DISTINCT f.visitor_id)
+  FROM fact f LEFT JOIN dim d ON f.media_id = d.media_id GROUP BY d.channel
+UNION ALL SELECT 'visitors_in_each_browser', media_id, browser, count(DISTINCT visitor_id) FROM fact
+  GROUP BY media_id, browser
+UNION ALL SELECT 'top_videos', f.media_id, d.channel, f.play_count
+  FROM mfact f JOIN dim d ON f.media_id = d.media_id""",
+
     "project_rename": """
 SELECT c_custkey AS visitor_id, c_name AS visitor_name, c_mktsegment AS browser,
        c_nationkey AS country_id, c_acctbal AS balance
@@ -313,18 +433,9 @@ WHERE a.last_ts > TIMESTAMP '2024-01-29 00:00:00'""",
 
     "curated_dim_media": f"WITH {LATEST_MEDIA} SELECT * FROM dim",
 
-    "gold_dim_media": f"""WITH {LATEST_MEDIA}
-SELECT media_id, title, 'https://img.example/' || media_id || '.jpg' AS thumbnail_url,
-       p_retailprice AS duration, 'ready' AS status, p_type AS folder_name,
-       CASE WHEN p_size % 2 = 0 THEN NULL ELSE lower(p_type) END AS subfolder_name,
-       {channel('title')} AS channel, created_at, updated_at, {STAMP} AS ingestion_time
-FROM latest""",
+    "gold_dim_media": GOLD_MEDIA,
 
-    "gold_dim_visitor": f"""WITH {VISITOR}
-SELECT visitor_key, visitor_name, visitor_email, org_title AS visitor_title,
-       org_name AS organization_name, created_at, last_active_at, browser, browser_version,
-       platform, mobile AS is_mobile, {STAMP} AS ingestion_time
-FROM visitor""",
+    "gold_dim_visitor": GOLD_VISITOR,
 
     "curated_dim_visitor": f"""WITH {EV}
 SELECT DISTINCT visitor_key AS visitor_id, ip AS ip_address, country, region, city, browser,
@@ -401,19 +512,7 @@ SELECT event_key, received_at, media_id, browser, {STAMP} AS ingestion_time,
        ts AS record_time
 FROM ev""",
 
-    "silver_media": f"""WITH {LATEST_MEDIA},
-{ASSETS},
-flat AS (
-  SELECT l.media_id, l.title AS media_name, l.updated_at, a.asset_type, a.asset_width,
-         a.asset_height, a.asset_file_size,
-         concat_ws('_', l.media_id, a.asset_type, a.asset_width, a.asset_height) AS media_asset_key
-  FROM latest l LEFT JOIN assets a ON l.p_partkey = a.p_partkey)
-SELECT media_asset_key, media_id, media_name, updated_at, asset_type,
-       CAST(asset_width AS DOUBLE) AS asset_width, CAST(asset_height AS DOUBLE) AS asset_height,
-       CAST(asset_file_size AS DOUBLE) AS asset_file_size
-FROM (SELECT *, row_number() OVER (PARTITION BY media_asset_key
-                                   ORDER BY asset_file_size ASC NULLS LAST) AS rn FROM flat)
-WHERE rn = 1""",
+    "silver_media": SILVER_MEDIA,
 
     "silver_visitors": f"""WITH {VISITOR}
 SELECT visitor_key, created_at, last_active_at, last_event_key, load_count, play_count,

@@ -7,6 +7,7 @@ Each query runs a library operator or layer job over the whole test tables
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,20 +15,24 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.channel import channel_of
 from tidemark.functions.time import iso_utc_string, mark_literal, parse_iso
-from tidemark.operators import dedup, incremental, kpi, model, report
+from tidemark.operators import dedup, incremental, kpi, model, report, sketches
 from tidemark.operators.flatten import (MEDIA_ASSET_KEY, flatten_events, flatten_media,
                                         flatten_visitor_detail, flatten_visitors)
+from tidemark.operators.joins import split_join
 from tidemark.operators.stamp import stamp
 from tidemark.operators.upsert import upsert
 from tidemark.plans import adapters, jobs
 from tidemark.session import configure, fresh_dir
 from tidemark.sinks import land_json, write_json_sample
 from tidemark.sources import catalog
+from tidemark.sources.append import AppendTable
 from tidemark.sources.files import read_json
+from tidemark.sources.partitioned import PartitionedTable
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.state import WatermarkStore
 from tidemark.sources.testdata import Tables
 from tidemark.streaming.incremental import upsert_stream
+from tidemark.streaming.late import keep_in_time
 
 # Fixed query parameters (marks, lists, stamp time).
 EVENTS_MARK = "2024-01-15T00:00:00Z"
@@ -36,6 +41,7 @@ FUTURE_MARK = "2100-01-01T00:00:00Z"
 VISITOR_LIST_MARK = "2024-01-29T00:00:00Z"
 ALLOWED_EVENT_TYPES = ("view", "purchase")
 STAMP_TIME = "2025-01-01T00:00:00Z"
+SKETCH_FROM = "2024-01-10"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -547,10 +553,10 @@ def _bronze_of(spark, sf_dir, entity: jobs.Entity) -> DataFrame:
 
 def q_bronze_media(spark, sf_dir):
     """Bronze media through the job; ``session_note`` is declared nowhere and comes
-    from the record's kept text."""
+    from the kept record."""
     bronze = _bronze_of(spark, sf_dir, jobs.MEDIA_METADATA)
     return bronze.select("hashed_id", "name", "updated", F.size("assets").alias("n_assets"),
-                         F.get_json_object("raw_record", "$.session_note").alias("session_note"),
+                         F.variant_get("record", "$.session_note", "string").alias("session_note"),
                          "ingestion_time")
 
 
@@ -558,7 +564,7 @@ def q_bronze_visitors(spark, sf_dir):
     bronze = _bronze_of(spark, sf_dir, jobs.VISITOR_DETAIL)
     return bronze.select("visitor_key", "load_count",
                          F.col("visitor_identity.name").alias("visitor_name"),
-                         F.get_json_object("raw_record", "$.session_note").alias("session_note"))
+                         F.variant_get("record", "$.session_note", "string").alias("session_note"))
 
 
 def q_rerun_is_noop(spark, sf_dir):
@@ -578,8 +584,8 @@ def q_rerun_is_noop(spark, sf_dir):
     return bronze.read().agg(
         F.count("*").alias("events"),
         F.count_if(F.col(jobs.EVENT_DATE) == "unknown").alias("undated"),
-        F.count_if(F.col(jobs.RECORD_TIME).isNull()).alias("without_time")).withColumn(
-        "commits", F.lit(len(bronze.commits())).cast("long"))
+        F.count_if(F.col(jobs.RECORD_TIME).isNull()).alias("without_time"),
+        F.count_distinct(jobs.LOAD_ID).alias("commits"))
 
 
 def q_land_visitors(spark, sf_dir):
@@ -599,7 +605,259 @@ def q_land_visitors(spark, sf_dir):
         "visitor_key", "last_active_at", mark_literal(mark).alias("watermark"))
 
 
+# --- loads, files and late records (F1, S1, S7, K3, K6, T2, D1-D6) --------------
+
+# The event types of three loads, and the times that they claim.
+LOADS = ((("click",), "2025-01-02T00:00:00Z"), (("view", "purchase"), "2025-01-02T00:00:00Z"),
+         (("signup", "error"), "2025-01-01T00:00:00Z"))
+
+
+def q_silver_after_late_load(spark, sf_dir):
+    """Three bronze loads, the second with the first one's time and the third with an
+    earlier one; silver runs after each and has every event in the end."""
+    raw = adapters.raw_events(_t(spark, sf_dir))
+    lake = jobs.Lake(spark, fresh_dir(spark, "late_load"))
+    for types, now in LOADS:
+        part = raw.where(F.col("conversion_type").isin(*types))
+        land_json(part.withColumn(jobs.LANDING_PARTITION, F.lit("2024-02-01")), lake.raw("events"),
+                  partition_by=[jobs.LANDING_PARTITION])
+        jobs.raw_to_bronze(lake, now=now, entities=[jobs.EVENTS])
+        jobs.bronze_to_silver(lake)
+    return lake.table("silver", "events").read().select(
+        "event_key", "received_at", "visitor_key", "media_id", "browser", "ingestion_time")
+
+
+def q_bronze_reload_reads_new_files(spark, sf_dir):
+    """Raw files are read once: a reload over unchanged raw reads none, one after another
+    landing only what is new."""
+    raw = adapters.raw_events(_t(spark, sf_dir))
+    lake = jobs.Lake(spark, fresh_dir(spark, "reload"))
+    early = parse_iso("received_at") < mark_literal(INCREMENT_SPLIT)
+    read = []
+    for part in (raw.where(early), raw.limit(0), raw.where(~early)):
+        land_json(part.withColumn(jobs.LANDING_PARTITION, F.lit("2024-02-01")), lake.raw("events"),
+                  partition_by=[jobs.LANDING_PARTITION])
+        before = lake.read_files("bronze_events").read().count()
+        n = jobs.raw_to_bronze(lake, now=STAMP_TIME, entities=[jobs.EVENTS])["events"]
+        read.append((n, lake.read_files("bronze_events").read().count() - before))
+    return lake.table("bronze", "events").read().groupBy(jobs.EVENT_DATE).agg(
+        F.count("*").alias("events"), F.count_distinct(jobs.LOAD_ID).alias("loads")).select(
+        "*", F.lit(read[1][0]).cast("long").alias("files_read_again"),
+        F.lit(all(n == m for n, m in read)).alias("each_file_once"))
+
+
+def q_upsert_far_versions(spark, sf_dir):
+    """A second version of every click 40 days after the first, merged into the table by date:
+    one row a key, wherever the first version lies. The batch is not broadcast, so the
+    key bits choose the rows to shuffle (K3)."""
+    e = _t(spark, sf_dir).events.select("event_id", "ts", "user_id", "event_type", "value")
+    dated = lambda df: df.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    table = PartitionedTable(spark, fresh_dir(spark, "far"), "day")
+    table.write(dated(e))
+    later = e.where(F.col("event_type") == "click").select(
+        "event_id", (F.col("ts") + F.expr("INTERVAL 40 DAYS")).alias("ts"), "user_id", "event_type",
+        (F.col("value") * 2).alias("value"))
+    table.upsert(dated(later), ["event_id"], newer_than="ts", broadcast=False)
+    return table.read()
+
+
+def q_late_records_land(spark, sf_dir):
+    """Records that show up late: landing takes those of the window before its mark too,
+    bronze ignores the ones that it has (T2)."""
+    raw = adapters.raw_events(_t(spark, sf_dir))
+    lake = jobs.Lake(spark, fresh_dir(spark, "late"), lateness=dt.timedelta(days=20))
+    for part in (raw.where(parse_iso("received_at") >= mark_literal(INCREMENT_SPLIT)), raw):
+        jobs.land(lake, jobs.EVENTS, part)
+        jobs.raw_to_bronze(lake, now=STAMP_TIME, entities=[jobs.EVENTS])
+    bronze = lake.table("bronze", "events").read()
+    return bronze.select("event_key", "received_at", jobs.EVENT_DATE)
+
+
+def q_scan_large(spark, sf_dir):
+    return _t(spark, sf_dir).read("lineitem").select("*")
+
+
+# --- tables as the jobs wrote them (D5-D9, D11-D15) --------------------------------
+
+_lakes: dict[tuple[str, str], jobs.Lake] = {}
+
+
+def _full_lake(spark: SparkSession, sf_dir: str) -> jobs.Lake:
+    """All layers over one lake, loaded in two increments; built once an application."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _lakes:
+        t = _t(spark, sf_dir)
+        lake = jobs.Lake(spark, fresh_dir(spark, "full"))
+        events, media = adapters.raw_event_versions(t), adapters.raw_media_versions(t)
+        first_events = events.where(parse_iso("received_at") < mark_literal(INCREMENT_SPLIT))
+        first_media = media.where(parse_iso("updated") < mark_literal("2024-02-15T00:00:00Z"))
+        land_json(adapters.media_summary(t), lake.raw("media_summary"))
+        jobs.land_visitors(lake, adapters.visitor_list(t), adapters.raw_visitor_detail(t))
+        for e, m in ((first_events, first_media), (events, media)):
+            jobs.land(lake, jobs.EVENTS, e)
+            jobs.land(lake, jobs.MEDIA_METADATA, m)
+            jobs.run_all(lake, now=STAMP_TIME)
+            jobs.keep_visitor_counts(lake)
+        _lakes[at] = lake
+    return _lakes[at]
+
+
+def q_job_gold_media(spark, sf_dir):
+    return _full_lake(spark, sf_dir).table("gold", "dim_media").read().drop(jobs.LOAD_ID)
+
+
+def q_job_gold_visitors(spark, sf_dir):
+    return _full_lake(spark, sf_dir).table("gold", "dim_visitor").read().drop(jobs.LOAD_ID)
+
+
+def q_job_silver_media(spark, sf_dir):
+    rows = _full_lake(spark, sf_dir).table("silver", "media_metadata_flattened").read()
+    return rows.select(MEDIA_ASSET_KEY, "media_id", "media_name", "updated_at", "asset_type",
+                       *_as_double(*ASSET_NUMBERS))
+
+
+def q_job_refined_visitors(spark, sf_dir):
+    table = _full_lake(spark, sf_dir).table("refined", "visitor_detail_flattened")
+    return table.read().drop("source_file")
+
+
+def q_job_curated_media(spark, sf_dir):
+    return _full_lake(spark, sf_dir).table("curated", "dim_media").read()
+
+
+def q_job_fact(spark, sf_dir):
+    return jobs.curated_fact(_full_lake(spark, sf_dir))
+
+
+def q_job_dashboard(spark, sf_dir):
+    """Every section of the dashboard page as rows: section, key, detail, value."""
+    page = jobs.dashboard(_full_lake(spark, sf_dir))
+    shapes = {"totals": None, "visitors_by_media": ("media_id", None, "unique_visitors"),
+              "visitors_in_each_channel": ("channel", None, "number_of_visitors"),
+              "visitors_in_each_browser": ("media_id", "browser", "number_of_visitors"),
+              "top_videos": ("media_id", "channel", "play_count")}
+    parts = []
+    for section, shape in shapes.items():
+        df = page[section]
+        if shape is None:
+            names = ["total_events", "unique_videos", "unique_visitors"]
+            df = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("value"))
+                                               for n in names])).alias("x")).select("x.*")
+            shape = ("key", None, "value")
+        key, detail, value = shape
+        parts.append(df.select(
+            F.lit(section).alias("section"), F.col(key).alias("key"),
+            (F.col(detail) if detail else F.lit(None).cast("string")).alias("detail"),
+            F.col(value).cast("long").alias("value")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def q_visitors_by_media_kept(spark, sf_dir):
+    """Distinct visitors a media from the kept bitmaps, after two increments (A1)."""
+    bits = _full_lake(spark, sf_dir).table("curated", "visitor_bitmaps").read()
+    return sketches.count_bitmaps(bits, ["media_id"])
+
+
+def q_totals_kept(spark, sf_dir):
+    """Distinct visitors over all media, from the same bitmaps."""
+    return sketches.count_all(_full_lake(spark, sf_dir).table("curated", "visitor_bitmaps").read())
+
+
+# Fixed value: five standard errors of a sketch.
+SKETCH_BOUND = 5 * 1.04 / (1 << sketches.LOG_K) ** 0.5
+
+
+def q_visitors_sketched(spark, sf_dir):
+    """Visitors a media since a date, merged from daily sketches, against the exact count (A2)."""
+    lake = _full_lake(spark, sf_dir)
+    daily = lake.table("curated", "visitor_sketches").read()
+    merged = sketches.merge_sketches(daily.where(F.col(jobs.EVENT_DATE) >= SKETCH_FROM), ["media_id"],
+                                     out="estimate")
+    fact = lake.table("curated", "fact_visitor_engagement").read()
+    exact = kpi.distinct_visitors(fact.where(F.col(jobs.EVENT_DATE) >= SKETCH_FROM), ["media_id"],
+                                  out="unique_visitors")
+    off = F.abs(F.col("estimate") - F.col("unique_visitors"))
+    return merged.join(exact, "media_id").select(
+        "media_id", "events", "unique_visitors",
+        (off <= F.lit(SKETCH_BOUND) * F.col("unique_visitors") + 1).alias("within_bound"))
+
+
+def q_hot_key_join(spark, sf_dir):
+    """Order lines with a third of all rows on one part, joined to the parts without a
+    broadcast (J1, J3, J4): the hot part is dealt out, the others join plainly."""
+    t = _t(spark, sf_dir)
+    lines = t.read("lineitem")
+    hot = F.when(F.pmod("l_orderkey", F.lit(3)) == 0, F.lit(1).cast(lines.schema["l_partkey"].dataType))
+    lines = lines.withColumn("p_partkey", hot.otherwise(F.col("l_partkey")))
+    joined = split_join(lines, t.part, "p_partkey", "left")
+    return joined.groupBy("p_brand").agg(
+        F.count("*").alias("lines"), F.count_distinct("p_partkey").alias("parts"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"))
+
+
+def q_schema_drift(spark, sf_dir):
+    """Raw media with a field that nobody declared, at the top and inside a struct, and a number
+    given as text in some records: one pass tells fields, kinds and counts (K7, D14)."""
+    raw = adapters.raw_media(_t(spark, sf_dir)).drop("assets", "thumbnail", "subfolder")
+    odd = F.pmod("id", F.lit(4)) == 0
+    whole = raw.withColumn("added", F.when(odd, F.lit(True))).withColumn(
+        "folder", F.col("folder").withField("owner", F.when(odd, F.lit("me"))))
+    text = whole.withColumn("duration", F.lit("long"))
+    lines = whole.where(~odd).select(F.to_json(F.struct("*")).alias("value")).unionByName(
+        text.where(odd).select(F.to_json(F.struct("*")).alias("value")))
+    lake = jobs.Lake(spark, fresh_dir(spark, "drift"))
+    (lines.withColumn(jobs.LANDING_PARTITION, F.lit("2024-02-01")).write
+     .partitionBy(jobs.LANDING_PARTITION).text(lake.raw("media_metadata")))
+    return jobs.schema_test(lake)["media_metadata"].select(
+        "column", "data_type", "inferred_type", "non_null", "state")
+
+
+# The date ranges of three files of a stream, in their order, and its delay.
+STREAM_FILES = (("2024-01-10", "2024-01-20"), ("2024-01-01", "2024-01-10"), ("2024-01-20", "2024-03-01"))
+STREAM_DELAY = dt.timedelta(days=12)
+
+
+def q_stream_late_events(spark, sf_dir):
+    """Events in three files out of order, some twice: what the watermark has passed goes to
+    the side table, every other event is kept once (T1, T2)."""
+    e = _t(spark, sf_dir).events.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type")
+    path = fresh_dir(spark, "in_files")
+    for at, (lo, hi) in enumerate(STREAM_FILES):
+        part = e.where((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+        twice = part.where(F.col("event_type") == "click")
+        part.unionByName(twice).coalesce(1).write.parquet(f"{path}/file={at}")
+    stream = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+              .select(*e.columns))
+    kept = PartitionedTable(spark, fresh_dir(spark, "kept"), "event_date")
+    late = AppendTable(spark, fresh_dir(spark, "late_events"))
+    keep_in_time(stream, "event_id", "ts", STREAM_DELAY, kept, late, fresh_dir(spark, "late_ckpt"))
+    fates = kept.read().select(F.lit("kept").alias("fate"), "event_date").unionByName(
+        late.read().select(F.lit("late").alias("fate"), F.date_format("ts", "yyyy-MM-dd").alias("event_date")))
+    return fates.groupBy("fate", "event_date").agg(F.count("*").alias("n"))
+
+
 QUERIES: dict[str, Query] = {
+    "visitors_by_media_kept": q_visitors_by_media_kept,
+    "totals_kept": q_totals_kept,
+    "visitors_sketched": q_visitors_sketched,
+    "hot_key_join": q_hot_key_join,
+    "schema_drift": q_schema_drift,
+    "stream_late_events": q_stream_late_events,
+    "silver_after_late_load": q_silver_after_late_load,
+    "bronze_reload_reads_new_files": q_bronze_reload_reads_new_files,
+    "upsert_far_versions": q_upsert_far_versions,
+    "late_records_land": q_late_records_land,
+    "scan_large": q_scan_large,
+    "job_gold_media": q_job_gold_media,
+    "job_gold_visitors": q_job_gold_visitors,
+    "job_silver_media": q_job_silver_media,
+    "job_refined_visitors": q_job_refined_visitors,
+    "job_curated_media": q_job_curated_media,
+    "job_fact": q_job_fact,
+    "job_dashboard": q_job_dashboard,
     "quarantine_all": q_quarantine_all,
     "quarantine_stream": q_quarantine_stream,
     "bronze_media": q_bronze_media,

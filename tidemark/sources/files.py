@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.variant import misfit
 from tidemark.schemas import with_partition
 
 CORRUPT_COLUMN = "_corrupt_record"
-RAW_COLUMN = "raw_record"
+RECORD_COLUMN = "record"
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType,
@@ -40,34 +43,51 @@ def text_schema(partition_columns: tuple[str, ...] = ()) -> T.StructType:
     return with_partition(T.StructType([T.StructField("value", T.StringType())]), *partition_columns)
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, modified) of every file under ``path``. Their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
 def read_text_records(spark: SparkSession, path: str, multi_line: bool,
-                      partition_columns: tuple[str, ...] = ()) -> DataFrame:
-    """Raw JSON files as text, with ``source_file``; see :func:`parse_records`."""
-    lines = spark.read.schema(text_schema(partition_columns)).text(path, wholetext=multi_line)
+                      partition_columns: tuple[str, ...] = (),
+                      files: Sequence[str] | None = None) -> DataFrame:
+    """Raw JSON files as text, with ``source_file``; see :func:`parse_records`. ``files``
+    are the paths below ``path`` to read (all if not given)."""
+    reader = spark.read.schema(text_schema(partition_columns)).option("basePath", path)
+    lines = reader.text(path if files is None else list(files), wholetext=multi_line)
     return lines.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def parse_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Records of JSON text (column ``value``), parsed once with the full schema.
-
-    Adds ``raw_record``, the record's whole text, so that fields outside the
-    schema are kept, and ``_corrupt_record``, its text again if any field does not
-    parse as declared. An array of records gives one row each. Folder columns
-    take the place of fields of their name. Blank lines are no records.
+    """Records of JSON text (column ``value``), parsed once into a VARIANT.
+
+    Column ``record`` is the whole record, with the fields outside the schema too; the
+    declared fields are taken from it. ``_corrupt_record`` is the record's text if it is
+    no JSON object, or if a declared field has a value that does not convert to the
+    declared type (a number given as text does). A field given twice is not JSON here.
+    An array of records gives one row each. Folder columns take the place of fields of
+    their name. Blank lines are no records.
     """
-    value = F.col("value")
-    items = F.try_variant_get(F.try_parse_json(value), "$", "array<variant>")
-    records = F.when(value.rlike(r"^\s*\["), F.coalesce(
-        F.transform(items, lambda v: F.to_json(v)), F.array(value))).otherwise(F.array(value))
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     others = [c for c in lines.columns if c != "value"]
-    parsed = (lines.where(value.rlike(r"\S"))
-              .select(*others, F.explode(records).alias(RAW_COLUMN))
-              .withColumn("_p", F.from_json(RAW_COLUMN, full, {
-                  "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})))
-    corrupt = F.when(F.col("_p").isNull(), F.col(RAW_COLUMN)).otherwise(F.col(f"_p.{CORRUPT_COLUMN}"))
-    return parsed.select(*[F.col(f"_p.{f}").alias(f) for f in schema.fieldNames() if f not in others],
-                         *others, RAW_COLUMN, corrupt.alias(CORRUPT_COLUMN))
+    whole = (lines.where(F.col("value").rlike(r"\S"))
+             .select(*others, "value", F.try_parse_json("value").alias("_whole"),
+                     F.col("value").rlike(r"^\s*\[").alias("_many")))
+    items = F.try_variant_get("_whole", "$", "array<variant>")
+    listed = F.col("_many") & items.isNotNull()
+    rows = whole.select(*others, F.when(~listed, F.col("value")).alias("_line"),
+                        F.explode(F.when(listed, items).otherwise(F.array("_whole"))).alias(RECORD_COLUMN))
+    kind = T.StructType([f for f in schema.fields if f.name not in others])
+    bad, empty = F.lit(False), F.lit(True)
+    if kind.fields:
+        rows = rows.withColumn("_p", F.try_variant_get(RECORD_COLUMN, "$", kind.simpleString()))
+    for f in kind.fields:
+        bad = bad | misfit(F.col(RECORD_COLUMN), f.dataType, F.col(f"_p.{f.name}"), f"$.{f.name}")
+        empty = empty & F.col(f"_p.{f.name}").isNull()
+    other = empty & ~F.coalesce(F.schema_of_variant(RECORD_COLUMN).startswith("OBJECT"), F.lit(False))
+    corrupt = F.when(F.col(RECORD_COLUMN).isNull() | bad | other,
+                     F.coalesce("_line", F.to_json(RECORD_COLUMN)))
+    return rows.select(*[F.col(f"_p.{f.name}").alias(f.name) for f in kind.fields], *others, RECORD_COLUMN, corrupt.alias(CORRUPT_COLUMN))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -1,36 +1,23 @@
 """Keyed table whose upsert rewrites only the partitions it touches.
 
-Layout::
-
-    <path>/<col>=<value>/_tm_version=<commit>/part-*.parquet   one folder per partition version
-    <path>/_manifests/NNNNNNNN.json                  commit n: partition -> version, schema
-
-A commit writes new version folders for the touched partitions only (a
-token makes every attempt's folders unique), then creates the next manifest
-file. Readers follow the newest manifest, so a crashed attempt leaves only
-unreferenced folders, and untouched partitions are never copied.
-
-Which partitions an upsert touches: those of the batch rows, plus those
-holding a target row with a batch key (found by a semi join over the
-key and partition columns only). With ``stable_partition=True`` (a key never
-changes partition, e.g. a date fixed at creation) that scan is skipped.
-
-A manifest also holds the newest value of ``ingestion_time`` in each partition,
-so :meth:`PartitionedTable.read_since` opens only partitions that can hold rows
-after a mark. When versions of a key lie at most some days apart, ``near_days``
-bounds an upsert's search for its keys to the dates around the batch's.
-
-For append-mostly data partitioned by time (events), an incremental run
-costs O(recent partitions), not O(table). Manifest creation uses the file
-system's create-if-absent; object stores without it need one writer per table.
+Layout: ``<path>/<col>=<value>/part-*.parquet``, written by Spark's dynamic partition
+overwrite, and ``<path>/_schema.json``. An upsert rewrites the partitions of the rows
+that it adds and of those that it replaces, in whatever partition these lie; the others
+are not copied. For append-mostly data partitioned by time (events), an incremental run
+costs a narrow scan of the keys and O(touched partitions), not O(table).
+
+Replaced rows are found by a join over key, partition and order columns. Batch keys are
+broadcast behind a size check; a larger batch is turned into a bit set that is tested in
+the scan (:mod:`tidemark.operators.keyfilter`), so only rows that may match are shuffled.
+
+One writer a table at a time. Spark replaces the touched partitions one by one when the
+job commits; if the driver dies in between, running the same upsert again completes it,
+also where a key then stands in its old and its new partition.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
-import re
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,14 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import fits_in_broadcast
-from tidemark.operators.upsert import materialize, order_wins, upsert as merge_frames
-from tidemark.sources.files import delete_path, hadoop_fs, list_children, read_text
+from tidemark.operators.keyfilter import key_filter, might_hold
+from tidemark.operators.upsert import materialize, order_wins
+from tidemark.sources.files import delete_path, list_children, path_exists, read_text, write_text
 
-_SAFE = re.compile(r"^[A-Za-z0-9_.-]+$")
-_MANIFEST = re.compile(r"^(\d{8})\.json$")
-VERSION_COL = "_tm_version"
-NEWEST_COL = "ingestion_time"
-_STAMP = "%Y-%m-%dT%H:%M:%S.%f"
+SAFE = "^[A-Za-z0-9_.-]+$"      # values that are a folder name as they are
 
 
 class PartitionedTable:
@@ -54,192 +38,112 @@ class PartitionedTable:
         self.path = path.rstrip("/")
         self.col = partition_col
 
-    # --- manifests -----------------------------------------------------------
-    def _manifest_dir(self) -> str:
-        return f"{self.path}/_manifests"
-
-    def commits(self) -> list[int]:
-        return sorted(int(m.group(1)) for n in list_children(self.spark, self._manifest_dir())
-                      if (m := _MANIFEST.match(n)))
-
-    def manifest(self, commit: int | None = None) -> dict | None:
-        c = self.commits()
-        if not c:
-            return None
-        n = c[-1] if commit is None else commit
-        body = json.loads(read_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json"))
-        body["commit"] = n
-        return body
-
     def exists(self) -> bool:
-        return bool(self.commits())
+        return path_exists(self.spark, f"{self.path}/_schema.json")
 
-    def latest(self) -> int | None:
-        c = self.commits()
-        return c[-1] if c else None
+    def partitions(self) -> list[str]:
+        return sorted(n.split("=", 1)[1] for n in list_children(self.spark, self.path)
+                      if n.startswith(f"{self.col}="))
 
-    def _create_manifest(self, n: int, body: dict) -> None:
-        fs, p = hadoop_fs(self.spark, f"{self._manifest_dir()}/{n:08d}.json")
-        out = fs.create(p, False)           # fails if another writer took commit n
-        try:
-            out.write(bytearray(json.dumps(body, sort_keys=True).encode("utf-8")))
-        finally:
-            out.close()
+    def files(self) -> list[str]:
+        """Paths of the data files, sorted; a partition that was not touched keeps its own."""
+        return sorted(self.read().inputFiles())
 
     # --- read ----------------------------------------------------------------
-    def _dir(self, value: str, version: str) -> str:
-        return f"{self.path}/{self.col}={value}/{VERSION_COL}={version}"
-
     def read(self, partitions: Sequence[str] | None = None) -> DataFrame:
-        m = self.manifest()
-        if m is None:
-            raise FileNotFoundError(f"no commit in {self.path}")
-        data_schema = T.StructType.fromJson(m["schema"])
-        schema = T.StructType(list(data_schema.fields)
-                              + [T.StructField(self.col, T.StringType()),
-                                 T.StructField(VERSION_COL, T.StringType())])
-        parts = m["partitions"]
-        wanted = sorted(parts) if partitions is None else sorted(set(partitions) & set(parts))
-        if not wanted:
-            return self.spark.createDataFrame([], schema).drop(VERSION_COL)
-        paths = [self._dir(p, parts[p]) for p in wanted]
-        return (self.spark.read.schema(schema).option("basePath", self.path)
-                .parquet(*paths).drop(VERSION_COL))
-
-    def read_since(self, mark: dt.datetime) -> DataFrame:
-        """The partitions that may hold rows ingested after ``mark``."""
-        m = self.manifest()
-        if m is None:
-            raise FileNotFoundError(f"no commit in {self.path}")
-        newest, after = m.get("newest", {}), mark.strftime(_STAMP)
-        return self.read([p for p in m["partitions"] if newest.get(p, "9999") > after])
-
-    def _near(self, dates: Sequence[str], days: int) -> list[str]:
-        """Known partitions at most ``days`` from a date of ``dates``, and those
-        that are no dates."""
-        def day(p):
-            try:
-                return dt.date.fromisoformat(p)
-            except ValueError:
-                return None
-        own = sorted(d for d in map(day, dates) if d)
-        if not own:
-            return sorted(self.manifest()["partitions"])
-        lo, hi = own[0].toordinal() - days, own[-1].toordinal() + days
-        return [p for p in sorted(self.manifest()["partitions"])
-                if day(p) is None or lo <= day(p).toordinal() <= hi]
+        text = read_text(self.spark, f"{self.path}/_schema.json")
+        if text is None:
+            raise FileNotFoundError(f"nothing was written to {self.path}")
+        schema = T.StructType.fromJson(json.loads(text)).add(self.col, T.StringType())
+        if not self.partitions():
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(self.path)
+        return rows if partitions is None else rows.where(F.col(self.col).isin(list(partitions)))
 
     # --- write ---------------------------------------------------------------
-    def _values(self, df: DataFrame) -> list[str]:
+    def _values(self, df: DataFrame) -> set[str]:
         """Distinct partition values (bounded by the number of partitions)."""
-        vals = [r[0] for r in df.select(self.col).distinct().collect()]
-        for v in vals:
-            if v is None or not _SAFE.match(str(v)):
-                raise ValueError(f"partition value {v!r} of {self.col!r} must match {_SAFE.pattern}")
-        return [str(v) for v in vals]
-
-    def _commit(self, df: DataFrame, touched: list[str], base: dict | None) -> int:
-        # Optimistic concurrency: the next number after the commit this change
-        # was computed from. If another writer took it meanwhile, creating the
-        # manifest fails and this attempt leaves only unreferenced folders.
-        n = base["commit"] + 1 if base is not None else 1
-        token = f"{n:08d}-{uuid.uuid4().hex[:8]}"
-        data_cols = [c for c in df.columns if c != self.col]
+        return {r[0] for r in df.select(self.col).distinct().collect()}
+
+    def _checked(self, df: DataFrame) -> DataFrame:
+        """The partition column as text; a value that is no safe folder name fails the job."""
+        value = F.col(self.col).cast("string")
+        message = F.concat(F.lit("partition value "), F.coalesce(value, F.lit("NULL")),
+                           F.lit(f" of {self.col} must match {SAFE}"))
+        good = F.coalesce(value.rlike(SAFE), F.lit(False))
+        return df.withColumn(self.col, F.when(good, value).otherwise(F.raise_error(message)))
+
+    def _overwrite(self, df: DataFrame) -> None:
         # REBALANCE by the partition column: AQE sizes the write tasks (splits a
         # huge date, merges small ones), so each partition gets few, large files.
-        (df.select(*data_cols, F.col(self.col).cast("string").alias(self.col))
-           .withColumn(VERSION_COL, F.lit(token))
-           .hint("rebalance", self.col)
-           .write.mode("append").partitionBy(self.col, VERSION_COL).parquet(self.path))
-        parts = dict(base["partitions"]) if base else {}
-        fs, _ = hadoop_fs(self.spark, self.path)
-        jvm = self.spark.sparkContext._jvm
-        for p in touched:
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(self._dir(p, token))):
-                parts[p] = token
-            else:
-                parts.pop(p, None)          # partition emptied by this commit
+        data = [c for c in df.columns if c != self.col]
+        (df.select(*data, self.col).hint("rebalance", self.col)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(self.col).parquet(self.path))
         schema = T.StructType([f for f in df.schema.fields if f.name != self.col])
-        newest = {p: v for p, v in (base or {}).get("newest", {}).items() if p in parts}
-        written = [p for p in touched if parts.get(p) == token]
-        if written and NEWEST_COL in df.columns:     # one narrow scan of what was written
-            new = (self.spark.read.schema(T.StructType(
-                [*schema.fields, T.StructField(self.col, T.StringType())]))
-                   .option("basePath", self.path).parquet(*[self._dir(p, token) for p in written]))
-            for p, t in new.groupBy(self.col).agg(F.max(NEWEST_COL)).collect():
-                newest.pop(p, None)
-                if t is not None:
-                    newest[p] = t.strftime(_STAMP)
-        self._create_manifest(n, {"partitions": parts, "schema": json.loads(schema.json()),
-                                  "partition_col": self.col, "commit": n, "newest": newest})
-        return n
-
-    def write(self, df: DataFrame) -> int:
-        """First load (or a full replacement of the listed partitions). The rows
-        are computed once: what is listed is what is written."""
-        base = self.manifest()
-        df = materialize(df)
-        return self._commit(df, self._values(df), base)
+        write_text(self.spark, f"{self.path}/_schema.json", schema.json())
+
+    def write(self, df: DataFrame) -> None:
+        """First load, or a full replacement of the partitions in ``df``, in one pass."""
+        self._overwrite(self._checked(df))
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], newer_than: str | None = None,
-               stable_partition: bool = False, broadcast: bool | None = None,
-               near_days: int | None = None) -> int:
+               broadcast: bool | None = None) -> None:
+        """The table with ``batch`` applied by ``keys``, one row a key. With ``newer_than``, a
+        batch row replaces a key's row only if its order value is greater, or the other is
+        NULL; a batch without a winning row writes nothing. Rows with a NULL in their key
+        never match, as in :func:`tidemark.operators.upsert.upsert`."""
         keys = list(keys)
-        base = self.manifest()
-        if base is None:
+        if not self.exists():
             return self.write(batch)
-        batch = materialize(batch.withColumn(self.col, F.col(self.col).cast("string")))
-        order = [newer_than] if newer_than else []
+        batch = materialize(self._checked(batch))
+        order = F.col(newer_than) if newer_than else F.lit(None).cast("int")
+        wanted = batch.select(*keys, order.alias("__b"))
         if broadcast is None:
-            broadcast = fits_in_broadcast(batch.select(*keys, *order))
-        matched = None
-        if newer_than is not None or not stable_partition:
-            # One pass over the target's key / partition / order columns answers
-            # both questions: which batch rows lose, and which partitions hold
-            # a key of the batch.
-            bk = batch.select(*keys, *[F.col(c).alias("__b") for c in order])
-            bk = F.broadcast(bk) if broadcast else bk.hint("merge")
-            seen = None if near_days is None else self._near(self._values(batch), near_days)
-            tk = self.read(seen).select(*keys, F.col(self.col).alias("__part"),
-                                    *[F.col(c).alias("__t") for c in order])
-            matched = bk.join(tk, keys, "inner")
-            if newer_than is not None:          # used twice below: compute once
-                matched = materialize(matched)
-        if newer_than is not None:
-            wins = order_wins(F.col("__b"), F.col("__t"))
-            losers = matched.filter(~wins).select(*keys)
-            losers = F.broadcast(losers) if broadcast else losers.hint("merge")
-            # Keep only winning rows: a re-run with nothing newer commits nothing.
-            batch = materialize(batch.join(losers, keys, "left_anti"))
-            if batch.isEmpty():
-                return self.latest()
-            matched = matched.filter(wins)
-        touched = set(self._values(batch))
-        if not stable_partition:
-            touched |= set(self._values(matched.select(F.col("__part").alias(self.col))))
-        touched = sorted(touched)
-        target = self.read(partitions=touched)
-        merged = merge_frames(target, batch, keys, broadcast=broadcast, checkpoint=False)
-        return self._commit(merged, touched, base)
+            broadcast = fits_in_broadcast(wanted)
+        target = self.read()
+        held = target.select(*keys, F.col(self.col).alias("__part"), order.alias("__t"))
+        if broadcast:
+            matched = held.join(F.broadcast(wanted), keys)
+        else:
+            matched = might_hold(held, key_filter(wanted, keys), keys).join(wanted.hint("merge"), keys)
+        if newer_than is None:
+            removed = matched.select(*keys, "__part").distinct()
+        else:
+            # A key has one row, unless an upsert broke off: then the best of them counts.
+            matched = materialize(matched)
+            here = F.struct("__t", "__part")
+            best = matched.groupBy(*keys, "__b").agg(F.max(here).alias("__best"))
+            wins = order_wins(F.col("__b"), F.col("__best.__t"))
+            losers = best.where(~wins).select(*keys)
+            batch = materialize(batch.join(self._side(losers, broadcast), keys, "left_anti"))
+            removed = (matched.drop("__b").join(self._side(best, broadcast), keys)
+                       .where(wins | ~here.eqNullSafe(F.col("__best"))).select(*keys, "__part"))
+        removed = materialize(removed)
+        added = self._values(batch)
+        cleared = {r[0] for r in removed.select("__part").distinct().collect()}
+        if not added and not cleared:
+            return None
+        rows = self.read(sorted(added | cleared))
+        gone = removed.withColumnRenamed("__part", self.col)
+        kept = rows.join(self._side(gone, broadcast), [*keys, self.col], "left_anti")
+        emptied = cleared - added
+        if emptied:
+            left = kept.where(F.col(self.col).isin(sorted(emptied)))
+            emptied -= {r[0] for r in left.select(self.col).distinct().collect()}
+        self._overwrite(kept.unionByName(batch, allowMissingColumns=True))
+        self.drop(sorted(emptied))
+        return None
+
+    def drop(self, partitions: Sequence[str]) -> None:
+        for value in partitions:
+            delete_path(self.spark, f"{self.path}/{self.col}={value}")
+
+    @staticmethod
+    def _side(small: DataFrame, broadcast: bool) -> DataFrame:
+        """Rows of batch keys only: as small as the batch, so its size check holds for them."""
+        return F.broadcast(small) if broadcast else small.hint("merge")
 
     def expire(self, keep: int = 2) -> list[str]:
-        """Delete partition versions no longer referenced by the newest
-        ``keep`` manifests, and the older manifests."""
-        commits = self.commits()
-        if len(commits) <= keep:
-            return []
-        live = set()
-        for c in commits[-keep:]:
-            live |= {(p, v) for p, v in self.manifest(c)["partitions"].items()}
-        gone = []
-        for d in list_children(self.spark, self.path):
-            if not d.startswith(f"{self.col}="):
-                continue
-            p = d.split("=", 1)[1]
-            for vd in list_children(self.spark, f"{self.path}/{d}"):
-                if vd.startswith(f"{VERSION_COL}=") and (p, vd.split("=", 1)[1]) not in live:
-                    delete_path(self.spark, f"{self.path}/{d}/{vd}")
-                    gone.append(f"{d}/{vd}")
-        for c in commits[:-keep]:
-            delete_path(self.spark, f"{self._manifest_dir()}/{c:08d}.json")
-        return gone
+        """Nothing to remove: a partition's former files go when it is overwritten."""
+        return []
