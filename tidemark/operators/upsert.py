@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import fits_in_broadcast
+from tidemark.operators.keyfilter import key_filter, might_hold
 from tidemark.session import work_dir
 
 
@@ -89,6 +90,8 @@ def newer_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order:
     t_order = "__target_order"
     b = batch.select(*keys, F.col(order).alias("__batch_order"))
     t = target.select(*keys, F.col(order).alias(t_order))
+    if not broadcast:       # only target rows whose key may be in the batch are shuffled
+        t = might_hold(t, key_filter(b, keys), keys)
     wins = order_wins(F.col("__batch_order"), F.col(t_order))
     # Matched batch keys that lose: the target is streamed past the (small,
     # broadcast) batch keys; only the losing keys come back.

@@ -3,10 +3,11 @@
     spark-submit -m tidemark.plans.cli --root s3a://bucket/lake bronze silver gold
     python -m tidemark.plans.cli --root /data/lake --raw-layout by_key --multi-line all
 
-Steps run in the order given: ``bronze`` (batch reload of all raw files),
-``bronze-stream`` (only raw files not seen before), ``silver``, ``gold``,
-``refine``, ``curate``, ``kpi``, ``schema-test``, ``expire`` (keep the newest
-snapshots), or ``all`` (bronze-stream through kpi).
+Steps run in the order given: ``bronze`` (raw files that its ledger lacks),
+``bronze-stream`` (raw files that its stream has not seen), ``silver``, ``gold``,
+``refine``, ``curate``, ``kpi``, ``counts`` (kept distinct visitors),
+``schema-test``, ``expire`` (keep the newest snapshots), or ``all``
+(bronze-stream through kpi).
 """
 
 from __future__ import annotations
@@ -21,8 +22,7 @@ from pyspark.sql import SparkSession
 from tidemark.plans import jobs
 from tidemark.session import configure
 
-# "all" loads bronze from the file stream: each run reads only raw files it has
-# not seen (the batch "bronze" step re-reads every raw file).
+# "all" loads bronze from the file stream; the batch "bronze" step has a ledger of its own.
 ALL = ["bronze-stream", "silver", "gold", "refine", "curate", "kpi"]
 
 
@@ -51,6 +51,8 @@ def run(spark: SparkSession, lake: jobs.Lake, steps: list[str], keep: int = 2) -
         elif step == "kpi":
             jobs.build_kpis(lake)
             out["kpi"] = "done"
+        elif step == "counts":
+            out["counts"] = jobs.keep_visitor_counts(lake)
         elif step == "schema-test":
             out["schema-test"] = sorted(jobs.schema_test(lake))
         elif step == "expire":
@@ -70,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--multi-line", action="store_true", help="raw files are pretty-printed JSON")
     ap.add_argument("--keep", type=int, default=2, help="snapshots kept by 'expire'")
     ap.add_argument("--lateness-hours", type=float, default=0.0,
-                    help="incremental jobs re-read this window before their mark")
+                    help="landing takes records of this window before its mark too")
     ap.add_argument("steps", nargs="+")
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.appName("tidemark").getOrCreate())

@@ -279,6 +279,13 @@ SELECT c, t, NULL, 0, 'absent' FROM (VALUES ('subfolder.hashed_id', 'string'), (
   ('assets', 'array<struct<width:bigint,height:bigint,type:string,file_size:bigint,content_type:string,url:string>>')
   ) AS absent (c, t)""",
 
+    "pretty_json_split": f"""
+SELECT 'm' || CAST(p_partkey AS VARCHAR) AS hashed_id, {TITLE} AS name,
+       '2024-02-' || lpad(CAST(p_partkey % 28 + 1 AS VARCHAR), 2, '0') || 'T12:00:00Z' AS updated,
+       p_type AS folder_name,
+       CASE WHEN p_size % 5 = 0 THEN -1 ELSE CAST(least(p_size % 4, 3) AS INTEGER) END AS n_assets
+FROM part""",
+
     "stream_late_events": """
 WITH e AS (SELECT *, ts < (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20') - INTERVAL 12 DAY
                      AND ts < TIMESTAMP '2024-01-10' AS late FROM events)

@@ -815,6 +815,23 @@ def q_schema_drift(spark, sf_dir):
         "column", "data_type", "inferred_type", "non_null", "state")
 
 
+def q_pretty_json_split(spark, sf_dir):
+    """All media documents in one pretty-printed array file, through bronze (S1): the file is
+    read in splits, its records are those of JSON lines."""
+    raw = adapters.raw_media(_t(spark, sf_dir))
+    lake = jobs.Lake(spark, fresh_dir(spark, "pretty"), raw_multi_line=True)
+    pretty = F.to_json(F.struct(*raw.columns), {"pretty": "true"})
+    lead = F.when(F.col("id") == F.lit(raw.agg(F.min("id")).first()[0]), "[").otherwise(",")
+    lines = raw.select("id", F.concat(lead, pretty).alias("value")).unionByName(
+        raw.agg((F.max("id") + 1).alias("id")).select("id", F.lit("]").alias("value")))
+    (lines.coalesce(1).sortWithinPartitions("id").select("value")
+     .write.text(f"{lake.raw('media_metadata')}/{jobs.LANDING_PARTITION}=2024-02-01"))
+    jobs.raw_to_bronze(lake, now=STAMP_TIME, entities=[jobs.MEDIA_METADATA])
+    return lake.table("bronze", "media_metadata").read().select(
+        "hashed_id", "name", "updated", F.col("folder.name").alias("folder_name"),
+        F.coalesce(F.size("assets"), F.lit(-1)).alias("n_assets"))
+
+
 # The date ranges of three files of a stream, in their order, and its delay.
 STREAM_FILES = (("2024-01-10", "2024-01-20"), ("2024-01-01", "2024-01-10"), ("2024-01-20", "2024-03-01"))
 STREAM_DELAY = dt.timedelta(days=12)
@@ -846,6 +863,7 @@ QUERIES: dict[str, Query] = {
     "hot_key_join": q_hot_key_join,
     "schema_drift": q_schema_drift,
     "stream_late_events": q_stream_late_events,
+    "pretty_json_split": q_pretty_json_split,
     "silver_after_late_load": q_silver_after_late_load,
     "bronze_reload_reads_new_files": q_bronze_reload_reads_new_files,
     "upsert_far_versions": q_upsert_far_versions,

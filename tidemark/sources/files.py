@@ -53,9 +53,13 @@ def read_text_records(spark: SparkSession, path: str, multi_line: bool,
                       partition_columns: tuple[str, ...] = (),
                       files: Sequence[str] | None = None) -> DataFrame:
     """Raw JSON files as text, with ``source_file``; see :func:`parse_records`. ``files``
-    are the paths below ``path`` to read (all if not given)."""
-    reader = spark.read.schema(text_schema(partition_columns)).option("basePath", path)
-    lines = reader.text(path if files is None else list(files), wholetext=multi_line)
+    are the paths below ``path`` to read (all if not given). Multi-line files are split
+    too (:func:`tidemark.sources.multiline.read_multiline`)."""
+    paths = path if files is None else list(files)
+    if multi_line:
+        from tidemark.sources.multiline import read_multiline
+        return read_multiline(spark, paths, path, text_schema(partition_columns), partition_columns)
+    lines = spark.read.schema(text_schema(partition_columns)).option("basePath", path).text(paths)
     return lines.withColumn("source_file", F.col("_metadata.file_path"))
 
 
