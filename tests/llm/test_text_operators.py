@@ -1,9 +1,11 @@
 """Classifiers, mixing, chat, BPE, licenses and nearest neighbours."""
 
+import difflib
 import hashlib
 import os
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -336,6 +338,66 @@ def test_license_query_finds_every_planted_notice(spark):
     assert got == want and want
 
 
+def test_licenses_that_are_alike_are_told_apart(spark):
+    fill = " ".join(f"prose{i}" for i in range(60))
+    rows = [(n, f"{fill} {t} {fill}") for n, t in licences.TEMPLATES.items()]
+    bullets = licences.TEMPLATES["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* ")
+    gpl = licences.TEMPLATES["GPL-3.0"]
+    unknown = {"x1": gpl.replace("version 3", "version 4"), "x2": "Licensed under CC BY-ND 4.0.",
+               "x3": gpl.replace("General Public", "Free Documentation"),
+               "x4": "This work is licensed under the GNU General Public License, version 5."}
+    rows += [("BSD-2-Clause", bullets), ("LGPL-2.1", licences.TEMPLATES["LGPL-2.1"].upper())]
+    docs = spark.createDataFrame(rows + list(unknown.items()), "name string, text string")
+    got = [(r.row.name, r.license) for r in licences.scan(docs).collect()]
+    assert sorted(got) == sorted((n, n) for n, _ in rows)
+
+
+def test_custom_templates_are_found_in_their_own_text(spark):
+    own = {"no vocabulary": "Do what you like with these files and tell nobody about it at all.",
+           "only at its start": "Copyright holders agree: " + " ".join(f"clause{i}" for i in range(150)),
+           "only at its end": " ".join(f"term{i}" for i in range(90)) + " is a warranty"}
+    fill = " ".join(f"prose{i}" for i in range(700))
+    docs = spark.createDataFrame([(n, f"{fill} {t} {fill}") for n, t in own.items()], "name string, text string")
+    for some in (own, {n: t for n, t in own.items() if n != "no vocabulary"}):
+        got = {(r.row.name, r.license, r.start, r.similarity) for r in licences.scan(docs, templates=some).collect()}
+        assert got == {(n, n, 700, 1.0) for n in some}
+
+
+def _brute_notice(words, template):
+    """Best similarity of the template with any part of the text, at every start and length."""
+    best = 0.0
+    for lo in range(len(words)):
+        for hi in range(lo + 1, min(len(words), lo + 2 * len(template)) + 1):
+            common = sum(m.size for m in difflib.SequenceMatcher(
+                None, words[lo:hi], template, autojunk=False).get_matching_blocks())
+            best = max(best, 2 * common / (len(template) + hi - lo))
+    return best
+
+
+def test_notices_like_aligning_every_template_everywhere(spark):
+    rng = random.Random(4)
+    short = {n: t for n, t in licences.TEMPLATES.items() if len(t.split()) < 22}
+    rows = []
+    for i in range(60):
+        words = rng.choice(list(short.values())).split()
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = rng.choice([[], ["other"], [words[at], "more"]])
+        rows.append((i, " ".join(["some", "prose"] * 3 + words + ["and", "so"] * 3)))
+    known = licences.load_templates(short)
+    got = {r.row.i: r.similarity for r in licences.scan(spark.createDataFrame(rows, "i int, text string"),
+                                                       templates=short).collect()}
+    for i, text in rows:
+        words = licences.plain(text.split())
+        best = max(_brute_notice(words, t.words) for t in known.templates if t.may_be_in(Counter(words))) \
+            if any(t.may_be_in(Counter(words)) for t in known.templates) else 0.0
+        if best < licences.SIMILARITY:
+            assert i not in got
+        elif i in got:             # a telling word may rule out the most similar one, never add one
+            assert licences.SIMILARITY <= got[i] <= best + 1e-9
+    assert len(got) > 20
+
+
 # nearest neighbours
 
 def brute_nearest(rows, queries_, k=10):
