@@ -422,16 +422,17 @@ def refine(lake: Lake) -> None:
     """Refined media summary (pass-through, rebuilt) and visitor detail: every good raw
     record flattened, versions too. Raw files are never rewritten rows, so the latter
     only grows by the files not read yet."""
-    spark, now = lake.spark, dt.datetime.now(dt.timezone.utc)
-    if path_exists(spark, lake.raw("media_summary")):
+    def summary() -> None:
         good, rejected, n = parsed_once(lake, "media_summary", schemas.MEDIA_SUMMARY, "media_id")
         if n:
-            add_rejected(lake, "media_summary", rejected, now)
+            add_rejected(lake, "media_summary", rejected, dt.datetime.now(dt.timezone.utc))
         lake.table("refined", "media_summary").write(good.drop(RECORD_COLUMN, "source_file"))
-    job = "refined_visitor_detail"
-    files = lake.new_files(VISITOR_DETAIL.name, job) if path_exists(
-        spark, lake.raw(VISITOR_DETAIL.name)) else []
-    if files:
+
+    def visitor_detail() -> None:
+        job = "refined_visitor_detail"
+        files = lake.new_files(VISITOR_DETAIL.name, job)
+        if not files:
+            return
         records = lake.read_records(VISITOR_DETAIL.name, VISITOR_DETAIL.schema,
                                     lake.raw_partitions(VISITOR_DETAIL.name), files)
         flat = flatten_visitor_detail(records.where(F.col(CORRUPT_COLUMN).isNull()),
@@ -440,6 +441,10 @@ def refine(lake: Lake) -> None:
         table.append(table.unread(flat, ["source_file"]))       # a file's rows go in once
         lake.mark_read(job, files)
 
+    steps = {"media_summary": summary, VISITOR_DETAIL.name: visitor_detail}
+    run_parallel({name: step for name, step in steps.items()
+                  if path_exists(lake.spark, lake.raw(name))})
+
 
 UPKEEP = ("ingestion_time", EVENT_DATE)      # columns that jobs go by and reports do not show
 
@@ -555,12 +560,15 @@ def register_dashboard(lake: Lake) -> list[str]:
 
 
 def run_all(lake: Lake, now: dt.datetime | str | None = None) -> None:
+    """All layers; what does not wait for each other runs side by side."""
     raw_to_bronze(lake, now=now)
-    bronze_to_silver(lake)
-    silver_to_gold(lake)
-    refine(lake)
-    curate(lake)
-    build_kpis(lake)
+    run_parallel({"silver": lambda: bronze_to_silver(lake), "refined": lambda: refine(lake)})
+
+    def curated() -> None:
+        curate(lake)
+        build_kpis(lake)
+
+    run_parallel({"gold": lambda: silver_to_gold(lake), "curated": curated})
 
 
 # --- T1: raw -> bronze as a stream -------------------------------------------
