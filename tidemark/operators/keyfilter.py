@@ -26,12 +26,21 @@ def key_filter(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")))
 
 
-def might_hold(target: DataFrame, bits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``target`` whose key may be one that ``bits`` was made from."""
+def _test(target: DataFrame, bits: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     slot = _slot(keys, "t")
     at = F.bitmap_bit_position(slot)
     byte = F.substring(F.col("f.bits"), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))
     bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), at.bitwiseAND(F.lit(7)).cast("int"))
     return target.alias("t").join(F.broadcast(bits.alias("f")),
                                   (F.bitmap_bucket_number(slot) == F.col("f.bucket")) & (bit == 1),
-                                  "left_semi").select("t.*")
+                                  how).select("t.*")
+
+
+def might_hold(target: DataFrame, bits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key may be one that ``bits`` was made from."""
+    return _test(target, bits, keys, "left_semi")
+
+
+def holds_not(target: DataFrame, bits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The other rows: their key is surely none that ``bits`` was made from."""
+    return _test(target, bits, keys, "left_anti")
