@@ -10,6 +10,7 @@ from tests.llm import brute
 from tidemark.llm import queries, simhash, substring_dedup
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.graph import components, star_edges
+from tidemark.operators import keyfilter
 
 SF = "/root/testdata/sf0.01"
 
@@ -115,13 +116,20 @@ def test_pigeonring_loses_no_pair(spark, distance):
 
 def test_hot_chain_keys_are_split(spark, monkeypatch):
     monkeypatch.setattr(simhash, "HOT", 8)
+    monkeypatch.setattr(simhash, "BLOCK", 16)
     fps = spark.range(0, 300).select(F.col("id").alias("fp"))      # all within a few bits
+    sizes = simhash.dealt_keys(fps, 3).groupBy("key", "cell").agg(
+        F.count_if("probe").alias("probes"), F.count_if(~F.col("probe")).alias("rows"))
+    most = sizes.agg(F.max("probes"), F.max("rows"), F.max("cell")).first()
+    assert most[0] <= 2.5 * 16 and most[1] <= 2.5 * 8 and most[2] > 5
     got = components(simhash.link_fingerprints(fps, 3)).agg(
         F.countDistinct("root"), F.count("*"), F.min("root")).first()
     assert tuple(got) == (1, 300, 0)
 
 
-def test_keep_one_leaves_one_of_each_group(spark):
+@pytest.mark.parametrize("bits", [26, 3])          # 3: the bit set is full, all rows meet the survivors
+def test_keep_one_leaves_one_of_each_group(spark, monkeypatch, bits):
+    monkeypatch.setattr(keyfilter, "BITS", bits)
     a, b = "alpha beta gamma delta epsilon " * 9, "one two three four five six " * 9
     rows = [(3, a, "x"), (1, a, "y"), (1, a, "z"), (7, b, None), (None, b, "n"), (9, None, "e"), (8, "", "f")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, fp string")

@@ -25,11 +25,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components, star_edges
 from tidemark.llm.textkit import joined, slices, tidied
+from tidemark.operators.joins import sized_broadcast
+from tidemark.operators.keyfilter import holds_not, key_filter, might_hold
 from tidemark.session import work_dir
 
 BITS = 64
 SEED = 42
 HOT = 4096               # chain keys with more index rows are split into cells of about this
+BLOCK = 4 * HOT          # probes of such a key that one task takes, about
 PAIRS = 1 << 21          # candidate pairs compared at once in a task
 _BLOCK = 1 << 17         # shingles whose bits are counted at once
 
@@ -79,23 +82,24 @@ def _segments(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def _keys(distance: int) -> tuple:
-    """Array columns of a fingerprint's index keys and probe keys."""
+def _chains(distance: int) -> list[tuple]:
+    """(start, first segment, second segment, width of the second) of each chain of two."""
     fp, segs = F.col("fp"), _segments(distance)
 
-    def seg(i, value=fp):
+    def seg(i):
         at, width = segs[i % len(segs)]
-        return F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << width) - 1))
+        return F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1))
 
-    index, probe = [], []
-    for i in range(len(segs)):
-        nxt = segs[(i + 1) % len(segs)]
-        index.append(F.xxhash64(F.lit(i), seg(i), seg(i + 1)))
-        probe.append(index[-1])
-        if (2 * distance) // (distance + 1) >= 1:       # budget of a chain of two
-            probe += [F.xxhash64(F.lit(i), seg(i), seg(i + 1).bitwiseXOR(F.lit(1 << j)))
-                      for j in range(nxt[1])]
-    return F.array(*index), F.array(*probe)
+    return [(i, seg(i), seg(i + 1), segs[(i + 1) % len(segs)][1]) for i in range(len(segs))]
+
+
+def _near_keys(start: int, first, second, width: int, distance: int) -> list:
+    """The key of a chain of two, then those of all chains within its budget."""
+    keys = [F.xxhash64(F.lit(start), first, second)]
+    if (2 * distance) // (distance + 1) >= 1:
+        keys += [F.xxhash64(F.lit(start), first, second.bitwiseXOR(F.lit(1 << j)))
+                 for j in range(width)]
+    return keys
 
 
 def _links(distance: int):
@@ -159,31 +163,72 @@ def _links(distance: int):
     return link
 
 
+def _grid(fps: DataFrame, distance: int) -> DataFrame:
+    """(key, cells, blocks) of the hot chain keys: parts of about HOT index rows and of
+    about BLOCK probes. A key's probes come from its neighbours, the chains within the
+    budget; those with few rows of their own cannot make it hot, so they are left out
+    and one more block stands for them."""
+    chains = _chains(distance)
+    met = max(w for *_, w in chains) + 1          # neighbours a key has, at most
+    parts = F.array(*[F.struct(F.lit(i).alias("start"), a.alias("first"), b.alias("second"))
+                      for i, a, b, _ in chains])
+    warm = (fps.select(F.explode(parts).alias("chain")).select("chain.*")
+            .groupBy("start", "first", "second").agg(F.count("*").alias("n"))
+            .where(F.col("n") > F.least(F.lit(HOT), F.lit(BLOCK // met))).checkpoint())
+    near = F.lit(None).cast("array<bigint>")
+    for i, _, _, width in chains:
+        keys = _near_keys(i, F.col("first"), F.col("second"), width, distance)
+        near = F.when(F.col("start") == i, F.array(*keys)).otherwise(near)
+    index = warm.select(F.xxhash64("start", "first", "second").alias("key"),
+                        F.col("n").alias("rows"), F.lit(0).cast("long").alias("probes"))
+    probes = warm.select(F.explode(near).alias("key"), F.lit(0).cast("long").alias("rows"),
+                         F.col("n").alias("probes"))
+    both = index.unionByName(probes).groupBy("key").agg(F.sum("rows").alias("rows"),
+                                                        F.sum("probes").alias("probes"))
+    parts_of = lambda n, size, more: (F.when(F.col(n) > size, F.ceil(F.col(n) / size) + more)
+                                      .otherwise(1).cast("int"))
+    return (both.select("key", parts_of("rows", HOT, 0).alias("cells"),
+                        parts_of("probes", BLOCK, 1).alias("blocks"))
+            .where("cells > 1 OR blocks > 1").checkpoint())
+
+
+def dealt_keys(fps: DataFrame, distance: int) -> DataFrame:
+    """(key, cell, fp, probe): the chain keys of each fingerprint, for the index and for
+    probing, dealt so that rows that must meet share key and cell."""
+    near = [_near_keys(*chain, distance) for chain in _chains(distance)]
+    rows = fps.select("fp", F.explode(F.array(*[keys[0] for keys in near])).alias("key"))
+    probes = fps.select("fp", F.explode(F.array(*[k for keys in near for k in keys])).alias("key"))
+    grid = _grid(fps, distance)
+    if grid.isEmpty():               # one cell a key: nothing to look up
+        both = rows.withColumn("probe", F.lit(False)).unionByName(
+            probes.withColumn("probe", F.lit(True)))
+        return both.select("key", F.lit(0).alias("cell"), "fp", "probe")
+    # A hot key is a grid: index rows are dealt to cells and probes to blocks, and each
+    # task holds one cell and one block, however many of both there are.
+    grid = sized_broadcast(grid)
+    cells, blocks = (F.coalesce(F.col(c), F.lit(1)) for c in ("cells", "blocks"))
+    at = F.xxhash64("fp")
+    place = {False: (F.pmod(at, cells), F.sequence(F.lit(0), blocks - 1)),
+             True: (F.pmod(at, blocks), F.sequence(F.lit(0), cells - 1))}
+
+    def dealt(side: DataFrame, probing: bool) -> DataFrame:
+        own, others = place[probing]
+        cell, block = ("other", "own") if probing else ("own", "other")
+        return (side.join(grid, "key", "left")
+                .select("key", own.cast("int").alias("own"), F.explode(others).alias("other"),
+                        "fp", F.lit(probing).alias("probe"), cells.alias("n"))
+                .select("key", (F.col(block) * F.col("n") + F.col(cell)).alias("cell"), "fp", "probe"))
+
+    return dealt(rows, False).unionByName(dealt(probes, True))
+
+
 def link_fingerprints(fps: DataFrame, distance: int) -> DataFrame:
     """Edges (u, v) that connect the distinct longs of ``fps.fp`` that differ in at
     most ``distance`` bits: per task a spanning forest of the links found there."""
     if not 0 < distance < BITS // 2:
         raise ValueError("distance must be between 1 and 31")
     work_dir(fps.sparkSession)
-    index, probe = _keys(distance)
-    rows = fps.select("fp", F.explode(index).alias("key"))
-    hot = (rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
-           .select("key", F.ceil(F.col("n") / HOT).cast("int").alias("cells")).checkpoint())
-    probes = fps.select("fp", F.explode(probe).alias("key"))
-    if hot.isEmpty():                # one cell a key: nothing to look up
-        both = rows.withColumn("probe", F.lit(False)).unionByName(
-            probes.withColumn("probe", F.lit(True)))
-        return (both.select("key", F.lit(0).alias("cell"), "fp", "probe").repartition("key")
-                .mapInArrow(_links(distance), "u bigint, v bigint"))
-    # a hot key's index rows are dealt to cells; its probes go to all of them
-    one = F.coalesce(F.col("cells"), F.lit(1))
-    index_rows = rows.join(hot, "key", "left").select(
-        "key", F.pmod(F.xxhash64("fp"), one).cast("int").alias("cell"), "fp",
-        F.lit(False).alias("probe"))
-    probe_rows = (probes.join(hot, "key", "left")
-                  .select("key", F.explode(F.sequence(F.lit(0), one - 1)).alias("cell"), "fp",
-                          F.lit(True).alias("probe")))
-    return (index_rows.unionByName(probe_rows).repartition("key", "cell")
+    return (dealt_keys(fps, distance).repartition("key", "cell")
             .mapInArrow(_links(distance), "u bigint, v bigint"))
 
 
@@ -223,8 +268,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (of rows that share it, the smallest fingerprint and then the first by text;
     a group without any id keeps one row likewise).
 
-    Survivors are chosen on ids and fingerprints alone. Texts then meet them by a
-    key of both, so copies of one text, however many, spread over all tasks.
+    Survivors are chosen on ids and fingerprints alone. An id that one row has, which
+    survives, stays where it is: only rows whose id is in a bit set of all other ids
+    are fingerprinted again and shuffled, by a key of id and fingerprint, so that
+    copies of one text, however many, spread over all tasks.
     """
     work_dir(docs.sparkSession)
     fp, ident = fingerprint(f"`{text_col}`", shingle), F.col(f"`{id_col}`")
@@ -232,10 +279,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = (fps.join(fingerprint_groups(fps, distance), "fp")
              .where(F.col("id").eqNullSafe(F.col("component")))
              .groupBy("group").agg(F.min(F.struct("fp", "id")).alias("one"))
-             .select(F.xxhash64("one.id", "one.fp").alias("key"), "one"))
+             .select(F.xxhash64("one.id", "one.fp").alias("key"), "one").checkpoint())
+    seen = fps.select(F.xxhash64("id").alias("slot"), F.lit(0).alias("stays")).unionByName(
+        first.select(F.xxhash64("one.id").alias("slot"), F.lit(1).alias("stays")))
+    # 1 row and 1 survivor: nothing to decide
+    unsure = (seen.groupBy("slot").agg(F.sum("stays").alias("stay"), F.count("*").alias("n"))
+              .where("stay != 1 OR n != 2").select("slot"))
+    bits = key_filter(unsure, ["slot"]).checkpoint()
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, ident.alias("id"), fp.alias("fp"))
-    met = (rows.withColumn("key", F.xxhash64("id", "fp")).join(first, "key")
+    rows = docs.select(row, ident.alias("id"), F.col(f"`{text_col}`").alias("text"),
+                       F.xxhash64(ident).alias("slot"))
+    kept = holds_not(rows, bits, ["slot"])
+    met = (might_hold(rows, bits, ["slot"]).withColumn("fp", fingerprint("text", shingle))
+           .withColumn("key", F.xxhash64("id", "fp")).join(first, "key")
            .where(F.col("id").eqNullSafe(F.col("one.id")) & (F.col("fp") == F.col("one.fp"))))
-    order = Window.partitionBy("key", "fp", "id").orderBy(F.col("row")[text_col].asc_nulls_last())
-    return met.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("row.*")
+    order = Window.partitionBy("key", "fp", "id").orderBy(F.col("text").asc_nulls_last())
+    met = met.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+    return kept.select("row.*").unionByName(met.select("row.*"))
