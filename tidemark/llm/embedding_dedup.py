@@ -1,11 +1,13 @@
 """Embedding near-dedup by PCA-ordered tiled comparison.
 
 Unit vectors are rotated to their principal axes, strongest first. Distinct
-vectors are dealt into strips; each pair of strips is one task that compares
-tile by tile. A tile's products accumulate over the leading axes, and what the
-remaining axes can add is at most the product of the two suffix norms: pairs
-that cannot reach the threshold any more stop there. Survivors are decided in
-double precision on the original vectors.
+vectors are dealt into strips by their leading coordinates, halved again and
+again where they spread most. A pair of strips whose coordinates and suffix
+norms cannot reach the threshold is left out before any vector moves; each
+other pair is one task that compares tile by tile. A tile's products accumulate
+over the leading axes, and what the remaining axes can add is at most the
+product of the two suffix norms: pairs that cannot reach the threshold any more
+stop there. Survivors are decided in double precision on the original vectors.
 
 Equal vectors are one node with a count. A task returns a number of links for
 each vector and a spanning forest of the links it found, never the pairs.
@@ -22,7 +24,11 @@ from tidemark.llm.embeddings import distinct_vectors, usable
 from tidemark.llm.graph import components, star_edges
 from tidemark.session import work_dir
 
-STRIP = 8192             # distinct vectors a strip
+STRIP = 8192             # distinct vectors a strip, about
+STRIPS = 1024            # strips by coordinates, at most; larger ones are dealt by hash as well
+LEAD = 16                # leading axes that strips are made from
+LEAST, GAP = 0.3, 0.2    # share of a node on either side of a gap, and its width in deviations
+SAMPLED = 32             # sampled vectors a strip, from which the halving planes come
 TILE = 1024              # vectors compared at once
 STAGES = (0.2, 0.45, 1.0)    # shares of the axes after which hopeless pairs stop
 SLACK = 1e-4             # single precision sums are off by far less
@@ -74,6 +80,124 @@ def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
     return np.ascontiguousarray(axes[:, ::-1])
 
 
+# --- strips ----------------------------------------------------------------------
+
+def planes(sample: np.ndarray, strips: int) -> tuple[np.ndarray, np.ndarray]:
+    """(axis, cut) of each inner node of a tree over leading coordinates: node i has
+    children 2i and 2i + 1. A node is cut in the middle of the widest gap that leaves
+    enough on both sides, so that clusters stay whole, or where no gap stands out, at
+    the median of its most spread axis."""
+    axis, cut = np.zeros(strips, np.int64), np.zeros(strips)
+    inside = {1: sample}
+    for node in range(1, strips):
+        x = inside.pop(node)
+        if len(x):
+            axis[node] = int(np.argmax(x.var(axis=0)))
+            cut[node] = np.median(x[:, axis[node]])
+        if len(x) >= 4:
+            lo, hi = (int(share * (len(x) - 1)) for share in (LEAST, 1 - LEAST))
+            middle = np.sort(x, axis=0)[lo:hi + 2]
+            gaps = np.diff(middle, axis=0)
+            at, best = np.unravel_index(np.argmax(gaps), gaps.shape)
+            if gaps[at, best] > GAP * x[:, axis[node]].std():
+                axis[node], cut[node] = best, middle[at:at + 2, best].mean()
+        above = x[:, axis[node]] > cut[node]
+        inside[2 * node], inside[2 * node + 1] = x[~above], x[above]
+    return axis, cut
+
+
+def strip_of(lead: np.ndarray, axis: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The strip, from 0, of each row of leading coordinates."""
+    strips = len(axis)
+    node = np.ones(len(lead), np.int64)
+    for _ in range(strips.bit_length() - 1):
+        node = 2 * node + (lead[np.arange(len(lead)), axis[node]] > cut[node])
+    return node - strips
+
+
+def may_link(low: np.ndarray, high: np.ndarray, tail: np.ndarray, threshold: float) -> np.ndarray:
+    """Matrix of strip pairs that can hold a link. ``low`` and ``high`` are the limits of a
+    strip's leading coordinates, ``tail`` its largest suffix norm. The product of two unit
+    vectors is at most the largest product of leading coordinates plus that of the suffix
+    norms, and at most 1 - d^2 / 2 if they are at least d apart."""
+    out = np.zeros((len(low), len(low)), bool)
+    for i in range(len(low)):
+        corners = [a * b for a in (low[i], high[i]) for b in (low, high)]
+        product = np.maximum.reduce(corners).sum(1) + tail[i] * tail
+        gap = np.maximum(0, np.maximum(low - high[i], low[i] - high))
+        out[i] = np.minimum(product, 1 - (gap * gap).sum(1) / 2) >= threshold - SLACK
+    return out
+
+
+def _leading(width: int, axes: np.ndarray):
+    """Leading coordinates of a vector, its suffix norm last."""
+    lead = min(LEAD, width)
+
+    def run(vectors: pa.Array) -> pa.Array:
+        if not len(vectors):
+            return pa.array([], pa.list_(pa.float64()))
+        r = unit(matrix(pa.chunked_array([vectors]), width)) @ axes
+        tail = np.sqrt((r[:, lead:] ** 2).sum(1))
+        return pa.array(list(np.column_stack([r[:, :lead], tail])), pa.list_(pa.float64()))
+
+    return F.arrow_udf(run, "array<double>")
+
+
+def _placed(axis: np.ndarray, cut: np.ndarray):
+    def run(lead: pa.Array) -> pa.Array:
+        if not len(lead):
+            return pa.array([], pa.int32())
+        x = matrix(pa.chunked_array([lead]), len(lead[0]))
+        return pa.array(strip_of(x, axis, cut).astype(np.int32))
+
+    return F.arrow_udf(run, "int")
+
+
+def strip_count(n: int, cores: int) -> int:
+    """A power of two: strips of about STRIP vectors, or fewer where the pairs of strips
+    would not keep the cores busy."""
+    strips = 1
+    while strips < STRIPS and (n > STRIP * strips or (strips * strips < 8 * cores
+                                                      and n >= 1024 * strips)):
+        strips *= 2
+    return strips
+
+
+def strip_pairs(own: DataFrame, n: int, width: int, axes: np.ndarray, threshold: float) -> DataFrame:
+    """``own`` (rep, copies, vector) once for each pair (a, b) of strips that it is compared
+    in; ``strip`` is its own. To the driver come at most STRIPS rows of limits and SAMPLED
+    times as many of leading coordinates."""
+    spark = own.sparkSession
+    strips = strip_count(n, spark.sparkContext.defaultParallelism)
+    if strips == 1:
+        one = F.lit(0).cast("long")
+        return own.select(one.alias("a"), one.alias("b"), one.alias("strip"), "rep", "copies", "vector")
+    lead = own.withColumn("lead", _leading(width, axes)("vector"))
+    sample = lead.orderBy(F.xxhash64("rep")).limit(SAMPLED * strips).select("lead").toArrow()
+    coordinates = matrix(sample["lead"], min(LEAD, width) + 1)[:, :-1]
+    placed = lead.withColumn("at", _placed(*planes(coordinates, strips))("lead")).checkpoint()
+    at = range(coordinates.shape[1] + 1)
+    limits = placed.groupBy("at").agg(
+        F.count("*").alias("n"),
+        F.array(*[F.min(F.col("lead")[i]) for i in at]).alias("low"),
+        F.array(*[F.max(F.col("lead")[i]) for i in at]).alias("high")).orderBy("at").collect()
+    low, high = (np.array([r[c] for r in limits]) for c in ("low", "high"))
+    meet = may_link(low[:, :-1], high[:, :-1], high[:, -1], threshold)
+    cells = [max(1, -(-r["n"] // (2 * STRIP))) for r in limits]
+    partners = spark.createDataFrame(
+        [(r["at"], cells[i], [(limits[int(j)]["at"], cells[j]) for j in np.flatnonzero(meet[i])])
+         for i, r in enumerate(limits)],
+        "at int, cells int, others array<struct<at:int,cells:int>>")
+    name = lambda at, cell: F.shiftleft(F.col(at).cast("long"), 32) + cell
+    return (placed.join(F.broadcast(partners), "at")              # at most STRIPS rows
+            .withColumn("strip", name("at", F.pmod(F.xxhash64("rep"), F.col("cells"))))
+            .select("strip", "rep", "copies", "vector", F.explode("others").alias("other"))
+            .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("other.cells") - 1)))
+            .withColumn("with", name("other.at", F.col("cell")))
+            .select(F.least("strip", "with").alias("a"), F.greatest("strip", "with").alias("b"),
+                    "strip", "rep", "copies", "vector"))
+
+
 def _compare(threshold: float, width: int, axes: np.ndarray):
     cuts = sorted({max(1, round(s * width)) for s in STAGES})
 
@@ -144,14 +268,9 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     found = []
     for width, n in sorted(nodes.groupBy("width").agg(F.count("*")).collect()):
         own = nodes.where(F.col("width") == width)
-        strips = max(1, -(-n // STRIP))
         axes = principal_axes(own, width)
-        dealt = own.withColumn("strip", F.pmod(F.xxhash64("rep"), F.lit(strips)).cast("int"))
-        # each strip goes to the tasks of all its pairs; the pairs share the work evenly
-        others = F.sequence(F.lit(0), F.lit(strips - 1))
-        pairs = (dealt.withColumn("with", F.explode(others))
-                 .withColumn("a", F.least("strip", "with")).withColumn("b", F.greatest("strip", "with")))
-        found.append(pairs.select("a", "b", "strip", "rep", "copies", "vector").groupBy("a", "b")
+        pairs = strip_pairs(own, n, width, axes, threshold)
+        found.append(pairs.groupBy("a", "b")
                      .applyInArrow(_compare(threshold, width, axes),
                                    "rep bigint, links bigint, other bigint"))
     if not found:
