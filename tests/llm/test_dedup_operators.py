@@ -64,6 +64,25 @@ def test_substring_dedup_other_window_and_columns(spark):
                    (8, 30, "", [], [(0, 30)])]
 
 
+def test_substring_dedup_chunks_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 2000)
+    rows = some_docs(4)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = substring_dedup.remove_repeats(docs)
+    assert {r.row.doc_id: (r.n_words, r.n_removed, r.row.text or "")
+            for r in out.collect()} == brute.substring_dedup(rows)
+    with pytest.raises(TypeError):
+        substring_dedup.remove_repeats(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+def test_windows_are_compared_by_all_bits():
+    h, check = np.array([5, 5, 7, 9], np.uint64), np.array([1, 2, 3, 4], np.uint64)
+    pairs = np.array([5, 5, 7, 8], np.uint64), np.array([2, 3, 4, 4], np.uint64)
+    assert substring_dedup._among(h, check, pairs).tolist() == [False, True, False, False]
+    none = np.zeros(0, np.uint64)
+    assert not substring_dedup._among(h, check, (none, none)).any()
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, source string")
     assert substring_dedup.remove_repeats(docs).count() == 0
@@ -173,6 +192,35 @@ def test_embedding_dedup_over_strips(spark, monkeypatch):
     assert got == brute.cosine_links(rows)
 
 
+def test_strips_far_apart_are_not_paired():
+    from tidemark.llm import embedding_dedup as e
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(64, 32))
+    x = e.unit(np.repeat(centres, 100, axis=0) + rng.normal(size=(6400, 32)) * 0.05)
+    _, axes = np.linalg.eigh(x.T @ x)
+    r = x @ axes[:, ::-1]
+    lead, tail = r[:, :e.LEAD], np.sqrt((r[:, e.LEAD:] ** 2).sum(1))
+    axis, cut = e.planes(lead[rng.permutation(len(lead))[:64 * e.SAMPLED]], 64)
+    at = e.strip_of(lead, axis, cut)
+    own = [at == s for s in range(64)]
+    meet = e.may_link(np.array([lead[o].min(0) for o in own]), np.array([lead[o].max(0) for o in own]),
+                      np.array([tail[o].max() for o in own]), 0.9)
+    assert np.triu(meet).sum() < 0.1 * 64 * 65 / 2
+    i, j = np.nonzero(x @ x.T >= 0.9)                        # and no link is lost
+    assert meet[at[i], at[j]].all()
+
+
+def test_strips_of_equal_coordinates_are_dealt_by_hash(spark, monkeypatch):
+    from tidemark.llm import embedding_dedup as e
+    monkeypatch.setattr(e, "STRIP", 10)
+    rng = np.random.default_rng(9)
+    rows = [(i, [1.0, 0.0, 1e-9 * i]) for i in range(60)]    # all but one point: no plane parts them
+    rows += [(100 + i, rng.normal(size=3).tolist()) for i in range(60)]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r.id: (r.n_links, r.component) for r in near_duplicates(docs).collect()}
+    assert got == brute.cosine_links(rows)
+
+
 def test_embedding_query_whole_table(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet")
             .orderBy("vec_id").collect()]

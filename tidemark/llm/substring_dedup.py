@@ -33,6 +33,7 @@ from tidemark.llm.textkit import mix, slices, tidied, windows
 
 WINDOW = 20
 ANCHOR_BITS = 40
+CHUNK_BYTES = 32 << 20   # text that a task holds at once, about
 _ID, _TEXT, _REST, _CHUNK = "_id", "_text", "_rest", "_chunk"
 _HITS = "_bucket int, _chunk int, _blob binary"
 _LAST = np.int64(2**63 - 1)      # a null id comes after all others
@@ -117,6 +118,30 @@ def _values(hits: pa.Table) -> np.ndarray:
     return np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
+def _pairs(hits: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, check) of windows, by hash."""
+    sets = [_parts(b) for b in hits["_blob"].to_pylist()]
+    if not sets:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    h = np.concatenate([packing.unpack_sorted(s[0]) for s in sets])
+    check = np.concatenate([packing.unpack(s[1]) for s in sets])
+    order = np.lexsort((check, h))
+    return h[order], check[order]
+
+
+def _among(h: np.ndarray, check: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether hash and check of each window are a pair among ``pairs``."""
+    ph, pcheck = pairs
+    lo = np.searchsorted(ph, h, side="left")
+    n = np.searchsorted(ph, h, side="right") - lo
+    found = np.zeros(len(h), bool)
+    left = np.flatnonzero(n)
+    for step in range(int(n.max(initial=0))):    # one step, but for windows that share a hash
+        left = left[n[left] > step]
+        found[left] |= pcheck[lo[left] + step] == check[left]
+    return found
+
+
 def _isin(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     if not len(among):
         return np.zeros(len(values), bool)
@@ -162,13 +187,17 @@ def _extend(window: int, parts: int):
         blobs = []
         for b in use:
             x = slice(cut[b], cut[b + 1])
-            part = [packing.pack_sorted(h[x]), packing.pack(check[x]), packing.pack(doc[x])]
-            blobs.append(b"".join(len(p).to_bytes(4, "little") + p for p in part))
+            blobs.append(_joined(packing.pack_sorted(h[x]), packing.pack(check[x]),
+                                 packing.pack(doc[x])))
         return _rows(list(use), [key[0].as_py()] * len(use), blobs)
 
     return emit
 
 
+def _joined(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
 def _parts(blob: bytes) -> list[bytes]:
     out, at = [], 0
     while at < len(blob):
@@ -180,7 +209,8 @@ def _parts(blob: bytes) -> list[bytes]:
 
 @tidied
 def _earlier(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Step 2, hash range side: to each chunk, its windows that an earlier document has."""
+    """Step 2, hash range side: to each chunk, (hash, check) of its windows that an earlier
+    document has."""
     chunks = table["_chunk"].to_numpy()
     sets = [_parts(b) for b in table["_blob"].to_pylist()]
     h = [packing.unpack_sorted(s[0]) for s in sets]
@@ -193,7 +223,13 @@ def _earlier(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     h, check, of = h[order], check[order], of[order]
     later = np.zeros(len(h), bool)
     later[1:] = (h[1:] == h[:-1]) & (check[1:] == check[:-1])
-    return _back(key[0].as_py(), h[later], of[later], chunks)
+    h, check, of = h[later], check[later], of[later]
+    order = np.argsort(of, kind="stable")          # by chunk, then by hash
+    h, check, of = h[order], check[order], of[order]
+    use, at = np.unique(of, return_index=True)
+    blobs = [_joined(packing.pack_sorted(x), packing.pack(c))
+             for x, c in zip(np.split(h, at[1:]), np.split(check, at[1:]))] if len(use) else []
+    return _rows([key[0].as_py()] * len(use), [int(chunks[i]) for i in use], blobs)
 
 
 def _remove(window: int):
@@ -201,7 +237,7 @@ def _remove(window: int):
 
     @tidied
     def cut(key: tuple[pa.Scalar, ...], docs: pa.Table, hits: pa.Table) -> pa.Table:
-        among, docs = _values(hits), _ordered(docs)
+        among, docs = _pairs(hits), _ordered(docs)
         heads = []                                 # (hash, check) of each window, in order
         for _, _, words in slices(docs[_TEXT]):
             wh = words.hashes()
@@ -214,7 +250,7 @@ def _remove(window: int):
         again = np.zeros(len(h), bool)
         a, b = order[1:], order[:-1]
         again[a] = (h[a] == h[b]) & (check[a] == check[b])
-        again |= _isin(h, among)
+        again |= _among(h, check, among)
         texts, n_words, n_removed, spans, at = [], [], [], [], 0
         for _, _, words in slices(docs[_TEXT]):
             n = len(words.starts)
@@ -258,14 +294,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A null text has no words and stays null. Texts under ``window`` words keep
     all words. Rows that share an id count as one after the other, in text
-    order; a null id comes last. Other columns may have any names and types.
+    order; a null id comes last. Ids are integers of any width; other types raise, as
+    their order would be unclear. Other columns may have any names and types.
 
-    ``chunks``: groups of documents that a task holds at once, twice the shuffle
-    partitions by default; some 5 to 50 MB of text each keeps tasks small.
+    ``chunks``: groups of documents, each of which a task holds at once. By default one
+    for each CHUNK_BYTES of text, which a pass over the texts' lengths measures, and at
+    least two a shuffle partition.
     """
     if window < 2 or window % 2:
         raise ValueError("window must be even")
-    parts = chunks or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer column")
+    parts = chunks
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("long"))).first()[0] or 0
+        parts = max(-(-size // CHUNK_BYTES),
+                    2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     chunk = F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(parts)).cast("int")
     base = docs.select(
