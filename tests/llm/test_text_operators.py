@@ -168,6 +168,35 @@ def test_mixing_empty_and_clashing_columns(spark):
     assert mixing.mix(nothing).count() == 0         # a source without words has no target
 
 
+def test_mix_plan_beside_columns_of_its_own_names(spark):
+    rows = [(i, "a b c" if i % 3 else None, "xyz"[i % 3], 1.5, i, 2, 3, "m") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string, target double, "
+                                       "source_size int, base int, cut int, mix string")
+    plan = mixing.cuts(mixing.sizes(docs))
+    got = mixing.copies(docs, plan, F.col("source"), mixing._key("doc_id"))
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.target, r.source_size, r.base, r.cut) for r in got.collect()) == [
+        (i, 1.5, i, 2, 3) for i in range(30)]
+    sizes = {r.source: r.mix.source_size for r in got.collect()}
+    assert sizes == {"x": 0, "y": 30, "z": 30}
+
+
+def test_bpe_replaces_a_column_of_its_name(spark):
+    docs = spark.createDataFrame([(1, "one two", "old"), (2, None, None)], "doc_id int, text string, bpe string")
+    out = bpe.tokenized(docs, BPE)
+    assert out.columns == docs.columns
+    assert [r.bpe.n_tokens for r in out.orderBy("doc_id").collect()] == [2, 0]
+
+
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(1, [1.0, 0.0]), (3, [1.0, 0.1]), (3, [1.0, 0.2]), (4, [0.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    one = ann.nearest(table, table.where("vec_id = 1"), k=3)
+    assert [(r["rank"], r.vec_id) for r in one.orderBy("rank").collect()] == [(1, 3), (2, 3), (3, 4)]
+    two = ann.nearest(table, table.where("vec_id = 3"), k=2).orderBy("rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in two] == [(3, 1, 1), (3, 2, 1)]
+
+
 def test_mixing_oracle(spark):
     con = duckdb.connect()
     for t in TABLES:

@@ -211,7 +211,10 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id",
 
     Vectors that are null, zero or hold a null or non-finite component take no
     part, nor do null ids. Queries meet candidates of their own length only. With
-    fewer than k candidates, all come back; an empty table gives no row.
+    fewer than k candidates, all come back; an empty table gives no row. Rows that
+    share an id are candidates of their own under one name, which may come back more
+    than once; queries that share an id are one query, and each candidate is met
+    once by each of its vectors. Other columns are not read.
     """
     work_dir(rows.sparkSession)
 

@@ -505,7 +505,8 @@ def tokenized(docs: DataFrame, path: str, text_col: str = "text", size: int = LE
     """``docs`` with struct ``bpe``: n_tokens, ids_sha256 and decoded_sha256.
 
     A null or empty text has no tokens. Rows are independent, so repeated rows
-    give repeated results and an empty table none.
+    give repeated results and an empty table none. A column ``bpe`` of the input is
+    replaced; all others stay, whatever their names.
     """
     name = build_encoder(docs, path, text_col, size)
     both = docs.withColumn("bpe", round_trip(name, F.col(f"`{text_col}`")))

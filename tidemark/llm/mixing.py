@@ -98,14 +98,16 @@ def cuts(sized: DataFrame) -> DataFrame:
 
 
 def copies(docs: DataFrame, plan: DataFrame, source: Column, key: Column) -> DataFrame:
-    """``docs`` with struct ``mix``: source_size, target and copies of each row."""
-    taken = F.least(F.col("base") + (key < F.col("cut")).cast("long"), F.lit(MOST)).cast("int")
-    small = plan.select(F.struct("source_size", "target", "base", "cut").alias("_plan"),
-                        F.col("source").alias("_plan_source"))
-    joined = docs.join(small, source.eqNullSafe(F.col("_plan_source")))
-    fields = joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_plan.*")
-    return fields.withColumn("mix", F.struct("source_size", "target", taken.alias("copies"))).drop(
-        "source_size", "target", "base", "cut")
+    """``docs`` with struct ``mix``: source_size, target and copies of each row. A column
+    ``mix`` of the input is replaced; other columns may have any names but those of
+    the join, ``_mix_plan`` and ``_mix_source``."""
+    small = plan.select(F.struct("source_size", "target", "base", "cut").alias("_mix_plan"),
+                        F.col("source").alias("_mix_source"))
+    more = (key < F.col("_mix_plan.cut")).cast("long")
+    taken = F.least(F.col("_mix_plan.base") + more, F.lit(MOST)).cast("int")
+    found = F.struct(F.col("_mix_plan.source_size"), F.col("_mix_plan.target"), taken.alias("copies"))
+    return docs.join(small, source.eqNullSafe(F.col("_mix_source"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c != "mix"], found.alias("mix"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
