@@ -1,6 +1,6 @@
 """Operators for preparing training corpora at scale.
 
-Ten operators over documents, embeddings and conversations, each in its own
+Thirteen operators over documents, embeddings and conversations, each in its own
 module, and the queries that apply them (`queries`). Nothing outside this
 subpackage imports it.
 """
