@@ -478,6 +478,37 @@ def test_neighbours_recall_and_scores(spark, monkeypatch):
             assert abs(s - np.sqrt(((x[q] - x[i]) ** 2).sum())) < 1e-12
 
 
+@pytest.mark.parametrize("target", [0.95, 2.0])
+def test_neighbours_of_parts_that_are_cut_again(spark, monkeypatch, target):
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(60, 16))
+    x = np.array([centre[i % 60] + rng.normal(size=16) * 0.3 for i in range(4000)])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    monkeypatch.setattr(ann, "PARTS", 4)
+    monkeypatch.setattr(ann, "LEAF", 100)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    own = df.select(F.col("embedding").alias("vector"), F.array("vec_id").alias("ids"))
+    index, placed = ann.fit_index(own, 16, 10, target)
+    sizes = dict(placed.groupBy("leaf").count().collect())
+    leaves = int(index.first[-1])
+    assert len(index.below) == 4 and leaves >= 16            # both levels are in use
+    assert sum(sizes.values()) == 4000 and set(sizes) <= set(range(leaves))
+    order = index.order(x)
+    assert np.array_equal(np.sort(order, axis=1), np.tile(np.arange(leaves), (4000, 1)))
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 40 = 0"), target=target).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    want = brute_nearest(rows, lambda i: i % 40 == 0)
+    if target > 1:
+        assert index.probes == leaves
+        assert got == {q: {n + 1: i for n, (_, i) in enumerate(near)} for q, near in want.items()}
+    else:
+        read = np.mean([sum(sizes.get(int(a), 0) for a in o[:index.probes]) for o in order[::40]])
+        assert read < 0.5 * len(x)
+        hits = sum(i in got[q].values() for q, near in want.items() for _, i in near)
+        assert hits >= 0.9 * 10 * len(want)
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(512, 8))

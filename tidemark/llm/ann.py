@@ -3,16 +3,21 @@
 On a bounded sample, the neighbour graph is cut into balanced parts by
 recursive spectral bisection, so that near vectors tend to share a part. A
 small classifier learns to tell a vector's part; it places every row of the
-table, and routes a query to several most probable parts. There, distances are
-exact, in double precision on the original vectors. How many parts are asked is
-chosen on the sample, for a recall above TARGET.
+table. A part that holds many rows is cut again in the same way, on a bounded
+sample of its own, so leaves grow in number with the table (up to PARTS squared)
+and a query reads a smaller share of a larger table. Queries go to their most
+probable leaves, where distances are exact, in double precision on the original
+vectors. How many leaves are asked is measured, for a recall of TARGET, on HELD
+vectors compared with all rows; the classifiers do not learn from them, unless the
+table has no others.
 
 Equal vectors are one candidate with its smallest ids, as many as can matter.
-Parts are dealt into cells of bounded size, so a large part is many tasks.
+Leaves are dealt into cells of bounded size, so a large leaf is many tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,12 +29,14 @@ from tidemark.llm.embedding_dedup import matrix
 from tidemark.llm.embeddings import usable
 from tidemark.session import work_dir
 
-SAMPLE = 4096            # distinct vectors that the index is fitted on, at most
-PARTS = 32
+SAMPLE = 4096            # distinct vectors that a classifier is fitted on, at most
+PARTS = 32               # parts of the table, and of a part, at most
 PART_SAMPLE = 64         # sample vectors a part at least
+LEAF = 4096              # candidates a part of a part, at least about
+HELD = 256               # vectors that the number of asked leaves is measured on
 HIDDEN = 128
 NEIGHBOURS = 10          # edges a vector of the sample's graph
-TARGET = 0.95            # recall on the sample that the number of asked parts must reach
+TARGET = 0.95            # recall that the number of asked leaves must reach
 CELL = 16384             # candidates a task, about
 QUERIES = 4096           # queries a task, about
 
@@ -96,20 +103,54 @@ def balanced_parts(graph: np.ndarray, parts: int, rng: np.random.Generator) -> n
 
 @dataclass
 class Router:
-    """Classifier of parts with one hidden layer, and how many parts to ask."""
+    """Classifier of parts with one hidden layer."""
 
     layers: list[np.ndarray]
     parts: int
-    probes: int
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def chances(self, x: np.ndarray) -> np.ndarray:
+        """Logarithms of the parts' probabilities."""
         w1, b1, w2, b2 = self.layers
         norm = np.sqrt((x * x).sum(1, keepdims=True))
-        return np.maximum(x / norm @ w1 + b1, 0) @ w2 + b2
+        z = np.maximum(x / norm @ w1 + b1, 0) @ w2 + b2
+        z -= z.max(1, keepdims=True)
+        return z - np.log(np.exp(z).sum(1, keepdims=True))
 
-    def ask(self, x: np.ndarray) -> np.ndarray:
-        """The most probable parts of each vector, best first."""
-        return np.argsort(-self.scores(x), axis=1, kind="stable")[:, :self.probes]
+
+@dataclass
+class Index:
+    """Leaves: the parts of the table, or of a part that is cut again. They are
+    numbered by part, then within it."""
+
+    top: Router
+    below: dict[int, Router]
+    probes: int = 1
+
+    @property
+    def first(self) -> np.ndarray:
+        """The first leaf of each part, and the number of leaves."""
+        own = [self.below[p].parts if p in self.below else 1 for p in range(self.top.parts)]
+        return np.concatenate([[0], np.cumsum(own)])
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each vector: the most probable part, then its most probable part."""
+        part = self.top.chances(x).argmax(1)
+        leaf = self.first[part]
+        for p in self.below:
+            of = np.flatnonzero(part == p)
+            if len(of):
+                leaf[of] += self.below[p].chances(x[of]).argmax(1)
+        return leaf
+
+    def order(self, x: np.ndarray) -> np.ndarray:
+        """All leaves by probability, best first, for each vector."""
+        chance, first = self.top.chances(x), self.first
+        leaves = np.empty((len(x), first[-1]))
+        for p in range(self.top.parts):
+            leaves[:, first[p]:first[p + 1]] = chance[:, p:p + 1]
+            if p in self.below:
+                leaves[:, first[p]:first[p + 1]] += self.below[p].chances(x)
+        return np.argsort(-leaves, axis=1, kind="stable")
 
 
 def train_router(x: np.ndarray, label: np.ndarray, parts: int,
@@ -139,38 +180,114 @@ def train_router(x: np.ndarray, label: np.ndarray, parts: int,
     return layers
 
 
-def fit_router(x: np.ndarray, k: int = 10, target: float = TARGET, seed: int = 5) -> Router:
-    """Router from a sample of vectors (rows)."""
+def fit_router(x: np.ndarray, most: int, seed: int = 5) -> Router:
+    """Router from a sample of vectors (rows) to at most ``most`` parts."""
     rng = np.random.default_rng(seed)
     parts = 1
-    while parts * 2 <= min(PARTS, len(x) // PART_SAMPLE):
+    while parts * 2 <= min(PARTS, most, len(x) // PART_SAMPLE):
         parts *= 2
     label = balanced_parts(neighbour_graph(x, min(NEIGHBOURS, len(x) - 1)), parts, rng) \
         if parts > 1 else np.zeros(len(x), np.int64)
-    router = Router(train_router(x, label, parts, rng), parts, parts)
-    if parts == 1:
-        return router
-    # how many parts hold enough of the true neighbours, on queries out of the sample
-    asked = rng.choice(len(x), min(512, len(x)), replace=False)
-    d = _distances(x[asked], x)
-    d[np.arange(len(asked)), asked] = np.inf
-    near = np.argpartition(d, min(k, len(x) - 1) - 1, axis=1)[:, :k]
-    order = np.argsort(-router.scores(x[asked]), axis=1, kind="stable")
-    place = np.argsort(order, axis=1)
-    home = router.scores(x).argmax(1)
-    rank = np.take_along_axis(place, home[near], axis=1)
-    share = np.array([(rank < p).mean() for p in range(1, parts + 1)])
-    router.probes = int(np.argmax(share >= target)) + 1 if share[-1] >= target else parts
-    return router
-
-
-def _route(router: Router, width: int, all_asked: bool):
+    return Router(train_router(x, label, parts, rng), parts)
+
+
+def _fit_part(width: int, most: dict[int, int]):
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        router = fit_router(matrix(rows.sort_by("at")["vector"], width), most[part])
+        flat = np.concatenate([a.reshape(-1) for a in router.layers])
+        return pa.table([pa.array([part], pa.int32()), pa.array([router.parts], pa.int32()),
+                         pa.array([flat], pa.list_(pa.float64()))], names=["part", "parts", "layers"])
+
+    return run
+
+
+def _cut_again(placed: DataFrame, width: int) -> dict[int, Router]:
+    """Routers of the parts (``leaf`` of the first level) that hold enough rows to be
+    cut. Each is fitted by a task of its own; the driver holds at most PARTS of them."""
+    sizes = {p: n for p, n in placed.groupBy("leaf").count().collect() if n >= 2 * LEAF}
+    if not sizes:
+        return {}
+    # about twice SAMPLE vectors of each part by hash, then exactly SAMPLE
+    share = F.create_map(*(F.lit(v) for p, n in sizes.items() for v in (p, min(1.0, 2 * SAMPLE / n))))
+    h = F.xxhash64("vector")
+    near = h.cast("double") < share[F.col("leaf")] * 2.0 ** 64 - 2.0 ** 63
+    at = F.row_number().over(Window.partitionBy("leaf").orderBy("h", "vector"))
+    sample = (placed.where(F.col("leaf").isin(list(sizes)) & near).select("leaf", "vector", h.alias("h"))
+              .withColumn("at", at).where(F.col("at") <= SAMPLE).select("leaf", "vector", "at"))
+    fitted = sample.groupBy("leaf").applyInArrow(
+        _fit_part(width, {p: n // LEAF for p, n in sizes.items()}),
+        "part int, parts int, layers array<double>").collect()
+    below = {}
+    for part, parts, flat in fitted:
+        shapes = [(width, HIDDEN), (HIDDEN,), (HIDDEN, parts), (parts,)]
+        ends = np.cumsum([int(np.prod(shape)) for shape in shapes])[:-1]
+        below[part] = Router([a.reshape(shape) for a, shape in
+                              zip(np.split(np.array(flat), ends), shapes)], parts)
+    return below
+
+
+def _held_nearest(held: np.ndarray, width: int, k: int):
+    """The k nearest rows of a partition, with their leaves, to each held vector."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far, leaf = np.zeros((len(held), 0)), np.zeros((len(held), 0), np.int32)
+        for batch in batches:
+            x, at = matrix(pa.chunked_array([batch.column(0)]), width), batch.column(1).to_numpy()
+            for lo in range(0, len(x), 4096):
+                far = np.hstack([far, _distances(held, x[lo:lo + 4096])])
+                leaf = np.hstack([leaf, np.broadcast_to(at[lo:lo + 4096], (len(held), len(x[lo:lo + 4096])))])
+                if far.shape[1] > k:
+                    near = np.argpartition(far, k - 1, axis=1)[:, :k]
+                    far, leaf = np.take_along_axis(far, near, 1), np.take_along_axis(leaf, near, 1)
+        if far.shape[1]:
+            who = np.repeat(np.arange(len(held), dtype=np.int32), far.shape[1])
+            yield pa.record_batch([pa.array(who), pa.array(far.reshape(-1)), pa.array(leaf.reshape(-1))],
+                                  names=["who", "far", "leaf"])
+
+    return run
+
+
+def _leaves_to_ask(index: Index, placed: DataFrame, width: int, k: int, target: float) -> int:
+    """The fewest leaves that hold ``target`` of the k nearest of the held vectors."""
+    leaves = int(index.first[-1])
+    held = placed.orderBy(F.xxhash64("vector").desc()).limit(HELD).select("vector").toArrow()
+    x = matrix(held["vector"], width)
+    # a held vector is its own nearest; all others are distinct from it
+    first = Window.partitionBy("who").orderBy("far", "leaf")
+    near = (placed.select("vector", "leaf")
+            .mapInArrow(_held_nearest(x, width, k + 1), "who int, far double, leaf int")
+            .withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
+            .where("n > 1").select("who", "leaf").toArrow())
+    if not near.num_rows:
+        return leaves
+    place = np.argsort(index.order(x), axis=1)
+    rank = place[near["who"].to_numpy(), near["leaf"].to_numpy()]
+    share = np.cumsum(np.bincount(rank, minlength=leaves)) / near.num_rows
+    return int(np.argmax(share >= target)) + 1 if target <= 1 else leaves
+
+
+def fit_index(own: DataFrame, width: int, k: int, target: float) -> tuple[Index, DataFrame]:
+    """Index of distinct vectors of one length, and all of them with their ``leaf``."""
+    sample = own.orderBy(F.xxhash64("vector")).limit(SAMPLE).select("vector").toArrow()
+    index = Index(fit_router(matrix(sample["vector"], width), PARTS), {})
+    place = lambda: own.select("*", _route(index, width, False)("vector")[0].alias("leaf")).checkpoint()
+    placed = place()
+    index.below = _cut_again(placed, width)
+    if index.below:
+        placed = place()
+    index.probes = _leaves_to_ask(index, placed, width, k, target)
+    return index, placed
+
+
+def _route(index: Index, width: int, all_asked: bool):
     def run(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.array([], pa.list_(pa.int32()))
-        x = matrix(pa.chunked_array([vectors]), width)
-        to = router.ask(x) if all_asked else router.scores(x).argmax(1)[:, None]
-        return pa.array(list(to.astype(np.int32)), pa.list_(pa.int32()))
+        x, to = matrix(pa.chunked_array([vectors]), width), []
+        for lo in range(0, len(x), 1024):
+            part = x[lo:lo + 1024]
+            to.append(index.order(part)[:, :index.probes] if all_asked else index.place(part)[:, None])
+        return pa.array(list(np.concatenate(to).astype(np.int32)), pa.list_(pa.int32()))
 
     return F.arrow_udf(run, "array<int>")
 
@@ -232,24 +349,21 @@ def nearest(rows: DataFrame, queries: DataFrame, id_col: str = "vec_id",
     out = None
     for (width,) in sorted(nodes.select("width").distinct().collect()):
         own = nodes.where(F.col("width") == width)
-        sample = own.orderBy(F.xxhash64("vector")).limit(SAMPLE).select("vector").toArrow()
-        router = fit_router(matrix(sample["vector"], width), k, target)
-        placed = own.select("vector", "ids", _route(router, width, False)("vector")[0].alias("part"))
-        placed = placed.checkpoint()
+        index, placed = fit_index(own.select("vector", "ids"), width, k, target)
         here = (asked.where(F.size("vector") == width)
-                .select("id", "vector", F.explode(_route(router, width, True)("vector")).alias("part"))
+                .select("id", "vector", F.explode(_route(index, width, True)("vector")).alias("leaf"))
                 .checkpoint())
-        # a grid of cells in each part: candidates by queries, both of bounded size
-        grid = (placed.groupBy("part").agg(F.ceil(F.count("*") / CELL).alias("cells"))
-                .join(here.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).alias("blocks")), "part"))
+        # a grid of cells in each leaf: candidates by queries, both of bounded size
+        grid = (placed.groupBy("leaf").agg(F.ceil(F.count("*") / CELL).alias("cells"))
+                .join(here.groupBy("leaf").agg(F.ceil(F.count("*") / QUERIES).alias("blocks")), "leaf"))
         cell = F.pmod(F.xxhash64("vector"), F.col("cells"))
         block = F.pmod(F.xxhash64("id"), F.col("blocks"))
         to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        left = here.join(grid, "part").select("part", to("cells").alias("cell"), block.alias("block"),
+        left = here.join(grid, "leaf").select("leaf", to("cells").alias("cell"), block.alias("block"),
                                               "id", "vector")
-        right = placed.join(grid, "part").select("part", cell.alias("cell"), to("blocks").alias("block"),
+        right = placed.join(grid, "leaf").select("leaf", cell.alias("cell"), to("blocks").alias("block"),
                                                  "vector", "ids")
-        keys = ("part", "cell", "block")
+        keys = ("leaf", "cell", "block")
         best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
             _rerank(width, k), "query_id bigint, vec_id bigint, score double")
         out = best if out is None else out.unionByName(best)
