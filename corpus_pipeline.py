@@ -29,7 +29,8 @@ def _with_chars(docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the labelled
-    rows outside the held-out fold; without labels it accepts all."""
+    rows outside the held-out fold; with no such row it accepts all. The table
+    ``labels`` has to be there."""
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     learn = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
