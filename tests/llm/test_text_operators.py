@@ -70,6 +70,18 @@ def test_toxicity_without_examples(spark):
     assert empty.select(toxicity.score(model, empty)).count() == 0
 
 
+def test_toxicity_bounds_and_prior_are_arguments(spark):
+    texts = [("w%d w%d " % (i % 7, i % 5)) * 3 + ("vilest" if i % 4 == 0 else "") for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    only = spark.createDataFrame([(i, 1) for i in range(0, 200, 8)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, only, F.lit(True), prior=0.25, positives=20, unlabelled=100, features=3)
+    assert 1 <= len(model.kept) <= 3
+    got = docs.withColumn("score", toxicity.score(model, docs)).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 4 == 0) for r in got)     # half of them never confirmed
+    with pytest.raises(ValueError):
+        toxicity.fit(docs, only, F.lit(True), prior=1.5)
+
+
 def test_nnpu_corrects_for_the_positives_among_the_unlabelled():
     rng = np.random.default_rng(2)
     toxic = np.zeros((400, 4), np.float32)
@@ -117,6 +129,17 @@ def test_quality_odd_rows_and_no_labels(spark):
     assert other.select(quality.score(fm, other, "at")).count() == 6
 
 
+def test_quality_sample_is_an_argument(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * i) for i in range(50)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id bigint, quality int")
+    seen = []
+    plain = quality.train
+    monkeypatch.setattr(quality, "train", lambda *a: seen.append(len(a[3])) or plain(*a))
+    for n in (7, 60):
+        quality.fit(docs, labels, F.lit(True), sample_rows=n)
+    assert seen == [7, 50]
+
+
 # mixing
 
 def targets(sizes):

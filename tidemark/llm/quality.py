@@ -26,7 +26,7 @@ from tidemark.llm.textkit import Words, slices, tidied
 
 BITS = 13                # hashed words
 RANK = 8
-SAMPLE = 16384           # labelled rows used, at most
+SAMPLE = 16384           # labelled rows used, unless told otherwise
 WORD_SCALE = 4.0
 STATS = ("log_words", "word_bytes", "upper", "digit", "symbol", "not_ascii", "line_words",
          "repeat_next", "distinct", "top_word", "bare_symbol", "symbol_end", "log_chars")
@@ -156,16 +156,17 @@ def train(at: list[np.ndarray], x: list[np.ndarray], stats: np.ndarray, y: np.nd
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
         text_col: str = "text", chars_col: str | None = "n_chars",
-        label_col: str = "quality") -> Machine:
+        label_col: str = "quality", sample_rows: int = SAMPLE) -> Machine:
     """Model from the labelled rows that ``learn`` (over the id) admits, at most
-    SAMPLE of them, by hash of the id. Null labels and null ids are left out; of
+    ``sample_rows`` of them, by hash of the id. A row of the sample brings at most
+    one number a hashed word (2^13) to the driver, however long its text. Null labels and null ids are left out; of
     conflicting labels of one id the smaller counts. Without any label every
     text scores near 1, so that nothing is rejected unjudged.
     """
     known = (labels.where(learn).select(F.col(f"`{id_col}`").alias("id"),
                                         F.col(f"`{label_col}`").alias("y"))
              .where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.min("y").alias("y"))
-             .orderBy(F.xxhash64("id"), "id").limit(SAMPLE))
+             .orderBy(F.xxhash64("id"), "id").limit(sample_rows))
     text, chars = _columns(docs, text_col, chars_col)
     rows = docs.where(learn).select(F.col(f"`{id_col}`").alias("id"), text.alias("text"),
                                     chars.alias("chars"))

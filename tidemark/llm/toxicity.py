@@ -28,9 +28,9 @@ from tidemark.llm.textkit import Words, slices
 
 BITS = 17
 PREFIXES = (4, 5, 6, 7, 8)     # bytes of a word's beginning
-POSITIVES = 8192               # confirmed examples used, at most
-UNLABELLED = 12288             # unlabelled texts in the training sample, at most
-FEATURES = 768                 # features kept, at most
+POSITIVES = 8192               # confirmed examples used, unless told otherwise
+UNLABELLED = 12288             # unlabelled texts in the training sample, likewise
+FEATURES = 768                 # features kept, likewise
 STANDS_OUT = 5.0               # standard deviations above the unlabelled frequency
 SCALE = 4.0
 
@@ -120,17 +120,25 @@ def train_nnpu(toxic: np.ndarray, free: np.ndarray, prior: float, epochs: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "toxic") -> Model:
+        text_col: str = "text", label_col: str = "toxic", prior: float | None = None,
+        positives: int = POSITIVES, unlabelled: int = UNLABELLED, features: int = FEATURES) -> Model:
     """Model from the rows that ``learn`` admits, an expression over the id.
 
-    The class prior is the share of label 1 there. With no positive example all
+    ``prior`` is the share of toxic texts among all, which positive and unlabelled
+    texts alone do not tell; unless given, it is the share of label 1 among the
+    labelled rows. Training takes at most ``positives`` confirmed and ``unlabelled``
+    other texts, chosen by hash of the id, and at most ``features`` features;
+    document frequencies are counted over all texts. With no positive example all
     texts score alike, near zero.
     """
+    if prior is not None and not 0 < prior < 1:
+        raise ValueError("prior must lie between 0 and 1")
     key = F.col(f"`{id_col}`").alias("id")
     known = labels.where(learn).select(key, F.col(f"`{label_col}`").alias("y")).where("y IS NOT NULL")
-    prior = known.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
+    if prior is None:
+        prior = known.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
     pick = lambda ids, n: ids.distinct().orderBy(F.xxhash64("id"), "id").limit(n)
-    positive = pick(known.where("y = 1").select("id"), POSITIVES).withColumn("toxic", F.lit(True))
+    positive = pick(known.where("y = 1").select("id"), positives).withColumn("toxic", F.lit(True))
     rows = docs.where(learn).select(key, F.col(f"`{text_col}`").alias("text"))
     # both id lists have a fixed bound, so they may be broadcast
     marked = rows.join(F.broadcast(positive), "id", "left").select(
@@ -144,9 +152,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     share = F.col("every") / n
     above = (F.col("toxic") / n_toxic - share) / F.sqrt(share * (1 - share) / n_toxic + 1e-12)
     best = (counts.select("feature", "toxic", above.alias("z")).where(f"z > {STANDS_OUT} AND toxic >= 3")
-            .orderBy(F.desc("z"), "feature").limit(FEATURES))
+            .orderBy(F.desc("z"), "feature").limit(features))
     kept = np.sort(np.array([r["feature"] for r in best.collect()], np.int64))
-    free = pick(rows.select("id"), UNLABELLED).withColumn("free", F.lit(True))
+    free = pick(rows.select("id"), unlabelled).withColumn("free", F.lit(True))
     sample = (marked.join(F.broadcast(free), "id", "left").where("toxic OR free")
               .select("toxic", F.coalesce("free", F.lit(False)).alias("free"),
                       _densities(kept)("text").alias("f")).toArrow())
