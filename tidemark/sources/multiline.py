@@ -39,12 +39,12 @@ def _delta(segment: Column) -> Column:
     return F.when(segment.rlike(r"[\[\]{}]"), sum_).otherwise(F.lit(0))
 
 
-def _by_split(totals: DataFrame, what: str, out: str, *keep: Column) -> DataFrame:
+def _by_split(totals: DataFrame, file: str, what: str, out: str, *keep: Column) -> DataFrame:
     """One row a split, computed once: ``out`` is the sum of ``what`` over the splits of the
     file before it."""
-    file = Window.partitionBy("source_file").orderBy("_split")
-    earlier = file.rowsBetween(Window.unboundedPreceding, -1)
-    return materialize(totals.select("source_file", "_split", *keep, F.coalesce(
+    before = Window.partitionBy(file).orderBy("_split")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(totals.select(file, "_split", *keep, F.coalesce(
         F.sum(what).over(earlier), F.lit(0)).alias(out)))
 
 
@@ -66,35 +66,43 @@ def read_multiline(spark: SparkSession, paths: str | Sequence[str], base: str, s
     rows = lines.select("source_file", "_split", "_line", *partition_columns,
                         F.posexplode(_segments(F.col("value"))).alias("_pos", "_text"))
     rows = rows.withColumn("_delta", _delta(F.col("_text")))
-    here = ["source_file", "_split"]
     order = F.struct("_line", "_pos")
-    # a file is an array if its first line opens one: the first line of its first split
+    # a file is an array if its first line opens one: the first line of its first split. Files
+    # get a number, so that no line is shuffled with its path.
     file = Window.partitionBy("source_file").orderBy("_split").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = rows.groupBy("source_file", "_split").agg(
+        F.sum("_delta").alias("_d"), F.min_by("_text", order).alias("_head"),
+        F.min(order).alias("_first"), *[F.first(c).alias(c) for c in partition_columns])
     outer = _by_split(
-        rows.groupBy(*here).agg(F.sum("_delta").alias("_d"), F.min_by("_text", order).alias("_head"),
-                                F.min(order).alias("_first")),
-        "_d", "_outer", F.first("_head").over(file).rlike(r"^\s*\[").alias("_in_array"),
+        totals.withColumn("_at", F.monotonically_increasing_id()), "source_file", "_d", "_outer",
+        F.first("_at").over(file).alias("_file"), *partition_columns,
+        F.first("_head").over(file).rlike(r"^\s*\[").alias("_in_array"),
+        F.first("_split").over(file).alias("_start"),
         F.when(F.first("_split").over(file) == F.col("_split"), F.col("_first")).alias("_first"))
+    files = outer.where(F.col("_split") == F.col("_start")).select("_file", "source_file", *partition_columns)
+    here = ["_file", "_split"]
+    opens = F.col("_in_array") & F.coalesce(order == F.col("_first"), F.lit(False))
+    text = F.when(opens, F.regexp_replace("_text", r"^\s*\[", "")).otherwise(F.col("_text"))
+    rows = (rows.drop(*partition_columns)
+            .join(sized_broadcast(outer.drop("_start", *partition_columns)), ["source_file", "_split"])
+            .select(*here, "_line", "_pos", "_delta", "_outer", "_in_array", text.alias("_text")))
     so_far = Window.partitionBy(*here).orderBy("_line", "_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    rows = rows.join(sized_broadcast(outer), here)
     rows = rows.withColumn("_depth", F.sum("_delta").over(so_far) + F.col("_outer"))
     rows = rows.withColumn("_ends", (F.col("_depth") <= F.col("_in_array").cast("int")).cast("int"))
-    opens = F.col("_in_array") & F.coalesce(order == F.col("_first"), F.lit(False))
-    text = F.when(opens, F.regexp_replace("_text", r"^\s*\[", "")).otherwise(F.col("_text"))
     closes = F.col("_in_array") & (F.col("_depth") <= 0)
-    text = F.when(closes, F.regexp_replace(text, r"\]\s*$", "")).otherwise(text)
+    text = F.when(closes, F.regexp_replace("_text", r"\]\s*$", "")).otherwise(F.col("_text"))
     # records are numbered by the ends before them
-    ended = _by_split(rows.groupBy(*here).agg(F.sum("_ends").alias("_n")), "_n", "_earlier")
+    ended = _by_split(rows.groupBy(*here).agg(F.sum("_ends").alias("_n")), "_file", "_n", "_earlier")
     rows = rows.withColumn("_text", text).withColumn(
         "_record", F.sum("_ends").over(so_far) - F.col("_ends"))
     rows = rows.join(sized_broadcast(ended), here).withColumn(
         "_record", F.col("_record") + F.col("_earlier"))
     parts = F.sort_array(F.collect_list(F.struct("_split", "_line", "_pos", "_text")))
-    joined = rows.groupBy("source_file", "_record", "_in_array", *partition_columns).agg(
+    joined = rows.groupBy("_file", "_record", "_in_array").agg(
         F.array_join(F.transform(parts, lambda p: p["_text"]), "\n").alias("value"))
     bare = F.regexp_replace("value", r"^[\s,]+|[\s,]+$", "")
     value = F.when(F.col("_in_array"), bare).otherwise(F.trim("value"))
-    return joined.select(value.alias("value"), *partition_columns, "source_file").where(
-        F.col("value").rlike(r"\S"))
+    return joined.join(sized_broadcast(files), "_file").select(
+        value.alias("value"), *partition_columns, "source_file").where(F.col("value").rlike(r"\S"))
