@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.keyfilter import holds_not, key_filter, might_hold
+from tidemark.operators.upsert import materialize
+
 
 def newest_first(*cols: str | Column) -> list[Column]:
     """Descending order, NULLs last: a NULL time loses to any value but is
@@ -32,6 +35,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
               .drop(rank_col))
 
 
+def latest_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """:func:`latest_per_key` of stored rows most of which are alone with their key. A pass over
+    the keys finds those that come twice, as key bits; only rows that may have one of these
+    are shuffled and sorted. Do not give it rows that are costly to compute: they are read
+    up to three times."""
+    keys = list(keys)
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    bits = materialize(key_filter(twice, keys))
+    if bits.isEmpty():
+        return df
+    some = latest_per_key(might_hold(df, bits, keys), keys, order)
+    return holds_not(df, bits, keys).unionByName(some)
+
+
 def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the survivor chosen by ``order`` (deterministic,
     unlike ``dropDuplicates``, whose survivor is arbitrary)."""

@@ -17,14 +17,16 @@ Plan at scale:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import fits_in_broadcast
-from tidemark.operators.keyfilter import key_filter, might_hold
-from tidemark.session import work_dir
+from tidemark.operators.keyfilter import holds_not, key_filter, might_hold
+from tidemark.session import fresh_dir, work_dir
+from tidemark.sources.files import delete_path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -34,6 +36,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` computed once into Parquet in the shared folder, which goes when the block ends.
+    For wide rows that are read several times: they are stored compressed, and a pass over
+    few columns reads only these. What the block makes of them must be written in it."""
+    path = fresh_dir(df.sparkSession, "staged")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(df.sparkSession, path)
+
+
+def without(rows: DataFrame, gone: DataFrame, on: Sequence[str], broadcast: bool) -> DataFrame:
+    """``rows`` whose ``on`` is none of ``gone``. If that is too large to broadcast, only the rows
+    that may be hit are shuffled; the others are told by key bits in the scan."""
+    on = list(on)
+    if broadcast:
+        return rows.join(F.broadcast(gone.select(*on)), on, "left_anti")
+    bits = materialize(key_filter(gone, on))
+    hit = might_hold(rows, bits, on).join(gone.select(*on).hint("merge"), on, "left_anti")
+    return holds_not(rows, bits, on).unionByName(hit.select(*rows.columns))
+
+
 def _align(batch: DataFrame, target: DataFrame) -> DataFrame:
     """Batch with the target's column order (extra batch columns kept last)."""
     cols = [c for c in target.columns if c in batch.columns]
@@ -72,7 +98,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
         batch = newer_rows(target, batch, keys, newer_than, broadcast)
         if checkpoint:
             batch = materialize(batch)
-    kept = target.join(_bc(batch.select(*keys), broadcast), on=keys, how="left_anti")
+    kept = without(target, batch, keys, broadcast)
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
@@ -96,4 +122,4 @@ def newer_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order:
     # Matched batch keys that lose: the target is streamed past the (small,
     # broadcast) batch keys; only the losing keys come back.
     losers = _bc(b, broadcast).join(t, on=keys, how="inner").filter(~wins).select(*keys)
-    return batch.join(_bc(losers, broadcast), on=keys, how="left_anti")
+    return without(batch, losers, keys, broadcast)

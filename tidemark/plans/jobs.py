@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,7 +30,7 @@ from tidemark.operators.flatten import (MEDIA_ASSET_KEY, flatten_events, flatten
                                         flatten_visitor_detail, flatten_visitors)
 from tidemark.operators.stamp import source_file, stamp
 from tidemark.operators.joins import sized_broadcast
-from tidemark.operators.upsert import materialize
+from tidemark.operators.upsert import materialize, staged
 from tidemark.sinks import land_json
 from tidemark.sources import append, catalog
 from tidemark.sources.append import AppendTable
@@ -234,11 +235,11 @@ def land_visitors(lake: Lake, visitor_list: DataFrame, details: DataFrame) -> in
     if waiting:
         wanted = (listed.unionByName(pending.read()).groupBy("visitor_key")
                   .agg(F.max("_t").alias("_t")))
-    picked = materialize(details.join(wanted, on="visitor_key", how="inner"))
-    seen = Observation()
-    _land_rows(lake, VISITOR_DETAIL, picked, seen)
-    n = seen.get["n"]
-    missing = materialize(wanted.join(picked.select("visitor_key"), "visitor_key", "left_anti"))
+    with staged(details.join(wanted, on="visitor_key", how="inner")) as picked:
+        seen = Observation()
+        _land_rows(lake, VISITOR_DETAIL, picked, seen)
+        n = seen.get["n"]
+        missing = materialize(wanted.join(picked.select("visitor_key"), "visitor_key", "left_anti"))
     if waiting or not missing.isEmpty():
         pending.write(missing)
     if n_listed:
@@ -248,15 +249,17 @@ def land_visitors(lake: Lake, visitor_list: DataFrame, details: DataFrame) -> in
 
 # --- D1: raw -> bronze ------------------------------------------------------
 
-def bronze_batch(raw: DataFrame, entity: Entity, now: dt.datetime | str) -> DataFrame:
+def bronze_batch(raw: DataFrame, entity: Entity, now: dt.datetime | str,
+                 latest=dedup.latest_per_key) -> DataFrame:
     """Stamped raw rows, latest per key (newest time, then newest ingestion,
-    then newest file), with the parsed ``record_time``."""
+    then newest file), with the parsed ``record_time``. For stored rows, ``latest`` may be
+    :func:`tidemark.operators.dedup.latest_of_few`; so too in the silver functions."""
     stamped = stamp(raw, now=now).withColumn(RECORD_TIME, parse_iso(entity.time_col))
     stamped = stamped.filter(F.col(entity.key).isNotNull())
     if entity is EVENTS:
         stamped = stamped.withColumn(EVENT_DATE, event_date(RECORD_TIME))
-    return dedup.latest_per_key(stamped, [entity.key],
-                                dedup.newest_first(RECORD_TIME, "ingestion_time", "source_file"))
+    return latest(stamped, [entity.key],
+                  dedup.newest_first(RECORD_TIME, "ingestion_time", "source_file"))
 
 
 def split_records(records: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -285,15 +288,17 @@ def add_rejected(lake: Lake, name: str, rejected: DataFrame, now: dt.datetime |
     table.append(stamp(table.unread(rows, same), now=now))
 
 
+@contextmanager
 def parsed_once(lake: Lake, name: str, schema, key: str, files: list | None = None,
-                partition_columns: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, int]:
-    """(good rows, rejected records, number of these) of raw files. They are parsed once, into
-    shared storage; the rejected are counted on the way, so nobody looks for them in vain."""
+                partition_columns: Sequence[str] = ()) -> Iterator[tuple[DataFrame, DataFrame, int]]:
+    """(good rows, rejected records, number of these) of raw files, for the block. They are parsed
+    once, into shared storage; the rejected are counted on the way, so nobody looks for them in
+    vain."""
     seen = Observation()
     records = lake.read_records(name, schema, partition_columns, files)
     records = records.observe(seen, F.count(_reason(key)).alias("rejected"))
-    good, rejected = split_records(materialize(records), key)
-    return good, rejected, seen.get["rejected"]
+    with staged(records) as stored:
+        yield *split_records(stored, key), seen.get["rejected"]
 
 
 def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
@@ -312,12 +317,12 @@ def raw_to_bronze(lake: Lake, now: dt.datetime | str | None = None,
         job = f"bronze_{e.name}"
         files = lake.new_files(e.name, job)
         if files:
-            good, rejected, n_rejected = parsed_once(lake, e.name, e.schema, e.key, files,
-                                                     lake.raw_partitions(e.name))
-            if quarantine and n_rejected:
-                add_rejected(lake, e.name, rejected, now)
-            batch = bronze_batch(good, e, now).withColumn(LOAD_ID, F.lit(new_load_id()))
-            lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
+            with parsed_once(lake, e.name, e.schema, e.key, files,
+                             lake.raw_partitions(e.name)) as (good, rejected, n_rejected):
+                if quarantine and n_rejected:
+                    add_rejected(lake, e.name, rejected, now)
+                batch = bronze_batch(good, e, now, dedup.latest_of_few).withColumn(LOAD_ID, F.lit(new_load_id()))
+                lake.table("bronze", e.name).upsert(batch, [e.key], newer_than=RECORD_TIME)
             lake.mark_read(job, files)
         return len(files)
 
@@ -378,14 +383,14 @@ def silver_media_rows(bronze: DataFrame) -> DataFrame:
                              + dedup.oldest_first("asset_file_size"))
 
 
-def silver_visitor_rows(bronze: DataFrame) -> DataFrame:
-    return dedup.latest_per_key(flatten_visitors(bronze), ["visitor_key"],
-                                dedup.newest_first(parse_iso("last_active_at"), "ingestion_time"))
+def silver_visitor_rows(bronze: DataFrame, latest=dedup.latest_per_key) -> DataFrame:
+    return latest(flatten_visitors(bronze), ["visitor_key"],
+                  dedup.newest_first(parse_iso("last_active_at"), "ingestion_time"))
 
 
-def silver_event_rows(bronze: DataFrame) -> DataFrame:
-    rows = dedup.distinct_on(flatten_events(bronze), ["event_key"],
-                             dedup.newest_first(parse_iso("received_at"), "ingestion_time"))
+def silver_event_rows(bronze: DataFrame, latest=dedup.latest_per_key) -> DataFrame:
+    rows = latest(flatten_events(bronze), ["event_key"],
+                  dedup.newest_first(parse_iso("received_at"), "ingestion_time"))
     return rows.withColumn(EVENT_DATE, event_date(parse_iso("received_at")))
 
 
@@ -397,10 +402,12 @@ def bronze_to_silver(lake: Lake) -> dict[str, int]:
             lake.table("silver", "media_metadata_flattened"), silver_media_rows, MEDIA_ASSET_KEY),
         "visitor_list": lambda: _incremental(
             lake, "silver_visitors", lake.table("bronze", "visitor_detail"),
-            lake.table("silver", "visitor_list"), silver_visitor_rows, "visitor_key"),
+            lake.table("silver", "visitor_list"),
+            lambda rows: silver_visitor_rows(rows, dedup.latest_of_few), "visitor_key"),
         "events": lambda: _incremental(
             lake, "silver_events", lake.table("bronze", "events"),
-            lake.table("silver", "events"), silver_event_rows, "event_key"),
+            lake.table("silver", "events"),
+            lambda rows: silver_event_rows(rows, dedup.latest_of_few), "event_key"),
     })
 
 
@@ -423,10 +430,10 @@ def refine(lake: Lake) -> None:
     record flattened, versions too. Raw files are never rewritten rows, so the latter
     only grows by the files not read yet."""
     def summary() -> None:
-        good, rejected, n = parsed_once(lake, "media_summary", schemas.MEDIA_SUMMARY, "media_id")
-        if n:
-            add_rejected(lake, "media_summary", rejected, dt.datetime.now(dt.timezone.utc))
-        lake.table("refined", "media_summary").write(good.drop(RECORD_COLUMN, "source_file"))
+        with parsed_once(lake, "media_summary", schemas.MEDIA_SUMMARY, "media_id") as (good, rejected, n):
+            if n:
+                add_rejected(lake, "media_summary", rejected, dt.datetime.now(dt.timezone.utc))
+            lake.table("refined", "media_summary").write(good.drop(RECORD_COLUMN, "source_file"))
 
     def visitor_detail() -> None:
         job = "refined_visitor_detail"

@@ -18,7 +18,8 @@ def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     """Append accepted raw records as JSON lines under ``name=value``
     folders (K5). Every run adds new files; nothing is rewritten. Rows are
     rebalanced by folder first, so files follow the data's size and not the
-    number of tasks times folders. ``observe`` is an Observation and the aggregates
+    number of tasks times folders. Files are compressed: a reader takes each whole, and
+    their size is bounded by the rebalance. ``observe`` is an Observation and the aggregates
     that the write collects on its way; columns of ``drop`` are not written."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
@@ -27,7 +28,7 @@ def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w = df.drop(*drop).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.json(path)
+    w.option("compression", "gzip").json(path)
 
 
 def write_json_sample(df: DataFrame, path: str, order: Sequence[str], n: int = 5,

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.joins import fits_in_broadcast
 from tidemark.operators.keyfilter import key_filter, might_hold
-from tidemark.operators.upsert import materialize, order_wins
+from tidemark.operators.upsert import materialize, order_wins, staged, without
 from tidemark.sources.files import delete_path, list_children, path_exists, read_text, write_text
 
 SAFE = "^[A-Za-z0-9_.-]+$"      # values that are a folder name as they are
@@ -96,7 +96,11 @@ class PartitionedTable:
         keys = list(keys)
         if not self.exists():
             return self.write(batch)
-        batch = materialize(self._checked(batch))
+        with staged(self._checked(batch)) as rows:
+            return self._apply(rows, keys, newer_than, broadcast)
+
+    def _apply(self, batch: DataFrame, keys: list[str], newer_than: str | None,
+               broadcast: bool | None) -> None:
         order = F.col(newer_than) if newer_than else F.lit(None).cast("int")
         wanted = batch.select(*keys, order.alias("__b"))
         if broadcast is None:
@@ -116,7 +120,7 @@ class PartitionedTable:
             best = matched.groupBy(*keys, "__b").agg(F.max(here).alias("__best"))
             wins = order_wins(F.col("__b"), F.col("__best.__t"))
             losers = best.where(~wins).select(*keys)
-            batch = materialize(batch.join(self._side(losers, broadcast), keys, "left_anti"))
+            batch = without(batch, losers, keys, broadcast)
             removed = (matched.drop("__b").join(self._side(best, broadcast), keys)
                        .where(wins | ~here.eqNullSafe(F.col("__best"))).select(*keys, "__part"))
         removed = materialize(removed)
@@ -126,7 +130,7 @@ class PartitionedTable:
             return None
         rows = self.read(sorted(added | cleared))
         gone = removed.withColumnRenamed("__part", self.col)
-        kept = rows.join(self._side(gone, broadcast), [*keys, self.col], "left_anti")
+        kept = without(rows, gone, [*keys, self.col], broadcast)
         emptied = cleared - added
         if emptied:
             left = kept.where(F.col(self.col).isin(sorted(emptied)))

@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.joins import fits_in_broadcast
-from tidemark.operators.upsert import materialize, newer_rows, upsert as merge_frames
+from tidemark.operators.upsert import newer_rows, staged, upsert as merge_frames
 from pyspark.sql import types as T
 
 from tidemark.sources.files import delete_path, list_children, path_exists, read_text, write_text
@@ -99,12 +99,16 @@ class SnapshotTable:
         With ``newer_than``, a batch with no winning row writes nothing."""
         if not self.exists():
             return self.write(batch)
+        with staged(batch) as rows:
+            return self._apply(rows, keys, newer_than, broadcast)
+
+    def _apply(self, batch: DataFrame, keys: Sequence[str], newer_than: str | None,
+               broadcast: bool | None) -> int:
         target = self.read()
-        batch = materialize(batch)
         if broadcast is None:
             broadcast = fits_in_broadcast(batch.select(*keys))
         if newer_than is not None:
-            batch = materialize(newer_rows(target, batch, keys, newer_than, broadcast))
+            batch = newer_rows(target, batch, keys, newer_than, broadcast)
             if batch.isEmpty():
                 return self.latest()
         return self.write(merge_frames(target, batch, keys, broadcast=broadcast,
